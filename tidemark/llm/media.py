@@ -64,7 +64,7 @@ def filter_rows(rows: np.ndarray, filters: tuple[int, ...]) -> bytes:
         chosen, best = np.zeros(len(rows), dtype=np.uint8), rows
     else:
         made = _predictors(rows) if max(filters) > UP else [rows, *(_simple(rows, f) for f in (SUB, UP))]
-        costs = np.stack([np.abs(made[f].view(np.int8).astype(np.int16)).sum(axis=1) for f in filters])
+        costs = np.stack([np.minimum(made[f], 0 - made[f]).sum(axis=1) for f in filters])
         chosen = np.array(filters, dtype=np.uint8)[np.argmin(costs, axis=0)]
         best = np.empty_like(rows)
         for f in filters:
@@ -81,13 +81,19 @@ def _simple(rows: np.ndarray, kind: int) -> np.ndarray:
     return out
 
 
+def _entropy(raw: bytes) -> float:
+    counts = np.bincount(np.frombuffer(raw, dtype=np.uint8))
+    counts = counts[counts > 0]
+    return float(np.log2(len(raw)) - (counts * np.log2(counts)).sum() / len(raw))
+
+
 def encode(samples: bytes, width: int = WIDTH, filters: tuple[int, ...] = (NONE, SUB, UP), level: int = 6) -> bytes:
-    """A PNG of ``samples``; of filtered and unfiltered rows, the stream that deflates smaller is stored."""
+    """A PNG of ``samples``; of filtered and unfiltered rows, those with the lower byte entropy are deflated."""
     if not samples or len(samples) % width:
         raise MediaError("samples must fill whole rows")
     rows = np.frombuffer(samples, dtype=np.uint8).reshape(-1, width)
-    streams = [zlib.compress(filter_rows(rows, f), level) for f in dict.fromkeys([(NONE,), filters])]
-    body = min(streams, key=len)
+    streams = [filter_rows(rows, f) for f in dict.fromkeys([(NONE,), filters])]
+    body = zlib.compress(min(streams, key=_entropy), level)
     head = struct.pack(">IIBBBBB", width, len(rows), 8, 0, 0, 0, 0)
     return SIGNATURE + _chunk(b"IHDR", head) + _chunk(b"IDAT", body) + _chunk(b"IEND", b"")
 
@@ -199,8 +205,9 @@ def perceptual_hash(image: np.ndarray) -> int:
     whole = np.minimum(edges.astype(np.int64), h)
     part = edges - whole
     at = sums[whole] + part[:, None] * narrow[np.minimum(whole, h - 1)]
-    low = np.round(_COS @ (np.diff(at, axis=0) * 32 / h), 6)
-    bits = (low > np.median(low)).ravel()
+    low = np.round(_COS @ (np.diff(at, axis=0) * 32 / h), 6).ravel()
+    ordered = np.sort(low)
+    bits = 2 * low > ordered[31] + ordered[32]
     return int.from_bytes(np.packbits(bits).tobytes(), "big")
 
 
