@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import media, quality_model, repetition, url_rules
+from tidemark.llm import html_extract, media, mixing, packing, quality_model, repetition, token_files, tokens, url_rules
 
 URL_RULES = [
     ("allow", "org", "/"),
@@ -29,6 +29,11 @@ def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("doc_id", "n_bytes", media.media_features(F.col("media")).alias("f")).select("doc_id", "n_bytes", "f.*")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", html_extract.extract(F.col("html")).alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -42,10 +47,57 @@ def op5_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(_table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokens.default_file(), 4096)
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), F.array("source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"), url_rules.rule_table(spark, URL_RULES))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write(_table(spark, sf_dir, "documents"), token_files.new_folder(spark), tokens.default_file())
+    return token_files.documents(files)
+
+
+OP7_SQL = """
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS spot
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY source
+), w AS (
+  SELECT *, CASE i % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 2.0::DOUBLE * source_size AS cap FROM s
+), o AS (
+  SELECT *, row_number() OVER (ORDER BY cap / weight, i) AS k,
+         1.5::DOUBLE * sum(source_size) OVER () - (sum(cap) OVER (ORDER BY cap / weight, i) - cap) AS left_over,
+         sum(weight) OVER () - (sum(weight) OVER (ORDER BY cap / weight, i) - weight) AS weight_left
+  FROM w
+), f AS (
+  SELECT *, min(CASE WHEN left_over * weight <= cap * weight_left THEN k END) OVER () AS stop FROM o
+), t AS (
+  SELECT f.source, f.source_size, CASE WHEN stop IS NULL OR f.k < stop THEN f.cap ELSE g.left_over * f.weight / g.weight_left END AS target
+  FROM f LEFT JOIN f g ON g.k = g.stop
+), q AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target + 0.5) AS BIGINT) // source_size ELSE 0 END AS whole,
+         CASE WHEN source_size > 0 THEN CAST(floor(target + 0.5) AS BIGINT) % source_size ELSE 0 END AS rest
+  FROM t
+), r AS (
+  SELECT d.*, q.source_size, q.target, q.whole, q.rest,
+         sum(size) OVER (PARTITION BY d.source ORDER BY spot, doc_id, size ROWS UNBOUNDED PRECEDING) AS running
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN 2 * running - size <= 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r
+"""
+
 OP8_SQL = """
 WITH rules(verdict, host, path) AS (
   VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
@@ -69,9 +121,13 @@ FROM fits GROUP BY page_id, host, path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_columns": op1_media_columns,
+    "op2_html_extraction": op2_html_extraction,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_repetition_coverage": op5_repetition_coverage,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_source_mixing": op7_source_mixing,
     "op8_url_filters": op8_url_filters,
+    "op9_token_files": op9_token_files,
 }
 
-ORACLES: dict[str, str] = {"op8_url_filters": OP8_SQL}
+ORACLES: dict[str, str] = {"op7_source_mixing": OP7_SQL, "op8_url_filters": OP8_SQL}
