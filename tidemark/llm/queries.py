@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_extract, media, mixing, packing, quality_model, repetition, token_files, tokens, url_rules
+from tidemark.llm import html_extract, license_scan, media, mixing, ngram_join, packing, quality_model, repetition, token_files, tokens, url_rules
 
 URL_RULES = [
     ("allow", "org", "/"),
@@ -34,6 +34,10 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", html_extract.extract(F.col("html")).alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -65,6 +69,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents(files)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 OP7_SQL = """
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
@@ -82,7 +90,7 @@ WITH d AS (
 ), f AS (
   SELECT *, min(CASE WHEN left_over * weight <= cap * weight_left THEN k END) OVER () AS stop FROM o
 ), t AS (
-  SELECT f.source, f.source_size, CASE WHEN stop IS NULL OR f.k < stop THEN f.cap ELSE g.left_over * f.weight / g.weight_left END AS target
+  SELECT f.source, f.source_size, CASE WHEN f.stop IS NULL OR f.k < f.stop THEN f.cap ELSE g.left_over * f.weight / g.weight_left END AS target
   FROM f LEFT JOIN f g ON g.k = g.stop
 ), q AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target + 0.5) AS BIGINT) // source_size ELSE 0 END AS whole,
@@ -122,12 +130,14 @@ FROM fits GROUP BY page_id, host, path
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_columns": op1_media_columns,
     "op2_html_extraction": op2_html_extraction,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_repetition_coverage": op5_repetition_coverage,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_source_mixing": op7_source_mixing,
     "op8_url_filters": op8_url_filters,
     "op9_token_files": op9_token_files,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {"op7_source_mixing": OP7_SQL, "op8_url_filters": OP8_SQL}
