@@ -43,17 +43,24 @@ LINK, FAR = 80, 60  # per cent; distances 0.2 and 0.4
 SKETCH_BITS = 20
 RANGES = 32
 SHORT_LIST = 16
+KNOWN_LIST = 512  # once most classes are known, few pairs of a list are open
 _CHUNK = 4096
 
 
+def _blocks(batches, column: int):
+    """Batches cut to a few MB of text."""
+    for batch in batches:
+        for i, j in K.blocks(batch.column(column), 2 * K.BLOCK_BYTES):
+            yield batch.slice(i, j - i)
+
+
 def _sets(texts: pa.Array, n: int):
-    """The sorted distinct shingles of each text."""
-    for i, j in K.blocks(texts):
-        data, offsets = K.string_buffers(texts.slice(i, j - i))
-        starts, ends, first = K.word_bounds(data, offsets)
-        hashes = K.word_hashes(data, starts, ends, fold_case=True)
-        for a, b in zip(first[:-1], first[1:]):
-            yield K.shingles(hashes[a:b], n)
+    """The sorted distinct shingles of each text of a block."""
+    data, offsets = K.string_buffers(texts)
+    starts, ends, first = K.word_bounds(data, offsets)
+    hashes = K.word_hashes(data, starts, ends, fold_case=True)
+    for a, b in zip(first[:-1], first[1:]):
+        yield K.shingles(hashes[a:b], n)
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -68,7 +75,7 @@ def nodes(docs: DataFrame, key: str, text: str, n: int = SHINGLE) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
     def described(batches):
-        for batch in batches:
+        for batch in _blocks(batches, 1):
             found = [(_node(s) if len(s) else None, len(s)) for s in _sets(batch.column(1), n)]
             yield pa.record_batch([batch.column(0), pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["key", "node", "n"])
 
@@ -80,10 +87,9 @@ def sketch(docs: DataFrame, text: str, n: int = SHINGLE, bits: int = SKETCH_BITS
 
     def count(batches):
         slots = np.zeros(1 << bits, dtype=np.int64)
-        for batch in batches:
-            for i, j in K.blocks(batch.column(0)):
-                found = list(_sets(batch.column(0).slice(i, j - i), n))
-                slots += np.bincount((np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        for batch in _blocks(batches, 0):
+            found = list(_sets(batch.column(0), n))
+            slots += np.bincount((np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
         if slots.any():
             salt = TaskContext.get().partitionId() % 256
             rows = slots.astype(np.uint32).reshape(-1, min(_CHUNK, 1 << bits))
@@ -113,7 +119,7 @@ def postings(docs: DataFrame, text: str, counts: np.ndarray, n: int = SHINGLE) -
 
     def prefixes(batches):
         rare, seen = shared.value, set()
-        for batch in batches:
+        for batch in _blocks(batches, 0):
             out: list[list[np.ndarray]] = [[], [], [], [], []]
             for s in _sets(batch.column(0), n):
                 size = len(s)
@@ -141,7 +147,7 @@ def node_sets(docs: DataFrame, key: str, text: str, keys: DataFrame, wanted: Dat
     """``node, n, ranges, items``: the whole sets of the ``wanted`` nodes, read from the documents with ``keys``."""
 
     def described(batches):
-        for batch in batches:
+        for batch in _blocks(batches, 0):
             rows = [(_node(s), s) for s in _sets(batch.column(0), n) if len(s)]
             ranges = [np.bincount((s >> np.uint64(32)).astype(np.int64) % RANGES, minlength=RANGES) for _, s in rows]
             yield pa.record_batch(
@@ -149,7 +155,7 @@ def node_sets(docs: DataFrame, key: str, text: str, keys: DataFrame, wanted: Dat
                     pa.array([x for x, _ in rows], pa.int64()),
                     pa.array([len(s) for _, s in rows], pa.int32()),
                     pa.array(ranges, pa.list_(pa.int32())),
-                    pa.array([s.view(np.int64) for _, s in rows], pa.list_(pa.int64())),
+                    _lists([s.view(np.int64) for _, s in rows]),
                 ],
                 names=["node", "n", "ranges", "items"],
             )
@@ -160,19 +166,25 @@ def node_sets(docs: DataFrame, key: str, text: str, keys: DataFrame, wanted: Dat
     return sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, np.concatenate(parts) if parts else np.zeros(0, np.int64))
+
+
 def _fits(na, nb, percent):
     """Of sets with these sizes, the least overlap of a pair at ``percent`` or more."""
     return F.ceil(percent * (na + nb) / (100 + percent))
 
 
 def _pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of short lists (lid, node, n, pos, low) that pass length, prefix and positional filters."""
-    a = lists.select("lid", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("low").alias("la"))
-    b = lists.select("lid", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("low").alias("lb"))
+    """All pairs of short lists (lid, node, n, pos, low, d) in different classes that pass length, prefix and positional filters, and the triangle inequality on distances ``d`` to one node."""
+    a = lists.select("lid", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("low").alias("la"), F.col("d").alias("da"))
+    b = lists.select("lid", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("low").alias("lb"), F.col("d").alias("db"))
     need = _fits(F.col("na"), F.col("nb"), LINK)
     room = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     close = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & (100 * F.least("na", "nb") >= LINK * F.greatest("na", "nb"))
     close = close & (F.col("pa") <= F.col("na") - need) & (F.col("pb") <= F.col("nb") - need) & (room >= need)
+    close = close & F.coalesce(F.abs(F.col("da") - F.col("db")) < 1.001 - LINK / 100, F.lit(True))
     return a.join(b, "lid").where(close).select("a", "b", F.lit(LINK).alias("percent"))
 
 
@@ -202,11 +214,19 @@ def _by_length(lists: DataFrame) -> DataFrame:
     least = F.greatest(F.floor(F.pow(F.lit(1.05), F.col("other"))) - 1, F.lit(1), F.ceil(F.col("n") * LINK / 100))
     split = lists.withColumn("grade", grade).withColumn("other", other)
     split = split.where(F.col("pos") <= F.col("n") - _fits(F.col("n"), least, LINK))
-    return split.select(F.xxhash64("token", F.least("grade", "other"), F.greatest("grade", "other")).alias("lid"), "node", "n", "pos")
+    split = split.withColumns({"g0": F.least("grade", "other"), "g1": F.greatest("grade", "other")})
+    both = split.groupBy("token", "g0", "g1").agg(F.min("grade").alias("m0"), F.max("grade").alias("m1"), F.count(F.lit(1)).alias("size"))
+    both = both.where("m0 = g0 and m1 = g1 and size > 1")  # a pair of classes needs members of both
+    return split.join(both, ["token", "g0", "g1"]).select(F.xxhash64("token", "g0", "g1").alias("lid"), "node", "n", "pos")
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE) -> DataFrame:
     """``key, n_shingles, component_id``: the smallest key that each document reaches by links."""
+    with scratch.lean(docs.sparkSession):
+        return _link(docs, key, text, n)
+
+
+def _link(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     rows = scratch.cut(nodes(docs, key, text, n), "nodes")
     lists = scratch.cut(postings(docs, text, sketch(docs, text, n), n), "postings")
     wanted = lists.select("node").distinct()
@@ -214,10 +234,10 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHIN
     sets = scratch.cut(node_sets(docs, key, text, keys, wanted, n), "sets")
 
     sized = lists.join(lists.groupBy("token").agg(F.count(F.lit(1)).alias("cnt")), "token")
-    short = sized.where(F.col("cnt") <= SHORT_LIST).select(F.col("token").alias("lid"), "node", "n", "pos", F.col("node").alias("low"))
+    short = sized.where(F.col("cnt") <= SHORT_LIST).select(F.col("token").alias("lid"), "node", "n", "pos", F.col("node").alias("low"), F.lit(None).cast("double").alias("d"))
     long_ = sized.where(F.col("cnt") > SHORT_LIST)
     weight = long_.groupBy("node").agg(F.sum("cnt").alias("w"))  # of near copies, the one most like all others has most
-    open_ = _by_length(long_).join(weight, "node").withColumn("first", F.lit(1))
+    open_ = _by_length(long_).join(weight, "node").withColumns({"first": F.lit(1), "d": F.lit(None).cast("double")})
     open_ = scratch.cut(open_, "lists")
     reached = None  # (node, low) so far
     garbage = [lists, open_]
@@ -235,7 +255,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHIN
         brief = known.where(F.col("cnt") <= limit)
         wide = known.where(F.col("cnt") > limit).where("node != pivot")
         wide = scratch.cut(wide.select("lid", "node", "n", "pos", "w", "pivot", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")), "wide")
-        candidates = pending.unionByName(_pairs(brief.select("lid", "node", "n", "pos", "low"))).unionByName(wide.select("a", "b", F.lit(FAR).alias("percent")))
+        candidates = pending.unionByName(_pairs(brief.select("lid", "node", "n", "pos", "low", "d"))).unionByName(wide.select("a", "b", F.lit(FAR).alias("percent")))
         found = _verify(candidates, sets, f"verified-{round_no}")
         linked = found.where(_at_least(LINK)).select("a", "b")
         links = linked if reached is None else reached.select(F.col("node").alias("a"), F.col("low").alias("b")).unionByName(linked)
@@ -244,14 +264,15 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHIN
             break
         # the pivot leaves; near (class 0 and 1) and far (1 and 2) members go on apart
         side = F.when(_at_least(LINK), 0).when(_at_least(FAR), 1).otherwise(2)
-        sides = wide.join(found, ["a", "b"], "left").select("lid", "node", "n", "pos", "w", F.when(F.col("common").isNull(), 2).otherwise(side).alias("side"))
+        distance = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
+        sides = wide.join(found, ["a", "b"], "left").select("lid", "node", "n", "pos", "w", distance.alias("d"), F.when(F.col("common").isNull(), 2).otherwise(side).alias("side"))
         mixed = sides.where("side = 1").select("lid").distinct()
-        near = sides.where("side < 2").join(mixed, "lid", "left_semi").select(F.xxhash64("lid", F.lit("near")).alias("lid"), "node", "n", "pos", "w", F.col("side").alias("first"))
-        far = sides.where("side > 0").select(F.xxhash64("lid", F.lit("far")).alias("lid"), "node", "n", "pos", "w", F.lit(1).alias("first"))
+        near = sides.where("side < 2").join(mixed, "lid", "left_semi").select(F.xxhash64("lid", F.lit("near")).alias("lid"), "node", "n", "pos", "w", F.col("side").alias("first"), "d")
+        far = sides.where("side > 0").select(F.xxhash64("lid", F.lit("far")).alias("lid"), "node", "n", "pos", "w", F.lit(1).alias("first"), "d")
         open_ = scratch.cut(near.unionByName(far), "lists")
         garbage += [open_, wide, found]
         pending = candidates.limit(0)
-        limit *= 2
+        limit = max(KNOWN_LIST, 2 * limit)
         round_no += 1
     for table in [*garbage, sets]:
         scratch.drop(table)

@@ -10,10 +10,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,6 +53,12 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def without_shuffle_leftovers(spark: SparkSession) -> None:
-    """Ask Spark to drop an execution's shuffle files when that execution ends."""
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+@contextmanager
+def lean(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of each action go when the action ends, not when the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
