@@ -9,7 +9,6 @@ from html.parser import HTMLParser
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +20,7 @@ def nfc(text: Column) -> Column:
 
     @F.arrow_udf("string")
     def normalized(texts: pa.Array) -> pa.Array:
-        return pa.compute.utf8_normalize(texts, form="NFC")
+        return pa.array([None if x is None else unicodedata.normalize("NFC", x) for x in texts.to_pylist()], pa.string())
 
     return normalized(text)
 

@@ -12,16 +12,18 @@ def fixed_batches(df: DataFrame, order: Sequence[str], size: int, group: Sequenc
     """``batch`` numbers for every ``size`` rows in order, within ``group``.
 
     Without a group the position is global; it is found from the counts of ranges
-    of the first order column, so no task sorts the whole table.
+    of the first order column, which is numeric, so no task sorts the whole table.
     """
     if group:
         at = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1
         return df.withColumn("batch", F.floor(at / size).cast("long"))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).withColumn("__p", F.spark_partition_id())
+    bounds = df.approxQuantile(order[0], [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
+    part = F.size(F.filter(F.array(*map(F.lit, sorted(set(bounds)))), lambda b: b < F.col(order[0]))) if bounds else F.lit(0)
+    dealt = df.withColumn("__p", part)
     counts = dealt.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = counts.select("__p", before.alias("__before"))  # a row per partition
+    counts = counts.select("__p", before.alias("__before"))  # a row per range
     at = F.col("__before") + F.row_number().over(Window.partitionBy("__p").orderBy(*order)) - 1
     return dealt.join(F.broadcast(counts), "__p").withColumn("batch", F.floor(at / size).cast("long")).drop("__p", "__before")
 
@@ -45,7 +47,7 @@ def budget_batches(df: DataFrame, group: Sequence[str], order: Column, size: Col
 
 def renumber(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "number") -> DataFrame:
     """1..n within each group, by order."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long"))
 
 
 def running(df: DataFrame, group: Sequence[str], order: Sequence[str], value: Column, name: str = "running") -> DataFrame:

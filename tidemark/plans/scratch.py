@@ -1,0 +1,15 @@
+"""Folders for queries that write a layout and read it back."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def folder(spark: SparkSession, label: str) -> str:
+    """A new path below ``spark.checkpoint.dir``, or the system's temporary folder where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "tidemark-scratch")
+    return f"{base.rstrip('/')}/layouts/{label}-{uuid.uuid4().hex}"
