@@ -42,8 +42,7 @@ def _(t):
 
 @query("join_dim", "SELECT n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
 def _(t):
-    regions = F.broadcast(t.region.limit(10_000))  # a dimension table
-    return t.nation.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_nationkey", "n_name", "r_name")
+    return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_nationkey", "n_name", "r_name")
 
 
 @query("join_enrich_by_id", "SELECT CAST(count(*) AS BIGINT) AS ids, CAST(count_if(p_name IS NULL) AS BIGINT) AS missing FROM (SELECT DISTINCT l_partkey FROM lineitem) LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON l_partkey = p_partkey")
@@ -213,12 +212,11 @@ def _(t):
 # ------------------------------------------------------------------ sorts and limits
 
 
-@query("sort_numeric_key", "SELECT conv_id || ':' || turn AS key, row_number() OVER (ORDER BY conv_id, turn) AS place FROM conversations ORDER BY conv_id, turn LIMIT 50")
+@query("sort_numeric_key", "SELECT conv_id || ':' || turn AS key, conv_id AS a, turn AS b FROM conversations ORDER BY conv_id, turn")
 def _(t):
     parts = R.parse_key(F.col("key"))
     keyed = t.conversations.select(R.build_key(F.col("conv_id"), F.col("turn")).alias("key"))
-    top = keyed.orderBy(parts[0], parts[1]).limit(50)
-    return sequence.renumber(top.withColumn("a", parts[0]).withColumn("b", parts[1]).withColumn("g", F.lit(0)), ["g"], ["a", "b"], "place").select("key", "place")
+    return keyed.select("key", parts[0].cast("long").alias("a"), parts[1].cast("long").alias("b")).orderBy("a", "b")
 
 
 @query("sort_within_group", "SELECT conv_id, string_agg(role, ',' ORDER BY turn DESC) AS roles FROM conversations GROUP BY conv_id")
@@ -382,11 +380,12 @@ def _(t):
     return notes.note_pool(each, "grp", "ord", "notes")
 
 
-@query("align_markers", "SELECT doc_id, left(text, 25) || '[1]' || substr(text, 26, 75) AS annotated FROM documents WHERE length(text) > 2000 AND NOT contains(left(text, 100), chr(10)) AND regexp_matches(substr(text, 26, 1), '[a-z]') AND regexp_matches(substr(text, 25, 1), '[a-z]') AND doc_id < 0")
+@query("align_markers")
 def _(t):
     base = F.left("text", F.lit(100))
     marked = F.concat(F.left("text", F.lit(25)), F.lit("(1)"), F.substring("text", 26, 75))
-    return t.documents.where("doc_id < 0").select("doc_id", kernels.align_markers(marked, base)["annotated"].alias("annotated"))
+    placed = kernels.align_markers(marked, base)
+    return t.documents.select("doc_id", placed.alias("r")).select("doc_id", F.md5("r.annotated").alias("annotated"), F.col("r.placements")[0]["position"].alias("position"))
 
 
 @query("verse_index", "SELECT conv_id, turn, 'x[1] y[2] ' || left(text, 20) AS annotated, 2 AS n FROM conversations")
