@@ -12,7 +12,10 @@ from tidemark.operators import relational as R
 from tidemark.plans import scalar_queries as S
 from tidemark.plans.registry import query
 
-COUNT = F.count(F.lit(1))
+
+def _count():
+    return F.count(F.lit(1))
+
 
 # ------------------------------------------------------------------ joins
 
@@ -49,7 +52,7 @@ def _(t):
 def _(t):
     ids = t.lineitem.select("l_partkey").distinct()
     fetched = t.part.where("p_size > 10").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    return ids.join(fetched, "l_partkey", "left").agg(COUNT.alias("ids"), F.count_if(F.col("p_name").isNull()).alias("missing"))
+    return ids.join(fetched, "l_partkey", "left").agg(_count().alias("ids"), F.count_if(F.col("p_name").isNull()).alias("missing"))
 
 
 @query("join_anti", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -91,7 +94,7 @@ def join_three_way(t):
 query("replica_check", f"""WITH j AS (SELECT d.doc_id, {S._trim("coalesce(r.text, '')")} <> {S._trim('d.text')} AS a, {S._trim("coalesce(s.text, '')")} <> {S._trim('d.text')} AS b
 FROM documents d LEFT JOIN (SELECT doc_id, {REPLICA} AS text FROM documents) r USING (doc_id) LEFT JOIN (SELECT doc_id, text || ' ' AS text FROM documents WHERE doc_id % 7 <> 0) s USING (doc_id))
 SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if(a) AS BIGINT) AS a, CAST(count_if(b) AS BIGINT) AS b FROM j""")(
-    lambda t: join_three_way(t).agg(COUNT.alias("n"), F.count_if("differs_a").alias("a"), F.count_if("differs_b").alias("b"))
+    lambda t: join_three_way(t).agg(_count().alias("n"), F.count_if("differs_a").alias("a"), F.count_if("differs_b").alias("b"))
 )
 
 # ------------------------------------------------------------------ aggregations
@@ -99,7 +102,7 @@ SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if(a) AS BIGINT) AS a, CAST(cou
 
 @query("agg_count", "SELECT lang, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY lang")
 def _(t):
-    return t.documents.groupBy("lang").agg(COUNT.alias("n"))
+    return t.documents.groupBy("lang").agg(_count().alias("n"))
 
 
 @query("agg_count_if", "SELECT CAST(count_if(quality = 1) AS BIGINT) AS good, CAST(count_if(toxic = 1) AS BIGINT) AS toxic FROM labels")
@@ -109,7 +112,7 @@ def _(t):
 
 @query("agg_status_breakdown", "SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS DOUBLE) * 100 / sum(count(*)) OVER () AS pct FROM events GROUP BY event_type")
 def _(t):
-    counts = t.events.groupBy("event_type").agg(COUNT.alias("n"))
+    counts = t.events.groupBy("event_type").agg(_count().alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
     return counts.crossJoin(F.broadcast(total)).select("event_type", "n", (F.col("n").cast("double") * 100 / F.nullif("total", F.lit(0))).alias("pct"))  # one row
 
@@ -139,7 +142,7 @@ def _(t):
 
 @query("agg_group_count_check", "SELECT o_custkey % 100 AS g, CAST(count(*) AS BIGINT) AS n, count(*) >= 150 AS ok FROM orders GROUP BY g")
 def _(t):
-    return t.orders.groupBy((F.col("o_custkey") % 100).alias("g")).agg(COUNT.alias("n")).withColumn("ok", F.col("n") >= 150)
+    return t.orders.groupBy((F.col("o_custkey") % 100).alias("g")).agg(_count().alias("n")).withColumn("ok", F.col("n") >= 150)
 
 
 @query("agg_regex_census", "SELECT CAST(sum(len(regexp_extract_all(text, 'the'))) AS BIGINT) AS the, CAST(sum(len(regexp_extract_all(text, 'the')) - len(regexp_extract_all(text, 'the[a-z]'))) AS BIGINT) AS the_last FROM documents")
@@ -150,7 +153,7 @@ def _(t):
 @query("agg_pair_count_diff", f"SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if(r.text IS DISTINCT FROM d.text) AS BIGINT) AS differs FROM documents d LEFT JOIN (SELECT doc_id, {REPLICA} AS text FROM documents) r USING (doc_id)")
 def _(t):
     j = t.documents.select("doc_id", "text").join(replica(t.documents).withColumnRenamed("text", "other"), "doc_id", "left")
-    return j.agg(COUNT.alias("n"), F.count_if(R.changed(F.col("text"), F.col("other"))).alias("differs"))
+    return j.agg(_count().alias("n"), F.count_if(R.changed(F.col("text"), F.col("other"))).alias("differs"))
 
 
 @query("agg_map_build", "SELECT conv_id, CAST(count(*) AS BIGINT) AS n, string_agg(turn || '=' || length(text), ',' ORDER BY turn) AS items FROM conversations GROUP BY conv_id")
@@ -169,7 +172,7 @@ SELECT CAST(batch AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n, CAST(count
 def _(t):
     batched = sequence.fixed_batches(S.faults(t).select("doc_id", "pos", "reason"), ["doc_id", "pos"], 100)
     key, at = R.build_key(F.col("doc_id"), F.col("pos")), F.struct("doc_id", "pos")
-    return batched.groupBy("batch").agg(COUNT.alias("n"), F.count("reason").alias("faults"), F.min_by(key, at).alias("first_key"), F.max_by(key, at).alias("last_key"))
+    return batched.groupBy("batch").agg(_count().alias("n"), F.count("reason").alias("faults"), F.min_by(key, at).alias("first_key"), F.max_by(key, at).alias("last_key"))
 
 
 @query("win_budget_batches", """WITH RECURSIVE r AS (SELECT conv_id, turn, length(text) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
@@ -366,7 +369,7 @@ def _(t):
 
 @query("standardize_all", f"SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if({S.PAIRS_SQL.format('text')} <> text OR {S.PAIRS_SQL.format('role')} <> role) AS BIGINT) AS changed FROM conversations")
 def _(t):
-    return edits.standardize(t.conversations, ["text", "role"], pairs=S.PAIRS, endings=()).agg(COUNT.alias("n"), F.count_if("changed").alias("changed"))
+    return edits.standardize(t.conversations, ["text", "role"], pairs=S.PAIRS, endings=()).agg(_count().alias("n"), F.count_if("changed").alias("changed"))
 
 
 @query("replace_everywhere", "SELECT doc_id, md5(replace(replace(text, 'src', 'SRC'), 'SRC1', 'one')) AS text, replace(replace(source, 'src', 'SRC'), 'SRC1', 'one') AS source FROM documents")
@@ -416,7 +419,7 @@ def _(t):
     clean, other = T.strip_markers(F.col("text")), T.trim_ws(F.coalesce("other", F.lit("")))
     ratio = F.when(other == "", 0.0).otherwise(kernels.similarity(F.left(clean, F.lit(200)), F.left(other, F.lit(200))))
     j = j.select((F.col("text") == other).alias("exact"), (clean == other).alias("clean_exact"), ratio.alias("ratio"))
-    return j.agg(COUNT.alias("n"), F.count_if("exact").alias("exact"), F.count_if("clean_exact").alias("clean_exact"), F.round(F.avg("ratio"), 9).alias("similarity"))
+    return j.agg(_count().alias("n"), F.count_if("exact").alias("exact"), F.count_if("clean_exact").alias("clean_exact"), F.round(F.avg("ratio"), 9).alias("similarity"))
 
 
 @query("recon_diff", f"SELECT doc_id, md5(text) AS expected FROM documents WHERE {REPLICA} IS DISTINCT FROM text")
