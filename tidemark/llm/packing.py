@@ -2,9 +2,10 @@
 
 Documents become token pieces of at most ``capacity`` ids. Pieces are dealt over
 parts of bounded size and each part packs its own by best fit decreasing. Lower
-bounds from dual feasible functions certify a part whose bin count they reach.
-The pieces in the worse-filled bins of the other parts are exchanged: dealt anew over
-fewer parts and packed again, for as long as that saves bins.
+bounds from dual feasible functions certify bin counts, per part and, from the
+histogram of piece lengths, for the whole table. While the table has more bins
+than its bound, the parts exchange the pieces of their worse-filled bins: these
+are dealt anew over fewer parts and packed again, for as long as that saves bins.
 
 Nulls and edge cases: null and empty texts are one piece, the end id alone.
 Repeated rows are packed one by one. An empty table gives no rows. Only
@@ -80,11 +81,12 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, offsets, count
 
 
-def lower_bound(sizes: np.ndarray, capacity: int) -> int:
+def lower_bound(values: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
     """The best of two families of dual feasible functions: no packing has fewer bins."""
-    if not len(sizes):
+    if not len(values):
         return 0
-    values, counts = np.unique(sizes, return_counts=True)
+    if counts is None:
+        values, counts = np.unique(values, return_counts=True)
     best = -(-int((values * counts).sum()) // capacity)
     above = np.concatenate(([0], np.cumsum(counts)))
     weight = np.concatenate(([0], np.cumsum(values * counts)))
@@ -118,11 +120,15 @@ def _pack_parts(rows: DataFrame, capacity: int, round_no: int, key_type: str) ->
     return rows.groupBy("part").applyInArrow(pack, PACKED.format(key=key_type))
 
 
-def _state(packed: DataFrame) -> tuple[int, int]:
-    """The number of bins, and of parts with a gap."""
-    parts = packed.groupBy("part", F.shiftright("sequence_id", 56).alias("r")).agg(F.countDistinct("sequence_id").alias("bins"), F.max(F.col("part_bins") - F.col("part_bound")).alias("gap"))
-    row = parts.agg(F.sum("bins"), F.count_if(F.col("gap") > 0)).first()
-    return int(row[0] or 0), int(row[1] or 0)
+def _bins(packed: DataFrame) -> int:
+    parts = packed.groupBy("part", F.shiftright("sequence_id", 56).alias("round")).agg(F.countDistinct("sequence_id").alias("bins"))
+    return int(parts.agg(F.sum("bins")).first()[0] or 0)
+
+
+def table_bound(rows: DataFrame, capacity: int) -> int:
+    """The lower bound of all pieces, from at most ``capacity`` lengths and counts."""
+    found = sorted(tuple(r) for r in rows.groupBy("length").count().collect())
+    return lower_bound(np.array([v for v, _ in found], dtype=np.int64), capacity, np.array([c for _, c in found], dtype=np.int64))
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, key: str = "doc_id", text: str = "text", part_rows: int = 25_000, rounds: int = 3, exchange_below: float = 0.995) -> DataFrame:
@@ -135,23 +141,24 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, key: str = "doc_
         parts = max(1, -(-n // part_rows))
         return rows.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "uid"), F.lit(parts)).cast("int"))
 
+    bound = table_bound(cut, capacity)
     packed = scratch.cut(_pack_parts(dealt(cut, count, 0), capacity, 0, key_type), "packed")
     scratch.drop(cut)
-    bins, gaps = _state(packed)
+    bins = _bins(packed)
     for r in range(1, rounds + 1):
-        if not gaps:
+        if bins <= bound:
             break
-        loose = (F.col("part_bins") > F.col("part_bound")) & (F.col("bin_fill") < F.floor(F.lit(capacity * exchange_below)))
+        loose = F.col("bin_fill") < F.floor(F.lit(capacity * exchange_below))
         pool = packed.where(loose)
         n = pool.count()
         if not n:
             break
         again = _pack_parts(dealt(pool.select("uid", "doc_id", "piece", "start", "length", "ids_crc32"), n, r), capacity, r, key_type)
         better = scratch.cut(packed.where(~loose).unionByName(again), f"packed-{r}")
-        new_bins, new_gaps = _state(better)
+        new_bins = _bins(better)
         if new_bins >= bins:
             scratch.drop(better)
             break
         scratch.drop(packed)
-        packed, bins, gaps = better, new_bins, new_gaps
+        packed, bins = better, new_bins
     return packed.select(F.col("doc_id").alias(key), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

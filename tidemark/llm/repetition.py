@@ -159,8 +159,8 @@ def _measure_block(texts: pa.Array, limits: Limits) -> list[np.ndarray]:
 
 def measure_array(texts: pa.Array, limits: Limits) -> pa.Array:
     names = [x.split(":")[0] for x in REPORT[7:-1].split(",")]
-    parts = [pa.StructArray.from_arrays([_column(c) for c in _measure_block(texts.slice(i, j - i), limits)], names=names) for i, j in K.blocks(texts)]
-    return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([]))
+    ranges = list(K.blocks(texts)) or [(0, 0)]
+    return pa.concat_arrays([pa.StructArray.from_arrays([_column(c) for c in _measure_block(texts.slice(i, j - i), limits)], names=names) for i, j in ranges])
 
 
 def _column(values: np.ndarray) -> pa.Array:
