@@ -41,7 +41,7 @@ from tidemark.llm.components import components
 SHINGLE = 5
 LINK, FAR = 80, 60  # per cent; distances 0.2 and 0.4
 SKETCH_BITS = 20
-RANGES = 32
+RANGES = 256
 SHORT_LIST = 16
 KNOWN_LIST = 512  # once most classes are known, few pairs of a list are open
 _CHUNK = 4096
@@ -143,32 +143,36 @@ def postings(docs: DataFrame, text: str, counts: np.ndarray, n: int = SHINGLE) -
     return rows.where("(low < high or often) and (before is null or before != node)").select("token", "node", "n", "pos")
 
 
-def node_sets(docs: DataFrame, key: str, text: str, keys: DataFrame, wanted: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """``node, n, ranges, items``: the whole sets of the ``wanted`` nodes, read from the documents with ``keys``."""
+def node_sets(docs: DataFrame, key: str, text: str, keys: DataFrame, n: int = SHINGLE) -> DataFrame:
+    """``node, n, ranges, odd, items``: the whole sets of the nodes in ``keys`` (key, node), read from one document each."""
 
     def described(batches):
+        seen = set()
         for batch in _blocks(batches, 0):
-            rows = [(_node(s), s) for s in _sets(batch.column(0), n) if len(s)]
-            ranges = [np.bincount((s >> np.uint64(32)).astype(np.int64) % RANGES, minlength=RANGES) for _, s in rows]
+            rows = []
+            for wanted, s in zip(batch.column(1).to_pylist(), _sets(batch.column(0), n)):
+                if len(s) and wanted not in seen and _node(s) == wanted:
+                    seen.add(wanted)
+                    rows.append((wanted, s))
+            ranges = [np.minimum(np.bincount((s >> np.uint64(32)).astype(np.int64) % RANGES, minlength=RANGES), 127).astype(np.int8) for _, s in rows]
             yield pa.record_batch(
-                [
-                    pa.array([x for x, _ in rows], pa.int64()),
-                    pa.array([len(s) for _, s in rows], pa.int32()),
-                    pa.array(ranges, pa.list_(pa.int32())),
-                    _lists([s.view(np.int64) for _, s in rows]),
-                ],
-                names=["node", "n", "ranges", "items"],
+                [pa.array([x for x, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int32()), _lists(ranges, np.int8), _lists([np.packbits(r & 1).view(np.int64) for r in ranges], np.int64), _lists([s.view(np.int64) for _, s in rows], np.int64)],
+                names=["node", "n", "ranges", "odd", "items"],
             )
 
     chosen = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    chosen = chosen.join(keys, chosen["k"].eqNullSafe(keys["key"]), "left_semi").select("t")
-    sets = chosen.mapInArrow(described, "node long, n int, ranges array<int>, items array<long>")
-    return sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    chosen = chosen.join(keys, chosen["k"].eqNullSafe(keys["key"])).select("t", "node")
+    sets = scratch.cut(chosen.mapInArrow(described, "node long, n int, ranges array<tinyint>, odd array<long>, items array<long>"), "sets")
+    if sets.groupBy("node").count().where("count > 1").isEmpty():
+        return sets
+    single = scratch.cut(sets.dropDuplicates(["node"]), "sets")  # only where rows with the same key and text repeat
+    scratch.drop(sets)
+    return single
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
+def _lists(parts: list[np.ndarray], kind) -> pa.Array:
     ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-    return pa.ListArray.from_arrays(ends, np.concatenate(parts) if parts else np.zeros(0, np.int64))
+    return pa.ListArray.from_arrays(ends, np.concatenate(parts) if parts else np.zeros(0, kind))
 
 
 def _fits(na, nb, percent):
@@ -176,15 +180,35 @@ def _fits(na, nb, percent):
     return F.ceil(percent * (na + nb) / (100 + percent))
 
 
-def _pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of short lists (lid, node, n, pos, low, d) in different classes that pass length, prefix and positional filters, and the triangle inequality on distances ``d`` to one node."""
-    a = lists.select("lid", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("low").alias("la"), F.col("d").alias("da"))
-    b = lists.select("lid", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("low").alias("lb"), F.col("d").alias("db"))
+def _may_overlap(need) -> object:
+    """The suffix filter: counts over hash ranges (saturated, so differences only shrink) bound the symmetric difference."""
+    apart = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.abs(x - y).cast("int")), F.lit(0), lambda s, x: s + x)
+    return apart <= F.col("na") + F.col("nb") - 2 * need
+
+
+def _parities_fit(need) -> object:
+    """The same on the parities of the counts alone: ranges of different parity differ by one at least."""
+    words = [F.bit_count(F.get("oa", F.lit(i)).bitwiseXOR(F.get("ob", F.lit(i)))) for i in range(RANGES // 64)]
+    total = words[0]
+    for w in words[1:]:
+        total = total + w
+    return total <= F.col("na") + F.col("nb") - 2 * need
+
+
+def _pairs(lists: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    """All pairs of short lists (lid, node, n, pos, low, d) in different classes that pass length, prefix and positional filters, and the triangle inequality on distances ``d`` to one node; with ``sets`` also the suffix filter's first step."""
+    signed = sets is not None
+    if signed:
+        lists = lists.join(sets.select("node", "odd"), "node")
+    a = lists.select("lid", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("low").alias("la"), F.col("d").alias("da"), *([F.col("odd").alias("oa")] if signed else []))
+    b = lists.select("lid", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("low").alias("lb"), F.col("d").alias("db"), *([F.col("odd").alias("ob")] if signed else []))
     need = _fits(F.col("na"), F.col("nb"), LINK)
     room = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     close = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & (100 * F.least("na", "nb") >= LINK * F.greatest("na", "nb"))
     close = close & (F.col("pa") <= F.col("na") - need) & (F.col("pb") <= F.col("nb") - need) & (room >= need)
     close = close & F.coalesce(F.abs(F.col("da") - F.col("db")) < 1.001 - LINK / 100, F.lit(True))
+    if signed:
+        close = close & _parities_fit(need)
     return a.join(b, "lid").where(close).select("a", "b", F.lit(LINK).alias("percent"))
 
 
@@ -194,9 +218,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
     small = sets.select("node", "n", "ranges")
     a = small.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("ranges").alias("ra"))
     b = small.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("ranges").alias("rb"))
-    apart = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    room = F.col("na") + F.col("nb") - 2 * _fits(F.col("na"), F.col("nb"), F.col("percent"))
-    left = pairs.join(a, "a").join(b, "b").where(apart <= room).select("a", "b", "na", "nb")
+    left = pairs.join(a, "a").join(b, "b").where(_may_overlap(_fits(F.col("na"), F.col("nb"), F.col("percent")))).select("a", "b", "na", "nb")
     x = sets.select(F.col("node").alias("a"), F.col("items").alias("xa"))
     y = sets.select(F.col("node").alias("b"), F.col("items").alias("xb"))
     found = left.join(x, "a").join(y, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("xa", "xb")).alias("common"))
@@ -230,8 +252,8 @@ def _link(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     rows = scratch.cut(nodes(docs, key, text, n), "nodes")
     lists = scratch.cut(postings(docs, text, sketch(docs, text, n), n), "postings")
     wanted = lists.select("node").distinct()
-    keys = rows.where("node is not null").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")).select("key").distinct()
-    sets = scratch.cut(node_sets(docs, key, text, keys, wanted, n), "sets")
+    keys = rows.where("node is not null").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
+    sets = node_sets(docs, key, text, keys, n)
 
     sized = lists.join(lists.groupBy("token").agg(F.count(F.lit(1)).alias("cnt")), "token")
     short = sized.where(F.col("cnt") <= SHORT_LIST).select(F.col("token").alias("lid"), "node", "n", "pos", F.col("node").alias("low"), F.lit(None).cast("double").alias("d"))
@@ -255,7 +277,7 @@ def _link(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
         brief = known.where(F.col("cnt") <= limit)
         wide = known.where(F.col("cnt") > limit).where("node != pivot")
         wide = scratch.cut(wide.select("lid", "node", "n", "pos", "w", "pivot", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")), "wide")
-        candidates = pending.unionByName(_pairs(brief.select("lid", "node", "n", "pos", "low", "d"))).unionByName(wide.select("a", "b", F.lit(FAR).alias("percent")))
+        candidates = pending.unionByName(_pairs(brief.select("lid", "node", "n", "pos", "low", "d"), sets)).unionByName(wide.select("a", "b", F.lit(FAR).alias("percent")))
         found = _verify(candidates, sets, f"verified-{round_no}")
         linked = found.where(_at_least(LINK)).select("a", "b")
         links = linked if reached is None else reached.select(F.col("node").alias("a"), F.col("low").alias("b")).unionByName(linked)
