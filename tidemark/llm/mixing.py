@@ -23,6 +23,8 @@ from collections import deque
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import scratch
+
 WEIGHTS = (5, 2, 1)
 
 
@@ -101,6 +103,8 @@ def mix(docs: DataFrame, members: Column, key: str = "doc_id", text: str = "text
     spot = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
     rows = docs.select(F.col(key).alias("k"), word_count(F.col(text)).alias("size"), F.array_sort(F.array_distinct(members)).alias("m"), spot.alias("at"), *kept)
     rows = rows.withColumn("bin", F.substring("at", 1, 3))
+    if not kept:  # a narrow table is read again more cheaply than texts are counted again
+        rows = scratch.cut(rows, "sizes")
     found = rows.groupBy("m").agg(F.sum("size").alias("size")).limit(max_patterns + 1).collect()
     if len(found) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns")
