@@ -25,6 +25,23 @@ def nfc(text: Column) -> Column:
     return normalized(text)
 
 
+def same_letters(original: Column, *others: Column) -> Column:
+    """Array of booleans: whether each other text has the original's characters, in normal form C and then without white space."""
+
+    def key(text: str) -> str:
+        return "".join((text if text.isascii() else unicodedata.normalize("NFC", text)).split())
+
+    @F.arrow_udf("array<boolean>")
+    def compared(first: pa.Array, *rest: pa.Array) -> pa.Array:
+        rows = []
+        for a, *bs in zip(first.to_pylist(), *[x.to_pylist() for x in rest]):
+            k = None if a is None else key(a)
+            rows.append([None if k is None or b is None else a == b or key(b) == k for b in bs])
+        return pa.array(rows, pa.list_(pa.bool_()))
+
+    return compared(original, *others)
+
+
 def similarity(a: Column, b: Column, autojunk: bool = True) -> Column:
     """Ratcliff-Obershelp ratio; null if either side is. ``autojunk`` ignores very frequent characters of long texts."""
 

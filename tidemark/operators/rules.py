@@ -101,19 +101,19 @@ def guard_edit(original: Column, target: Column, replacement: Column, issue_type
     return F.struct(ok.alias("ok"), F.when(ok, edited).otherwise(original).alias("text"), status.alias("status"))
 
 
-def spacing_lock(original: Column, spaced: Column, same: Column | None = None) -> Column:
+def spacing_lock(original: Column, spaced: Column) -> Column:
     """Struct (ok, text, status): an edit may change spacing only.
 
     Texts are compared in normal form C, without white space.
     """
-    from tidemark.functions.kernels import nfc
+    from tidemark.functions.kernels import same_letters
 
-    key = lambda x: T.strip_ws(nfc(x))
     final = T.mechanical_spacing(spaced)
+    same = same_letters(original, spaced, final)
     status = first_match(
         [
-            (key(original) != key(spaced), V.CHARACTER_MISMATCH),
-            (key(original) != key(final), V.POST_PROCESS_MISMATCH),
+            (~F.coalesce(same[0], F.lit(False)), V.CHARACTER_MISMATCH),
+            (~F.coalesce(same[1], F.lit(False)), V.POST_PROCESS_MISMATCH),
             (final != original, V.SPACING_CHANGED),
         ],
         F.lit(V.SPACING_CLEAN),
