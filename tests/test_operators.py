@@ -249,6 +249,22 @@ def test_retries():
     assert landing.with_retries(fetch, "u", 2, pauses.append) == (None, "OSError: busy")
 
 
+def test_rate_limit():
+    pauses = []
+    limit = landing.RateLimit(2, 5.0, lambda: 100.0, pauses.append)
+    for _ in range(3):
+        limit.wait()
+    assert pauses == [5.0, 60.0]
+
+
+def test_snapping_and_inserting(spark):
+    snap = lambda text, at: kernels.Aligner(text).snap(at)
+    assert [snap("abcd efgh", i) for i in (0, 2, 3, 4, 5, 7, 99)] == [0, 4, 4, 4, 5, 4, 9]
+    assert snap("กข้ค", 2) == 3 and snap("a" * 30, 15) == 15
+    places = F.array(*[F.struct(F.lit(p).alias("position"), F.lit(n).alias("note_id")) for p, n in ((1, "x"), (0, "y"), (1, "z"), (3, "w"))])
+    assert one(spark, T.insert_markers(F.col("x"), places), x="abc") == "[y]a[x][z]bc[w]"
+
+
 def test_csv_with_odd_cells(spark):
     rows = [("a\nb", 'say "x", y'), ("ก", None)]
     path = folder(spark, "odd")

@@ -192,7 +192,7 @@ class Aligner:
             at += 1
         return at + (at < len(self.base) and self.base[at] in ")]\"'")
 
-    def _snap(self, at: int) -> int:
+    def snap(self, at: int) -> int:
         """To the nearest space within eight characters, if the place is inside a word."""
         if at <= 0 or at >= len(self.base):
             return max(0, min(at, len(self.base)))
@@ -244,7 +244,7 @@ class Aligner:
         if best is None:
             share = self.total / whole if whole else 1.0
             target = min(self.total, int(round(seen * share)))
-            at = max(least, self._snap(self.letters.index(target) if target < self.total else len(self.base)))
+            at = max(least, self.snap(self.letters.index(target) if target < self.total else len(self.base)))
             best = abs(seen - self.letters[at]), at
         return self._settle(best[1]), best[0]
 
@@ -261,6 +261,16 @@ class Aligner:
         return out, places
 
 
+def snap_boundary(text: Column, position: Column) -> Column:
+    """An offset moved out of a word to a space within eight characters, and past combining marks."""
+
+    @F.arrow_udf("int")
+    def snapped(texts: pa.Array, at: pa.Array) -> pa.Array:
+        return pa.array([None if t is None or p is None else Aligner(t).snap(p) for t, p in zip(texts.to_pylist(), at.to_pylist())], pa.int32())
+
+    return snapped(text, position.cast("int"))
+
+
 ALIGNED = "struct<annotated:string,placements:array<struct<position:int,note_id:string,letter_delta:int>>>"
 
 

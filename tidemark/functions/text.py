@@ -143,6 +143,16 @@ def rewrite_markers(text: Column, pattern: str = BRACKET_MARKER) -> Column:
     return F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(F.concat(F.lit("["), i.cast("string"), F.lit("]"), x))), "")
 
 
+def insert_markers(text: Column, places: Column) -> Column:
+    """[id] inserted at the character offsets of an array of (position, note_id); equal offsets keep their order."""
+    ordered = F.reverse(F.array_sort(F.transform(places, lambda p, i: F.struct(p["position"].alias("at"), i.alias("i"), p["note_id"].cast("string").alias("id")))))
+
+    def put(done: Column, p: Column) -> Column:
+        return F.concat(F.substring(done, F.lit(1), p["at"]), F.lit("["), p["id"], F.lit("]"), F.substring(done, p["at"] + 1, F.length(done)))
+
+    return F.aggregate(ordered, text, put)
+
+
 def mechanical_spacing(text: Column) -> Column:
     """Zero-width characters, repetition marks and brackets get regular spaces."""
     thai = r"[ก-๙]"

@@ -247,3 +247,14 @@ def _(t):
 def _(t):
     base = F.concat(F.left("text", F.lit(60)), F.lit("ก์) end"))
     return t.documents.select("doc_id", kernels.align_markers(F.concat(F.left("text", F.lit(30)), F.lit("(1)"), F.substring("text", 31, 60)), base)["placements"].alias("placements"))
+
+
+@query("fn_snap_boundary")
+def _(t):
+    return t.documents.select("doc_id", kernels.snap_boundary(F.left("text", F.lit(120)), F.col("doc_id") % 100).alias("at"))
+
+
+@query("fn_insert_markers", "SELECT doc_id, left(text, 3) || '[a][b]' || substr(text, 4, 5) || '[c]' || substr(text, 9, 20) AS out FROM documents WHERE length(text) >= 8")
+def _(t):
+    places = F.array(*[F.struct(F.lit(p).alias("position"), F.lit(n).alias("note_id")) for p, n in ((3, "a"), (8, "c"), (3, "b"))])
+    return t.documents.where(F.length("text") >= 8).select("doc_id", T.insert_markers(F.left("text", F.lit(28)), places).alias("out"))

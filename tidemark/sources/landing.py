@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import random
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -21,6 +22,24 @@ def open_url(url: str, timeout: float = 25.0) -> str:
         return answer.read().decode("utf-8")
 
 
+class RateLimit:
+    """At most ``per_minute`` calls in any 60 seconds, and ``spacing`` seconds between two calls."""
+
+    def __init__(self, per_minute: int, spacing: float = 0.0, clock: Callable[[], float] = time.monotonic, pause: Callable[[float], None] = time.sleep):
+        self.per_minute, self.spacing, self.clock, self.pause = per_minute, spacing, clock, pause
+        self.calls: deque[float] = deque(maxlen=per_minute)
+
+    def wait(self) -> None:
+        now, free = self.clock(), 0.0
+        if self.calls:
+            free = self.calls[-1] + self.spacing
+        if len(self.calls) == self.per_minute:
+            free = max(free, self.calls[0] + 60.0)
+        if free > now:
+            self.pause(free - now)
+        self.calls.append(max(now, free))
+
+
 def with_retries(fetch: Callable[[str], str], url: str, attempts: int = 3, pause: Callable[[float], None] = time.sleep) -> tuple[str | None, str | None]:
     """(body, error): pauses of 2 ** n plus 0.5 to 1.5 seconds between attempts."""
     error = None
