@@ -28,13 +28,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest id."""
+    """Of each group of linked documents, the one with the smallest id; one without an id stays only where no linked one has any."""
     docs = docs.select(*COLUMNS)
     found = scratch.cut(ngram_join.link(docs), "links")
-    stays = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
-    kept = docs.join(stays.distinct(), "doc_id", "left_semi").select(*COLUMNS)
-    repeated = stays.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept  # rows that share an id are one document
+    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
+    ids = stays.distinct().withColumnRenamed("doc_id", "stays")
+    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi").select(*COLUMNS)
+    repeated = stays.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    if not repeated:
+        return kept
+    named = F.col("doc_id").isNotNull()
+    return kept.where(named).dropDuplicates(["doc_id"]).unionByName(kept.where(~named))  # rows that share an id are one document
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
