@@ -223,7 +223,8 @@ def test_notes(spark):
 
 
 def test_keyed_pages():
-    box = '<div wire:key="quran-{i}"><p class="x tracking-tight font-extrabold">2:{i}</p><p><span>Translation</span>: text {i} (1)</p><p><span> Comment </span>: (1) note</p></div>'
+    box = '<div wire:key="PREFIX{i}"><p class="x tracking-tight font-extrabold">2:{i}</p><p><span>Translation</span>: text {i} (1)</p><p><span> Comment </span>: (1) note</p></div>'
+    box = box.replace("PREFIX", V.BOX_KEY_PREFIX)
     got = kernels.keyed_items("".join(box.format(i=i) for i in (3, 1)), 2)
     assert [(r["key"], r["text"], r["notes"]) for r in got] == [("2:1", "text 1 (1)", ["(1) note"]), ("2:3", "text 3 (1)", ["(1) note"])]
     spare = '<div class="a border-gold-400">see 5:7 <p>Translation : plain</p></div><div class="border-gold-400">none</div>'

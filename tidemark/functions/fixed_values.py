@@ -151,3 +151,7 @@ REFUSALS = ("REJECTED", "REJECT", "NO", "FALSE", "0")
 # Combining marks that a cut must not part from their base, and two marks that comparison ignores.
 COMBINING_MARKS = "\u0E31\u0E34\u0E35\u0E36\u0E37\u0E38\u0E39\u0E3A\u0E47\u0E48\u0E49\u0E4A\u0E4B\u0E4C\u0E4D\u0E4E"
 IGNORED_MARKS = "\u0E4C\u0E3A"
+
+# What marks the containers of keyed pages, and the fallback.
+BOX_KEY_PREFIX, BOX_CLASS = "quran-", "border-gold-400"
+KEY_CLASSES = ("tracking-tight", "font-extrabold")

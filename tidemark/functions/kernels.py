@@ -117,12 +117,12 @@ def keyed_items(page: str, group: int) -> list[dict]:
     tree = _Tree()
     tree.feed(page or "")
     tree.close()
-    boxes = [n for n, _ in _walk(tree.root) if n[0] == "div" and n[1].get("wire:key", "").startswith("quran-")]
-    boxes = boxes or [n for n, _ in _walk(tree.root) if n[0] == "div" and "border-gold-400" in n[1].get("class", "")]
+    boxes = [n for n, _ in _walk(tree.root) if n[0] == "div" and n[1].get("wire:key", "").startswith(V.BOX_KEY_PREFIX)]
+    boxes = boxes or [n for n, _ in _walk(tree.root) if n[0] == "div" and V.BOX_CLASS in n[1].get("class", "")]
     out = []
     for box in boxes:
         inside = list(_walk(box))
-        label = next((_text(n).strip() for n, _ in inside if n[0] == "p" and {"tracking-tight", "font-extrabold"} <= set(n[1].get("class", "").split())), "")
+        label = next((_text(n).strip() for n, _ in inside if n[0] == "p" and set(V.KEY_CLASSES) <= set(n[1].get("class", "").split())), "")
         if m := re.search(r"(\d+):(\d+)", label):
             g, i = int(m[1]), int(m[2])
         elif m := re.search(rf"\b{group}:(\d+)\b", _text(box)):

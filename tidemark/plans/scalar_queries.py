@@ -227,7 +227,7 @@ def _(t):
 
 @query("fn_html_verses")
 def _(t):
-    pieces = F.transform(F.split(F.col("url"), "/"), lambda x, i: F.concat(F.lit('<div wire:key="quran-1"><p class="font-extrabold tracking-tight">'), F.col("page_id").cast("string"), F.lit(":"), i.cast("string"), F.lit('</p><p><span class="x">Translation</span>: '), x, F.lit(" (1)</p><p><span>Comment</span>: (1) note "), i.cast("string"), F.lit("</p></div>")))
+    pieces = F.transform(F.split(F.col("url"), "/"), lambda x, i: F.concat(F.lit(f'<div wire:key="{V.BOX_KEY_PREFIX}1"><p class="font-extrabold tracking-tight">'), F.col("page_id").cast("string"), F.lit(":"), i.cast("string"), F.lit('</p><p><span class="x">Translation</span>: '), x, F.lit(" (1)</p><p><span>Comment</span>: (1) note "), i.cast("string"), F.lit("</p></div>")))
     made = t.pages.select("page_id", F.concat(F.lit("<html><body>"), F.array_join(pieces, ""), F.lit("</body></html>")).alias("html"))
     return kernels.parse_keyed_pages(made, "page_id", "html")
 
