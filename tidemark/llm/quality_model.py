@@ -92,7 +92,7 @@ def vectors(texts: pa.Array, settings: Settings):
         text, slots, values = sparse_block(texts.slice(i, j - i), settings)
         at = np.searchsorted(text, np.arange(j - i + 1))
         for a, b in zip(at, at[1:]):
-            yield np.concatenate(([0], slots[a:b])), np.concatenate(([1.0], values[a:b]))
+            yield np.concatenate(([0], slots[a:b])).astype(np.int32), np.concatenate(([1.0], values[a:b])).astype(np.float32)
 
 
 def score_array(texts: pa.Array, weights: np.ndarray, settings: Settings) -> np.ndarray:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from tidemark.llm import kernels as K
 
 END_ID = 1
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 #: Words that need no more than lower case before the tokenizer's pattern.
 _PLAIN = re.compile("[!-;=-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")  # no '<', which may begin a special token
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
