@@ -1,5 +1,6 @@
 """Text functions, rules, sequences, notes, edits, sources and streams on small fixtures."""
 
+import random
 import unicodedata
 from difflib import SequenceMatcher
 
@@ -10,6 +11,7 @@ from tidemark.functions import fixed_values as V
 from tidemark.functions import kernels
 from tidemark.functions import text as T
 from tidemark.operators import edits, notes, relational, rules, sequence
+from tidemark.plans import QUERIES
 from tidemark.plans.scratch import folder
 from tidemark.sources import landing, readers, writers
 from tidemark.streaming import resume
@@ -76,6 +78,36 @@ def test_nfc_and_similarity(spark):
     assert one(spark, kernels.similarity(F.col("a"), F.col("b")), a=None, b="x") is None
 
 
+def test_sequence_ratio_is_that_of_difflib():
+    rng = random.Random(3)
+    for letters in ("ab", "abc de", "abcdefghijklmnopqrstuvwxyz      -]^\\ก"):
+        for n in (0, 1, 5, 30, 199, 200, 260, 700):
+            for _ in range(12):
+                x = "".join(rng.choice(letters) for _ in range(n))
+                k = rng.randrange(n + 1)
+                for a, b in ((x, x), (x, x + "!"), (x, x[k:]), (x, x[10:]), (x[:k], x), (x[k:], x), (x, x[:k] + "?" + x[k:]), (x, x[::-1])):
+                    for junk in (True, False):
+                        assert kernels.sequence_ratio(a, b, junk) == SequenceMatcher(None, a, b, junk).ratio(), (a, b, junk)
+
+
+def document_rows(spark, path, texts):
+    """A folder with only these documents, ids from 0."""
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+def test_similarity_queries_compare_whole_texts(spark, tmp_path):
+    long = " ".join(f"word{i}" for i in range(100))
+    texts = [long, long[:300] + "(7) x" + long[300:], "short text"]
+    sf = document_rows(spark, tmp_path, texts)
+    ratio = lambda a, b: SequenceMatcher(None, a, b).ratio()
+    own = [ratio(long, long + "!"), 1.0, 1.0]
+    assert QUERIES["agg_avg_ratio"](spark, sf).first().avg_ratio == round(sum(own) / 3, 9) < 1
+    clean = one(spark, T.strip_markers(F.col("x")), x=texts[1])
+    assert QUERIES["compare_versions"](spark, sf).first().similarity == round((own[0] + ratio(clean, texts[1]) + 1.0) / 3, 9)
+    assert {r.doc_id: r.ratio for r in QUERIES["fn_similarity"](spark, sf).collect()} == {i: ratio(t, t[10:]) for i, t in enumerate(texts)}
+
+
 def test_cursor_goes_forward_then_anywhere(spark):
     find = lambda text, *needles: list(one(spark, kernels.cursor_find(F.col("x"), F.array(*map(F.lit, needles))), x=text))
     assert find("(1)(2)(1)", "(1)", "(1)", "(2)", "(9)") == [1, 7, 4, 0]

@@ -125,7 +125,7 @@ def _(t):
 @query("agg_avg_ratio")
 def _(t):
     pair = replica(t.documents).withColumnRenamed("text", "other").join(t.documents.select("doc_id", "text"), "doc_id")
-    ratio = kernels.similarity(F.left("text", F.lit(200)), F.left("other", F.lit(200)))
+    ratio = kernels.similarity(F.col("text"), F.col("other"))
     return pair.select(F.coalesce(ratio, F.lit(0.0)).alias("r")).agg(F.round(F.avg("r"), 9).alias("avg_ratio"))
 
 
@@ -417,7 +417,7 @@ def _(t):
 def _(t):
     j = t.documents.select("doc_id", "text").join(replica(t.documents).withColumnRenamed("text", "other"), "doc_id", "left")
     clean, other = T.strip_markers(F.col("text")), T.trim_ws(F.coalesce("other", F.lit("")))
-    ratio = F.when(other == "", 0.0).otherwise(kernels.similarity(F.left(clean, F.lit(200)), F.left(other, F.lit(200))))
+    ratio = F.when(other == "", 0.0).otherwise(kernels.similarity(clean, other))
     j = j.select((F.col("text") == other).alias("exact"), (clean == other).alias("clean_exact"), ratio.alias("ratio"))
     return j.agg(_count().alias("n"), F.count_if("exact").alias("exact"), F.count_if("clean_exact").alias("clean_exact"), F.round(F.avg("ratio"), 9).alias("similarity"))
 

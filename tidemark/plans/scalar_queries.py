@@ -222,7 +222,7 @@ def _(t):
 
 @query("fn_similarity")
 def _(t):
-    return t.documents.select("doc_id", kernels.similarity(F.left("text", F.lit(300)), F.substring("text", 11, 300)).alias("ratio"))
+    return t.documents.select("doc_id", kernels.similarity(F.col("text"), F.substring("text", 11, 2**31 - 1)).alias("ratio"))
 
 
 @query("fn_html_verses")
