@@ -396,5 +396,12 @@ def test_licence_base_and_labels(spark, docs, nasty, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def test_notices_of_a_hot_source_keep_their_labels(spark):
+    lines = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0", "plain text of the month"]
+    hot = spark.createDataFrame([(i, f"{lines[i % 3]} number{i}") for i in range(30)], "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in license_scan.scan(hot).collect()}
+    assert found == {i: ("mit,mit-notice", "apache,apache-2.0", "")[i % 3] for i in range(30)}
+
+
 def test_scratch_is_shared_folder(spark):
     assert scratch.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -90,7 +90,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tu
     """``key, n_words, n_base, first_word, last_word, base_labels, labels, score`` for every document."""
     spelled = [t.words.split() for t in templates]
     total, df = frequencies(docs, text, sorted({w for t in spelled for w in t}))
-    indexed = sorted((w for w in {w for t in spelled for w in t} if df.get(w, 0) <= most_share * total), key=lambda w: (df.get(w, 0), w))
+    # Every template word is indexed; those held by more than ``most_share`` of the documents come last.
+    indexed = sorted({w for t in spelled for w in t}, key=lambda w: (df.get(w, 0) > most_share * total, df.get(w, 0), w))
     rank = {w: i for i, w in enumerate(indexed)}
 
     rows = docs.select(F.col(key).alias("k"), words(F.col(text)).alias("w"))
