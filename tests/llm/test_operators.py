@@ -403,5 +403,18 @@ def test_notices_of_a_hot_source_keep_their_labels(spark):
     assert found == {i: ("mit,mit-notice", "apache,apache-2.0", "")[i % 3] for i in range(30)}
 
 
+def test_all_notices_of_a_file_are_found(spark):
+    four = "Licensed under the Apache License, Version 2.0. Licensed under CC BY-NC 4.0! Released under the MIT License. This work is licensed under the GNU General Public License, version 3."
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"
+    stray = "redistribute obtaining charge lgpl merchantability unencumbered published binary forms granted hereby mozilla"
+    texts = [four, f"{stray} {four} {stray}", mpl, f"{stray} {mpl}", "the mozilla public license 2 0", "in the of and", *(f"{stray} of the page {i}" for i in range(10)), *(f"plain {i}" for i in range(30))]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for options in ({}, {"rare": 1}, {"most_share": 0.0}):
+        found = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(made, **options).collect()}
+        assert found[0] == found[1] == ("apache,apache-2.0,cc-by,cc-by-nc-4.0,gpl,gpl-3.0,mit,mit-notice", 1.0)
+        assert found[2] == found[3] == ("mpl-2.0", 1.0) and found[4] == ("mpl-2.0", 4 / 17)
+        assert all(found[i] == ("", 0.0) for i in range(5, len(texts)))
+
+
 def test_scratch_is_shared_folder(spark):
     assert scratch.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -3,17 +3,18 @@
 Texts become words (A-Z lower-cased; runs of letters a-z, digits and non-ASCII
 characters). Base labels come from fixed phrases whose words stand consecutively.
 Further labels come from licence notices ("templates"): inverse document
-frequencies of all template words are counted over the whole corpus; each file's
-rarest licence words are looked up in the templates' postings; a template is a
-candidate where at least ``agree`` of these words have the same position relative
-to it; and it is accepted if all of its key phrases stand in the file.
+frequencies of all template words are counted over the whole corpus; a template is
+a candidate if the rarest words of its key phrases stand in the file; it is verified
+if all of its key phrases do; and it is accepted where at least ``agree`` of its
+words have the same position relative to it, by its words' postings. ``rare`` and
+``most_share`` bound which words are looked up first; results do not depend on them.
 
 Only the templates' vocabulary (bounded by their length) reaches the driver.
 
 Nulls and edge cases: a null or empty text has no words, no labels and score 0.
 Repeated rows are scanned one by one. ``first_word`` and ``last_word`` are null
 without a base phrase; occurrences that overlap all count. The score is 1 with a
-base phrase, else the best accepted template's share of indexed words in place.
+base phrase, else the best accepted template's share of words in place.
 """
 
 from __future__ import annotations
@@ -89,10 +90,10 @@ def frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> tuple[int,
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tuple[Template, ...] = TEMPLATES, base: tuple[tuple[str, str], ...] = BASE, rare: int = 6, agree: int = 2, most_share: float = 0.1) -> DataFrame:
     """``key, n_words, n_base, first_word, last_word, base_labels, labels, score`` for every document."""
     spelled = [t.words.split() for t in templates]
-    total, df = frequencies(docs, text, sorted({w for t in spelled for w in t}))
-    # Every template word is indexed; those held by more than ``most_share`` of the documents come last.
-    indexed = sorted({w for t in spelled for w in t}, key=lambda w: (df.get(w, 0) > most_share * total, df.get(w, 0), w))
-    rank = {w: i for i, w in enumerate(indexed)}
+    phrased = [sorted({w for k in t.keys for w in k.split()}) for t in templates]
+    indexed = sorted({w for t in (*spelled, *phrased) for w in t})
+    total, df = frequencies(docs, text, indexed)
+    asked = [sorted((w for w in ws if df.get(w, 0) <= most_share * total), key=lambda w: (df.get(w, 0), w))[:rare] for ws in phrased]
 
     rows = docs.select(F.col(key).alias("k"), words(F.col(text)).alias("w"))
     count = F.when(F.col("w") == "", F.lit(0)).otherwise(_spaces(F.col("w")) + 1).cast("long")
@@ -105,29 +106,28 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tu
     rows = rows.select("k", "padded", "n_words", *(f"b{i}" for i in range(len(base))), hits.alias("hits"))
 
     if indexed:
-        ranks = F.create_map(*[F.lit(x) for w, i in rank.items() for x in (w, i)])
-        sizes = [max(1, sum(w in rank for w in t)) for t in spelled]
+        posted = sorted({w for t in spelled for w in t})
         postings = F.create_map(
             *[
                 x
-                for w in indexed
-                for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p"), F.lit(sizes[t]).alias("n")) for t, ws in enumerate(spelled) for p, v in enumerate(ws) if v == w]))
+                for w in posted
+                for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p"), F.lit(len(ws)).alias("n")) for t, ws in enumerate(spelled) for p, v in enumerate(ws) if v == w]))
             ]
         )
-        chosen = F.slice(F.array_sort(F.transform(F.array_distinct(F.transform("hits", lambda x: x["w"])), lambda w: F.struct(F.element_at(ranks, w).alias("r"), w.alias("w")))), 1, rare)
-        rows = rows.withColumn("chosen", F.transform(chosen, lambda x: x["w"]))
+        rows = rows.withColumn("held", F.array_distinct(F.transform("hits", lambda x: x["w"])))
+        verified = []
+        for i, t in enumerate(templates):
+            tests = [F.size("hits") >= agree, *(F.array_contains("held", w) for w in asked[i]), *(F.contains("padded", F.lit(f" {k} ")) for k in t.keys)]
+            verified.append(F.when(reduce(lambda a, b: a & b, tests), F.lit(i)))
+        rows = rows.withColumn("verified", F.array_compact(F.array(*verified)))
         anchors = F.flatten(
             F.transform(
-                F.filter("hits", lambda x: F.array_contains("chosen", x["w"])),
-                lambda x: F.transform(F.element_at(postings, x["w"]), lambda p: F.struct(p["t"].alias("t"), (x["i"] - p["p"]).alias("off"), p["n"].alias("n"))),
+                F.filter("hits", lambda x: x["w"].isin(posted)),
+                lambda x: F.transform(F.filter(F.element_at(postings, x["w"]), lambda p: F.array_contains("verified", p["t"])), lambda p: F.struct(p["t"].alias("t"), (x["i"] - p["p"]).alias("off"), p["n"].alias("n"))),
             )
         )
-        rows = rows.withColumn("anchors", F.array_sort(anchors))
-        verified = F.array_compact(
-            F.array(*[F.when(reduce(lambda a, b: a & b, [F.contains("padded", F.lit(f" {k} ")) for k in t.keys]), F.lit(i)) for i, t in enumerate(templates)])
-        )
-        rows = rows.withColumn("verified", F.when(F.size("anchors") >= agree, verified).otherwise(F.array().cast("array<int>")))
-        rows = rows.withColumn("anchors", F.filter("anchors", lambda x: F.array_contains("verified", x["t"])))
+        none = F.array().cast("array<struct<t:int,off:int,n:int>>")
+        rows = rows.withColumn("anchors", F.when(F.size("verified") > 0, F.array_sort(anchors)).otherwise(none))
         start = F.struct(F.lit(-1).alias("t"), F.lit(0).alias("off"), F.lit(0).alias("run"), F.lit(0.0).alias("best"))
 
         def step(a: Column, x: Column) -> Column:
