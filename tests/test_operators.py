@@ -1,5 +1,6 @@
 """Text functions, rules, sequences, notes, edits, sources and streams on small fixtures."""
 
+import hashlib
 import random
 import unicodedata
 from difflib import SequenceMatcher
@@ -96,6 +97,37 @@ def document_rows(spark, path, texts):
     return str(path)
 
 
+def test_window_search_equals_that_of_bare_windows():
+    rng = random.Random(5)
+    for _ in range(300):
+        base = "".join(rng.choice("abab [1](2) .-ๆ") for _ in range(80))
+        wanted = kernels._bare("".join(rng.choice("ab[1 2]ab") for _ in range(10)))
+        al = kernels.Aligner(base)
+        for before in (True, False):
+            want = []
+            for size in al.SIZES:
+                piece = wanted[-size:] if before else wanted[:size]
+                if len(piece) < al.LEAST or want:
+                    continue
+                for i in range(len(base) - len(piece) + 1):
+                    if kernels._bare(base[i : i + len(piece)]) == piece:
+                        at = i + len(piece) if before else i
+                        while not before and at > 0 and base[at - 1].isspace():
+                            at -= 1
+                        at = al._settle(at)
+                        want.append((abs(9 - al.letters[at]), at))
+            assert al._matches(wanted, before, 9, 0) == want
+
+
+def test_placement_queries_take_whole_texts(spark, tmp_path):
+    text = " ".join(f"word{i}" for i in range(200))
+    sf = document_rows(spark, tmp_path, [text] * 11)
+    whole, _ = kernels.Aligner(text).align(f"{text[:25]}(1){text[25:]}", {})
+    assert whole.replace("[1]", "") == text
+    assert {r.annotated for r in QUERIES["align_markers"](spark, sf).collect()} == {hashlib.md5(whole.encode()).hexdigest()}
+    assert {r.doc_id: r.status for r in QUERIES["placement_audit"](spark, sf).collect()}[10] != "MISALIGNED_DRIFT"  # some letters of over a thousand
+
+
 def test_similarity_queries_compare_whole_texts(spark, tmp_path):
     long = " ".join(f"word{i}" for i in range(100))
     texts = [long, long[:300] + "(7) x" + long[300:], "short text"]

@@ -241,10 +241,10 @@ class Aligner:
             piece = wanted[-size:] if before else wanted[:size]
             if len(piece) < self.LEAST:
                 continue
-            found = []
-            for i in range(len(self.base) - len(piece) + 1):
-                if _bare(self.base[i : i + len(piece)]) != piece:
-                    continue
+            if _bare(piece) != piece:  # a window of this size has this bare form only if it is the piece
+                continue
+            found, i = [], -1
+            while (i := self.base.find(piece, i + 1)) >= 0:
                 at = i + len(piece) if before else i
                 while not before and at > 0 and self.base[at - 1].isspace():
                     at -= 1

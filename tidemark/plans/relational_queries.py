@@ -207,8 +207,8 @@ def _(t):
 
 @query("win_monotone_place")
 def _(t):
-    marked = F.concat(F.left("text", F.lit(20)), F.lit("(1)"), F.substring("text", 21, 20), F.lit("(2)"), F.substring("text", 41, 60))
-    placed = kernels.align_markers(marked, F.left("text", F.lit(100)))
+    marked = F.concat(F.left("text", F.lit(20)), F.lit("(1)"), F.substring("text", 21, 20), F.lit("(2)"), F.substring("text", 41, S.REST))
+    placed = kernels.align_markers(marked, F.col("text"))
     return t.documents.select("doc_id", placed["placements"].alias("p")).select("doc_id", (F.col("p")[0]["position"] <= F.col("p")[1]["position"]).alias("in_order"))
 
 
@@ -385,9 +385,8 @@ def _(t):
 
 @query("align_markers")
 def _(t):
-    base = F.left("text", F.lit(100))
-    marked = F.concat(F.left("text", F.lit(25)), F.lit("(1)"), F.substring("text", 26, 75))
-    placed = kernels.align_markers(marked, base)
+    marked = F.concat(F.left("text", F.lit(25)), F.lit("(1)"), F.substring("text", 26, S.REST))
+    placed = kernels.align_markers(marked, F.col("text"))
     return t.documents.select("doc_id", placed.alias("r")).select("doc_id", F.md5("r.annotated").alias("annotated"), F.col("r.placements")[0]["position"].alias("position"))
 
 
@@ -401,9 +400,9 @@ def _(t):
 
 @query("placement_audit")
 def _(t):
-    head, tail = F.left("text", F.lit(40)), F.substring("text", 41, 60)
-    shifted = F.concat(F.left("text", (F.lit(40) - F.col("doc_id") % 30).cast("int")), F.lit("[1]"), F.substring("text", (F.lit(41) - F.col("doc_id") % 30).cast("int"), F.lit(60)))
-    rows = t.documents.select("doc_id", F.concat(head, F.lit("(1)"), tail).alias("src"), shifted.alias("ann"), F.left("text", F.lit(100)).alias("base"), F.array(F.lit("1"), F.lit("2")).alias("ids"))
+    head, tail = F.left("text", F.lit(40)), F.substring("text", 41, S.REST)
+    shifted = F.concat(F.left("text", (F.lit(40) - F.col("doc_id") % 30).cast("int")), F.lit("[1]"), F.substring("text", (F.lit(41) - F.col("doc_id") % 30).cast("int"), F.lit(S.REST)))
+    rows = t.documents.select("doc_id", F.concat(head, F.lit("(1)"), tail).alias("src"), shifted.alias("ann"), F.col("text").alias("base"), F.array(F.lit("1"), F.lit("2")).alias("ids"))
     return notes.placement_audit(rows, ["doc_id"], "src", "ann", "base", "ids").select("doc_id", "note_id", "source_letters", "base_letters", "letter_delta", "status")
 
 

@@ -14,6 +14,9 @@ from tidemark.plans.registry import query
 #: The twin of ``text.WS_SET`` for RE2.
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+#: A length that takes all the rest of a text.
+REST = 2**31 - 1
+
 
 def _trim(sql: str) -> str:
     return f"regexp_replace(regexp_replace({sql}, '^{WS}+', ''), '{WS}+$', '')"
@@ -222,7 +225,7 @@ def _(t):
 
 @query("fn_similarity")
 def _(t):
-    return t.documents.select("doc_id", kernels.similarity(F.col("text"), F.substring("text", 11, 2**31 - 1)).alias("ratio"))
+    return t.documents.select("doc_id", kernels.similarity(F.col("text"), F.substring("text", 11, REST)).alias("ratio"))
 
 
 @query("fn_html_verses")
@@ -245,13 +248,13 @@ def _(t):
 
 @query("fn_post_process_pos")
 def _(t):
-    base = F.concat(F.left("text", F.lit(60)), F.lit("ก์) end"))
-    return t.documents.select("doc_id", kernels.align_markers(F.concat(F.left("text", F.lit(30)), F.lit("(1)"), F.substring("text", 31, 60)), base)["placements"].alias("placements"))
+    base = F.concat("text", F.lit("ก์) end"))
+    return t.documents.select("doc_id", kernels.align_markers(F.concat(F.left("text", F.lit(30)), F.lit("(1)"), F.substring("text", 31, REST)), base)["placements"].alias("placements"))
 
 
 @query("fn_snap_boundary")
 def _(t):
-    return t.documents.select("doc_id", kernels.snap_boundary(F.left("text", F.lit(120)), F.col("doc_id") % 100).alias("at"))
+    return t.documents.select("doc_id", kernels.snap_boundary(F.col("text"), F.col("doc_id") % 100).alias("at"))
 
 
 @query("fn_insert_markers", "SELECT doc_id, left(text, 3) || '[a][b]' || substr(text, 4, 5) || '[c]' || substr(text, 9, 20) AS out FROM documents WHERE length(text) >= 8")
