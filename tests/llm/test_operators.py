@@ -131,6 +131,48 @@ def test_pages_without_article_marks():
     assert found.split("\n")[0] == "Head" and found.split("\n")[-1] == "Short." and "Entry" not in found and "Copyright" not in found
 
 
+def test_content_beside_content_stays():
+    body = "".join(f"<p>This is sentence {i}, which has commas, stops, and words.</p>" for i in range(12))
+    page = f"<body><div class='post'><h1>Head</h1><p>A lead, of some words, that stands before.</p><div class='entry'>{body}</div></div><div class='comments'>{body}</div><p class='sidebar'>x, y</p></body>"
+    lines = html_extract.main_text(page).split("\n")
+    assert lines[:2] == ["Head", "A lead, of some words, that stands before."] and len(lines) == 14
+    assert html_extract.main_text(f"<div><h2>Head</h2><div>{body}</div></div>").startswith("Head\nThis is")
+    assert html_extract.main_text("<nav><a href='/'>Home</a></nav><footer>all rights, reserved</footer>") == ""
+    wrapped = html_extract.main_text(f"<div class='page-with-sidebar'><div><a href='/'>menu</a></div>{body}</div>")
+    assert wrapped.startswith("This is sentence 0") and "menu" not in wrapped  # a name that covers all says nothing
+
+
+@pytest.mark.parametrize("made", [lambda n: np.ones(n), lambda n: np.random.default_rng(3).random(n)])
+def test_scores_select_the_nodes(spark, monkeypatch, made):
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").limit(60).collect()]
+    right = [html_extract.main_text(p) for p in pages]
+    assert all(right)
+    monkeypatch.setattr(html_extract, "path_scores", lambda paths, texts, priors, radius=1: made(len(paths)))
+    assert sum(html_extract.main_text(p) != x for p, x in zip(pages, right)) > 50
+
+
+def test_path_ratios_against_brute_force():
+    page = "<div><p>one, two.</p><p>three</p><ul class='a'><li>x<li>y, z</ul><ul class='b'><li>long, longer, longest!</ul></div>"
+    nodes = [(e, t.strip()) for e, _, t in html_extract.text_nodes(page) if t.strip()]
+    lengths, marks = html_extract.path_ratios([e.path for e, _ in nodes], [t for _, t in nodes])
+    named = {"one, two.": "p", "three": "p", "x": "a", "y, z": "a", "long, longer, longest!": "b"}
+    for (_, t), a, b in zip(nodes, lengths, marks):
+        same = [u for u in named if named[u] == named[t]]
+        assert a == sum(map(len, same)) / len(same) and b == sum(u.count(",") + u.count(".") + u.count("!") for u in same) / len(same)
+
+
+def test_html_edge_cases(spark):
+    deep = "<div class='x'>a, b" * 100_000
+    assert len(html_extract.main_text(deep).split("\n")) == 100_000
+    assert len(html_extract.main_text("<div>a" * 30_000 + "</section></i>" * 30_000).split("\n")) == 30_000
+    long = "<article>" + "<p>some words, and more</p>" * 50_000 + "</article>"
+    rows = [(1, None, "c"), (2, "", "c"), (3, long, "c"), (3, long, "c"), (None, "<p>text", None)]
+    df = spark.createDataFrame(rows, "page_id long, html string, text string")
+    got = df.select("page_id", html_extract.extract(F.col("html")).alias("x")).collect()
+    assert sorted((r.page_id or 0, len(r.x)) for r in got) == [(0, 4), (1, 0), (2, 0), (3, 50_000 * 21 - 1), (3, 50_000 * 21 - 1)]
+    assert df.limit(0).select(html_extract.extract(F.col("html")).alias("x")).count() == 0
+
+
 # ------------------------------------------------------------------ n-gram join
 
 

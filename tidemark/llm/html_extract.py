@@ -1,32 +1,41 @@
 """Main-text extraction by tag-path ratios.
 
-A page is read once into text nodes, each with its root-to-leaf path of tags and
-class names. Per path, the text length and the punctuation are averaged over the
-path's nodes; both series are smoothed along the page, fused by product, and the
-nodes at or above a threshold (a share of the series' deviation) are content.
-The lowest element with nearly all of the content's mass, or the ``article`` or
-``main`` around it, is the text's container. All of its blocks are returned, but
-for parts that markup names as something else (menus, headers, footers, sidebars,
-notices, adverts, forms, comments) and for blocks made of links.
+A page is read once into text nodes, each with the root-to-leaf path of its tags
+and class names. Per path, text length and punctuation marks are aggregated and
+divided by the path's nodes. Both ratio series are smoothed along the page, and
+fused to a score by the product of their square roots with a prior for the path:
+markup that calls itself a menu, header, footer, sidebar, notice, advert, form or
+comment has a small prior, a link a smaller one than plain text. Nodes of paths
+whose scores reach ``threshold`` deviations of the page's scores are content.
+
+Blocks of content are returned whole. So are blocks without a content node of
+their own (headings, short paragraphs, lists) that stand beside content: in an
+``article`` or ``main`` that holds content, or, unless links make up half of them,
+in a container that holds content itself, or as headings right before such a block. Parts with a small prior are only returned where their
+own score reaches the threshold, and never if they are all that does.
 
 Blocks end at block-level tags; white space inside a block becomes one space and
 a line break counts as white space. Character references are decoded.
 
-Nulls and edge cases: null or empty html, and pages without text, give ``''``.
-Unclosed, misnested and cut-off tags are tolerated; a tag cut off by the end of
-the page is dropped. Pages of any length are read whole.
+Nulls and edge cases: null or empty html, and pages without text or with menus
+only, give ``''``. Unclosed, misnested and cut-off tags are tolerated; a tag cut
+off by the end of the page is dropped. Pages of any length and nesting are read
+whole in linear time. Repeated rows give equal texts; extra columns are not read.
 """
 
 from __future__ import annotations
 
 import html as _html
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.llm import kernels as K
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -61,53 +70,89 @@ _OTHER_WORDS = frozenset(
 _PUNCTUATION = re.compile(r"[.,;:!?…¿¡、。，]")
 
 
+_INLINE_OR_LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote table tbody thead tfoot tr td th caption figure figcaption hgroup address menu dir".split())
+_ARTICLE = frozenset(["article", "main"])
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+PLAIN, NAMED, ELSEWHERE = range(3)  # what markup says of a part: nothing, or by a class name or by a tag that it is not the article
+PRIOR = {PLAIN: 1.0, NAMED: 0.001, ELSEWHERE: 0.001}
+ARTICLE_PRIOR, LINK_PRIOR = 3.0, 0.2
+
+
 class _Node:
-    __slots__ = ("tag", "parent", "path", "other", "link", "depth")
+    """An open element: its path (a number), what markup says of it, and the containers around its text."""
+
+    __slots__ = ("tag", "path", "kind", "link", "heading", "article", "container")
 
-    def __init__(self, tag: str, parent: "_Node | None", label: str, other: bool):
-        self.tag, self.parent = tag, parent
-        self.path = f"{parent.path}/{label}" if parent else label
-        self.other = other or (parent is not None and parent.other)
+    def __init__(self, tag: str, parent: "_Node | None", path: int, kind: int):
+        self.tag, self.path = tag, path
+        self.kind = max(kind, parent.kind if parent else PLAIN)
         self.link = tag == "a" or (parent is not None and parent.link)
-        self.depth = parent.depth + 1 if parent else 0
+        self.heading = tag in _HEADINGS or (parent is not None and parent.heading)
+        self.article = self if tag in _ARTICLE else parent.article if parent else None
+        self.container = self if parent is None or (tag in _BLOCK and tag not in _INLINE_OR_LEAF) else parent.container
 
 
-def _describe(tag: str, attributes: str) -> tuple[str, bool]:
-    """A path label, and whether the markup names the element as no part of the article."""
-    label, other = tag, tag in _OTHER_TAGS
+class _Paths:
+    """Numbers for paths: a path is its parent's number and a label."""
+
+    def __init__(self):
+        self.numbers: dict[tuple[int, str], int] = {}
+
+    def of(self, parent: int, label: str) -> int:
+        return self.numbers.setdefault((parent, label), len(self.numbers) + 1)
+
+
+def _describe(tag: str, attributes: str) -> tuple[str, int]:
+    """A path label, and what the markup says of the element."""
+    label, kind = tag, ELSEWHERE if tag in _OTHER_TAGS else PLAIN
     if attributes and tag not in ("html", "body"):
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), (a or b or c).lower()
             if name == "class":
                 label = f"{tag}.{value.strip()}"
-            if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                other = True
-            elif name == "role":
-                other = other or value.strip() in _OTHER_ROLES
-            elif name in ("class", "id") and tag not in ("article", "main"):
-                other = other or not _OTHER_WORDS.isdisjoint(_WORDS.findall(value))
-    return label, other
+            if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value.strip() in _OTHER_ROLES):
+                kind = ELSEWHERE
+            elif name in ("class", "id") and not _OTHER_WORDS.isdisjoint(_WORDS.findall(value)):
+                kind = max(kind, NAMED)
+    return label, kind
+
+
+class _Stack:
+    """The open elements, with the places of each tag and of block tags, so that no search climbs it."""
+
+    def __init__(self, root: _Node):
+        self.nodes, self.places, self.blocks = [root], {}, [0]
+        self.parents: list[int] = []
+
+    def push(self, node: _Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in _BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def cut(self, at: int) -> None:
+        while len(self.nodes) > at:
+            tag = self.nodes.pop().tag
+            self.places[tag].pop()
+            if tag in _BLOCK:
+                self.blocks.pop()
 
 
 def text_nodes(page: str) -> list[tuple[_Node, int, str]]:
     """(element, block number, decoded text) of all text, in page order."""
-    root = _Node("#root", None, "", False)
-    stack, out, block, at = [root], [], 0, 0
+    root = _Node("#root", None, 0, PLAIN)
+    paths, stack, out, block, at = _Paths(), _Stack(root), [], 0, 0
     n = len(page)
 
-    def pop_to(tags: frozenset, limit: frozenset) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in limit:
-                return
-
     while at < n:
         m = _TOKEN.search(page, at)
         text = page[at : m.start()] if m else page[at:]
         if text:
-            out.append((stack[-1], block, _html.unescape(text) if "&" in text else text))
+            out.append((stack.nodes[-1], block, _html.unescape(text) if "&" in text else text))
         if not m:
             break
         at = m.end()
@@ -117,32 +162,28 @@ def text_nodes(page: str) -> list[tuple[_Node, int, str]]:
         tag, closing, attributes = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
         if tag in _BLOCK:
             block += 1
+        if tag == "br":
+            out.append((stack.nodes[-1], block, " "))
         if closing:
-            if tag == "br":
-                out.append((stack[-1], block, " "))
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in _BLOCK and tag not in _BLOCK:
-                    break
+            place = stack.last([tag])
+            if place and (tag in _BLOCK or place > stack.blocks[-1]):  # an inline end tag ends nothing outside its block
+                stack.cut(place)
             continue
         if tag in _VOID:
-            if tag == "br":
-                out.append((stack[-1], block, " "))
             continue
-        if tag in _ENDS_P:
-            pop_to(frozenset(["p"]), _P_SCOPE)
-        if tag in _IMPLIED:
-            pop_to(*_IMPLIED[tag])
-        if tag in ("body", "head") and stack[-1].tag == "head":
-            stack.pop()
-        node = _Node(tag, stack[-1], *_describe(tag, attributes))
+        if tag in _ENDS_P and (place := stack.last(["p"])) > stack.last(_P_SCOPE):
+            stack.cut(place)
+        if tag in _IMPLIED and (place := stack.last(_IMPLIED[tag][0])) > stack.last(_IMPLIED[tag][1]):
+            stack.cut(place)
+        if tag in ("body", "head") and stack.nodes[-1].tag == "head":
+            stack.cut(len(stack.nodes) - 1)
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = end.end() if end else n
         elif not attributes.rstrip().endswith("/") or tag in _BLOCK:
-            stack.append(node)
+            parent = stack.nodes[-1]
+            label, kind = _describe(tag, attributes)
+            stack.push(_Node(tag, parent, paths.of(parent.path, label), kind))
     return out
 
 
@@ -154,62 +195,66 @@ def _smooth(values: np.ndarray, radius: int) -> np.ndarray:
     return padded / np.convolve(np.ones(len(values)), kernel)[radius : radius + len(values)]
 
 
-def path_scores(paths: list[str], texts: list[str], radius: int = 1) -> np.ndarray:
-    """The fused ratio of each node: smoothed text length per path node times smoothed punctuation per path node."""
-    index: dict[str, int] = {}
-    ids = np.array([index.setdefault(p, len(index)) for p in paths])
+def path_ratios(paths: list[int], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each node the text length and the punctuation marks of its path, divided by the path's nodes."""
+    _, ids = np.unique(np.array(paths, dtype=np.int64), return_inverse=True)
     nodes = np.bincount(ids)
     lengths = np.bincount(ids, weights=[len(t) for t in texts]) / nodes
     marks = np.bincount(ids, weights=[len(_PUNCTUATION.findall(t)) for t in texts]) / nodes
-    return _smooth(lengths[ids], radius) * (1 + _smooth(marks[ids], radius))
+    return lengths[ids], marks[ids]
+
 
+def path_scores(paths: list[int], texts: list[str], priors: list[float], radius: int = 1) -> np.ndarray:
+    """The fused score of each node."""
+    lengths, marks = path_ratios(paths, texts)
+    return np.sqrt(_smooth(lengths, radius)) * (1 + np.sqrt(_smooth(marks, radius))) * np.array(priors)
 
-def main_text(page: str | None, radius: int = 1, threshold: float = 0.5, share: float = 0.85) -> str:
+
+def _prior(node: _Node) -> float:
+    plain = ARTICLE_PRIOR if node.article is not None and node.kind == PLAIN else 1.0
+    return PRIOR[node.kind] * plain * (LINK_PRIOR if node.link else 1.0)
+
+
+def main_text(page: str | None, radius: int = 1, threshold: float = 1.0) -> str:
     """The page's article, block by block."""
-    found = [(e, b, t) for e, b, t in text_nodes(page or "") if not e.other]
-    solid = [(e, t) for e, _, t in found if t.strip()]
+    found = text_nodes(page or "")
+    solid = [(e, b, t.strip()) for e, b, t in found if t.strip()]
     if not solid:
         return ""
-    scores = path_scores([e.path for e, _ in solid], [t.strip() for _, t in solid], radius)
-    content = scores >= min(threshold * scores.std(), scores.max())
-    mass: dict[_Node, float] = {}
-    total = 0.0
-    for (e, t), s, ok in zip(solid, scores, content):
-        if not ok or e.link:
-            continue
-        weight = float(s) * len(t)
-        total += weight
-        while e is not None:
-            mass[e] = mass.get(e, 0.0) + weight
-            e = e.parent
-    best = max((e for e, m in mass.items() if m >= share * total), key=lambda e: e.depth, default=None)
-    inside = best
-    while inside is not None and inside.tag not in ("article", "main"):
-        inside = inside.parent
-    container = inside or best
-    while container is not None and inside is None and container.tag in ("p", "b", "i", "em", "strong", "span", "li", "a", "u", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "td", "tr", "tbody", "table", "ul", "ol", "dl", "dd", "dt"):
-        container = container.parent
-    blocks: dict[int, list[tuple[str, bool]]] = {}
+    scores = path_scores([e.path for e, _, _ in solid], [t for _, _, t in solid], [_prior(e) for e, _, _ in solid], radius)
+    passed = scores >= min(threshold * scores.std(), scores.max())
+    content = [(e, b) for (e, b, _), ok in zip(solid, passed) if ok]
+    if all(e.kind == ELSEWHERE for e, _ in content):
+        return ""
+    chosen = {b for e, b in content if not e.link}
+    strong = set(content)
+    articles = {e.article for e, _ in content if e.article is not None and e.kind == PLAIN}
+    containers = {e.container for e, b in content if b in chosen}
+    blocks: dict[int, list[tuple[_Node, str]]] = {}
     for e, b, t in found:
-        up = e
-        while up is not None and up is not container:
-            up = up.parent
-        if up is not None or container is None:
-            blocks.setdefault(b, []).append((t, e.link))
-    lines = []
-    for parts in blocks.values():
-        line = " ".join("".join(t for t, _ in parts).split())
-        linked = sum(len(t.strip()) for t, link in parts if link)
-        if line and (inside is not None or 2 * linked < len(line)):
+        blocks.setdefault(b, []).append((e, t))
+    lines, follows = [], False
+    for b in sorted(blocks, reverse=True):
+        parts = [(e, t) for e, t in blocks[b] if e.kind == PLAIN or (e, b) in strong]
+        line = " ".join("".join(t for _, t in parts).split())
+        if line and b not in chosen and not any(e.article in articles for e, _ in parts):
+            linked = sum(len(t.strip()) for e, t in parts if e.link)
+            beside = any(e.container in containers for e, _ in parts) or (follows and any(e.heading for e, _ in parts))
+            line = line if beside and 2 * linked < len(line) else ""
+        if line:
             lines.append(line)
-    return "\n".join(lines)
+        if line or any(t.strip() for _, t in blocks[b]):
+            follows = bool(line)
+    return "\n".join(reversed(lines))
 
 
 def extract(html: Column) -> Column:
     """Text column of an html column."""
 
     @F.arrow_udf("string")
-    def extracted(pages: pa.Array) -> pa.Array:
-        return pa.array([main_text(x.as_py()) for x in pages], pa.string())
+    def extracted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for pages in batches:
+            yield pa.array([main_text(x.as_py()) for x in pages], pa.string())
+        K.trim()
 
     return extracted(html)
