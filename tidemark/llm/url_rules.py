@@ -8,8 +8,11 @@ prefixes. Prefix intervals nest or are disjoint, so one sorted sweep over rule
 openings, rule closings and URLs suffices: the running count of open rules is
 the height of the stack, and the rule on top is the last one opened at that height.
 
-Suffixes with many URLs are split into salted parts in proportion to their share
-of all URLs, and their rules are repeated per part; no part grows with a hot host.
+The sorted sequence of all events is dealt by ranges of (suffix, key, host), so a
+hot suffix, and even a hot key, spreads over as many parts as its share asks for,
+and no rule is repeated per part. A part begins with the rules that are still open
+where it starts: those of its first suffix whose keys are prefixes of its first
+key. These are found by one lookup per part, and their number is the nesting depth.
 
 Nulls and edge cases: a null URL or one without ``://`` has host and path ``''``.
 Repeated rows stay. Of rules with equal host and path, ``block`` wins. With no
@@ -23,14 +26,19 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import scratch
+
+OPEN, POINT, CLOSE = 1, 2, 3
 SEPARATOR = "\u0001"
 ALLOW, BLOCK = "allow", "block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def rule_table(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> DataFrame:
-    """(verdict, host, path) triples as a DataFrame."""
-    return spark.createDataFrame(list(rules), "verdict string, host string, path string")
+    """(verdict, host, path) triples as a DataFrame of literals."""
+    rows = [F.struct(*[F.lit(x).cast("string").alias(n) for n, x in zip(("verdict", "host", "path"), r)]) for r in rules]
+    kind = "array<struct<verdict:string,host:string,path:string>>"
+    return spark.range(1).select(F.inline(F.array(*rows).cast(kind)))
 
 
 def split_url(url) -> tuple:
@@ -60,6 +68,7 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
         .agg(F.max("verdict").alias("verdict"))  # 'block' sorts after 'allow'
         .select("suffix", "rule_path", "verdict", F.concat(_reversed(F.col("suffix")), F.lit(SEPARATOR), "rule_path").alias("pos"))
     )
+    kept = scratch.cut(kept, "rules")  # of known size, so the optimizer can choose to broadcast it
     labels = F.split("host", r"\.")
     looked_up = (
         rows.where("host != ''")
@@ -69,40 +78,42 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
         .withColumn("k", F.explode(F.sequence(F.lit(1), F.size("labels"))))
         .withColumn("suffix", F.array_join(F.slice("labels", F.col("k"), F.size("labels")), "."))
         .drop("labels", "k")
-        .join(kept.select("suffix").distinct(), "suffix", "left_semi")
+        .join(kept.select("suffix"), "suffix", "left_semi")
     )
-    shares = looked_up.groupBy("suffix").count()
-    total = shares.agg(F.sum("count").alias("total"))
-    salts = shares.join(F.broadcast(total)).select("suffix", F.greatest(F.lit(1), F.ceil(F.col("count") * parts * 2 / F.col("total"))).cast("int").alias("salts"))
-
-    points = looked_up.join(salts, "suffix").select(
-        "suffix",
-        F.pmod(F.xxhash64("host", "path"), F.col("salts")).cast("int").alias("salt"),
-        F.concat(_reversed(F.col("suffix")), F.lit(SEPARATOR), "path").alias("pos"),
-        F.lit(2).alias("kind"),
-        F.lit(0).alias("step"),
-        "host",
-        "path",
-        F.lit(None).cast("struct<rule:string,verdict:string>").alias("opened"),
+    none = F.lit(None).cast("string")
+    points = looked_up.select(
+        "suffix", F.concat(_reversed(F.col("suffix")), F.lit(SEPARATOR), "path").alias("pos"), F.lit(POINT).alias("kind"), "host", "path", none.alias("rule"), none.alias("verdict")
     )
-    bounds = kept.join(salts, "suffix").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    opened = F.struct(F.concat("suffix", "rule_path").alias("rule"), F.col("verdict").alias("verdict"))
+    opens = kept.select("suffix", "pos", F.lit(OPEN).alias("kind"), F.lit("").alias("host"), none.alias("path"), F.concat("suffix", "rule_path").alias("rule"), "verdict")
     # A key that starts with "pos" is below pos || U+10FFFF U+10FFFF in byte order.
-    opens = bounds.select("suffix", "salt", "pos", F.lit(1).alias("kind"), F.lit(1).alias("step"), F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"), opened.alias("opened"))
-    closes = bounds.select("suffix", "salt", F.concat("pos", F.lit("\U0010ffff" * 2)).alias("pos"), F.lit(3).alias("kind"), F.lit(-1).alias("step"), F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"), F.lit(None).cast("struct<rule:string,verdict:string>").alias("opened"))
-
-    sweep = Window.partitionBy("suffix", "salt").orderBy("pos", "kind", F.length("pos")).rowsBetween(Window.unboundedPreceding, 0)
-    level = Window.partitionBy("suffix", "salt", "height").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    closes = kept.select("suffix", F.concat("pos", F.lit("\U0010ffff" * 2)).alias("pos"), F.lit(CLOSE).alias("kind"), F.lit("").alias("host"), none.alias("path"), none.alias("rule"), none.alias("verdict"))
+
+    order = ["suffix", "pos", "kind", "host"]
+    events = points.unionByName(opens).unionByName(closes).repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
+    events = scratch.cut(events, "events")  # what stands in a part must not change any more
+    starts = events.groupBy("part").agg(F.min(F.struct("suffix", "pos", "kind")).alias("at"))  # a row per part
+    starts = starts.select("part", F.col("at.suffix").alias("suffix"), F.col("at.pos").alias("first"), F.col("at.kind").alias("first_kind"))
+    begun = (F.col("pos") < F.col("first")) | ((F.col("pos") == F.col("first")) & (F.col("first_kind") > OPEN))
+    still = kept.join(F.broadcast(starts), "suffix").where(F.col("first").startswith(F.col("pos")) & begun)  # at most ``parts`` rows are broadcast
+    still = still.select("suffix", "pos", F.lit(OPEN).alias("kind"), F.lit("").alias("host"), none.alias("path"), F.concat("suffix", "rule_path").alias("rule"), "verdict", "part")
+
+    step = F.when(F.col("kind") == OPEN, 1).when(F.col("kind") == CLOSE, -1).otherwise(0)
+    sweep = Window.partitionBy("part", "suffix").orderBy("pos", "kind", F.length("pos")).rowsBetween(Window.unboundedPreceding, 0)
+    level = Window.partitionBy("part", "suffix", "height").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    opened = F.when(F.col("kind") == OPEN, F.struct("rule", "verdict"))
     found = (
-        points.unionByName(opens)
-        .unionByName(closes)
-        .withColumn("height", F.sum("step").over(sweep))
-        .where("kind < 3 and height > 0")
-        .withColumn("top", F.last("opened", ignorenulls=True).over(level))
-        .where("kind = 2")
+        events.unionByName(still)
+        .repartition(parts, "part", "suffix")
+        .withColumn("height", F.sum(step).over(sweep))
+        .where((F.col("kind") != CLOSE) & (F.col("height") > 0))
+        .withColumn("top", F.last(opened, ignorenulls=True).over(level))
+        .where(F.col("kind") == POINT)
         .groupBy("host", "path")
         .agg(F.max_by("top", F.struct(F.length("top.rule"), F.col("top.verdict"), F.col("top.rule"))).alias("top"))
     )
+    found = scratch.cut(found, "fits")  # read plainly, so that a hot URL's rows can be split
+    scratch.drop(events)
+    scratch.drop(kept)
     return rows.join(found, ["host", "path"], "left").select(
         key,
         "host",
