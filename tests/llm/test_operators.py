@@ -422,7 +422,7 @@ def test_licence_base_and_labels(spark, docs, nasty, empty):
     made = ["MIT License, mit license; MIT-licenses", "gnu General\x00public  license cc by cc-by apache", "Released under the MIT License.", "mité license", "This work is licensed under the GNU General Public License, version 3."]
     extra = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "doc_id long, text string")
     for df in (docs.select("doc_id", "text"), nasty, extra):
-        for r in license_scan.scan(df, most_share=1.0).join(df.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id").collect():
+        for r in license_scan.scan(df).join(df.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id").collect():
             low = re.sub("[A-Z]", lambda m: m[0].lower(), r.text or "")
             words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
             at, labels = [], set()
@@ -433,7 +433,7 @@ def test_licence_base_and_labels(spark, docs, nasty, empty):
                 labels |= {label} if found else set()
             assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(words), len(at), min(at, default=None), max(at, default=None))
             assert r.base_labels == ",".join(sorted(labels)) and labels <= set(r.labels.split(",")) | {""} and 0 <= r.score <= 1
-    found = {r.doc_id: r.labels for r in license_scan.scan(extra, most_share=1.0).collect()}
+    found = {r.doc_id: r.labels for r in license_scan.scan(extra).collect()}
     assert found[2] == "mit,mit-notice" and found[4] == "gpl,gpl-3.0" and found[3] == ""
     assert license_scan.scan(empty).count() == 0
 
@@ -451,12 +451,47 @@ def test_all_notices_of_a_file_are_found(spark):
     stray = "redistribute obtaining charge lgpl merchantability unencumbered published binary forms granted hereby mozilla"
     texts = [four, f"{stray} {four} {stray}", mpl, f"{stray} {mpl}", "the mozilla public license 2 0", "in the of and", *(f"{stray} of the page {i}" for i in range(10)), *(f"plain {i}" for i in range(30))]
     made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for options in ({}, {"rare": 1}, {"most_share": 0.0}):
+    for options in ({}, {"rare": 2}, {"rare": 9}):
         found = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(made, **options).collect()}
         assert found[0] == found[1] == ("apache,apache-2.0,cc-by,cc-by-nc-4.0,gpl,gpl-3.0,mit,mit-notice", 1.0)
         assert found[2] == found[3] == ("mpl-2.0", 1.0) and found[4] == ("mpl-2.0", 4 / 17)
         assert all(found[i] == ("", 0.0) for i in range(5, len(texts)))
 
 
+def brute_templates(text, agree=2):
+    """Labels of templates and the best share, by trying every place."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    stands = lambda p: any(words[i : i + len(p)] == p for i in range(len(words)))
+    labels, best = set(), 0.0
+    for t in license_scan.TEMPLATES:
+        own, keys = t.words.split(), [k.split() for k in t.keys]
+        if not all(map(stands, keys)):
+            continue
+        marked = {i + j for k in keys for i in range(len(own)) if own[i : i + len(k)] == k for j in range(len(k))}
+        for off in range(-len(own), len(words)):
+            same = {i for i, w in enumerate(own) if 0 <= off + i < len(words) and words[off + i] == w}
+            if len(same & marked) >= agree:
+                labels.add(t.label)
+                best = max(best, len(same) / len(own))
+    return labels, best
+
+
+def test_templates_against_brute_force(spark, docs):
+    rng = random.Random(8)
+    texts = [r.text for r in docs.limit(60).collect()]
+    for t in license_scan.TEMPLATES:
+        own = t.words.split()
+        texts += [t.words.upper(), f"...{t.words.replace(' ', ' -- ')}?!", " ".join(own[2:]), " ".join(own[:-3]) + " end", " ".join(["x\u0130", *own[: len(own) // 2], "new words here", *own[len(own) // 2 :]])]
+        texts.append(" ".join(w for w in own if rng.random() < 0.9) + " " + " ".join(t.keys))
+        texts.append(" and ".join(reversed(t.keys)) + " mit license")
+    texts += ["li\u212aense mit licen\u017fe", " ".join(t.words for t in license_scan.TEMPLATES), None, "", " . "]
+    for made in (texts, [license_scan.TEMPLATES[15].words], texts[-6:]):  # whole corpora and small ones give a file the same labels
+        df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+        for r in license_scan.scan(df).collect():
+            labels, best = brute_templates(made[r.doc_id])
+            assert set(r.labels.split(",")) - {""} == labels | set(r.base_labels.split(",")) - {""}, made[r.doc_id]
+            assert r.score == (1.0 if r.n_base else best)
+
+
 def test_scratch_is_shared_folder(spark):
     assert scratch.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -2,30 +2,39 @@
 
 Texts become words (A-Z lower-cased; runs of letters a-z, digits and non-ASCII
 characters). Base labels come from fixed phrases whose words stand consecutively.
-Further labels come from licence notices ("templates"): inverse document
-frequencies of all template words are counted over the whole corpus; a template is
-a candidate if the rarest words of its key phrases stand in the file; it is verified
-if all of its key phrases do; and it is accepted where at least ``agree`` of its
-words have the same position relative to it, by its words' postings. ``rare`` and
-``most_share`` bound which words are looked up first; results do not depend on them.
-
-Only the templates' vocabulary (bounded by their length) reaches the driver.
+Further labels come from paragraphs of licence texts ("templates"), each with
+mandatory key phrases:
+
+1. Rare words. Inverse document frequencies of all phrase words are counted over
+   the whole corpus. Of each phrase the ``rare`` words with the highest are looked up
+   in every file; a template is in question if the file holds those of all its phrases.
+2. Positions. The postings of the phrases' words (template, place) give for each hit
+   the place where the template would begin; only places that ``agree`` or more hits
+   share stay.
+3. Phrases. Templates with such a place are accepted if all their key phrases stand
+   in the file consecutively. A place's share is that of all the template's words that
+   stand in the file at their relative positions.
+
+The frequencies order the words and so decide the cost, never the result: a file's
+labels and score depend on its own words alone. Only the phrases' vocabulary, which
+the templates bound, reaches the driver.
 
 Nulls and edge cases: a null or empty text has no words, no labels and score 0.
-Repeated rows are scanned one by one. ``first_word`` and ``last_word`` are null
-without a base phrase; occurrences that overlap all count. The score is 1 with a
-base phrase, else the best accepted template's share of words in place.
+Repeated rows are scanned one by one; extra columns are dropped. ``first_word`` and
+``last_word`` are null without a base phrase; occurrences that overlap all count.
+The score is 1 with a base phrase, else the best accepted template's share.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 BASE = (
     ("gnu general public license", "gpl"),
@@ -37,36 +46,63 @@ BASE = (
 
 @dataclass(frozen=True)
 class Template:
+    """A paragraph's words, and the phrases of it (of two words or more) that a file must hold."""
+
     label: str
     words: str
     keys: tuple[str, ...]
 
 
+_FREE = "is free software you can redistribute it and or modify it under the terms of the"
+_LATER = "as published by the free software foundation either"
+_OPTION = "of the license or at your option any later version"
+
+#: Short notices and paragraphs of public licence texts: fixed values.
 TEMPLATES = (
     Template("gpl-3.0", "this work is licensed under the gnu general public license version 3", ("gnu general public license", "version 3")),
-    Template("gpl-notice", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ("free software", "general public license")),
-    Template("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license", ("gnu lesser general public license",)),
-    Template("apache-2.0", "licensed under the apache license version 2 0", ("apache license", "version 2 0")),
+    Template("gpl-notice", f"this program {_FREE} gnu general public license {_LATER} version 3 {_OPTION}", ("free software", "general public license")),
+    Template("gpl-notice", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details", ("in the hope that it will be useful", "see the gnu general public license for more details")),
+    Template("gpl-notice", "you should have received a copy of the gnu general public license along with this program if not see https www gnu org licenses", ("you should have received a copy", "gnu general public license along with this program")),
+    Template("lgpl", f"this library {_FREE} gnu lesser general public license {_LATER} version 2 1 {_OPTION}", ("gnu lesser general public license",)),
+    Template("agpl-3.0", f"this program {_FREE} gnu affero general public license {_LATER} version 3 {_OPTION}", ("gnu affero general public license",)),
+    Template("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0", ("apache license", "version 2 0")),
+    Template("apache-terms", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license", ("required by applicable law or agreed to in writing", "specific language governing permissions and limitations")),
     Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("cc by nc", "4 0")),
     Template("cc-by-sa-4.0", "licensed under cc by sa 4 0", ("cc by sa", "4 0")),
+    Template("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license", ("creative commons attribution", "4 0 international")),
+    Template("cc0-1.0", "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law including all related and neighboring rights to the extent allowed by law", ("associated a work with this deed", "public domain by waiving all")),
     Template("mit-notice", "released under the mit license", ("released under", "mit license")),
-    Template("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted", "free of charge")),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use", "binary forms")),
+    Template("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions", ("permission is hereby granted", "free of charge")),
+    Template("mit-text", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software", ("merchantability fitness for a particular purpose and noninfringement", "or other dealings in the software")),
+    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", ("redistribution and use", "binary forms")),
+    Template("bsd", "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage", ("provided by the copyright holders and contributors", "procurement of substitute goods or services")),
+    Template("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ("names of its contributors", "endorse or promote products derived from this software")),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", ("permission to use copy modify", "for any purpose with or without fee is hereby granted")),
+    Template("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions", ("permission is granted to anyone to use this software", "to alter it and redistribute it freely")),
+    Template("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following", ("any person or organization obtaining a copy", "covered by this license")),
     Template("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license", "2 0")),
-    Template("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software", "public domain")),
+    Template("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means", ("unencumbered software", "public domain")),
 )
 
 
 def words(text: Column) -> Column:
-    """The text's words, with one space between them."""
-    low = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    return F.trim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
+    """Array of the text's words; one more, empty, stands before or after them where the text begins or ends with a separator.
+
+    Lower case beyond A-Z cannot make a word equal to one of ASCII letters but for
+    the two characters that are put out of the way first.
+    """
+    low = F.lower(F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("\u0130"), F.lit("\xdf")), F.lit("\u212a"), F.lit("\xdf")))
+    return F.split(low, SEPARATORS, -1)
 
 
 def _spaces(text: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))).cast("long")
 
 
+def _literals(values: Iterable[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+
 def _occurrences(padded: Column, n_words: Column, phrase: str) -> Column:
     """Count, first and last start of a phrase in '| w0 w1 ... '; null where it does not stand."""
     parts = F.split(padded, f"(?= {phrase} )", -1)  # cut before each start, so overlapping ones count
@@ -78,69 +114,86 @@ def _occurrences(padded: Column, n_words: Column, phrase: str) -> Column:
     return F.when(F.contains(padded, F.lit(f" {phrase} ")), found)
 
 
-def frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
-    """Number of documents, and of those with each vocabulary word."""
-    tokens = docs.select(words(F.col(text)).alias("w")).select(F.split("w", " ").alias("w"))
-    held = tokens.select(F.array_distinct(F.filter("w", lambda w: w.isin(vocabulary))).alias("w"))
-    marked = held.select(F.explode(F.concat(F.col("w"), F.array(F.lit("")))).alias("w"))  # '' counts the document
-    counts = {r["w"]: r["count"] for r in marked.groupBy("w").count().collect()}  # a row per vocabulary word
-    return counts.pop("", 0), counts
+def frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> dict[str, int]:
+    """Number of documents with each vocabulary word."""
+    held = docs.select(F.explode(F.array_intersect(words(F.col(text)), _literals(vocabulary))).alias("w"))
+    return {r["w"]: r["count"] for r in held.groupBy("w").count().collect()}  # a row per vocabulary word
+
 
+def _looked_up(phrases: Iterable[str], df: dict[str, int], rare: int) -> list[str]:
+    """Of each phrase the words with the highest inverse document frequency."""
+    return sorted({w for p in phrases for w in sorted(set(p.split()), key=lambda w: (df.get(w, 0), w))[:rare]})
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tuple[Template, ...] = TEMPLATES, base: tuple[tuple[str, str], ...] = BASE, rare: int = 6, agree: int = 2, most_share: float = 0.1) -> DataFrame:
+
+def _phrase_places(t: Template) -> list[int]:
+    """Places of a template's words that belong to its key phrases."""
+    ws = t.words.split()
+    out = set()
+    for key in t.keys:
+        ks = key.split()
+        out |= {i + j for i in range(len(ws)) if ws[i : i + len(ks)] == ks for j in range(len(ks))}
+    return sorted(out)
+
+
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tuple[Template, ...] = TEMPLATES, base: tuple[tuple[str, str], ...] = BASE, rare: int = 1, agree: int = 2) -> DataFrame:
     """``key, n_words, n_base, first_word, last_word, base_labels, labels, score`` for every document."""
-    spelled = [t.words.split() for t in templates]
-    phrased = [sorted({w for k in t.keys for w in k.split()}) for t in templates]
-    indexed = sorted({w for t in (*spelled, *phrased) for w in t})
-    total, df = frequencies(docs, text, indexed)
-    asked = [sorted((w for w in ws if df.get(w, 0) <= most_share * total), key=lambda w: (df.get(w, 0), w))[:rare] for ws in phrased]
+    vocabulary = sorted({w for p in [*(p for p, _ in base), *(k for t in templates for k in t.keys)] for w in p.split()})
+    df = frequencies(docs, text, vocabulary)
+    asked = [_looked_up(t.keys, df, rare) for t in templates]
+    asked_base = [_looked_up([p], df, rare) for p, _ in base]
+    index = sorted({w for ws in [*asked, *asked_base] for w in ws})
 
     rows = docs.select(F.col(key).alias("k"), words(F.col(text)).alias("w"))
-    count = F.when(F.col("w") == "", F.lit(0)).otherwise(_spaces(F.col("w")) + 1).cast("long")
-    rows = rows.select("k", "w", F.concat(F.lit("| "), "w", F.lit(" ")).alias("padded"), count.alias("n_words"))
+    lead, trail = (F.get("w", F.lit(0)) == "").cast("int"), (F.element_at("w", -1) == "").cast("int")
+    n_words = F.greatest(F.size("w") - lead - trail, F.lit(0)).cast("long")
+    rows = rows.select("k", "w", n_words.alias("n_words"), lead.alias("lead"), F.array_intersect("w", _literals(index)).alias("held"))
+
+    def holds(looked_up: list[str]) -> Column:
+        return reduce(lambda a, b: a & b, [F.array_contains("held", w) for w in looked_up])
+
+    in_question = F.array_compact(F.array(*[F.when(holds(ws), F.lit(i)) for i, ws in enumerate(asked)])).cast("array<int>")
+    base_asked = reduce(lambda a, b: a | b, [holds(ws) for ws in asked_base])
+    some = F.size("held") > 0
+    rows = rows.select("k", "w", "n_words", "lead", F.when(some, in_question).alias("asked"), F.when(some, base_asked).alias("asked_base"))
+    needed = F.coalesce(F.col("asked_base") | (F.size("asked") > 0), F.lit(False))
+    padded = F.when(needed, F.concat(F.lit("| "), F.trim(F.array_join("w", " ")), F.lit(" ")))
+    rows = rows.select("k", "w", "n_words", "lead", "asked", padded.alias("padded"))
     found = [_occurrences(F.col("padded"), F.col("n_words"), phrase).alias(f"b{i}") for i, (phrase, _) in enumerate(base)]
-    rows = rows.select("k", "w", "padded", "n_words", *found)
-
-    at = F.transform(F.split("w", " "), lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    hits = F.filter(at, lambda x: x["w"].isin(indexed)) if indexed else F.array().cast("array<struct<w:string,i:int>>")
-    rows = rows.select("k", "padded", "n_words", *(f"b{i}" for i in range(len(base))), hits.alias("hits"))
-
-    if indexed:
-        posted = sorted({w for t in spelled for w in t})
-        postings = F.create_map(
-            *[
-                x
-                for w in posted
-                for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p"), F.lit(len(ws)).alias("n")) for t, ws in enumerate(spelled) for p, v in enumerate(ws) if v == w]))
-            ]
-        )
-        rows = rows.withColumn("held", F.array_distinct(F.transform("hits", lambda x: x["w"])))
-        verified = []
-        for i, t in enumerate(templates):
-            tests = [F.size("hits") >= agree, *(F.array_contains("held", w) for w in asked[i]), *(F.contains("padded", F.lit(f" {k} ")) for k in t.keys)]
-            verified.append(F.when(reduce(lambda a, b: a & b, tests), F.lit(i)))
-        rows = rows.withColumn("verified", F.array_compact(F.array(*verified)))
-        anchors = F.flatten(
-            F.transform(
-                F.filter("hits", lambda x: x["w"].isin(posted)),
-                lambda x: F.transform(F.filter(F.element_at(postings, x["w"]), lambda p: F.array_contains("verified", p["t"])), lambda p: F.struct(p["t"].alias("t"), (x["i"] - p["p"]).alias("off"), p["n"].alias("n"))),
-            )
+
+    # words of the phrases with their places in the file, and for each the templates' places for it
+    spelled = [t.words.split() for t in templates]
+    postings: dict[str, list[tuple[int, int]]] = {}
+    for i, t in enumerate(templates):
+        for place in _phrase_places(t):
+            postings.setdefault(spelled[i][place], []).append((i, place))
+    none = F.array().cast("array<struct<t:int,off:int>>")
+    if postings:
+        posted = F.create_map(*[x for w, at in sorted(postings.items()) for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in at]))])
+        hits = F.filter(F.transform("w", lambda w, i: F.struct(w.alias("w"), (i - F.col("lead")).alias("i"))), lambda x: x["w"].isin(sorted(postings)))
+        starts = F.flatten(
+            F.transform(hits, lambda x: F.transform(F.filter(F.element_at(posted, x["w"]), lambda p: F.array_contains("asked", p["t"])), lambda p: F.struct(p["t"].alias("t"), (x["i"] - p["p"]).alias("off"))))
         )
-        none = F.array().cast("array<struct<t:int,off:int,n:int>>")
-        rows = rows.withColumn("anchors", F.when(F.size("verified") > 0, F.array_sort(anchors)).otherwise(none))
-        start = F.struct(F.lit(-1).alias("t"), F.lit(0).alias("off"), F.lit(0).alias("run"), F.lit(0.0).alias("best"))
-
-        def step(a: Column, x: Column) -> Column:
-            run = F.when((a["t"] == x["t"]) & (a["off"] == x["off"]), a["run"] + 1).otherwise(1)
-            share = F.when(run >= agree, F.least(F.lit(1.0), run / x["n"])).otherwise(0.0)
-            return F.struct(x["t"].alias("t"), x["off"].alias("off"), run.alias("run"), F.greatest(a["best"], share).alias("best"))
-
-        best = F.aggregate("anchors", start, step, lambda a: a["best"])
-        in_place = F.filter(F.transform("anchors", lambda x, i: F.when((F.get("anchors", i + agree - 1)["t"] == x["t"]) & (F.get("anchors", i + agree - 1)["off"] == x["off"]), x["t"])), lambda t: t.isNotNull())
-        names = F.array(*[F.lit(t.label) for t in templates])
-        own = F.transform(F.array_distinct(in_place), lambda t: F.get(names, t))
+        starts = F.when(F.size("asked") > 0, F.array_sort(starts)).otherwise(none)
     else:
-        best, own = F.lit(0.0), F.array().cast("array<string>")
+        starts = none
+    rows = rows.select("k", "w", "n_words", "lead", "padded", *found, starts.alias("starts"))
+    # sorted, a place shared by ``agree`` hits stands that often in a row
+    agreed = F.filter(F.transform("starts", lambda x, i: F.when(F.get("starts", i + agree - 1) == x, x)), lambda x: x.isNotNull())
+    rows = rows.withColumn("places", F.when(F.size("starts") >= agree, F.array_distinct(agreed)).otherwise(none))
+
+    keys = F.array(*[_literals(f" {k} " for k in t.keys) for t in templates]) if templates else F.array().cast("array<array<string>>")
+    texts = F.array(*[_literals(ws) for ws in spelled]) if templates else F.array().cast("array<array<string>>")
+    names = _literals(t.label for t in templates)
+    verified = F.filter("places", lambda x: F.forall(F.get(keys, x["t"]), lambda k: F.contains("padded", k)))
+    rows = rows.withColumn("places", F.when(F.size("places") > 0, verified).otherwise(none))
+
+    def share(x: Column) -> Column:
+        own = F.get(texts, x["t"])
+        in_place = F.filter(F.transform(own, lambda v, i: F.when(x["off"] + i >= 0, F.get("w", x["off"] + F.col("lead") + i) == v)), lambda same: same)
+        return F.size(in_place) / F.size(own)
+
+    best = F.when(F.size("places") > 0, F.array_max(F.transform("places", share))).otherwise(0.0)
+    own = F.when(F.size("places") > 0, F.array_distinct(F.transform("places", lambda x: F.get(names, x["t"])))).otherwise(F.array().cast("array<string>"))
 
     hit = [F.col(f"b{i}") for i in range(len(base))]
     labels = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(b.isNotNull(), F.lit(label)) for b, (_, label) in zip(hit, base)]))))
