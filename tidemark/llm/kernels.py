@@ -7,12 +7,14 @@ blocks of a few MB, so memory follows the block and not the batch.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 _M64 = (1 << 64) - 1
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
@@ -68,6 +70,11 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def lengths(column: pa.Array) -> pa.Array:
+    """Bytes of each text; of a null 0."""
+    return pa.array(np.diff(string_buffers(column)[1]), pa.int64())
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each text the index of its first word (with an end mark)."""
     n = len(data)
@@ -126,7 +133,17 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     return np.unique(rolling(hashes, n))
 
 
-def blocks(column: pa.Array, size: int = 4 * BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+def trim() -> None:
+    """Give memory that a task has freed back to the system: workers stay for the next task, their executor's limit counts them."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only glibc has it
+        pass
+
+
+def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes of text each, one row at least."""
     lengths = np.diff(string_buffers(column)[1])
     i = 0

@@ -12,8 +12,9 @@ range, and only documents of the range that the quota ends in are ordered.
 
 Nulls and edge cases: a null source is a source of its own, the last; a null text
 has size 0. Repeated rows count one by one. Ties in the seeded order fall to the
-key, then the size. Sources without words have target 0. Patterns and sources are
-metadata and held by the driver up to ``max_patterns``; beyond that it raises.
+key, then the size. Sources without words have target 0. The driver holds a row for
+each distinct set of sources, and no more. A null array of sources is empty, and its
+document is not taken. Extra columns are dropped unless ``carry`` names them.
 """
 
 from __future__ import annotations
@@ -49,51 +50,76 @@ def targets(sizes: list[int], weights: list[float], share: float = 1.5, most: fl
     return out
 
 
-def min_cost_flow(n: int, arcs: list[tuple[int, int, int, int]], source: int, sink: int) -> list[int]:
-    """Flow on each arc (from, to, capacity, cost) of a greatest flow of least cost, by successive shortest paths."""
-    graph: list[list[int]] = [[] for _ in range(n)]
-    ends, room, price = [], [], []
-    for a, b, capacity, cost in arcs:
-        for x, y, c, p in ((a, b, capacity, cost), (b, a, 0, -cost)):
-            graph[x].append(len(ends))
-            ends.append(y)
-            room.append(c)
-            price.append(p)
+def max_flow(n: int, ends: list[int], room: list[int], graph: list[list[int]], source: int, sink: int) -> None:
+    """Augment ``room`` (arc 2i and its reverse 2i + 1) to a greatest flow: blocking flows on level graphs."""
     while True:
-        far, came, waiting, queued = [float("inf")] * n, [-1] * n, deque([source]), [False] * n
-        far[source] = 0
-        while waiting:
+        level = [-1] * n
+        level[source] = 0
+        waiting = deque([source])
+        while waiting and level[sink] < 0:
             x = waiting.popleft()
-            queued[x] = False
             for e in graph[x]:
-                if room[e] > 0 and far[x] + price[e] < far[ends[e]]:
-                    far[ends[e]], came[ends[e]] = far[x] + price[e], e
-                    if not queued[ends[e]]:
-                        queued[ends[e]] = True
-                        waiting.append(ends[e])
-        if came[sink] < 0:
-            return [arc[2] - room[2 * i] for i, arc in enumerate(arcs)]
-        path, x = [], sink
-        while x != source:
-            path.append(came[x])
-            x = ends[came[x] ^ 1]
-        step = min(room[e] for e in path)
-        for e in path:
-            room[e] -= step
-            room[e ^ 1] += step
+                if room[e] > 0 and level[ends[e]] < 0:
+                    level[ends[e]] = level[x] + 1
+                    waiting.append(ends[e])
+        if level[sink] < 0:
+            return
+        at, path, x = [0] * n, [], source
+        while True:
+            if x == sink:
+                step = min(room[e] for e in path)
+                for e in path:
+                    room[e] -= step
+                    room[e ^ 1] += step
+                full = next(i for i, e in enumerate(path) if not room[e])
+                x = ends[path[full] ^ 1]
+                del path[full:]
+                continue
+            arcs = graph[x]
+            while at[x] < len(arcs) and not (room[arcs[at[x]]] > 0 and level[ends[arcs[at[x]]]] == level[x] + 1):
+                at[x] += 1
+            if at[x] < len(arcs):
+                path.append(arcs[at[x]])
+                x = ends[path[-1]]
+            elif path:
+                x = ends[path.pop() ^ 1]
+                at[x] += 1
+            else:
+                break
 
 
 def route(patterns: list[tuple[tuple[int, ...], int]], quotas: list[float], passes: int = 2) -> list[int]:
-    """Words to take from each (sources, size) pattern, ``passes`` times its size at most."""
+    """Words to take from each (sources, size) pattern, ``passes`` times its size at most.
+
+    Only the arcs into patterns cost anything (the square of the pass), so a
+    cheapest augmenting path is one into the cheapest pass left: passes are
+    opened one after the other and each is saturated by a greatest flow.
+    """
     p, s = len(patterns), len(quotas)
-    arcs = [(0, 1 + i, size, k * k) for i, (_, size) in enumerate(patterns) for k in range(passes)]
-    arcs += [(1 + i, 1 + p + j, passes * size, 0) for i, (members, size) in enumerate(patterns) for j in members]
-    arcs += [(1 + p + j, 1 + p + s, int(q + 0.5), 0) for j, q in enumerate(quotas)]
-    flow = min_cost_flow(p + s + 2, arcs, 0, p + s + 1)
-    return [sum(flow[i * passes : (i + 1) * passes]) for i in range(p)]
+    graph: list[list[int]] = [[] for _ in range(p + s + 2)]
+    ends, room = [], []
 
+    def arc(a: int, b: int, capacity: int) -> None:
+        for x, y, c in ((a, b, capacity), (b, a, 0)):
+            graph[x].append(len(ends))
+            ends.append(y)
+            room.append(c)
 
-def mix(docs: DataFrame, members: Column, key: str = "doc_id", text: str = "text", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, passes: int = 2, seed: str = "mix", max_patterns: int = 100_000, carry: list[str] | None = None) -> DataFrame:
+    for i in range(p):
+        arc(0, 1 + i, 0)
+    for i, (members, size) in enumerate(patterns):
+        for j in members:
+            arc(1 + i, 1 + p + j, passes * size)
+    for j, q in enumerate(quotas):
+        arc(1 + p + j, 1 + p + s, int(q + 0.5))
+    for _ in range(passes):
+        for i, (_, size) in enumerate(patterns):
+            room[2 * i] += size
+        max_flow(p + s + 2, ends, room, graph, 0, p + s + 1)
+    return [room[2 * i + 1] for i in range(p)]
+
+
+def mix(docs: DataFrame, members: Column, key: str = "doc_id", text: str = "text", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, passes: int = 2, seed: str = "mix", carry: list[str] | None = None) -> DataFrame:
     """Per document: key, ``size``, ``sources`` (array), ``copies``, ``taken``, and for its first source ``source_size`` and ``target``.
 
     ``members`` is an array column of the sources that hold a document; ``carry`` names more columns to keep.
@@ -101,39 +127,38 @@ def mix(docs: DataFrame, members: Column, key: str = "doc_id", text: str = "text
     spark = docs.sparkSession
     kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry or [])]
     spot = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    rows = docs.select(F.col(key).alias("k"), word_count(F.col(text)).alias("size"), F.array_sort(F.array_distinct(members)).alias("m"), spot.alias("at"), *kept)
-    rows = rows.withColumn("bin", F.substring("at", 1, 3))
+    sources = F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>"))))
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), sources.alias("m"), spot.alias("at"), *kept)
+    rows = rows.withColumns({"p": F.to_json(F.struct("m")), "bin": F.substring("at", 1, 3)})
+
+    def sized(df: DataFrame) -> DataFrame:
+        return df.withColumn("size", word_count(F.col("t"))) if kept else df
+
     if not kept:  # a narrow table is read again more cheaply than texts are counted again
-        rows = scratch.cut(rows, "sizes")
-    found = rows.groupBy("m").agg(F.sum("size").alias("size")).limit(max_patterns + 1).collect()
-    if len(found) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns")
-    names = sorted({s for r in found for s in r["m"]}, key=lambda s: (s is None, (s or "").encode("utf-32-be")))
+        rows = scratch.cut(rows.withColumn("size", word_count(F.col("t"))).drop("t"), "sizes")
+    # a row for each pattern and hash range, from one pass over the texts
+    bins = scratch.cut(sized(rows).groupBy("p", "m", "bin").agg(F.sum("size").alias("in_bin")), "bins")
+    patterns = [(r["p"], tuple(r["m"]), r["size"]) for r in bins.groupBy("p", "m").agg(F.sum("in_bin").alias("size")).orderBy("p").toLocalIterator()]
+    names = sorted({s for _, m, _ in patterns for s in m}, key=lambda s: (s is None, (s or "").encode("utf-32-be")))
     index = {s: i for i, s in enumerate(names)}
     sizes = [0] * len(names)
-    for r in found:
-        for s in r["m"]:
-            sizes[index[s]] += r["size"]
+    for _, m, size in patterns:
+        for s in m:
+            sizes[index[s]] += size
     quotas = targets(sizes, [weights[i % len(weights)] for i in range(len(names))], share, float(passes))
-    take = route([(tuple(index[s] for s in r["m"]), r["size"]) for r in found], quotas, passes)
-    plan = [(r["m"], t // r["size"] if r["size"] else 0, t % r["size"] if r["size"] else 0, sizes[index[r["m"][0]]] if r["m"] else 0, quotas[index[r["m"][0]]] if r["m"] else 0.0) for r, t in zip(found, take)]
-    plan = spark.createDataFrame(plan, "m array<string>, whole int, rest long, source_size long, target double")  # a row per pattern
-    keyed = F.to_json(F.struct("m")).alias("p")
-    plan = plan.select(keyed, "whole", "rest", "source_size", "target")
-
-    rows = rows.withColumn("p", F.to_json(F.struct("m")))
-    bins = rows.groupBy("p", "bin").agg(F.sum("size").alias("in_bin"))
+    take = route([(tuple(index[s] for s in m), size) for _, m, size in patterns], quotas, passes)
+    plan = [(p, t // size if size else 0, t % size if size else 0, sizes[index[m[0]]] if m else 0, quotas[index[m[0]]] if m else 0.0) for (p, m, size), t in zip(patterns, take)]
+    plan = spark.createDataFrame(plan, "p string, whole int, rest long, source_size long, target double")  # a row per pattern
+
+    # Sums by range grow with the range: those below the one that the rest ends in are taken whole, those above not at all.
     until = F.sum("in_bin").over(Window.partitionBy("p").orderBy("bin"))
-    bins = bins.withColumn("before", until - F.col("in_bin")).join(F.broadcast(plan), "p")
-    # 2 * sum - size <= 2 * rest decides a document, so a range is settled unless the end of the rest lies in it
-    side = F.when(F.col("before") + F.col("in_bin") <= F.col("rest"), 1).when(F.col("before") >= F.col("rest"), 0).otherwise(2)
-    bins = bins.select("p", "bin", "before", side.alias("side"))
-    # at most 4096 ranges for each of at most max_patterns patterns
-    placed = rows.join(F.broadcast(bins.where("side > 0")) if len(found) <= 64 else bins.where("side > 0"), ["p", "bin"], "left").join(F.broadcast(plan), "p")
+    ends = bins.withColumn("until", until).join(plan, "p").where("until > rest").groupBy("p").agg(F.min("bin").alias("edge"), F.min_by(F.col("until") - F.col("in_bin"), "bin").alias("before"))
+    plan = scratch.cut(plan.join(ends, "p", "left").select("p", "whole", "rest", "source_size", "target", F.coalesce("edge", F.lit("~")).alias("edge"), "before"), "plan")
+    placed = rows.join(plan, "p")
     seeded = Window.partitionBy("p", "bin").orderBy("at", "k", "size").rowsBetween(Window.unboundedPreceding, 0)
     columns = ["k", "size", "m", "source_size", "target", "whole", *(f"c{i}" for i in range(len(kept)))]
-    settled = placed.where("side is null or side = 1").select(*columns, F.coalesce("side", F.lit(0)).alias("extra"))
-    edge = placed.where("side = 2").withColumn("sum", F.col("before") + F.sum("size").over(seeded))
+    settled = sized(placed.where("bin != edge")).select(*columns, (F.col("bin") < F.col("edge")).cast("int").alias("extra"))
+    edge = sized(placed.where("bin = edge")).withColumn("sum", F.col("before") + F.sum("size").over(seeded))
     edge = edge.select(*columns, (2 * F.col("sum") - F.col("size") <= 2 * F.col("rest")).cast("int").alias("extra"))
     copies = (F.col("whole") + F.when(F.col("size") > 0, F.col("extra")).otherwise(0)).cast("int")
     copies = F.when(F.col("size") > 0, copies).otherwise(0)

@@ -27,10 +27,12 @@ identified by 64-bit hashes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -48,10 +50,11 @@ _CHUNK = 4096
 
 
 def _blocks(batches, column: int):
-    """Batches cut to a few MB of text."""
+    """Batches cut to a few MB of text; at their end, freed memory goes back."""
     for batch in batches:
         for i, j in K.blocks(batch.column(column), 2 * K.BLOCK_BYTES):
             yield batch.slice(i, j - i)
+    K.trim()
 
 
 def _sets(texts: pa.Array, n: int):
@@ -244,6 +247,11 @@ def _by_length(lists: DataFrame) -> DataFrame:
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE) -> DataFrame:
     """``key, n_shingles, component_id``: the smallest key that each document reaches by links."""
+    return classes(docs, key, text, n).select(F.col(key), "n_shingles", "component_id")
+
+
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE) -> DataFrame:
+    """As :func:`link`, with ``node`` (a hash of the document's set) and ``class_id`` (the least node of its class); both null without words."""
     with scratch.lean(docs.sparkSession):
         return _link(docs, key, text, n)
 
@@ -301,5 +309,40 @@ def _link(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
 
     class_key = rows.where("node is not null").groupBy("node").agg(F.min("key").alias("least")).join(reached, "node", "left").withColumn("low", F.coalesce("low", "node"))
     lowest = class_key.groupBy("low").agg(F.min("least").alias("component_id"))
-    named = class_key.join(lowest, "low").select("node", "component_id")
-    return rows.join(named, "node", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+    named = class_key.join(lowest, "low").select("node", "component_id", F.col("low").alias("class_id"))
+    return rows.join(named, "node", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("class_id").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"), "node", "class_id")
+
+
+def node_of(text: Column, n: int = SHINGLE) -> Column:
+    """The node of each text, as :func:`classes` names it; null for an empty set."""
+
+    @F.arrow_udf("long")
+    def described(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = [_node(s) if len(s) else None for i, j in K.blocks(texts, 2 * K.BLOCK_BYTES) for s in _sets(texts.slice(i, j - i), n)]
+            yield pa.array(found, pa.int64())
+        K.trim()
+
+    return described(text)
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE) -> DataFrame:
+    """One row of each class of linked documents, and every row without words; all columns are kept.
+
+    The row with the smallest key stays (null keys last); of rows of one class that
+    share this key, the first in the order of their columns. Rows of different
+    classes that share a key are different documents and all stay.
+    """
+    found = scratch.cut(classes(docs, key, text, n), "links")
+    stays = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("k"), F.col("node").alias("__node"), "class_id")
+    # a key is plain if all of its rows are one document that stays
+    plain = F.col("k").isNotNull() & (F.col("rows") == 1)
+    counts = scratch.cut(found.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("rows")).join(stays.select("k").distinct(), "k", "left_semi").unionByName(found.where(F.col(key).isNull()).groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("rows"))), "keys")
+    alone = docs.join(counts.where(plain).select("k"), F.col(key) == F.col("k"), "left_semi")
+    if counts.where(~plain).isEmpty():
+        return alone
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    shared = docs.join(counts.where(~plain).select("k"), F.col(key).eqNullSafe(F.col("k")), "left_semi").select(F.struct(*names).alias("row"), F.col(key).alias("k"), node_of(F.col(text), n).alias("node"))
+    shared = shared.join(stays.distinct(), shared["k"].eqNullSafe(stays["k"]) & shared["node"].eqNullSafe(stays["__node"]), "inner").select("row", "node", "class_id")
+    firsts = shared.where("class_id is not null").groupBy("class_id").agg(F.min("row").alias("row")).select("row.*")
+    return alone.unionByName(firsts).unionByName(shared.where("class_id is null").select("row.*"))

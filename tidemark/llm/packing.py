@@ -34,23 +34,26 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, key: str = "doc_id",
 
     def cut(batches):
         at = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            owner, number, start, length, sums = [], [], [], [], []
-            for row, ids in enumerate(tokens.encode_array(batch.column(1), tokenizer, end_id)):
-                wide = ids.astype("<u4")
-                for k in range(0, len(wide), capacity):
-                    part = wide[k : k + capacity]
-                    owner.append(row)
-                    number.append(k // capacity)
-                    start.append(k)
-                    length.append(len(part))
-                    sums.append(zlib.crc32(part))
-            n = len(owner)
-            yield pa.record_batch(
-                [pa.array(np.arange(at, at + n)), batch.column(0).take(pa.array(owner, pa.int64())), pa.array(number, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, sums))],
-                names=["uid", "doc_id", "piece", "start", "length", "ids_crc32"],
-            )
-            at += n
+        try:
+            for batch in batches:
+                owner, number, start, length, sums = [], [], [], [], []
+                for row, ids in enumerate(tokens.encode_array(batch.column(1), tokenizer, end_id)):
+                    wide = ids.astype("<u4")
+                    for k in range(0, len(wide), capacity):
+                        part = wide[k : k + capacity]
+                        owner.append(row)
+                        number.append(k // capacity)
+                        start.append(k)
+                        length.append(len(part))
+                        sums.append(zlib.crc32(part))
+                n = len(owner)
+                yield pa.record_batch(
+                    [pa.array(np.arange(at, at + n)), batch.column(0).take(pa.array(owner, pa.int64())), pa.array(number, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, sums))],
+                    names=["uid", "doc_id", "piece", "start", "length", "ids_crc32"],
+                )
+                at += n
+        finally:
+            tokens.release()
 
     return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("t")).mapInArrow(cut, PIECES.format(key=kind))
 

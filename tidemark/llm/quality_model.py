@@ -5,22 +5,26 @@ their n-grams (1 to ``orders``) are hashed to ``1 << bits`` slots. A document is
 a sparse vector of damped counts with unit length, and its score is the logistic
 function of a sparse dot product with the weights.
 
-Training reads at most ``max_rows`` labelled documents, those with the smallest
-seeded hashes of their ids; this bound keeps the sequential pass in one task and
-does not depend on the corpus. Scoring reads every text whole.
+Training reads at most ``max_rows`` labelled documents and ``max_bytes`` of text,
+in the order of seeded hashes of their ids; these bounds keep the sequential pass in
+one task, which holds the documents' vectors and not their texts, and do not depend
+on the corpus. Scoring reads every text whole, in blocks of about a megabyte.
 
 Nulls and edge cases: rows with a null id or label teach nothing; an id with
 several labels or texts teaches the greatest of each. Null and empty texts score
 by the bias alone. Without labelled rows all weights are 0 and scores are 0.5.
+Repeated rows score alike; extra columns are not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernels as K
@@ -40,6 +44,7 @@ class Settings:
     l1: float = 0.02
     l2: float = 0.5
     max_rows: int = 8000
+    max_bytes: int = 32 << 20
     seed: int = 20
 
 
@@ -134,18 +139,33 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), key
         .orderBy("at", "id")
         .limit(settings.max_rows)
     )
-    sample = (
+    one_text = (
         docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("x"))
         .join(F.broadcast(chosen), "id")  # at most max_rows rows
         .groupBy("id", "at", "y")
         .agg(F.max("x").alias("x"))
-        .select("id", "at", "y", "x")
     )
 
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(3)
+            for i, j in K.blocks(texts):
+                rows = list(vectors(texts.slice(i, j - i), settings))
+                slots = pa.array([r[0].tobytes() for r in rows], pa.binary())
+                values = pa.array([r[1].tobytes() for r in rows], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(i, j - i) for k in range(3)), K.lengths(texts.slice(i, j - i)), slots, values], names=["id", "at", "y", "size", "slots", "values"])
+        K.trim()
+
+    kind = docs.schema[key].dataType.simpleString()
+    sample = one_text.select("id", "at", "y", "x").mapInArrow(described, f"id {kind}, at long, y int, size long, slots binary, values binary")
+    before = F.sum("size").over(Window.orderBy("at", "id").rowsBetween(Window.unboundedPreceding, -1))  # max_rows rows at most
+    sample = sample.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < settings.max_bytes)
+
     def one(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("at", "ascending"), ("id", "ascending")]).combine_chunks()
-        rows = list(vectors(table["x"].combine_chunks(), settings))
-        weights = train(rows, table["y"].to_numpy(), settings)
+        order = pc.sort_indices(table.select(["at", "id"]), [("at", "ascending"), ("id", "ascending")]).to_pylist()
+        slots, values = table["slots"], table["values"]  # views, not copies
+        rows = [(np.frombuffer(slots[i].as_buffer(), np.int32), np.frombuffer(values[i].as_buffer(), np.float32)) for i in order]
+        weights = train(rows, table["y"].to_numpy()[order], settings)
         return pa.table({"weights": pa.array([weights.tobytes()], pa.binary())})
 
     found = sample.groupBy(F.lit(0).alias("g")).applyInArrow(one, "weights binary").collect()
@@ -157,7 +177,9 @@ def score(spark, text: Column, weights: np.ndarray, settings: Settings = Setting
     shared = spark.sparkContext.broadcast(weights)
 
     @F.arrow_udf("double")
-    def scored(texts: pa.Array) -> pa.Array:
-        return pa.array(score_array(texts, shared.value, settings), pa.float64())
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(score_array(texts, shared.value, settings), pa.float64())
+        K.trim()
 
     return scored(text)

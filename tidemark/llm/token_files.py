@@ -138,6 +138,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", tex
                 out.add(ids)
                 sizes.append(len(ids))
             keys.append(batch.column(0).cast(arrow_key))
+        tokens.release()
         if out is None:
             return
         out.close()

@@ -1,12 +1,12 @@
 """Token ids by a public tokenizer file, word by word through bounded caches.
 
 The tokenizer's own pattern never crosses white space and its normaliser treats
-each word alone, so the ids of a text are those of its words in order. A Python
-worker encodes each distinct word of a block once and remembers ids. Words of ASCII and Latin-1
+each word alone, so the ids of a text are those of its words in order. A task
+encodes each distinct word of a block once and remembers ids. Words of ASCII and Latin-1
 letters are normalised and cut here and their pieces given to the library's BPE
-model; all other words go through the library's whole chain. The caches have a
-fixed size; the piece cache is begun anew when full. A probe tells whether a file behaves so;
-if not, whole texts go through the library.
+model; all other words go through the library's whole chain. Each cache is bounded
+by ``CACHE_BYTES``, begun anew when full, and emptied when its task ends. A probe tells
+whether a file behaves so; if not, whole texts go through the library.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ import pyarrow as pa
 from tidemark.llm import kernels as K
 
 END_ID = 1
-CACHE_WORDS = 150_000
+CACHE_BYTES = 16 << 20
+ENTRY_BYTES = 160  # of a cache entry beside its characters and ids
 #: Words that need no more than lower case before the tokenizer's pattern.
 _PLAIN = re.compile("[!-;=-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")  # no '<', which may begin a special token
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
@@ -54,6 +55,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         self.cache: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.cache_bytes = self.piece_bytes = 0
         self.model = self.tokenizer.model
         self.letters = {i: c for i, c in enumerate(_byte_letters())}
         whole = self._encode([_PROBE])[0]
@@ -68,11 +70,18 @@ class Encoder:
         if (ids := self.pieces.get(piece)) is None:
             spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
             ids = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
-            if len(self.pieces) >= CACHE_WORDS:
+            self.piece_bytes += ENTRY_BYTES + len(piece) + len(ids)
+            if self.piece_bytes > CACHE_BYTES:
                 self.pieces.clear()
+                self.piece_bytes = ENTRY_BYTES + len(piece) + len(ids)
             self.pieces[piece] = ids
         return ids
 
+    def release(self) -> None:
+        self.cache.clear()
+        self.pieces.clear()
+        self.cache_bytes = self.piece_bytes = 0
+
     def _words(self, words: list[str]) -> list[bytes]:
         out, other = [], []
         for i, w in enumerate(words):
@@ -92,7 +101,15 @@ class Encoder:
         spelled = [words[i].decode() for i in missing]
         for i, ids in zip(missing, (self._words if self.by_piece else self._encode)(spelled)):
             found[i] = ids
-        for i in missing[: max(0, CACHE_WORDS - len(self.cache))]:
+        self.cache_bytes += sum(ENTRY_BYTES + len(words[i]) + len(found[i]) for i in missing)
+        if self.cache_bytes > CACHE_BYTES:  # what this block does not hold goes
+            self.cache.clear()
+            self.cache_bytes = 0
+            if (size := sum(ENTRY_BYTES + len(w) + len(ids) for w, ids in zip(words, found))) <= CACHE_BYTES:
+                self.cache.update(zip(words, found))
+                self.cache_bytes = size
+            return found
+        for i in missing:
             self.cache[words[i]] = found[i]
         return found
 
@@ -136,7 +153,14 @@ def encoder(file: str) -> Encoder:
     return _ENCODERS[file]
 
 
-def encode_array(texts: pa.Array, file: str, end_id: int | None = END_ID, block: int = 4 << 20):
+def release() -> None:
+    """For the end of a task: empty caches, free memory."""
+    for enc in _ENCODERS.values():
+        enc.release()
+    K.trim()
+
+
+def encode_array(texts: pa.Array, file: str, end_id: int | None = END_ID, block: int = 2 << 20):
     """Yield the ids of each text (null: empty), with ``end_id`` at the end; block by block."""
     enc = encoder(file)
     for i, j in K.blocks(texts, block):
