@@ -17,39 +17,38 @@ SEQUENCE_LENGTH = 4096
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores at the limit or above; it learns from ``labels``."""
+    """Documents that the classifier scores at the limit or above; it learns from ``labels``. Null and empty texts score by the bias alone."""
     weights = quality_model.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.select(*COLUMNS, quality_model.score(spark, F.col("text"), weights).alias("score")).where(F.col("score") >= SCORE_LIMIT).select(*COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the repetition rules."""
+    """Documents that pass the repetition rules; null and empty texts fail, repeated rows are judged one by one."""
     return repetition.keep(docs.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest id; one without an id stays only where no linked one has any."""
-    docs = docs.select(*COLUMNS)
-    found = scratch.cut(ngram_join.link(docs), "links")
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    ids = stays.distinct().withColumnRenamed("doc_id", "stays")
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi").select(*COLUMNS)
-    repeated = stays.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not repeated:
-        return kept
-    named = F.col("doc_id").isNotNull()
-    return kept.where(named).dropDuplicates(["doc_id"]).unionByName(kept.where(~named))  # rows that share an id are one document
+    """Of each group of linked documents, the one with the smallest id.
+
+    Rows that share an id are told apart by their texts' shingle sets; of copies that
+    share one, the first by column values stays. Documents without words all stay.
+    """
+    return ngram_join.representatives(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as often as its sources' quotas take it."""
+    """The mix: each document as often as its sources' quotas take it, twice at most.
+
+    A null source is a source of its own; a text without words has size 0 and is never
+    taken. Repeated rows count one by one; ties in the seeded order fall to the id.
+    """
     mixed = mixing.mix(docs, F.array("source"), carry=["text", "lang", "source", "n_chars"])
     copies = F.explode(F.array_repeat(F.lit(0), F.col("copies")))
     return mixed.where("copies > 0").withColumn("copy", copies).select(*COLUMNS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences: every piece of every document with its place."""
+    """Training sequences: every piece of every document with its place; a null or empty text is one piece, the end id. Copies are packed one by one."""
     return packing.pack(docs, tokens.default_file(), SEQUENCE_LENGTH)
 
 
