@@ -144,6 +144,9 @@ POST_PROCESS_MISMATCH = "REJECTED_POST_PROCESS_MISMATCH"
 SPACING_CHANGED, SPACING_CLEAN = "SPACING_OPTIMIZED", "CLEAN"
 PLACED_WELL, PLACED_LIKELY, PLACED_REVIEW, PLACED_ADRIFT = "PERFECT", "HIGH_CONFIDENCE", "REVIEW_SUGGESTED", "MISALIGNED_DRIFT"
 
+# The issue type of a logged change without one, and what its explanation begins with.
+REVIEW_ISSUE, REVIEW_NOTE = "THEOLOGICAL_REVIEW", "[Scholar Review Approved] "
+
 # Reviewer answers.
 APPROVALS = ("APPROVED", "APPROVE", "ACCEPT", "YES", "TRUE", "1")
 REFUSALS = ("REJECTED", "REJECT", "NO", "FALSE", "0")
@@ -155,3 +158,16 @@ IGNORED_MARKS = "\u0E4C\u0E3A"
 # What marks the containers of keyed pages, and the fallback.
 BOX_KEY_PREFIX, BOX_CLASS = "quran-", "border-gold-400"
 KEY_CLASSES = ("tracking-tight", "font-extrabold")
+
+# Regular spacing around repetition marks and brackets, as (pattern, replacement), in this order.
+# {ws} is white space, {word} anything else, {thai} a letter, {gap} white space that is no letter.
+SPACING_RULES = (
+    ("[\u00a0\u200b\u200c\u200d\ufeff]", " "),
+    ("({word}){ws}*ๆ{ws}*({thai})", "$1 ๆ $2"),
+    ("({word}){ws}*ๆ(?={gap}|\\z)", "$1 ๆ"),
+    ("({thai})\\(", "$1 ("),
+    ("\\)({thai})", ") $1"),
+    ("\\({ws}+", "("),
+    ("{ws}+\\)", ")"),
+)
+THAI, REPETITION = "[ก-๙]", "ๆ"

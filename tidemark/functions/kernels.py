@@ -1,4 +1,4 @@
-"""Functions that no native expression gives, as Arrow and pandas kernels."""
+"""Functions that no native expression gives, as Arrow kernels."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from collections import Counter
 from difflib import SequenceMatcher
 from html.parser import HTMLParser
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +22,8 @@ def nfc(text: Column) -> Column:
     def normalized(texts: pa.Array) -> pa.Array:
         return pa.array([None if x is None else unicodedata.normalize("NFC", x) for x in texts.to_pylist()], pa.string())
 
-    return normalized(text)
+    # ASCII is in form C; only other texts go to Python
+    return F.coalesce(normalized(F.when(F.octet_length(text) != F.char_length(text), text)), text)
 
 
 def same_letters(original: Column, *others: Column) -> Column:
@@ -76,9 +76,9 @@ def sequence_ratio(a: str, b: str, autojunk: bool = True) -> float:
 def similarity(a: Column, b: Column, autojunk: bool = True) -> Column:
     """Ratcliff-Obershelp ratio; null if either side is. ``autojunk`` ignores very frequent characters of long texts."""
 
-    @F.pandas_udf("double")
-    def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else sequence_ratio(p, q, autojunk) for p, q in zip(x, y)], dtype="float64")
+    @F.arrow_udf("double")
+    def ratio(x: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array([None if p is None or q is None else sequence_ratio(p, q, autojunk) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.float64())
 
     return ratio(a, b)
 
@@ -183,138 +183,3 @@ def parse_keyed_pages(pages: DataFrame, group: str, html: str) -> DataFrame:
         return pa.array([keyed_items(t.as_py(), g.as_py()) for g, t in zip(groups, texts)], kind)
 
     return pages.select(F.inline(parsed(F.col(group).cast("int"), F.col(html))))
-
-
-# ---------------------------------------------------------------- marker alignment
-
-_NUMBERED = re.compile(r"\((\d+)\)")
-_NOISE = re.compile(r"[\sๆฯ.,!?()\-:;]+")
-
-
-def _bare(text: str) -> str:
-    """A comparison form without markers, punctuation, white space and ignored marks."""
-    out = _NOISE.sub("", re.sub(r"[\[(]\d+[\])]", "", text))
-    for mark in V.IGNORED_MARKS:
-        out = out.replace(mark, "")
-    return out
-
-
-class Aligner:
-    """Carries (n) markers of an annotated text over to a plain base text, from left to right.
-
-    Evidence, strongest first: a known phrase, the end of the text, equal
-    characters on the left, equal characters on the right, the share of letters
-    before the marker. No marker is placed before its predecessor.
-    """
-
-    SIZES, LEAST = (10, 8, 6), 4
-    SURE, RIVAL, POSSIBLE = 7, 5, 15
-
-    def __init__(self, base: str):
-        self.base = base
-        self.letters = [0]
-        for ch in base:
-            self.letters.append(self.letters[-1] + (not ch.isspace()))
-        self.total = self.letters[-1]
-
-    def _settle(self, at: int) -> int:
-        """Past combining marks and one closing character."""
-        while at < len(self.base) and self.base[at] in V.COMBINING_MARKS:
-            at += 1
-        return at + (at < len(self.base) and self.base[at] in ")]\"'")
-
-    def snap(self, at: int) -> int:
-        """To the nearest space within eight characters, if the place is inside a word."""
-        if at <= 0 or at >= len(self.base):
-            return max(0, min(at, len(self.base)))
-        at = self._settle(at)
-        if at >= len(self.base) or self.base[at].isspace() or self.base[at - 1].isspace() or self.base[at] in ".,!?:;)]":
-            return at
-        left, right = self.base.rfind(" ", max(0, at - 8), at), self.base.find(" ", at, at + 8)
-        if left >= 0 and (right < 0 or at - left <= right - at):
-            return self._settle(left)
-        return self._settle(right) if right >= 0 else at
-
-    def _matches(self, wanted: str, before: bool, seen: int, least: int) -> list[tuple[int, int]]:
-        """(letter distance, place) of windows equal to the end or the beginning of ``wanted``, longest size with any."""
-        for size in self.SIZES:
-            piece = wanted[-size:] if before else wanted[:size]
-            if len(piece) < self.LEAST:
-                continue
-            if _bare(piece) != piece:  # a window of this size has this bare form only if it is the piece
-                continue
-            found, i = [], -1
-            while (i := self.base.find(piece, i + 1)) >= 0:
-                at = i + len(piece) if before else i
-                while not before and at > 0 and self.base[at - 1].isspace():
-                    at -= 1
-                at = self._settle(at)
-                if at >= least:
-                    found.append((abs(seen - self.letters[at]), at))
-            if found:
-                return found
-        return []
-
-    def _choose(self, text: str, m: re.Match, whole: int, least: int, phrases: dict[str, str]) -> tuple[int, int]:
-        head = _NUMBERED.sub("", text[: m.start()])
-        seen = len("".join(head.split()))
-        if (phrase := phrases.get(m[1])) and (at := self.base.find(phrase)) >= 0:
-            at = self._settle(at + len(phrase))
-            return at, abs(seen - self.letters[at])
-        tail = text[m.end() :].strip()
-        if not tail.strip(".,!? \t\n\r\f\v"):
-            return len(self.base), abs(seen - self.total)
-        left = self._matches(_bare(head.rstrip()[-10:].strip()), True, seen, least)
-        right = self._matches(_bare(_NUMBERED.sub("", tail).lstrip()[:10].strip()), False, seen, least)
-        nearest = lambda found: min(found, key=lambda c: c[0])
-        best = nearest(left) if left and nearest(left)[0] <= self.SURE else None
-        if right and (best is None or best[0] > self.RIVAL) and (best is None or nearest(right)[0] < best[0]):
-            best = nearest(right)
-        if best is None and left + right and nearest(left + right)[0] <= self.POSSIBLE:
-            best = nearest(left + right)
-        if best is None:
-            share = self.total / whole if whole else 1.0
-            target = min(self.total, int(round(seen * share)))
-            at = max(least, self.snap(self.letters.index(target) if target < self.total else len(self.base)))
-            best = abs(seen - self.letters[at]), at
-        return self._settle(best[1]), best[0]
-
-    def align(self, text: str, phrases: dict[str, str]) -> tuple[str, list[tuple[int, str, int]]]:
-        whole = len("".join(_NUMBERED.sub("", text).split()))
-        places, least = [], 0
-        for m in _NUMBERED.finditer(text):
-            at, delta = self._choose(text, m, whole, least, phrases)
-            places.append((at, m[1], delta))
-            least = at
-        out = self.base
-        for at, number, _ in reversed([p for _, p in sorted(enumerate(places), key=lambda x: (x[1][0], x[0]))]):
-            out = f"{out[:at]}[{number}]{out[at:]}"
-        return out, places
-
-
-def snap_boundary(text: Column, position: Column) -> Column:
-    """An offset moved out of a word to a space within eight characters, and past combining marks."""
-
-    @F.arrow_udf("int")
-    def snapped(texts: pa.Array, at: pa.Array) -> pa.Array:
-        return pa.array([None if t is None or p is None else Aligner(t).snap(p) for t, p in zip(texts.to_pylist(), at.to_pylist())], pa.int32())
-
-    return snapped(text, position.cast("int"))
-
-
-ALIGNED = "struct<annotated:string,placements:array<struct<position:int,note_id:string,letter_delta:int>>>"
-
-
-def align_markers(annotated: Column, base: Column, phrases: Column | None = None) -> Column:
-    """Struct column (annotated, placements); ``phrases`` is a map from note id to the phrase that it follows."""
-    kind = pa.struct([("annotated", pa.string()), ("placements", pa.list_(pa.struct([("position", pa.int32()), ("note_id", pa.string()), ("letter_delta", pa.int32())])))])
-
-    @F.arrow_udf(ALIGNED)
-    def aligned(texts: pa.Array, bases: pa.Array, known: pa.Array) -> pa.Array:
-        rows = []
-        for t, b, k in zip(texts, bases, known):
-            text, places = Aligner(b.as_py() or "").align(t.as_py() or "", dict(k.as_py() or []))
-            rows.append({"annotated": text, "placements": [dict(zip(("position", "note_id", "letter_delta"), p)) for p in places]})
-        return pa.array(rows, kind)
-
-    return aligned(annotated, base, phrases if phrases is not None else F.lit(None).cast("map<string,string>"))

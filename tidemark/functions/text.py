@@ -17,6 +17,8 @@ from tidemark.functions import fixed_values as V
 #: Inside a character class: all Unicode white space and the separators U+001C to U+001F.
 WS_SET = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WS, NOT_WS = f"[{WS_SET}]", f"[^{WS_SET}]"
+#: The same characters one by one.
+WS_CHARS = "".join(chr(c) for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 MARKER = r"\((?U)\d+\)"
 BRACKET_MARKER = r"\[(?U)\d+\]"
 
@@ -26,22 +28,32 @@ def replace_all(text: Column, old: str, new: str) -> Column:
 
 
 def trim_ws(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{WS}+|{WS}+\\z", "")
+    return F.btrim(text, F.lit(WS_CHARS))
+
+
+def trim_word(text: Column) -> Column:
+    """:func:`trim_ws` for words, of which few need it."""
+    return F.when(text.rlike(rf"\A{WS}|{WS}\z"), trim_ws(text)).otherwise(text)
 
 
 def strip_ws(text: Column) -> Column:
-    """Without any white space."""
-    return F.regexp_replace(text, f"{WS}+", "")
+    """Without any white space; spaces, which are most of it, go first and fast."""
+    return F.regexp_replace(F.replace(text, F.lit(" "), F.lit("")), f"{WS}+", "")
+
+
+def _squeeze(text: Column, blanks: str) -> Column:
+    """Runs of these blanks become one space; single spaces, which are most, are not touched."""
+    return F.regexp_replace(text, rf"[{blanks}]{{2,}}|[{blanks[1:]}]", " ")
 
 
 def collapse_blanks(text: Column) -> Column:
     """Runs of spaces and tabs become one space; ends trimmed."""
-    return trim_ws(F.regexp_replace(text, r"[ \t]+", " "))
+    return trim_ws(_squeeze(text, r" \t"))
 
 
 def clean_text(text: Column) -> Column:
     """Horizontal space collapses, blank lines go, ends trimmed; null becomes ''."""
-    flat = F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\r\f\x0b]+", " ")
+    flat = _squeeze(F.coalesce(text, F.lit("")), r" \t\r\f\x0b")
     return trim_ws(F.regexp_replace(flat, rf"\n{WS}*\n", "\n"))
 
 
@@ -69,7 +81,7 @@ def occurrences(text: Column, needle: str) -> Column:
 
 def strip_markers(text: Column) -> Column:
     """Without (n) markers; horizontal space collapsed, ends trimmed."""
-    return trim_ws(F.regexp_replace(F.regexp_replace(text, MARKER, ""), r"[ \t\r\f\x0b]+", " "))
+    return trim_ws(_squeeze(F.regexp_replace(text, MARKER, ""), r" \t\r\f\x0b"))
 
 
 def note_text(note: Column) -> Column:
@@ -132,6 +144,25 @@ def context(text: Column, position: Column, width: int = 25) -> Column:
     return trim_ws(F.substring(text, start, position - start))
 
 
+def context_after(text: Column, position: Column, length: Column | int = 1, width: int = 25) -> Column:
+    """Up to ``width`` characters after something of ``length`` characters at a 1-based position, trimmed."""
+    return trim_ws(F.substring(text, position + length, F.lit(width)))
+
+
+def find_all(text: Column, pattern: str, group: int = 0) -> Column:
+    """Array of (position, match) of all matches, with 1-based positions of whole matches."""
+    parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    shown = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<position:int,match:string>>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        at = s["at"] + F.length(x["part"])
+        return F.struct((at + F.length(x["found"])).alias("at"), F.concat(s["out"], F.array(F.struct(at.alias("position"), x["shown"].alias("match")))).alias("out"))
+
+    zipped = F.arrays_zip(F.slice(parts, 1, F.size(found)).alias("part"), found.alias("found"), shown.alias("shown"))
+    return F.aggregate(zipped, start, step, lambda s: s["out"])
+
+
 def letter_count(text: Column, marker: str = MARKER) -> Column:
     """Characters that are neither markers nor white space."""
     return F.length(strip_ws(F.regexp_replace(text, marker, ""))).cast("long")
@@ -154,16 +185,18 @@ def insert_markers(text: Column, places: Column) -> Column:
 
 
 def mechanical_spacing(text: Column) -> Column:
-    """Zero-width characters, repetition marks and brackets get regular spaces."""
-    thai = r"[ก-๙]"
-    steps = [
-        (r"[\u00a0\u200b\u200c\u200d\ufeff]", " "),
-        (rf"({NOT_WS}){WS}*ๆ{WS}*({thai})", "$1 ๆ $2"),
-        (rf"({NOT_WS}){WS}*ๆ(?=[{WS_SET}&&[^ก-๙]]|\z)", "$1 ๆ"),
-        (rf"({thai})\(", "$1 ("),
-        (rf"\)({thai})", ") $1"),
-        (rf"\({WS}+", "("),
-        (rf"{WS}+\)", ")"),
-        (r"[ \t]+", " "),
-    ]
-    return trim_ws(reduce(lambda x, s: F.regexp_replace(x, *s), steps, text))
+    """Zero-width characters, repetition marks and brackets get regular spaces, blanks collapse.
+
+    Rules are not tried on texts that lack what they need: a bracket, the repetition
+    mark, or, for letters and zero-width characters, anything beyond ASCII.
+    """
+    parts = {"ws": WS, "word": NOT_WS, "thai": V.THAI, "gap": f"[{WS_SET}&&[^{V.THAI[1:]}]"}
+    rules = [(p.format(**parts), new) for p, new in V.SPACING_RULES]
+    brackets, no_mark = rules[5:], [r for r in rules if V.REPETITION not in r[0]]
+
+    def by(chain: list[tuple[str, str]]) -> Column:
+        return _squeeze(reduce(lambda x, r: F.regexp_replace(x, *r), chain, text), r" \t")
+
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    bracketed = F.contains(text, F.lit("(")) | F.contains(text, F.lit(")"))
+    return trim_ws(F.when(ascii_only & ~bracketed, by([])).when(ascii_only, by(brackets)).when(~F.contains(text, F.lit(V.REPETITION)), by(no_mark)).otherwise(by(rules)))

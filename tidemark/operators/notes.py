@@ -33,21 +33,27 @@ def reindex(annotated: Column, clean: Column, notes: Column) -> Column:
 
 def placement_audit(df: DataFrame, keys: list[str], source: str, annotated: str, base: str, note_ids: str, width: int = 25) -> DataFrame:
     """Per note: letters before its marker on both sides, their difference, context similarity and tier. Notes without both markers are left out."""
-    src, ann, plain = F.col("__source"), F.col("__annotated"), F.col("__base")
-    found = df.select(*keys, F.col(source).alias("__source"), F.col(annotated).alias("__annotated"), F.col(base).alias("__base"), F.col(note_ids).alias("__ids"))
+    src, ann = F.col("__source"), F.col("__annotated")
+    whole = F.greatest(T.letter_count(F.col(source)), F.lit(1)).alias("__whole")
+    base_all = F.greatest(F.length(T.strip_ws(F.col(base))), F.lit(1)).alias("__all")
+    found = df.select(*keys, F.col(source).alias("__source"), F.col(annotated).alias("__annotated"), whole, base_all, F.col(note_ids).alias("__ids"))
     found = found.withColumn("__s", kernels.cursor_find(src, F.transform("__ids", lambda n: F.concat(F.lit("("), n, F.lit(")")))))
     found = found.withColumn("__a", kernels.cursor_find(ann, F.transform("__ids", lambda n: F.concat(F.lit("["), n, F.lit("]")))))
-    each = found.select(*keys, "__source", "__annotated", "__base", F.inline(F.arrays_zip(F.col("__ids").alias("note_id"), F.col("__s").alias("__at"), F.col("__a").alias("__to"))))
+    each = found.select(*keys, "__source", "__annotated", "__whole", "__all", F.inline(F.arrays_zip(F.col("__ids").alias("note_id"), F.col("__s").alias("__at"), F.col("__a").alias("__to"))))
     each = each.where("__at > 0 and __to > 0")
     n_src = T.letter_count(F.substring(src, F.lit(1), F.col("__at") - 1))
     n_ann = T.letter_count(F.substring(ann, F.lit(1), F.col("__to") - 1), T.BRACKET_MARKER)
-    each = each.withColumns({"source_letters": n_src, "base_letters": n_ann})
-    share = lambda n, whole: n * 100.0 / F.greatest(T.letter_count(whole, T.MARKER), F.lit(1))
-    base_all = F.greatest(F.length(T.strip_ws(plain)), F.lit(1))
-    left_s = F.regexp_replace(T.context(src, F.col("__at"), width), T.MARKER, "")
-    left_a = F.regexp_replace(T.context(ann, F.col("__to"), width), T.BRACKET_MARKER, "")
-    each = each.withColumns({"letter_delta": F.abs(F.col("source_letters") - F.col("base_letters")), "pct_delta": F.abs(share(F.col("source_letters"), src) - F.col("base_letters") * 100.0 / base_all), "left_source": left_s, "left_base": left_a})
+    size = F.length("note_id") + 2
+    context = {
+        "left_source": F.regexp_replace(T.context(src, F.col("__at"), width), T.MARKER, ""),
+        "left_base": F.regexp_replace(T.context(ann, F.col("__to"), width), T.BRACKET_MARKER, ""),
+        "right_source": F.regexp_replace(T.context_after(src, F.col("__at"), size, width), T.MARKER, ""),
+        "right_base": F.regexp_replace(T.context_after(ann, F.col("__to"), size, width), T.BRACKET_MARKER, ""),
+    }
+    each = each.select(*keys, "note_id", "__whole", "__all", n_src.alias("source_letters"), n_ann.alias("base_letters"), *[c.alias(n) for n, c in context.items()])
+    shares = F.col("source_letters") * 100.0 / F.col("__whole") - F.col("base_letters") * 100.0 / F.col("__all")
+    each = each.withColumns({"letter_delta": F.abs(F.col("source_letters") - F.col("base_letters")), "pct_delta": F.abs(shares)})
     a, b = T.norm_token(F.col("left_source"), ""), T.norm_token(F.col("left_base"), "")
     each = each.withColumn("left_ratio", F.when((a == "") & (b == ""), 1.0).otherwise(kernels.similarity(a, b)))
     tier = rules.placement_tier(F.col("letter_delta"), F.col("pct_delta"), F.col("left_ratio"))
-    return each.select(*keys, "note_id", "source_letters", "base_letters", "letter_delta", "pct_delta", "left_source", "left_base", "left_ratio", tier.alias("status"))
+    return each.select(*keys, "note_id", "source_letters", "base_letters", "letter_delta", "pct_delta", "left_source", "left_base", "right_source", "right_base", "left_ratio", tier.alias("status"))

@@ -28,6 +28,27 @@ def fixed_batches(df: DataFrame, order: Sequence[str], size: int, group: Sequenc
     return dealt.join(F.broadcast(counts), "__p").withColumn("batch", F.floor(at / size).cast("long")).drop("__p", "__before")
 
 
+def offsets(df: DataFrame, order: str, value: str, path: str) -> DataFrame:
+    """``order``, ``value`` and ``before``, the total of ``value`` over all rows that come earlier, without a global sort.
+
+    The rows (unique numbers in ``order``) are written to ``path`` once; totals of
+    ranges of ``order`` then give each range its start, and a window within a range the rest.
+    """
+    spark = df.sparkSession
+    df.select(order, value).write.parquet(path)
+    rows = spark.read.parquet(path)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    bounds = rows.approxQuantile(order, [i / n for i in range(1, n)], 0.25 / n) if n > 1 and low is not None and low != high else []
+    part = F.size(F.filter(F.array(*map(F.lit, sorted(set(bounds)))), lambda b: b < F.col(order))) if bounds else F.lit(0)
+    dealt = rows.withColumn("__p", part)
+    totals = dealt.groupBy("__p").agg(F.sum(value).alias("__n"))
+    start = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = totals.select("__p", start.alias("__start"))  # a row per range
+    within = F.coalesce(F.sum(value).over(Window.partitionBy("__p").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return dealt.withColumn("__within", within).join(F.broadcast(totals), "__p").select(order, value, (F.col("__start") + F.col("__within")).alias("before"))
+
+
 def budget_batches(df: DataFrame, group: Sequence[str], order: Column, size: Column, budget: int) -> DataFrame:
     """Greedy batches per group: a row that would pass the budget of a batch with rows opens the next.
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import os
 import sqlite3
+import tempfile
+import uuid
+from contextlib import closing
 
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
 from tidemark.operators import relational as R
 from tidemark.plans.registry import query
-from tidemark.plans.scratch import folder
-from tidemark.sources import readers, writers
+from tidemark.plans.scratch import folder, put
+from tidemark.sources import landing, readers, writers
 from tidemark.streaming import resume
 
 TURNS = "SELECT conv_id, turn, role, text FROM conversations"
@@ -22,7 +24,7 @@ TURN_SCHEMA = "conv_id long, turn long, role string, text string"
 
 @query("scan_json_records", TURNS)
 def _(t):
-    writers.json_array(t.conversations, path := folder(t.spark, "array"))
+    writers.json_array(t.conversations, path := folder(t.spark, "array"), pretty=True)
     return readers.json_records(t.spark, path, TURN_SCHEMA)
 
 
@@ -87,12 +89,13 @@ def _(t):
 def _(t):
     from tidemark.sources import sqlite
 
-    path = folder(t.spark, "sqlite").removeprefix("file://")
-    os.makedirs(path)
-    with sqlite3.connect(f"{path}/dim.db") as db:  # a dimension of 25 rows
-        db.execute("CREATE TABLE nation (n_nationkey INTEGER, n_name TEXT, n_regionkey INTEGER)")
-        db.executemany("INSERT INTO nation VALUES (?, ?, ?)", [tuple(r) for r in t.nation.select("n_nationkey", "n_name", "n_regionkey").toLocalIterator()])
-    rows = sqlite.read(t.spark, f"{path}/dim.db", "nation")
+    path = f"{folder(t.spark, 'sqlite')}/dim-{uuid.uuid4().hex}.db"  # executors keep files by name
+    with tempfile.TemporaryDirectory() as local:
+        with closing(sqlite3.connect(f"{local}/dim.db")) as db, db:  # a dimension of 25 rows
+            db.execute("CREATE TABLE nation (n_nationkey INTEGER, n_name TEXT, n_regionkey INTEGER)")
+            db.executemany("INSERT INTO nation VALUES (?, ?, ?)", [tuple(r) for r in t.nation.select("n_nationkey", "n_name", "n_regionkey").toLocalIterator()])
+        put(t.spark, f"{local}/dim.db", path)
+    rows = sqlite.read(t.spark, path, "nation")
     return rows.select(F.col("n_nationkey").cast("int"), "n_name", F.col("n_regionkey").cast("int"))
 
 
@@ -101,14 +104,34 @@ def _(t):
     return readers.catalog({"nation": t.nation, "region": t.region})
 
 
+def _landed(df, key: str, body: str, kind: str):
+    """Bodies fetched from URLs; the test tables have no servers, so the URLs carry their data."""
+    urls = df.select(key, F.concat(F.lit(f"data:{kind};base64,"), F.base64(F.encode(body, "UTF-8"))).alias("url"))
+    return landing.land(urls, keys=[key], per_minute=60_000_000)
+
+
 @query("scan_http_html", "SELECT page_id, url, length(html) AS size FROM pages")
 def _(t):
-    return t.pages.select("page_id", "url", F.length("html").cast("long").alias("size"))
+    bodies = _landed(t.pages.select("page_id", "html"), "page_id", "html", "text/html").select("page_id", F.length("body").cast("long").alias("size"))
+    return t.pages.select("page_id", "url").join(bodies, "page_id")
 
 
 @query("scan_http_json", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def _(t):
-    return t.events.select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+    return _landed(t.events.select("event_id", "props"), "event_id", "props", "application/json").select("event_id", F.from_json("body", "k long")["k"].alias("k"))
+
+
+@query("sink_http_upsert", "SELECT n_nationkey, n_name = 'nobody' AS failed FROM nation")
+def _(t):
+    rows = t.nation.select("n_nationkey", "n_name")
+    sent = landing.push(rows, ["n_nationkey"], "n_name", lambda target, rows: None, "memory://sink")  # a service that takes everything
+    return sent.select("n_nationkey", F.col("error").isNotNull().alias("failed"))
+
+
+@query("rate_limit", "SELECT n_nationkey, CAST(n_nationkey * 6 AS DOUBLE) AS begins FROM nation")
+def _(t):
+    begins = F.array(*map(F.lit, landing.schedule(25, 10, 6.0)))  # ten calls a minute, six seconds apart
+    return t.nation.select("n_nationkey", F.get(begins, F.col("n_nationkey")).alias("begins"))
 
 
 @query("scan_http_csv", "SELECT CAST(r_regionkey AS VARCHAR) AS k, r_name AS name FROM region")
@@ -162,8 +185,10 @@ def _(t):
 
 @query("sink_split", "SELECT n_nationkey AS a, n_name AS b, 'full' AS sheet FROM nation UNION ALL SELECT n_nationkey, NULL, 'single' FROM nation")
 def _(t):
-    full = t.nation.select(F.col("n_nationkey").alias("a"), F.col("n_name").alias("b"), F.lit("full").alias("sheet"))
-    return full.unionByName(t.nation.select(F.col("n_nationkey").alias("a"), F.lit(None).cast("string").alias("b"), F.lit("single").alias("sheet")))
+    rows = t.nation.select(F.col("n_nationkey").alias("a"), F.col("n_name").alias("b"))
+    paths = writers.split(rows, {"full": ["a", "b"], "single": ["a"]}, folder(t.spark, "split"))
+    full, single = (t.spark.read.parquet(paths[n]) for n in ("full", "single"))
+    return full.withColumn("sheet", F.lit("full")).unionByName(single.select("a", F.lit(None).cast("string").alias("b"), F.lit("single").alias("sheet")))
 
 
 @query("sink_fanout", "SELECT 2 * CAST(count(*) AS BIGINT) AS n FROM nation")
@@ -199,9 +224,13 @@ query("inc_flush", "SELECT doc_id, quality = 1 AS is_processed FROM labels")(_)
 
 @query("sink_version_bump", "SELECT CAST(max(turn) AS BIGINT) + 1 AS version, 'userVersion = ' || (max(turn) + 1) || ';' AS line FROM conversations")
 def _(t):
-    bumped = t.conversations.agg(writers.next_version(F.col("turn")).alias("version"))
+    root = folder(t.spark, "versions")
+    current = t.conversations.agg(F.max("turn").alias("v")).first().v
+    writers.write_version(t.conversations.select("conv_id", "turn"), root, current)
+    bumped = writers.latest_version(t.spark, root) + 1
+    writers.write_version(t.conversations.select("conv_id", "turn"), root, bumped)
     line = F.regexp_replace(F.lit("userVersion = 7;"), F.lit(r"(userVersion\s*=\s*)\d+"), F.concat(F.lit("$1"), F.col("version").cast("string")))
-    return bumped.select("version", line.alias("line"))
+    return t.spark.range(1).select(F.lit(writers.latest_version(t.spark, root)).cast("long").alias("version")).select("version", line.alias("line"))
 
 
 @query("sink_markdown", "SELECT n_regionkey, '## ' || n_regionkey || chr(10) || chr(10) || string_agg('- ' || n_name, chr(10) ORDER BY n_nationkey) AS markdown FROM nation GROUP BY n_regionkey")

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
+from tidemark.functions import alignment
 from tidemark.functions import fixed_values as V
 from tidemark.functions import kernels
 from tidemark.functions import text as T
-from tidemark.operators import edits, notes, rules, sequence
+from tidemark.operators import audits, edits, notes, rules, sequence
 from tidemark.operators import relational as R
 from tidemark.plans import scalar_queries as S
 from tidemark.plans.registry import query
+from tidemark.plans.scratch import folder
 
 
 def _count():
@@ -84,11 +88,15 @@ def replica(docs):
 @query("join_three_way", f"""SELECT doc_id, {S._trim("coalesce(r.text, '')")} <> {S._trim('d.text')} AS differs_a, {S._trim("coalesce(s.text, '')")} <> {S._trim('d.text')} AS differs_b
 FROM documents d LEFT JOIN (SELECT doc_id, {REPLICA} AS text FROM documents) r USING (doc_id) LEFT JOIN (SELECT doc_id, text || ' ' AS text FROM documents WHERE doc_id % 7 <> 0) s USING (doc_id)""")
 def join_three_way(t):
-    a = replica(t.documents).withColumnRenamed("text", "a")
-    b = t.documents.where("doc_id % 7 != 0").select("doc_id", F.concat("text", F.lit(" ")).alias("b"))
-    j = R.left_default(R.left_default(t.documents.select("doc_id", "text"), a, ["doc_id"], {"a": ""}), b, ["doc_id"], {"b": ""})
-    own = T.trim_ws(F.col("text"))
-    return j.select("doc_id", (T.trim_ws(F.col("a")) != own).alias("differs_a"), (T.trim_ws(F.col("b")) != own).alias("differs_b"))
+    def digest(text):  # what is compared travels, not the text
+        return F.md5(T.trim_ws(F.coalesce(text, F.lit(""))))
+
+    a = replica(t.documents).select("doc_id", digest("text").alias("a"))
+    b = t.documents.where("doc_id % 7 != 0").select("doc_id", digest(F.concat("text", F.lit(" "))).alias("b"))
+    none = hashlib.md5(b"").hexdigest()
+    own = t.documents.select("doc_id", F.when(F.col("text").isNotNull(), digest("text")).alias("own"))
+    j = R.left_default(R.left_default(own, a, ["doc_id"], {"a": none}), b, ["doc_id"], {"b": none})
+    return j.select("doc_id", (F.col("a") != F.col("own")).alias("differs_a"), (F.col("b") != F.col("own")).alias("differs_b"))
 
 
 query("replica_check", f"""WITH j AS (SELECT d.doc_id, {S._trim("coalesce(r.text, '')")} <> {S._trim('d.text')} AS a, {S._trim("coalesce(s.text, '')")} <> {S._trim('d.text')} AS b
@@ -122,7 +130,11 @@ def _(t):
     return t.documents.groupBy("source").agg(F.sum(F.length("text")).alias("chars"))
 
 
-@query("agg_avg_ratio")
+# A text and the same with one more character at its end share all of the shorter.
+LIKE_SQL = "CASE WHEN doc_id % 17 = 0 THEN 2.0::DOUBLE * length(text) / (2 * length(text) + 1) WHEN doc_id % 29 = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END"
+
+
+@query("agg_avg_ratio", f"SELECT round(avg({LIKE_SQL}), 9) AS avg_ratio FROM documents")
 def _(t):
     pair = replica(t.documents).withColumnRenamed("text", "other").join(t.documents.select("doc_id", "text"), "doc_id")
     ratio = kernels.similarity(F.col("text"), F.col("other"))
@@ -152,7 +164,8 @@ def _(t):
 
 @query("agg_pair_count_diff", f"SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if(r.text IS DISTINCT FROM d.text) AS BIGINT) AS differs FROM documents d LEFT JOIN (SELECT doc_id, {REPLICA} AS text FROM documents) r USING (doc_id)")
 def _(t):
-    j = t.documents.select("doc_id", "text").join(replica(t.documents).withColumnRenamed("text", "other"), "doc_id", "left")
+    digests = lambda df, name: df.select("doc_id", F.md5("text").alias(name))
+    j = digests(t.documents, "text").join(digests(replica(t.documents), "other"), "doc_id", "left")
     return j.agg(_count().alias("n"), F.count_if(R.changed(F.col("text"), F.col("other"))).alias("differs"))
 
 
@@ -170,9 +183,14 @@ def _(t):
 @query("win_fixed_batches", f"""WITH {S.WORDS_SQL}, f AS (SELECT *, {S.FAULT_SQL} AS reason, (row_number() OVER (ORDER BY doc_id, pos) - 1) // 100 AS batch FROM words)
 SELECT CAST(batch AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n, CAST(count(reason) AS BIGINT) AS faults, arg_min(doc_id || ':' || pos, doc_id * 100000 + pos) AS first_key, arg_max(doc_id || ':' || pos, doc_id * 100000 + pos) AS last_key FROM f GROUP BY batch""")
 def _(t):
-    batched = sequence.fixed_batches(S.faults(t).select("doc_id", "pos", "reason"), ["doc_id", "pos"], 100)
-    key, at = R.build_key(F.col("doc_id"), F.col("pos")), F.struct("doc_id", "pos")
-    return batched.groupBy("batch").agg(_count().alias("n"), F.count("reason").alias("faults"), F.min_by(key, at).alias("first_key"), F.max_by(key, at).alias("last_key"))
+    counted = t.documents.select("doc_id", F.regexp_count("text", F.lit("[^ \n]+")).cast("long").alias("n"))
+    offsets = sequence.offsets(counted, "doc_id", "n", folder(t.spark, "offsets"))
+    placed = t.documents.select("doc_id", "text").join(offsets.select("doc_id", "before"), "doc_id")  # documents are joined, not words
+    faults = S.faults(S.exploded(placed, "before"))
+    batch = F.floor((F.col("before") + F.col("pos")) / 100).cast("long")
+    at = F.struct("doc_id", "pos")
+    counts = faults.withColumn("batch", batch).groupBy("batch").agg(_count().alias("n"), F.count("fault").alias("faults"), F.min(at).alias("first"), F.max(at).alias("last"))
+    return counts.select("batch", "n", "faults", R.build_key(F.col("first.doc_id"), F.col("first.pos")).alias("first_key"), R.build_key(F.col("last.doc_id"), F.col("last.pos")).alias("last_key"))
 
 
 @query("win_budget_batches", """WITH RECURSIVE r AS (SELECT conv_id, turn, length(text) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
@@ -205,10 +223,10 @@ def _(t):
     return t.documents.select("doc_id", places.alias("p")).select("doc_id", F.col("p")[0].cast("long").alias("first"), F.col("p")[1].cast("long").alias("second"))
 
 
-@query("win_monotone_place")
+@query("win_monotone_place", "SELECT doc_id, true AS in_order FROM documents")
 def _(t):
     marked = F.concat(F.left("text", F.lit(20)), F.lit("(1)"), F.substring("text", 21, 20), F.lit("(2)"), F.substring("text", 41, S.REST))
-    placed = kernels.align_markers(marked, F.col("text"))
+    placed = alignment.align_markers(marked, F.col("text"))
     return t.documents.select("doc_id", placed["placements"].alias("p")).select("doc_id", (F.col("p")[0]["position"] <= F.col("p")[1]["position"]).alias("in_order"))
 
 
@@ -327,10 +345,28 @@ def _(t):
     return edits.guard_proposals(t.documents.select("doc_id", "text"), proposals(t), ["doc_id"]).select("doc_id", "status")
 
 
-@query("char_lock")
+@query("guard_rejects", f"WITH {PROPOSALS_SQL}, s AS (SELECT *, {STATUS_SQL} AS status FROM e) SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'REJECTED_UNKNOWN_KEY' ELSE status END AS status FROM s WHERE status NOT LIKE 'REJECTED_PURE_SPACING%' AND (status <> 'PASSED_GUARDRAIL' OR doc_id % 7 = 0)")
+def _(t):
+    guarded = edits.guard_proposals(t.documents.where("doc_id % 7 != 0").select("doc_id", "text"), proposals(t), ["doc_id"], unknown="REJECTED_UNKNOWN_KEY")
+    return edits.split_verdicts(guarded)[1].select("doc_id", "status")
+
+
+def _letters_sql(sql: str) -> str:
+    return f"regexp_replace(nfc_normalize({sql}), '{S.WS}+', '', 'g')"
+
+
+LOCK_SQL = f"""WITH e AS (SELECT doc_id, text, CASE WHEN doc_id % 3 = 0 THEN replace(text, 'a', 'b') ELSE replace(text, '.', ' .') END AS spaced FROM documents),
+f AS (SELECT *, {S.mech_sql('spaced')} AS final FROM e),
+s AS (SELECT *, CASE WHEN {_letters_sql('spaced')} <> {_letters_sql('text')} THEN '{V.CHARACTER_MISMATCH}' WHEN {_letters_sql('final')} <> {_letters_sql('text')} THEN '{V.POST_PROCESS_MISMATCH}'
+  WHEN final <> text THEN '{V.SPACING_CHANGED}' ELSE '{V.SPACING_CLEAN}' END AS status FROM f)
+SELECT doc_id, status NOT LIKE 'REJECTED%' AS ok, status, md5(CASE WHEN status LIKE 'REJECTED%' THEN text ELSE final END) AS text FROM s"""
+
+
+@query("char_lock", LOCK_SQL)
 def _(t):
-    lock = rules.spacing_lock(F.col("text"), F.when(F.col("doc_id") % 3 == 0, F.replace("text", F.lit("a"), F.lit("b"))).otherwise(F.replace("text", F.lit("."), F.lit(" ."))))
-    return t.documents.select("doc_id", lock.alias("r")).select("doc_id", "r.ok", "r.status", F.md5("r.text").alias("text"))
+    spaced = F.when(F.col("doc_id") % 3 == 0, F.replace("text", F.lit("a"), F.lit("b"))).otherwise(F.replace("text", F.lit("."), F.lit(" .")))
+    locked = rules.lock_spacing(t.documents.select("doc_id", "text"), F.col("text"), spaced, "r")
+    return locked.select("doc_id", "r.ok", "r.status", F.md5("r.text").alias("text"))
 
 
 @query("tiered_fallback", "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'REJECTED_CHARACTER_MISMATCH' WHEN doc_id % 4 = 1 THEN 'SPACING_OPTIMIZED' ELSE 'CLEAN' END AS status FROM (SELECT doc_id FROM documents)")
@@ -344,13 +380,13 @@ def _(t):
     return edits.spacing_fallback(texts, candidates, ["doc_id"]).select("doc_id", "status")
 
 
-REVIEWS_SQL = f"""c AS (SELECT doc_id, text AS old, CASE WHEN toxic = 1 THEN 'a new, better text' WHEN quality = 1 THEN left(text, 60) END AS wanted FROM documents JOIN labels USING (doc_id)),
+REVIEWS_SQL = f"""c AS (SELECT doc_id, text AS old, CASE WHEN toxic = 1 THEN 'a new, better text' WHEN quality = 1 THEN text END AS wanted FROM documents JOIN labels USING (doc_id)),
 d AS (SELECT doc_id, old, {S._trim("regexp_replace(regexp_replace(wanted, '[.,?!:;“”‘’\"—\\-_/\\\\#@$%^&*]', '', 'g'), '[ \\t]+', ' ', 'g')")} AS new FROM c WHERE coalesce({S._trim("coalesce(wanted, '')")}, '') <> '')"""
 
 
 def reviews(t):
     answer = F.when(F.col("toxic") == 1, "a new, better text").when(F.col("quality") == 1, "yes").otherwise("no")
-    return t.labels.join(t.documents.select("doc_id", F.left("text", F.lit(60)).alias("proposed")), "doc_id").select("doc_id", F.lit(1).alias("ord"), answer.alias("answer"), "proposed")
+    return t.labels.join(t.documents.select("doc_id", F.col("text").alias("proposed")), "doc_id").select("doc_id", F.lit(1).alias("ord"), answer.alias("answer"), "proposed")
 
 
 @query("apply_reviews", f"WITH {REVIEWS_SQL} SELECT doc_id, md5(coalesce(d.new, text)) AS text FROM documents LEFT JOIN (SELECT * FROM d WHERE new IS DISTINCT FROM old) d USING (doc_id)")
@@ -360,13 +396,27 @@ def _(t):
     return edits.apply_changes(docs, changes, ["doc_id"]).select("doc_id", F.md5("text").alias("text"))
 
 
-@query("apply_patches", "SELECT doc_id, md5(replace(text, substr(text, 3, 4), '<>')) AS new_text FROM documents WHERE doc_id % 10 = 1")
+@query("review_log", f"""WITH {REVIEWS_SQL} SELECT 8 AS version, doc_id, 'THEOLOGICAL_REVIEW' AS issue_type, '[Scholar Review Approved] ' AS explanation, '' AS target_phrase, '' AS replacement_phrase, md5(old) AS old_text, md5(new) AS new_text
+FROM d WHERE new IS DISTINCT FROM old""")
+def _(t):
+    _, log, _ = edits.review_run(t.documents.select("doc_id", "text"), reviews(t), ["doc_id"], 7)
+    return log.withColumns({"old_text": F.md5("old_text"), "new_text": F.md5("new_text"), "version": F.col("version").cast("int")})
+
+
+@query("apply_patches", "SELECT doc_id, md5(replace(text, substr(text, 3, 4), '<>')) AS new_text FROM documents WHERE substr(text, 3, 4) <> ''")
 def _(t):
     docs = t.documents.select("doc_id", "text")
-    patches = docs.where("doc_id % 10 = 1").select("doc_id", F.substring("text", 3, 4).alias("src"), F.lit("<>").alias("target"))
+    patches = docs.select("doc_id", F.substring("text", 3, 4).alias("src"), F.lit("<>").alias("target")).where("src != ''")
     return edits.apply_patches(docs, patches, ["doc_id"]).select("doc_id", F.md5("new_text").alias("new_text"))
 
 
+@query("standardize_layouts", f"""SELECT 'turns' AS layout, CAST(count(*) AS BIGINT) AS n, CAST(count_if({S.PAIRS_SQL.format('text')} <> text OR {S.PAIRS_SQL.format('role')} <> role) AS BIGINT) AS changed FROM conversations
+UNION ALL SELECT 'items', CAST(count(*) AS BIGINT), CAST(count_if({S.PAIRS_SQL.format('text')} <> text) AS BIGINT) FROM benchmark""")
+def _(t):
+    _, counts = edits.fan_out_standard({"turns": t.conversations, "items": t.benchmark}, {"turns": ["text", "role"], "items": ["text"]}, pairs=S.PAIRS, endings=())
+    return counts
+
+
 @query("standardize_all", f"SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if({S.PAIRS_SQL.format('text')} <> text OR {S.PAIRS_SQL.format('role')} <> role) AS BIGINT) AS changed FROM conversations")
 def _(t):
     return edits.standardize(t.conversations, ["text", "role"], pairs=S.PAIRS, endings=()).agg(_count().alias("n"), F.count_if("changed").alias("changed"))
@@ -386,14 +436,14 @@ def _(t):
 @query("align_markers")
 def _(t):
     marked = F.concat(F.left("text", F.lit(25)), F.lit("(1)"), F.substring("text", 26, S.REST))
-    placed = kernels.align_markers(marked, F.col("text"))
+    placed = alignment.align_markers(marked, F.col("text"))
     return t.documents.select("doc_id", placed.alias("r")).select("doc_id", F.md5("r.annotated").alias("annotated"), F.col("r.placements")[0]["position"].alias("position"))
 
 
-@query("verse_index", "SELECT conv_id, turn, 'x[1] y[2] ' || left(text, 20) AS annotated, 2 AS n FROM conversations")
+@query("verse_index", "SELECT conv_id, turn, 'x[1] y[2] ' || text AS annotated, 2 AS n FROM conversations")
 def _(t):
     ids = F.array(F.struct(F.col("conv_id").cast("string").alias("note_id"), F.lit("a").alias("text")), F.struct(F.lit("99").alias("note_id"), F.lit("b").alias("text")))
-    marked = F.concat(F.lit("x["), F.col("conv_id").cast("string"), F.lit("] y[99] "), F.left("text", F.lit(20)))
+    marked = F.concat(F.lit("x["), F.col("conv_id").cast("string"), F.lit("] y[99] "), "text")
     r = notes.reindex(marked, F.col("text"), ids)
     return t.conversations.select("conv_id", "turn", r.alias("r")).select("conv_id", "turn", "r.annotated", F.col("r.count").alias("n"))
 
@@ -414,16 +464,28 @@ def _(t):
 
 @query("compare_versions")
 def _(t):
-    j = t.documents.select("doc_id", "text").join(replica(t.documents).withColumnRenamed("text", "other"), "doc_id", "left")
-    clean, other = T.strip_markers(F.col("text")), T.trim_ws(F.coalesce("other", F.lit("")))
-    ratio = F.when(other == "", 0.0).otherwise(kernels.similarity(clean, other))
-    j = j.select((F.col("text") == other).alias("exact"), (clean == other).alias("clean_exact"), ratio.alias("ratio"))
-    return j.agg(_count().alias("n"), F.count_if("exact").alias("exact"), F.count_if("clean_exact").alias("clean_exact"), F.round(F.avg("ratio"), 9).alias("similarity"))
+    pairs = audits.version_pairs(t.documents, replica(t.documents), ["doc_id"])
+    return audits.compare_versions(pairs)
+
+
+@query("compare_sample")
+def _(t):
+    return audits.unlike(audits.version_pairs(t.documents, replica(t.documents), ["doc_id"]), ["doc_id"], below=1.0).select("doc_id", "ratio")
+
+
+@query("validate_corpus", """SELECT CAST(count(DISTINCT conv_id) AS BIGINT) AS groups, CAST(count(*) AS BIGINT) AS items, CAST(sum(turn % 3) AS BIGINT) AS notes, CAST(count_if(coalesce(text, '') = '') AS BIGINT) AS empty_texts,
+  (SELECT CAST(count_if(k <> 3) AS BIGINT) FROM (SELECT conv_id, count(*) AS k FROM conversations GROUP BY conv_id)) AS wrong_groups, CAST(count(DISTINCT conv_id) AS BIGINT) AS groups_expected,
+  CAST(count(*) AS BIGINT) AS rows_flat, CAST(count_if(turn <> 0) AS BIGINT) AS rows_short, false AS layouts_agree, false AS valid FROM conversations""")
+def _(t):
+    expected = t.conversations.select("conv_id").distinct().withColumn("n", F.lit(3))
+    layouts = {"flat": t.conversations, "short": t.conversations.where("turn != 0")}
+    return audits.validate_corpus(t.conversations, "conv_id", "text", F.col("turn") % 3, expected, layouts)
 
 
 @query("recon_diff", f"SELECT doc_id, md5(text) AS expected FROM documents WHERE {REPLICA} IS DISTINCT FROM text")
 def _(t):
-    return R.reconcile(t.documents, replica(t.documents), ["doc_id"], "text").select("doc_id", F.md5("expected").alias("expected"))
+    digests = lambda df: df.select("doc_id", F.md5("text").alias("text"))
+    return R.reconcile(digests(t.documents), digests(replica(t.documents)), ["doc_id"], "text").select("doc_id", "expected")
 
 
 @query("inc_resume", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions import alignment
 from tidemark.functions import fixed_values as V
 from tidemark.functions import kernels
 from tidemark.functions import text as T
@@ -105,22 +106,24 @@ FAULT_SQL = """CASE WHEN regexp_matches(word, '^[0-9]+$') THEN NULL
   WHEN contains(word, 'lexicon') OR contains(word, 'entzheit') THEN 'Lexical dictionary leak: ''' || word || '''' END"""
 
 
-def words(t):
-    """A word table: each document's words with a part of speech by position."""
+def exploded(docs, *carry):
+    """The word table of documents (doc_id, text): their words with a part of speech by position."""
     part = F.element_at(F.array(*map(F.lit, ["Verb", "Noun", "Negative", "Verbal Noun", "Particle"])), (F.col("pos") % 5 + 1).cast("int"))
-    exploded = t.documents.select("doc_id", F.posexplode(F.filter(F.split("text", "[ \\n]+"), lambda x: x != "")).alias("pos", "word"))
-    return exploded.withColumn("pos", F.col("pos").cast("long")).withColumn("part", part)
+    each = docs.select("doc_id", *carry, F.posexplode(F.filter(F.split("text", "[ \\n]+"), lambda x: x != "")).alias("pos", "word"))
+    return each.withColumn("pos", F.col("pos").cast("long")).withColumn("part", part)
 
 
-def faults(t):
-    fault = rules.word_rule(F.col("word"), F.col("word"), F.col("part"), VERBS, NOUNS, NEGATIONS, LEAKS, "[ßñ]")
-    return words(t).withColumn("reason", fault)
+def faults(words):
+    """A word table with the number of each word's first fault."""
+    trimmed = words.withColumn("gloss", T.trim_word(F.col("word")))  # one projection, so that it is trimmed once
+    return trimmed.withColumn("fault", rules.word_fault(F.col("word"), F.col("gloss"), F.col("part"), VERBS, NOUNS, NEGATIONS, LEAKS, "[ßñ]"))
 
 
 @query("rule_chain", f"WITH {WORDS_SQL}, f AS (SELECT *, {FAULT_SQL} AS reason FROM words) SELECT split_part(reason, '''', 1) AS rule, part, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT doc_id) AS BIGINT) AS docs FROM f GROUP BY ALL")
 def rule_chain(t):
-    rule = F.split("reason", "'")[0]
-    return faults(t).groupBy(rule.alias("rule"), "part").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("docs"))
+    by_doc = faults(exploded(t.documents)).groupBy("doc_id", "fault", "part").agg(F.count(F.lit(1)).alias("n"))
+    both = by_doc.groupBy("fault", "part").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs"))
+    return both.select(rules.fault_head(F.col("fault")).alias("rule"), "part", "n", "docs")
 
 
 @query("decision_parse", """SELECT doc_id, quality, toxic, CASE WHEN toxic = 1 AND quality = 0 THEN 'skip' WHEN quality = 1 AND toxic = 0 THEN 'approve' WHEN quality = 0 THEN 'reject' ELSE 'custom' END AS decision FROM labels""")
@@ -181,7 +184,7 @@ scalar("fn_replace_first", "CASE WHEN contains(text, 'the') THEN md5(substr(text
 scalar("fn_strip_markers", f"md5({_trim("regexp_replace(regexp_replace(text, '\\([0-9]+\\)', '', 'g'), '[ \\t\\r\\f\\v]+', ' ', 'g')")})", lambda x: F.md5(T.strip_markers(x)))
 scalar("fn_strip_note_prefix", f"md5({_trim("text")})", lambda x: F.md5(T.note_text(F.concat(F.lit("(("), F.col("doc_id").cast("string"), F.lit(")) "), x))))
 scalar("fn_note_id", "CAST(doc_id AS VARCHAR)", lambda x: T.note_id(F.concat(F.lit("(("), F.col("doc_id").cast("string"), F.lit(")) "), x)))
-scalar("fn_norm_token", f"md5(regexp_replace(regexp_replace(left(text, 400), '[\\[(][0-9]+[\\])]', '', 'g'), '(?:{WS}|[ๆฯ.,!?()\\-:;])+', '', 'g'))", lambda x: F.md5(T.norm_token(F.left(x, F.lit(400)))))
+scalar("fn_norm_token", f"md5(regexp_replace(regexp_replace(text, '[\\[(][0-9]+[\\])]', '', 'g'), '(?:{WS}|[ๆฯ.,!?()\\-:;])+', '', 'g'))", lambda x: F.md5(T.norm_token(x)))
 scalar("fn_extract_all", "regexp_extract_all(text, '\\(([0-9]+)\\)', 1)", lambda x: F.regexp_extract_all(x, F.lit(r"\(([0-9]+)\)"), F.lit(1)))
 scalar("fn_sup_to_marker", "md5('<i>a[' || doc_id || ']b[x]</i>' || text)", lambda x: F.md5(T.sup_to_marker(F.concat(F.lit("<i>a<sup foot_note=77>"), F.col("doc_id").cast("string"), F.lit('</sup>b<SUP class=q foot_note="9">x</sup></i>'), x))))
 scalar("fn_strip_tags", f"md5({_trim("regexp_replace(regexp_replace(html, '(?i)</?(?:span|i|b|em|strong|u|p|div|a)[^>]*>', '', 'g'), '[ \\t]+', ' ', 'g')")})", lambda x: F.md5(T.strip_tags(x)), "pages", "page_id", "html")
@@ -191,12 +194,30 @@ scalar("fn_slice_ctx", f"CASE WHEN instr(text, '.') > 0 THEN {_trim("substr(text
 scalar("fn_left_right_n", "left(text, 20) || '|' || right(text, 20)", lambda x: F.concat(F.left(x, F.lit(20)), F.lit("|"), F.right(x, F.lit(20))))
 scalar("fn_letter_count", f"CAST(length(regexp_replace(regexp_replace(text, '\\([0-9]+\\)', '', 'g'), '{WS}+', '', 'g')) AS BIGINT)", T.letter_count)
 scalar("fn_len_delta", "CAST(length(replace(text, 'the', '')) - length(text) AS BIGINT)", lambda x: (F.length(T.replace_all(x, "the", "")) - F.length(x)).cast("long"))
-scalar("fn_lower_upper", "md5(lower(left(text, 200)) || upper(lang))", lambda x: F.md5(F.concat(F.lower(F.left(x, F.lit(200))), F.upper("lang"))))
+scalar("fn_lower_upper", "md5(lower(text) || upper(lang))", lambda x: F.md5(F.concat(F.lower(x), F.upper("lang"))))
 scalar("fn_pct_fmt", "round(100.0::DOUBLE * (length(text) - length(replace(text, 'e', ''))) / length(text), 6)", lambda x: F.round(100.0 * T.count_char(x, "e") / F.length(x), 6))
 scalar("agg_occurrences", "CAST((length(text) - length(replace(text, 'tion', ''))) // 4 AS BIGINT)", lambda x: T.occurrences(x, "tion"))
 
 
-@query("fn_mech_spacing")
+def mech_sql(sql: str) -> str:
+    """The spacing rules in RE2, which has no look-ahead: what follows is matched and put back."""
+    thai = "[ก-๙]"
+    steps = [
+        ("[\\x{a0}\\x{200b}\\x{200c}\\x{200d}\\x{feff}]", " "),
+        (f"([^{WS[1:]}){WS}*ๆ{WS}*({thai})", "\\1 ๆ \\2"),
+        (f"([^{WS[1:]}){WS}*ๆ({WS}|$)", "\\1 ๆ\\2"),
+        (f"({thai})\\(", "\\1 ("),
+        (f"\\)({thai})", ") \\1"),
+        (f"\\({WS}+", "("),
+        (f"{WS}+\\)", ")"),
+        ("[ \\t]+", " "),
+    ]
+    for pattern, new in steps:
+        sql = f"regexp_replace({sql}, '{pattern}', '{new}', 'g')"
+    return _trim(sql)
+
+
+@query("fn_mech_spacing", f"SELECT doc_id, md5({mech_sql("'( ' || text || ' )' || chr(8203) || 'x'")}) AS out FROM documents")
 def _(t):
     return t.documents.select("doc_id", F.md5(T.mechanical_spacing(F.concat(F.lit("( "), F.col("text"), F.lit(" )\u200bx")))).alias("out"))
 
@@ -228,36 +249,50 @@ def _(t):
     return t.documents.select("doc_id", kernels.similarity(F.col("text"), F.substring("text", 11, REST)).alias("ratio"))
 
 
-@query("fn_html_verses")
+@query("fn_html_verses", f"""SELECT page_id AS "group", i AS item, page_id || ':' || i AS key, {_trim("regexp_replace(x || ' (1)', '[ \\t]+', ' ', 'g')")} AS text, ['(1) note ' || i] AS notes
+FROM (SELECT CAST(page_id AS INTEGER) AS page_id, unnest(string_split(url, '/')) AS x, CAST(unnest(range(len(string_split(url, '/')))) AS INTEGER) AS i FROM pages)""")
 def _(t):
     pieces = F.transform(F.split(F.col("url"), "/"), lambda x, i: F.concat(F.lit(f'<div wire:key="{V.BOX_KEY_PREFIX}1"><p class="font-extrabold tracking-tight">'), F.col("page_id").cast("string"), F.lit(":"), i.cast("string"), F.lit('</p><p><span class="x">Translation</span>: '), x, F.lit(" (1)</p><p><span>Comment</span>: (1) note "), i.cast("string"), F.lit("</p></div>")))
     made = t.pages.select("page_id", F.concat(F.lit("<html><body>"), F.array_join(pieces, ""), F.lit("</body></html>")).alias("html"))
     return kernels.parse_keyed_pages(made, "page_id", "html")
 
 
-@query("win_marker_rewrite", "SELECT conv_id, turn, 'x[1]y[2]z[3]' || left(text, 20) AS out FROM conversations")
+@query("win_marker_rewrite", "SELECT conv_id, turn, 'x[1]y[2]z[3]' || text AS out FROM conversations")
 def _(t):
-    marked = F.concat(F.lit("x["), F.col("conv_id").cast("string"), F.lit("]y[7]z["), F.col("turn").cast("string"), F.lit("]"), F.left("text", F.lit(20)))
+    marked = F.concat(F.lit("x["), F.col("conv_id").cast("string"), F.lit("]y[7]z["), F.col("turn").cast("string"), F.lit("]"), "text")
     return t.conversations.select("conv_id", "turn", T.rewrite_markers(marked).alias("out"))
 
 
-@query("fn_letter_maps", f"SELECT doc_id, CAST(length(regexp_replace(left(text, 100), '{WS}+', '', 'g')) AS BIGINT) AS letters FROM documents")
+@query("fn_letter_maps", f"SELECT doc_id, CAST(length(regexp_replace(text, '{WS}+', '', 'g')) AS BIGINT) AS letters FROM documents")
 def _(t):
-    return t.documents.select("doc_id", F.length(T.strip_ws(F.left("text", F.lit(100)))).cast("long").alias("letters"))
+    return t.documents.select("doc_id", F.length(T.strip_ws(F.col("text"))).cast("long").alias("letters"))
 
 
 @query("fn_post_process_pos")
 def _(t):
     base = F.concat("text", F.lit("ก์) end"))
-    return t.documents.select("doc_id", kernels.align_markers(F.concat(F.left("text", F.lit(30)), F.lit("(1)"), F.substring("text", 31, REST)), base)["placements"].alias("placements"))
+    return t.documents.select("doc_id", alignment.align_markers(F.concat(F.left("text", F.lit(30)), F.lit("(1)"), F.substring("text", 31, REST)), base)["placements"].alias("placements"))
 
 
-@query("fn_snap_boundary")
+MARKS = "[" + V.COMBINING_MARKS + "]*[)\\]\"'']?"
+
+
+def _past(at: str) -> str:
+    return f"({at} + length(regexp_extract(substr(text, {at} + 1), '^{MARKS}')))"
+
+
+@query("fn_snap_boundary", f"""WITH a AS (SELECT doc_id, text, CAST(doc_id % 100 AS INTEGER) AS asked FROM documents),
+p AS (SELECT *, {_past('asked')} AS pos FROM a),
+s AS (SELECT *, greatest(0, pos - 8) AS low, substr(text, greatest(0, pos - 8) + 1, pos - greatest(0, pos - 8)) AS l, substr(text, pos + 1, 8) AS r FROM p),
+c AS (SELECT *, CASE WHEN contains(l, ' ') THEN low + length(l) - instr(reverse(l), ' ') END AS lp, CASE WHEN contains(r, ' ') THEN pos + instr(r, ' ') - 1 END AS rp FROM s)
+SELECT doc_id, CAST(CASE WHEN asked <= 0 THEN 0 WHEN asked >= length(text) THEN length(text) WHEN pos >= length(text) THEN pos
+  WHEN regexp_matches(substr(text, pos + 1, 1), '^(?:{WS}|[.,!?:;)\\]])') OR regexp_matches(substr(text, pos, 1), '^{WS}') THEN pos
+  WHEN lp IS NOT NULL AND (rp IS NULL OR pos - lp <= rp - pos) THEN {_past('lp')} WHEN rp IS NOT NULL THEN {_past('rp')} ELSE pos END AS INTEGER) AS at FROM c""")
 def _(t):
-    return t.documents.select("doc_id", kernels.snap_boundary(F.col("text"), F.col("doc_id") % 100).alias("at"))
+    return t.documents.select("doc_id", alignment.snap_boundary(F.col("text"), F.col("doc_id") % 100).alias("at"))
 
 
-@query("fn_insert_markers", "SELECT doc_id, left(text, 3) || '[a][b]' || substr(text, 4, 5) || '[c]' || substr(text, 9, 20) AS out FROM documents WHERE length(text) >= 8")
+@query("fn_insert_markers", "SELECT doc_id, left(text, 3) || '[a][b]' || substr(text, 4, 5) || '[c]' || substr(text, 9) AS out FROM documents")
 def _(t):
     places = F.array(*[F.struct(F.lit(p).alias("position"), F.lit(n).alias("note_id")) for p, n in ((3, "a"), (8, "c"), (3, "b"))])
-    return t.documents.where(F.length("text") >= 8).select("doc_id", T.insert_markers(F.left("text", F.lit(28)), places).alias("out"))
+    return t.documents.select("doc_id", T.insert_markers(F.col("text"), places).alias("out"))

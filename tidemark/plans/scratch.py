@@ -10,6 +10,16 @@ from pyspark.sql import SparkSession
 
 
 def folder(spark: SparkSession, label: str) -> str:
-    """A new path below ``spark.checkpoint.dir``, or the system's temporary folder where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "tidemark-scratch")
+    """A new path below ``spark.checkpoint.dir``; only a local master without that setting gets the system's temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "file://" + os.path.join(tempfile.gettempdir(), "tidemark-scratch")
     return f"{base.rstrip('/')}/layouts/{label}-{uuid.uuid4().hex}"
+
+
+def put(spark: SparkSession, local: str, target: str) -> None:
+    """Copy a file of the driver to a path on any file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).copyFromLocalFile(path(f"file://{local}"), path(target))

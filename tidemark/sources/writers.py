@@ -9,9 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def json_array(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
-    """Each part file is one JSON array; non-ASCII characters stay."""
-    rows = (df.orderBy(*order) if order else df).select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"))
+def json_array(df: DataFrame, path: str, order: Sequence[str] = (), pretty: bool = False) -> None:
+    """Each part file is one JSON array; non-ASCII characters stay. ``pretty`` indents by two spaces."""
+    options = {"ignoreNullFields": "false", "pretty": "true" if pretty else "false"}
+    value = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options)
+    if pretty:  # one level deeper, inside the array
+        value = F.concat(F.lit("  "), F.replace(value, F.lit("\n"), F.lit("\n  ")))
+    rows = (df.orderBy(*order) if order else df).select(value.alias("value"))
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = "["
@@ -79,6 +83,27 @@ def update_like(df: DataFrame, column: str, old: str, new: str) -> tuple[DataFra
     return df.withColumn(column, F.replace(column, F.lit(old), F.lit(new))), F.contains(column, F.lit(old))
 
 
+def split(df: DataFrame, sheets: dict[str, Sequence[str]], root: str) -> dict[str, str]:
+    """One table as several: below ``root`` a folder per sheet with only its columns; returns their paths."""
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in sheets}
+    fan_out(df, [lambda rows, n=name: rows.select(*sheets[n]).write.parquet(paths[n]) for name in sheets])
+    return paths
+
+
+def write_version(df: DataFrame, root: str, version: int) -> str:
+    """A snapshot in a folder of its own; a version that exists is never overwritten."""
+    path = f"{root.rstrip('/')}/version={version:08d}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
+def latest_version(spark, root: str) -> int:
+    """The greatest version with a finished snapshot; 0 without any."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/version=*/_SUCCESS")
+    found = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(fs_path) or []
+    return max((int(f.getPath().getParent().getName().partition("=")[2]) for f in found), default=0)
+
+
 def next_version(current: Column) -> Column:
     """A snapshot version that only grows."""
     return F.coalesce(F.max(current), F.lit(0)) + 1
