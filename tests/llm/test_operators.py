@@ -330,6 +330,22 @@ def test_packing(docs, nasty, empty):
     assert packing.pack(empty, tokens.default_file()).count() == 0
 
 
+@pytest.mark.parametrize("parts", [20, 100])
+def test_exchange_reaches_the_bound(spark, parts):
+    big = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    packed, found = packing.pack_parts(big, tokens.default_file(), part_rows=-(-10_267 // parts))
+    assert found.gap == 0 and found.bins == packed.select("sequence_id").distinct().count()
+    certified = packing.certificates(packed, 4096).collect()
+    assert sum(c.bins for c in certified) == found.bins and all(c.bins >= c.bound for c in certified)
+
+
+def test_exchange_never_loses(docs):
+    first, start = packing.pack_parts(docs, tokens.default_file(), part_rows=50, levels=())
+    got = [packing.certificate(docs, tokens.default_file(), part_rows=50, pool_rows=60, levels=x) for x in ((0.98,), (0.98, 1.0))]
+    assert start.gap > got[0].gap >= got[1].gap >= 0 and len({c.bound for c in (start, *got)}) == 1
+    assert not all(c.certified for c in packing.certificates(first, 4096).collect()) or start.gap > 0
+
+
 # ------------------------------------------------------------------ mixing
 
 

@@ -1,20 +1,29 @@
 """Best-fit packing with certified bin counts.
 
 Documents become token pieces of at most ``capacity`` ids. Pieces are dealt over
-parts of bounded size and each part packs its own by best fit decreasing. Lower
-bounds from dual feasible functions certify bin counts, per part and, from the
-histogram of piece lengths, for the whole table. While the table has more bins
-than its bound, the parts exchange the pieces of their worse-filled bins: these
-are dealt anew over fewer parts and packed again, for as long as that saves bins.
+parts of bounded size and each part packs its own by best fit decreasing. A lower
+bound from dual feasible functions certifies each part: a part with as many bins as
+its bound cannot do better. The histogram of all lengths gives the table's bound.
+
+Parts with a gap exchange documents and run again. While the table has more bins
+than its bound, whole bins are pooled and dealt anew over parts of ``pool_rows``
+pieces: those of parts with a gap that are not full, and of all other parts the
+loosest, at first only those below 98 %, at last all. A pool's part takes its new
+packing only if that has fewer bins, or as many and fuller ones, so no exchange
+loses anything. A level that hardly gains gives way to the next; the exchange ends
+at the bound, or when a deal of the whole table hardly gains. :func:`certificates`
+states what is left of each part's gap, :func:`certificate` that of the table.
 
 Nulls and edge cases: null and empty texts are one piece, the end id alone.
-Repeated rows are packed one by one. An empty table gives no rows. Only
-documents of more than ``capacity`` ids are cut, all but the last piece full.
+Repeated rows are packed one by one; null keys stay null. An empty table gives no
+rows. Only documents of more than ``capacity`` ids are cut, all but the last piece
+full. Extra columns are dropped.
 """
 
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +34,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import scratch, tokens
 
 PIECES = "uid long, doc_id {key}, piece int, start long, length long, ids_crc32 long"
-PACKED = PIECES + ", sequence_id long, offset long, part int, bin_fill long, part_bins long, part_bound long"
+PACKED = PIECES + ", sequence_id long, offset long, part long, bin_fill long, part_bins long, part_bound long"
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, key: str = "doc_id", text: str = "text", end_id: int = tokens.END_ID) -> DataFrame:
@@ -106,62 +115,101 @@ def lower_bound(values: np.ndarray, capacity: int, counts: np.ndarray | None = N
     return best
 
 
+_KEPT = ("uid", "doc_id", "piece", "start", "length", "ids_crc32")
+
+
 def _pack_parts(rows: DataFrame, capacity: int, round_no: int, key_type: str) -> DataFrame:
+    """Each part's best packing: of rows without a place, by best fit decreasing; of placed ones, the old one where that is no worse."""
+    placed = "sequence_id" in rows.columns
+
     def pack(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("uid", "ascending")])
         sizes = table["length"].to_numpy()
         bins, offsets, count = best_fit_decreasing(sizes, capacity)
-        fill = np.bincount(bins, weights=sizes, minlength=count).astype(np.int64)
         part = table["part"][0].as_py()
-        base = (round_no << 56) + (part << 32)
+        ids = bins + ((round_no << 56) + (part << 32))
+        if placed:
+            before, old = np.unique(table["sequence_id"].to_numpy(), return_inverse=True)
+            full = [float((np.bincount(b, weights=sizes) ** 2).sum()) for b in (old, bins)]
+            if (len(before), -full[0]) <= (count, -full[1]):
+                bins, offsets, count, ids = old, table["offset"].to_numpy(), len(before), table["sequence_id"].to_numpy()
+        fill = np.bincount(bins, weights=sizes, minlength=count).astype(np.int64)
         n = table.num_rows
-        columns = {c: table[c] for c in ("uid", "doc_id", "piece", "start", "length", "ids_crc32")}
-        columns |= {"sequence_id": bins + base, "offset": offsets, "part": table["part"], "bin_fill": fill[bins]}
+        columns = {c: table[c] for c in _KEPT}
+        columns |= {"sequence_id": ids, "offset": offsets, "part": np.full(n, (round_no << 32) + part), "bin_fill": fill[bins]}
         columns |= {"part_bins": np.full(n, count), "part_bound": np.full(n, lower_bound(sizes, capacity))}
         return pa.table(columns)
 
     return rows.groupBy("part").applyInArrow(pack, PACKED.format(key=key_type))
 
 
-def _bins(packed: DataFrame) -> int:
-    parts = packed.groupBy("part", F.shiftright("sequence_id", 56).alias("round")).agg(F.countDistinct("sequence_id").alias("bins"))
-    return int(parts.agg(F.sum("bins")).first()[0] or 0)
-
-
 def table_bound(rows: DataFrame, capacity: int) -> int:
     """The lower bound of all pieces, from at most ``capacity`` lengths and counts."""
     found = sorted(tuple(r) for r in rows.groupBy("length").count().collect())
     return lower_bound(np.array([v for v, _ in found], dtype=np.int64), capacity, np.array([c for _, c in found], dtype=np.int64))
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, key: str = "doc_id", text: str = "text", part_rows: int = 25_000, rounds: int = 3, exchange_below: float = 0.995) -> DataFrame:
-    """One row per piece with its ``sequence_id`` and ``offset``."""
-    key_type = docs.schema[key].dataType.simpleString()
-    cut = scratch.cut(pieces(docs, tokenizer, capacity, key, text), "pieces")
-    count = cut.count()
+def certificates(packed: DataFrame, capacity: int) -> DataFrame:
+    """(part, bins, bound, certified) of each part as it stands."""
+
+    def certify(table: pa.Table) -> pa.Table:
+        sizes, bins = table["length"].to_numpy(), len(np.unique(table["sequence_id"].to_numpy()))
+        bound = lower_bound(sizes, capacity)
+        return pa.table({"part": table["part"][:1], "bins": [bins], "bound": [bound], "certified": [bins == bound]})
+
+    return packed.select("part", "length", "sequence_id").groupBy("part").applyInArrow(certify, "part long, bins long, bound long, certified boolean")
+
 
-    def dealt(rows: DataFrame, n: int, seed: int) -> DataFrame:
-        parts = max(1, -(-n // part_rows))
-        return rows.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "uid"), F.lit(parts)).cast("int"))
+@dataclass(frozen=True)
+class Certificate:
+    """No packing has fewer than ``bound`` bins; this one has ``bins``."""
 
+    bins: int
+    bound: int
+
+    @property
+    def gap(self) -> int:
+        return self.bins - self.bound
+
+
+def _bins(packed: DataFrame) -> int:
+    return packed.where("offset = 0").count()  # one piece of each bin
+
+
+def pack_parts(docs: DataFrame, tokenizer: str, capacity: int = 4096, key: str = "doc_id", text: str = "text", part_rows: int = 25_000, pool_rows: int = 25_000, levels: tuple[float, ...] = (0.98, 0.995, 1.0, 2.0), least_gain: float = 0.05) -> tuple[DataFrame, Certificate]:
+    """(pieces with place, part and the part's bins and bound when it was packed; the table's certificate)."""
+    key_type = docs.schema[key].dataType.simpleString()
+    cut = scratch.cut(pieces(docs, tokenizer, capacity, key, text), "pieces")
+    parts = max(1, -(-cut.count() // part_rows))
     bound = table_bound(cut, capacity)
-    packed = scratch.cut(_pack_parts(dealt(cut, count, 0), capacity, 0, key_type), "packed")
+    dealt = cut.withColumn("part", F.pmod(F.xxhash64(F.lit(0), "uid"), F.lit(parts)).cast("int"))
+    packed = scratch.cut(_pack_parts(dealt, capacity, 0, key_type), "packed")
     scratch.drop(cut)
-    bins = _bins(packed)
-    for r in range(1, rounds + 1):
-        if bins <= bound:
-            break
-        loose = F.col("bin_fill") < F.floor(F.lit(capacity * exchange_below))
-        pool = packed.where(loose)
-        n = pool.count()
-        if not n:
-            break
-        again = _pack_parts(dealt(pool.select("uid", "doc_id", "piece", "start", "length", "ids_crc32"), n, r), capacity, r, key_type)
-        better = scratch.cut(packed.where(~loose).unionByName(again), f"packed-{r}")
-        new_bins = _bins(better)
-        if new_bins >= bins:
-            scratch.drop(better)
-            break
+    bins, round_no, level = _bins(packed), 0, 0
+    while bins > bound and level < len(levels):
+        round_no += 1
+        open_ = (F.col("bin_fill") < F.lit(capacity * levels[level])) | ((F.col("part_bins") > F.col("part_bound")) & (F.col("bin_fill") < capacity))
+        n = packed.where(open_).count()
+        pools = max(1, -(-n // pool_rows))
+        whole_bins = F.pmod(F.xxhash64(F.lit(round_no), "sequence_id"), F.lit(pools)).cast("int")
+        again = _pack_parts(packed.where(open_).select(*_KEPT, "sequence_id", "offset", whole_bins.alias("part")), capacity, round_no, key_type)
+        better = scratch.cut(packed.where(~open_).unionByName(again), f"packed-{round_no}")
         scratch.drop(packed)
-        packed, bins = better, new_bins
+        packed, before = better, bins
+        bins = _bins(packed)
+        if before - bins < least_gain * (before - bound) or pools == 1:  # one pool has nothing to deal again
+            level += 1
+    return packed, Certificate(bins, bound)
+
+
+def certificate(docs: DataFrame, tokenizer: str, capacity: int = 4096, **options) -> Certificate:
+    """Only the certificate of :func:`pack`."""
+    packed, found = pack_parts(docs, tokenizer, capacity, **options)
+    scratch.drop(packed)
+    return found
+
+
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per piece with its ``sequence_id`` and ``offset``."""
+    packed, _ = pack_parts(docs, tokenizer, capacity, key, text, **options)
     return packed.select(F.col("doc_id").alias(key), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -114,7 +114,7 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
     found = scratch.cut(found, "fits")  # read plainly, so that a hot URL's rows can be split
     scratch.drop(events)
     scratch.drop(kept)
-    return rows.join(found, ["host", "path"], "left").select(
+    return rows.join(found.hint("merge"), ["host", "path"], "left").select(  # it grows with the pages, so it is never broadcast
         key,
         "host",
         "path",
