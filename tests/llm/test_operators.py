@@ -76,6 +76,46 @@ def test_png_filters_round_trip(filters):
         assert (media.decode(media.encode(rows.tobytes(), filters=filters)) == rows).all()
 
 
+@pytest.mark.parametrize("width", [1, 7, 64])
+def test_mixed_filters_against_plain_loops(width, monkeypatch):
+    monkeypatch.setattr(media, "BAND", 5)
+    rng = np.random.default_rng(width)
+    raw, kinds = rng.integers(0, 256, (60, width), dtype=np.uint8), rng.integers(0, 5, 60)
+    want = np.zeros((60, width), dtype=int)
+    for r in range(60):
+        for c in range(width):
+            a, b, x = want[r, c - 1] if c else 0, want[r - 1, c] if r else 0, want[r - 1, c - 1] if r and c else 0
+            p = a + b - x
+            paeth = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - x), 2, x))[2]
+            want[r, c] = (int(raw[r, c]) + (0, a, b, (a + b) // 2, paeth)[kinds[r]]) % 256
+    assert (media.unfilter(raw, kinds.astype(np.uint8)) == want).all()
+
+
+def test_inflating_stops_at_the_stated_size():
+    rows = np.zeros((3, 64), dtype=np.uint8)
+    head = media.struct.pack(">IIBBBBB", 64, 3, 8, 0, 0, 0, 0)
+    for body in (zlib.compress(bytes(100_000_000)), zlib.compress(bytes(3 * 65)) + b"x", zlib.compress(bytes(3 * 65))[:-2]):
+        blob = media.SIGNATURE + media._chunk(b"IHDR", head) + media._chunk(b"IDAT", body) + media._chunk(b"IEND", b"")
+        with pytest.raises(media.MediaError):
+            media.decode(blob)
+    assert (media.decode(media.encode(rows.tobytes())) == rows).all()
+
+
+def test_hash_against_plain_cosine_transform():
+    for h, w, seed in ((5, 64, 1), (40, 64, 2), (33, 20, 3)):
+        image = np.random.default_rng(seed).integers(0, 256, (h, w)).astype(np.uint8)
+        big = np.kron(image.astype(float), np.ones((32, 32)))  # area averages by whole cells
+        small = big.reshape(32, h, 32, w).mean(axis=(1, 3))
+        low = np.zeros((8, 8))
+        for u in range(8):
+            for v in range(8):
+                low[u, v] = sum(small[y, x] * np.cos(np.pi * u * (2 * y + 1) / 64) * np.cos(np.pi * v * (2 * x + 1) / 64) for y in range(32) for x in range(32))
+        low = np.round(low, 6).ravel()
+        ordered = np.sort(low)
+        bits = "".join("1" if 2 * x > ordered[31] + ordered[32] else "0" for x in low)
+        assert media.perceptual_hash(image) == int(bits, 2)
+
+
 def test_damaged_media_are_refused():
     blob = media.encode(media.padded(b"some text " * 40))
     for i in range(0, len(blob), 7):
@@ -250,6 +290,40 @@ def test_classifier_held_out(spark, docs):
     assert auc(scored.quality.to_numpy(), scored.s.to_numpy()) > 0.95
 
 
+def test_training_against_plain_ftrl():
+    """Weights slot by slot, as the update rule is written."""
+    rng = np.random.default_rng(2)
+    settings = quality_model.Settings(bits=6, epochs=2)
+    rows = [(np.unique(np.concatenate(([0], rng.integers(1, 64, 9)))), None) for _ in range(80)]
+    rows = [(s.astype(np.int32), rng.random(len(s)).astype(np.float32)) for s, _ in rows]
+    labels = rng.integers(0, 2, 80)
+    z, n = [0.0] * 64, [0.0] * 64
+
+    def weight(i):
+        lasso = 0.0 if i == 0 else settings.l1
+        if abs(z[i]) <= lasso:
+            return 0.0
+        return (np.sign(z[i]) * lasso - z[i]) / ((settings.beta + n[i] ** 0.5) / settings.alpha + settings.l2)
+
+    for _ in range(settings.epochs):
+        for (slots, values), y in zip(rows, labels):
+            w = {i: weight(i) for i in slots}
+            p = 1 / (1 + np.exp(-sum(w[i] * float(v) for i, v in zip(slots, values))))
+            for i, v in zip(slots, values):
+                g = (p - y) * float(v)
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / settings.alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    assert quality_model.train(rows, labels, settings) == pytest.approx([weight(i) for i in range(64)], abs=1e-5)
+
+
+def test_training_is_bounded_by_bytes(spark):
+    docs = spark.createDataFrame([(i, f"word{i} " * 50) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    whole, few = (quality_model.fit(docs, labels, quality_model.Settings(max_bytes=b)) for b in (1 << 20, 1000))
+    assert np.count_nonzero(whole) > np.count_nonzero(few) > 0
+
+
 def test_classifier_edge_cases(spark, nasty, empty):
     labels = spark.createDataFrame([(3, 1), (3, 0), (5, 0), (None, 1), (4, None)], "doc_id long, quality int")
     weights = quality_model.fit(nasty, labels)
@@ -284,6 +358,49 @@ def test_repetition_base(spark, docs, nasty, empty):
     assert repetition.judge(empty).count() == 0 and repetition.keep(empty).columns == empty.columns
 
 
+def brute_verdict(text):
+    """``kept`` by plain counting."""
+    words = WORD.findall(text or "")
+    if brute_repetition(text)[5]:
+        return False
+    limits, total = repetition.Limits(), sum(map(len, words))
+
+    def places(n):
+        at = {}
+        for i in range(len(words) - n + 1):
+            at.setdefault(tuple(words[i : i + n]), []).append(i)
+        return {g: x for g, x in at.items() if len(x) > 1}
+
+    for n, limit in limits.top_ngram:
+        if max((len(x) * len("".join(g)) for g, x in places(n).items()), default=0) / total > limit:
+            return False
+    for n, limit in limits.dup_ngram:
+        inside = {i + k for x in places(n).values() for i in x for k in range(n)}
+        if sum(len(words[i]) for i in inside) / total > limit:
+            return False
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    again = [x for i, x in enumerate(lines) if x in lines[:i]]
+    symbols = sum(c in "#*$%&|<>" for c in text) / total
+    return not (len(again) / len(lines) > limits.dup_lines or sum(map(len, again)) / sum(map(len, lines)) > limits.dup_line_chars or symbols > limits.symbols)
+
+
+def test_verdicts_against_brute_force(spark, docs):
+    rng = random.Random(6)
+    made = []
+    for k in range(150):
+        words = [rng.choice(["äß", "b", "cc", "ddé", "e#"]) + str(rng.randrange(rng.choice([20, 200, 2000]))) for _ in range(rng.randrange(40, 200))]
+        if k % 2:
+            at = rng.randrange(len(words))
+            words += words[at : at + rng.randrange(5, 40)]
+        lines = [" ".join(words[i : i + 9]) for i in range(0, len(words), 9)]
+        lines += rng.choices(lines, k=rng.randrange(4))
+        made.append("\n".join(lines))
+    texts = made + [r.text for r in docs.limit(300).collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.kept for r in repetition.judge(df).collect()}
+    assert got == {i: brute_verdict(t) for i, t in enumerate(texts)} and 0 < sum(got.values()) < len(got)
+
+
 def test_repetition_coverage():
     words = [f"w{i}" for i in range(100)]
     block = words[:30]
@@ -417,10 +534,20 @@ def test_token_files_round_trip(spark, docs, nasty, empty):
     name = files.first()["file"]
     file = token_files.SequenceFile(f"{name}.arrow")
     ids, mask = file.sequence(0)
-    assert len(ids) == len(mask) == 128 and (file.ids(0, int(mask.sum())) == ids[mask]).all()
+    assert len(ids) == len(mask) == 128 and (file.ids(0, int(mask.sum())) == ids[mask == 1]).all()
+    assert not ids.flags.owndata and not mask.flags.owndata and mask.dtype == np.uint8
     assert token_files.documents(token_files.write(empty, token_files.new_folder(spark), tokens.default_file())).count() == 0
 
 
+def test_token_files_with_other_keys(spark):
+    for kind, keys in (("string", ["b", "a", None]), ("int", [3, -1, None]), ("date", ["2024-02-01", "2023-01-01", None]), ("decimal(10,2)", ["2.50", "1.00", None])):
+        df = spark.createDataFrame([(k if k is None else str(k), f"text {i}") for i, k in enumerate(keys)], "k string, t string").select(F.col("k").cast(kind).alias("k"), "t")
+        files = token_files.write(df, token_files.new_folder(spark), tokens.default_file(), key="k", text="t", length=8, rows=2)
+        got = token_files.documents(files, key="k")
+        assert got.schema["k"].dataType == df.schema["k"].dataType
+        assert [str(r.k) for r in got.orderBy("start").collect()] == ["None", str(keys[1]), str(keys[0])]
+
+
 def test_encoder_equals_whole_texts():
     rng = random.Random(1)
     enc = tokens.encoder(tokens.default_file())

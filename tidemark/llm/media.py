@@ -2,14 +2,16 @@
 
 ``encode`` puts bytes into an 8-bit greyscale image of 64 columns. ``decode``
 checks the signature, the order, lengths and CRC-32 of all chunks, inflates the
-IDAT stream (its Adler-32 is checked by zlib), and undoes all five row filters
-in numpy. ``perceptual_hash`` averages the image to 32 x 32, takes the 8 x 8
+IDAT stream up to the size that the header states (its Adler-32 is checked by zlib),
+and undoes all five row filters in numpy: those that add a row or a column by
+cumulative sums, Average and Paeth along diagonals. ``perceptual_hash`` averages the image to 32 x 32, takes the 8 x 8
 lowest frequencies of the two-dimensional cosine transform and sets a bit for
 each that is above their median.
 
 Nulls and edge cases: a null text is the empty text; the empty payload is one row
 of 64 zero bytes. Damaged media raise ``MediaError``; ``decode`` never returns
-unchecked samples. Texts of any length are stored whole.
+unchecked samples. Texts of any length are stored whole. Repeated rows give equal
+media; extra columns are not read. Null media have null features.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 WIDTH = 64
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 NONE, SUB, UP, AVERAGE, PAETH = range(5)
+BAND = 1024  # rows that are unfiltered along diagonals at once
 
 FEATURES = "struct<payload_bytes:bigint,payload_sha256:string,tail_crc32:bigint,media_bytes:bigint,media_sha256:string,feature:string>"
 
@@ -118,23 +121,50 @@ def chunks(media: bytes) -> list[tuple[bytes, bytes]]:
 
 
 def unfilter(raw: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-    """Undo the row filters. Runs of rows without Average and Paeth are undone at once, the others along diagonals."""
+    """Undo the row filters: runs of rows without Average and Paeth by sums, runs of those along diagonals."""
     if len(kinds) and kinds.max() > PAETH:
         raise MediaError("unknown filter type")
     rows = raw.copy()
     sub = kinds == SUB
     rows[sub] = np.cumsum(rows[sub], axis=1, dtype=np.uint8)
-    hard = np.flatnonzero(kinds >= AVERAGE)
-    at = 0
-    for stop in [*hard, len(rows)]:
-        if stop > at:
+    hard = kinds >= AVERAGE
+    edges = np.flatnonzero(np.diff(hard)) + 1 if len(hard) else []
+    for at, stop in zip([0, *edges], [*edges, len(rows)]):
+        if stop > at and not hard[at]:
             _unfilter_up(rows, kinds, at, stop)
-        if stop < len(rows):
-            _unfilter_row(rows, int(kinds[stop]), stop)
-        at = stop + 1
+        else:
+            for a in range(at, stop, BAND):
+                _unfilter_band(rows, kinds, a, min(a + BAND, stop))
     return rows
 
 
+def _unfilter_band(rows: np.ndarray, kinds: np.ndarray, at: int, stop: int) -> None:
+    """Average and Paeth rows: all samples of a diagonal depend on the two diagonals before it only."""
+    h, w = stop - at, rows.shape[1]
+    padded = np.zeros((h + 1, w + 1), dtype=np.int16)
+    if at:
+        padded[0, 1:] = rows[at - 1]
+    padded[1:, 1:] = rows[at:stop]
+    flat, average = padded.ravel(), kinds[at:stop] == AVERAGE
+    mixed = average.any() and not average.all()
+    for d in range(h + w - 1):
+        low, high = max(0, d - w + 1), min(h - 1, d)  # rows on the diagonal; neighbours on it are w samples apart
+        first = (low + 1) * (w + 1) + d - low + 1
+        here = slice(first, first + (high - low) * w + 1, w)
+        left, above, corner = (flat[first - k : first - k + (high - low) * w + 1 : w] for k in (1, w + 1, w + 2))
+        if not average.all():
+            to_left, to_above = above - corner, left - corner
+            to_corner = np.abs(to_left + to_above)
+            to_left, to_above = np.abs(to_left), np.abs(to_above)
+            guess = np.where((to_left <= to_above) & (to_left <= to_corner), left, np.where(to_above <= to_corner, above, corner))
+        if mixed:
+            guess = np.where(average[low : high + 1], (left + above) >> 1, guess)
+        elif average.all():
+            guess = (left + above) >> 1
+        flat[here] = (flat[here] + guess) & 255
+    rows[at:stop] = padded[1:, 1:]
+
+
 def _unfilter_up(rows: np.ndarray, kinds: np.ndarray, at: int, stop: int) -> None:
     up = kinds[at:stop] == UP
     if not up.any():
@@ -147,32 +177,18 @@ def _unfilter_up(rows: np.ndarray, kinds: np.ndarray, at: int, stop: int) -> Non
     rows[at:stop] = sums - before
 
 
-def _unfilter_row(rows: np.ndarray, kind: int, r: int) -> None:
-    above = rows[r - 1].tolist() if r else [0] * rows.shape[1]
-    line, left, corner = rows[r].tolist(), 0, 0
-    for i, b in enumerate(above):
-        if kind == AVERAGE:
-            guess = (left + b) >> 1
-        else:
-            p = left + b - corner
-            da, db, dc = abs(p - left), abs(p - b), abs(p - corner)
-            guess = left if da <= db and da <= dc else b if db <= dc else corner
-        left, corner = (line[i] + guess) & 255, b
-        line[i] = left
-    rows[r] = line
-
-
 def decode(media: bytes) -> np.ndarray:
     """The samples of an 8-bit greyscale PNG as a two-dimensional array."""
     parts = chunks(media)
     width, height, depth, colour, method, filtering, interlace = struct.unpack(">IIBBBBB", parts[0][1])
     if (depth, colour, method, filtering, interlace) != (8, 0, 0, 0, 0):
         raise MediaError("not plain 8-bit greyscale")
+    whole, inflate = height * (width + 1), zlib.decompressobj()
     try:
-        stream = zlib.decompress(b"".join(body for kind, body in parts if kind == b"IDAT"))
+        stream = inflate.decompress(b"".join(body for kind, body in parts if kind == b"IDAT"), whole + 1)
     except zlib.error as e:
         raise MediaError(str(e)) from e
-    if len(stream) != height * (width + 1):
+    if len(stream) != whole or not inflate.eof or inflate.unused_data:
         raise MediaError("wrong number of samples")
     raw = np.frombuffer(stream, dtype=np.uint8).reshape(height, width + 1)
     return unfilter(raw[:, 1:], raw[:, 0])

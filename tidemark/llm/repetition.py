@@ -6,11 +6,13 @@ and the verdict compares the covered characters with a limit per length; the
 characters of repeated lines and the share of repeated lines have limits too.
 
 Nulls and edge cases: a null or empty text has no words and fails the base rule.
-Repeated rows are judged row by row; texts of any length are measured whole.
+Repeated rows are judged row by row; texts of any length are measured whole. Extra
+columns are dropped by :func:`judge` and kept by :func:`keep`.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -106,20 +108,20 @@ class Windows:
         return out
 
 
-def _lines(raw: bytes) -> tuple[int, int, int, int]:
-    """Lines with a word, those equal to an earlier one, and the bytes of both."""
-    seen: set[bytes] = set()
-    n_lines = n_dup = all_bytes = dup_bytes = 0
-    for line in raw.split(b"\n"):
-        if not line.strip(b" \t\n\r\x0b\x0c"):
+def _lines(text: str) -> tuple[int, int, int, int]:
+    """Lines with a word, those equal to an earlier one, and the characters of both."""
+    seen: set[str] = set()
+    n_lines = n_dup = all_chars = dup_chars = 0
+    for line in text.split("\n"):
+        if not line.strip(" \t\n\r\x0b\x0c"):
             continue
         n_lines += 1
-        all_bytes += len(line)
+        all_chars += len(line)
         if line in seen:
             n_dup += 1
-            dup_bytes += len(line)
+            dup_chars += len(line)
         seen.add(line)
-    return n_lines, n_dup, all_bytes, dup_bytes
+    return n_lines, n_dup, all_chars, dup_chars
 
 
 def _measure_block(texts: pa.Array, limits: Limits) -> list[np.ndarray]:
@@ -131,7 +133,7 @@ def _measure_block(texts: pa.Array, limits: Limits) -> list[np.ndarray]:
     symbols = np.concatenate(([0], np.cumsum(_SYMBOL[data])))
     n, total = np.diff(first), _per_text(chars, first)
     n_symbols = symbols[offsets[1:]] - symbols[offsets[:-1]]
-    lines = np.array([_lines(data[a:b].tobytes()) for a, b in zip(offsets, offsets[1:])], dtype=np.int64).reshape(-1, 4)
+    lines = np.array([_lines(data[a:b].tobytes().decode()) for a, b in zip(offsets, offsets[1:])], dtype=np.int64).reshape(-1, 4)
     some = np.maximum(total, 1)
 
     tops, dups, repeat = dict(limits.top_ngram), dict(limits.dup_ngram), np.zeros(len(n), np.int64)
@@ -173,15 +175,23 @@ def report(text: Column, limits: Limits = Limits()) -> Column:
     """A struct column with all measures, ``base_failed`` and ``kept``."""
 
     @F.arrow_udf(REPORT)
-    def measured(texts: pa.Array) -> pa.Array:
-        return measure_array(texts, limits)
+    def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield measure_array(texts, limits)
+        K.trim()
 
     return measured(text)
 
 
 def judge(docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and all measures, one row per document."""
-    return docs.select(F.col(key), report(F.col(text), limits).alias("r")).select(key, "r.*")
+    """``key`` and all measures, one row per document; shares are named by n-gram length."""
+    found = docs.select(F.col(key), report(F.col(text), limits).alias("r"))
+    lists = {"top_ngram_chars": [f"top_{n}" for n, _ in limits.top_ngram], "dup_ngram_chars": [f"dup_{n}" for n, _ in limits.dup_ngram]}
+    shown = []
+    for field in REPORT[7:-1].split(","):
+        name = field.split(":")[0]
+        shown += [F.col(f"r.{name}")[i].alias(n) for i, n in enumerate(lists[name])] if name in lists else [F.col(f"r.{name}")]
+    return found.select(key, *shown)
 
 
 def keep(docs: DataFrame, limits: Limits = Limits(), text: str = "text") -> DataFrame:

@@ -2,8 +2,8 @@
 
 Documents are ordered by key and cut into ranges; each range becomes one Arrow
 file (the random-access IPC format) whose record batches hold two fixed-size-list
-columns: ``ids`` (``length`` unsigned integers) and ``mask`` (which of them are
-tokens). The ids of a range run on from sequence to sequence and only the last
+columns: ``ids`` (``length`` unsigned integers) and ``mask`` (bytes, 1 for tokens and
+0 for padding). The ids of a range run on from sequence to sequence and only the last
 sequence is padded. A second Arrow file beside it holds each document's key,
 start and length. Both are uncompressed, so a reader maps them and takes slices
 without copying.
@@ -12,8 +12,9 @@ A task writes under a name of its own and the table of files names only those of
 tasks that ended, so a repeated or speculative task does no harm.
 
 Nulls and edge cases: null and empty texts have the end id alone; null keys come
-first. Rows with equal keys stay, ordered by a hash of their texts. An empty
-table gives no file and no row.
+first. Rows with equal keys stay, ordered by a hash of their texts. Keys may have any
+type that Spark can order. An empty table gives no file and no row. Extra columns
+are dropped.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import scratch, tokens
 
-FILES = "shard int, file string, n_docs bigint, n_ids bigint"
+FILES = "shard int, file string, n_docs bigint, n_ids bigint, key_type string"
 
 
 def open_input(uri: str):
@@ -55,7 +56,7 @@ class _Sequences:
     def __init__(self, uri: str, length: int, rows: int, dtype: np.dtype):
         self.length, self.rows, self.dtype = length, rows, dtype
         kind = pa.from_numpy_dtype(dtype)
-        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
+        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length))])
         self.sink = _open_output(uri)
         self.writer = pa.ipc.new_file(self.sink, self.schema)
         self.pending: list[np.ndarray] = []
@@ -74,7 +75,7 @@ class _Sequences:
             self.held = len(self.pending[0])
 
     def _write(self, ids: np.ndarray, known: int) -> None:
-        mask = np.arange(len(ids)) < known
+        mask = (np.arange(len(ids)) < known).astype(np.uint8)
         self.writer.write_batch(pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)], schema=self.schema))
 
     def close(self) -> None:
@@ -100,9 +101,10 @@ class SequenceFile:
         return self._ids
 
     def sequence(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and mask of a sequence, as views of the file."""
         batch = self.reader.get_batch(row // self.rows)
         k = row % self.rows
-        return batch.column(0)[k].values.to_numpy(), batch.column(1)[k].values.to_numpy(zero_copy_only=False)
+        return batch.column(0)[k].values.to_numpy(), batch.column(1)[k].values.to_numpy()
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from position ``start``; a view, if they lie in one batch."""
@@ -118,10 +120,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", tex
     """Write the files below ``folder``; return the table of files (shard, file, n_docs, n_ids)."""
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kind = docs.schema[key].dataType
-    arrow_key = pa.string() if kind.simpleString() == "string" else pa.int64()
+    kind = docs.schema[key].dataType.simpleString()
     ordered = (
-        docs.select(F.col(key).cast("string" if arrow_key == pa.string() else "long").alias("k"), F.col(text).alias("t"), F.xxhash64(F.col(text)).alias("h"))
+        docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(F.col(text)).alias("h"))
         .repartitionByRange(n, F.col("k").asc_nulls_first(), F.col("h"))
         .sortWithinPartitions(F.col("k").asc_nulls_first(), "h")
         .select("k", "t")
@@ -137,7 +138,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", tex
             for ids in tokens.encode_array(batch.column(1), tokenizer, end_id):
                 out.add(ids)
                 sizes.append(len(ids))
-            keys.append(batch.column(0).cast(arrow_key))
+            keys.append(batch.column(0))
         tokens.release()
         if out is None:
             return
@@ -146,16 +147,20 @@ def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", tex
         table = pa.table({"key": pa.chunked_array(keys), "start": np.cumsum(sizes) - sizes, "n": sizes})
         with _open_output(f"{name}.index.arrow") as sink, pa.ipc.new_file(sink, table.schema) as writer:
             writer.write_table(table, max_chunksize=1 << 16)
-        yield pa.record_batch({"shard": pa.array([shard], pa.int32()), "file": [name], "n_docs": pa.array([len(sizes)], pa.int64()), "n_ids": pa.array([out.total], pa.int64())})
+        yield pa.record_batch({"shard": pa.array([shard], pa.int32()), "file": [name], "n_docs": pa.array([len(sizes)], pa.int64()), "n_ids": pa.array([out.total], pa.int64()), "key_type": [kind]})
 
     return scratch.cut(ordered.mapInArrow(store, FILES), "token-files")
 
 
 def documents(files: DataFrame, key: str = "doc_id", key_type: str = "long") -> DataFrame:
-    """Per document, from the files: ``key, start, n_tokens, ids_crc32``; ``start`` counts all ids before it."""
+    """Per document, from the files: ``key, start, n_tokens, ids_crc32``; ``start`` counts all ids before it.
+
+    The key has the type that was written; ``key_type`` is that of an empty table.
+    """
+    written = files.select("key_type").first()
+    key_type = written[0] if written else key_type
     before = F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))  # a row per file
     spread = files.select("shard", "file", F.coalesce(before, F.lit(0)).alias("base")).repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    arrow_key = pa.string() if key_type == "string" else pa.int64()
 
     def read(batches):
         for batch in batches:
@@ -166,7 +171,7 @@ def documents(files: DataFrame, key: str = "doc_id", key_type: str = "long") ->
                     part = index.get_batch(i)
                     starts, sizes = part.column(1).to_numpy(), part.column(2).to_numpy()
                     sums = [zlib.crc32(ids.ids(a, n).astype("<u4")) for a, n in zip(starts.tolist(), sizes.tolist())]
-                    yield pa.record_batch([part.column(0).cast(arrow_key), pa.array(starts + base), part.column(2), pa.array(sums, pa.int64())], names=["key", "start", "n_tokens", "ids_crc32"])
+                    yield pa.record_batch([part.column(0), pa.array(starts + base), part.column(2), pa.array(sums, pa.int64())], names=["key", "start", "n_tokens", "ids_crc32"])
 
     schema = f"key {key_type}, start long, n_tokens long, ids_crc32 long"
     return spread.mapInArrow(read, schema).withColumnRenamed("key", key)
