@@ -125,7 +125,7 @@ def _looked_up(phrases: Iterable[str], df: dict[str, int], rare: int) -> list[st
     return sorted({w for p in phrases for w in sorted(set(p.split()), key=lambda w: (df.get(w, 0), w))[:rare]})
 
 
-def _phrase_places(t: Template) -> list[int]:
+def phrase_places(t: Template) -> list[int]:
     """Places of a template's words that belong to its key phrases."""
     ws = t.words.split()
     out = set()
@@ -164,7 +164,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tu
     spelled = [t.words.split() for t in templates]
     postings: dict[str, list[tuple[int, int]]] = {}
     for i, t in enumerate(templates):
-        for place in _phrase_places(t):
+        for place in phrase_places(t):
             postings.setdefault(spelled[i][place], []).append((i, place))
     none = F.array().cast("array<struct<t:int,off:int>>")
     if postings:

@@ -127,6 +127,101 @@ SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule,
 FROM fits GROUP BY page_id, host, path
 """
 
+OP3_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT rid, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d
+), n AS (
+  SELECT rid, count(*) AS n FROM s GROUP BY rid
+), p AS (
+  SELECT a.rid AS a, b.rid AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.rid < b.rid GROUP BY a.rid, b.rid
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+), e AS (
+  SELECT a, b FROM l UNION SELECT b, a FROM l
+), r AS (
+  SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(o.doc_id) FROM r JOIN d o ON o.rid = r.b WHERE r.a = d.rid) AS component_id
+FROM d LEFT JOIN n USING (rid)
+"""
+
+_LIMITS = repetition.Limits()
+_TOPS, _DUPS = dict(_LIMITS.top_ngram), dict(_LIMITS.dup_ngram)
+OP5_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), v AS (
+  SELECT rid, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d
+), b AS (
+  SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM v
+), l AS (
+  SELECT rid, line, count(*) AS k FROM (SELECT rid, unnest(lines) AS line FROM b) GROUP BY rid, line
+), m AS (
+  SELECT rid, sum(k) AS n_lines, sum(k - 1) AS dups, sum(k * length(line)) AS chars, sum((k - 1) * length(line)) AS dup_chars FROM l GROUP BY rid
+), k AS (
+  SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS i FROM v
+), q AS (
+  SELECT rid, i, word, {", ".join(f"lead(word, {n - 1}) OVER (PARTITION BY rid ORDER BY i) AS w{n}" for n in range(2, 11))} FROM k
+), g AS (
+  {" UNION ALL ".join(f"SELECT rid, {n} AS n, i, concat_ws(' ', word, {', '.join(f'w{m}' for m in range(2, n + 1))}) AS gram FROM q WHERE w{n} IS NOT NULL" for n in range(2, 11))}
+), o AS (
+  SELECT rid, n, gram, count(*) * length(replace(gram, ' ', '')) AS chars, list(i) AS places FROM g GROUP BY rid, n, gram HAVING count(*) > 1
+), top AS (
+  SELECT rid, {", ".join(f"max(CASE WHEN n = {n} THEN chars END) AS t{n}" for n in _TOPS)} FROM o GROUP BY rid
+), c AS (
+  SELECT DISTINCT rid, n, i + step AS i FROM (SELECT rid, n, unnest(places) AS i FROM o WHERE n = 3 OR n >= 5), range(10) t(step) WHERE step < n
+), x AS (
+  SELECT c.rid, count(CASE WHEN n = 3 THEN 1 END) AS inside, {", ".join(f"sum(CASE WHEN n = {n} THEN length(word) END) AS d{n}" for n in _DUPS)} FROM c JOIN k USING (rid, i) GROUP BY c.rid
+), y AS (
+  SELECT b.rid, doc_id, n_words, word_chars, n_symbols, CAST(coalesce(dups, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(inside, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(dups, 0) AS DOUBLE) / greatest(coalesce(n_lines, 0), 1) AS dup_line_share, CAST(coalesce(dup_chars, 0) AS DOUBLE) / greatest(coalesce(chars, 0), 1) AS dup_line_chars,
+         {", ".join(f"least(CAST(coalesce(t{n}, 0) AS DOUBLE) / greatest(word_chars, 1), 1.0) AS top_{n}" for n in _TOPS)},
+         {", ".join(f"CAST(coalesce(d{n}, 0) AS DOUBLE) / greatest(word_chars, 1) AS dup_{n}" for n in _DUPS)},
+         CAST(n_symbols AS DOUBLE) / greatest(word_chars, 1) AS symbol_share,
+         n_words < {_LIMITS.min_words} OR 100 * coalesce(inside, 0) > {_LIMITS.repeat_words_percent} * n_words AS base_failed
+  FROM b LEFT JOIN m USING (rid) LEFT JOIN top USING (rid) LEFT JOIN x USING (rid)
+)
+SELECT * EXCLUDE (rid), NOT (base_failed OR dup_line_share > {_LIMITS.dup_lines} OR dup_line_chars > {_LIMITS.dup_line_chars} OR symbol_share > {_LIMITS.symbols}
+  OR {" OR ".join(f"top_{n} > {limit}" for n, limit in _TOPS.items())} OR {" OR ".join(f"dup_{n} > {limit}" for n, limit in _DUPS.items())}) AS kept
+FROM y
+"""
+
+_TEMPLATES = ",\n    ".join("({}, '{}', '{}', [{}], [{}])".format(i, t.label, t.words, ", ".join(f"'{k}'" for k in t.keys), ", ".join(map(str, license_scan.phrase_places(t)))) for i, t in enumerate(license_scan.TEMPLATES))
+OP10_SQL = f"""
+WITH base(phrase, label) AS (
+  VALUES {", ".join(f"('{p}', '{label}')" for p, label in license_scan.BASE)}
+), templates(t, label, words, keys, marked) AS (
+  VALUES {_TEMPLATES}
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), z AS (
+  SELECT rid, ' ' || array_to_string(w, ' ') || ' ' AS padded FROM d
+), tokens AS (
+  SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS i FROM d
+), b AS (
+  SELECT k.rid, k.i, base.label FROM tokens k JOIN d USING (rid) JOIN base ON k.word = string_split(base.phrase, ' ')[1] AND d.w[k.i + 1:k.i + len(string_split(base.phrase, ' '))] = string_split(base.phrase, ' ')
+), bs AS (
+  SELECT rid, CAST(count(*) AS BIGINT) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list(DISTINCT label)) AS labels FROM b GROUP BY rid
+), asked AS (
+  SELECT rid, t, label, words, marked FROM z, templates WHERE len(list_filter(keys, lambda k: NOT contains(padded, ' ' || k || ' '))) = 0
+), own AS (
+  SELECT rid, t, label, len(string_split(words, ' ')) AS n, unnest(string_split(words, ' ')) AS word, unnest(range(len(string_split(words, ' ')))) AS p, marked FROM asked
+), places AS (
+  SELECT own.rid, own.t, own.label, k.i - own.p AS off, count(*) / any_value(CAST(n AS DOUBLE)) AS share FROM own JOIN tokens k ON k.rid = own.rid AND k.word = own.word
+  GROUP BY own.rid, own.t, own.label, off HAVING count(CASE WHEN list_contains(marked, p) THEN 1 END) >= 2
+), ts AS (
+  SELECT rid, list(DISTINCT label) AS labels, max(share) AS best FROM places GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(bs.labels, ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(bs.labels, []), coalesce(ts.labels, [])))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN bs USING (rid) LEFT JOIN ts USING (rid)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_columns": op1_media_columns,
     "op2_html_extraction": op2_html_extraction,
@@ -140,4 +235,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLES: dict[str, str] = {"op7_source_mixing": OP7_SQL, "op8_url_filters": OP8_SQL}
+ORACLES: dict[str, str] = {
+    "op3_ngram_jaccard_join": OP3_SQL,
+    "op5_repetition_coverage": OP5_SQL,
+    "op7_source_mixing": OP7_SQL,
+    "op8_url_filters": OP8_SQL,
+    "op10_license_scan": OP10_SQL,
+}
