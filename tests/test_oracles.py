@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from tidemark import plans
@@ -19,7 +20,7 @@ def db():
 
 
 def plain(value):
-    if value is None or value != value if not isinstance(value, (list, np.ndarray)) else False:
+    if not isinstance(value, (list, np.ndarray)) and pd.isna(value):
         return "null"
     if isinstance(value, (list, np.ndarray)):
         return str([plain(x) for x in value])
@@ -30,14 +31,22 @@ def plain(value):
     return str(value)
 
 
-def rows(frame):
-    names = sorted(frame.columns)
-    return names, sorted(tuple(plain(v) for v in r) for r in frame[names].itertuples(index=False))
+def rows(names, values):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(names), sorted(tuple(plain(r[i]) for i in order) for r in values)
+
+
+def of_spark(df):
+    return rows(df.columns, df.collect())
+
+
+def of_sql(relation):
+    return rows(relation.columns, relation.fetchall())
 
 
 @pytest.mark.parametrize("name", sorted(plans.ORACLES))
 def test_query_matches_sql(spark, db, name):
-    assert rows(plans.QUERIES[name](spark, SF).toPandas()) == rows(db.sql(plans.ORACLES[name]).df())
+    assert of_spark(plans.QUERIES[name](spark, SF)) == of_sql(db.sql(plans.ORACLES[name]))
 
 
 @pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.ORACLES)))
