@@ -266,6 +266,36 @@ def test_join_of_copies_and_near_copies(spark, monkeypatch):
     assert as_tuples(ngram_join.link(df)) == brute_components(rows)
 
 
+def test_join_of_sets_that_share_frequent_shingles_only(spark, monkeypatch):
+    """Long lists that no pivot breaks up: split by further shingles, then paired."""
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", 3)
+    monkeypatch.setattr(ngram_join, "KNOWN_LIST", 4)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 1)
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    frame = [rng.choice(words) for _ in range(40)]
+    rows = []
+    for _ in range(60):
+        own = [rng.choice(words) for _ in range(16)]
+        rows.append(" ".join(frame + own))
+        if rng.random() < 0.3:
+            rows.append(" ".join(frame + own[:-1] + [rng.choice(words)]))
+    rows = list(enumerate(rows, start=1))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert as_tuples(ngram_join.link(df)) == brute_components(rows)
+
+
+def test_representatives_of_shared_ids(spark):
+    base = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, base), (5, base), (5, "something else altogether, with other words"), (7, base + " x"), (3, "other " + "y " * 9), (None, base), (None, "no id at all here, five words"), (9, ""), (9, None), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in ngram_join.representatives(df).collect()), key=str)
+    want = [(5, base), (5, rows[2][1]), rows[4], rows[6], (9, ""), (9, None), (9, None)]
+    assert got == sorted(want, key=str)
+    assert ngram_join.representatives(df.where("doc_id = 3 or doc_id = 7")).count() == 2
+    assert ngram_join.representatives(df.limit(0)).count() == 0
+
+
 def test_join_edge_cases(nasty, empty):
     rows = [(r[0], r[1]) for r in nasty_rows()]
     assert as_tuples(ngram_join.link(nasty)) == brute_components(rows)

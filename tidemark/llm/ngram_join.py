@@ -3,21 +3,26 @@
 Words are lower-cased (A-Z); a document's set are its distinct n-word shingles.
 Documents with equal sets are one node. The join is exact:
 
-1. Rare first. A count sketch of fixed size over all shingles of all documents
-   orders shingles by rarity (then by hash). Sets that overlap enough share a
-   shingle among their first ``n - ceil(0.8 n) + 1``: only these are joined.
+1. Rare first. A count sketch over all shingles of all documents orders shingles by
+   rarity (then by hash). Sets that overlap enough share a shingle among their first
+   ``n - ceil(0.8 n) + 1``: only these are joined. The sketch's size follows that of a
+   partition, so that its exchange stays a fraction of the input; where it is too
+   small to tell rare from less rare shingles, only the cost grows.
 2. Filters. A shared shingle's positions must lie in both sets' prefixes for this
    pair of lengths (length and prefix filter), must leave room for the required
    overlap (positional filter), and the sets' counts over hash ranges must not
    differ by more than the allowed symmetric difference (suffix filter).
-3. Every pair that is left is verified once, on whole sets.
+3. Every pair that is left is verified once, on whole sets; later rounds look up
+   what earlier ones have verified.
 
 A long posting list is not paired with itself. It is split by lengths, a pivot is
 verified against all its members, and as Jaccard distance is a metric, members
 within 0.2 of the pivot have no link to those beyond 0.4; the list falls apart
 into the near and the far side, and pairs already in one class need no check. So
 a group of near copies costs about one verification per member, and still no
-link between classes is lost.
+link between classes is lost. A list that pivots do not break up holds sets that
+share one frequent shingle and little else: it is split by a second one, and then a
+third, as linked sets share as many in prefixes that are longer by as many.
 
 Nulls and edge cases: a text with fewer than n words is one shingle; null and
 empty texts have none and are linked with nothing. Rows with equal keys are
@@ -42,10 +47,12 @@ from tidemark.llm.components import components
 
 SHINGLE = 5
 LINK, FAR = 80, 60  # per cent; distances 0.2 and 0.4
-SKETCH_BITS = 20
+SKETCH_BITS = (20, 23)  # least and most
 RANGES = 256
 SHORT_LIST = 16
 KNOWN_LIST = 512  # once most classes are known, few pairs of a list are open
+PIVOTS, MORE_TOKENS = 3, 2  # pivots that a list gets before it is split by a further shingle, and how often it is
+PARTS = 64  # of a frequent shingle's postings
 _CHUNK = 4096
 
 
@@ -85,8 +92,15 @@ def nodes(docs: DataFrame, key: str, text: str, n: int = SHINGLE) -> DataFrame:
     return docs.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(described, f"key {kind}, node long, n long")
 
 
-def sketch(docs: DataFrame, text: str, n: int = SHINGLE, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Counts of all documents' shingles in ``1 << bits`` slots; this fixed size is all that reaches the driver."""
+def sketch_bits(spark) -> int:
+    """One slot for every 16 bytes of a partition."""
+    partition = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return min(max(int(partition // 16).bit_length() - 1, SKETCH_BITS[0]), SKETCH_BITS[1])
+
+
+def sketch(docs: DataFrame, text: str, n: int = SHINGLE, bits: int | None = None) -> np.ndarray:
+    """Counts of all documents' shingles in ``1 << bits`` slots; this bounded size is all that reaches the driver."""
+    bits = sketch_bits(docs.sparkSession) if bits is None else bits
 
     def count(batches):
         slots = np.zeros(1 << bits, dtype=np.int64)
@@ -114,7 +128,10 @@ def sketch(docs: DataFrame, text: str, n: int = SHINGLE, bits: int = SKETCH_BITS
 
 
 def postings(docs: DataFrame, text: str, counts: np.ndarray, n: int = SHINGLE) -> DataFrame:
-    """``token, node, n, pos``: prefix shingles that at least two nodes share, or that may be frequent."""
+    """``token, node, n, pos, often, cnt``: prefix shingles that at least two nodes share, or that may be frequent.
+
+    Prefixes are longer by ``MORE_TOKENS``; ``cnt`` is the number of nodes, for one that may be frequent that of a part of them.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(counts)
     shift = np.uint64(64 - (len(counts).bit_length() - 1))
@@ -130,7 +147,7 @@ def postings(docs: DataFrame, text: str, counts: np.ndarray, n: int = SHINGLE) -
                     continue
                 seen.add(node)
                 often = rare[(s >> shift).astype(np.int64)]
-                order = np.argsort(often, kind="stable")[: size - (4 * size + 4) // 5 + 1]
+                order = np.argsort(often, kind="stable")[: size - (4 * size + 4) // 5 + 1 + MORE_TOKENS]
                 k = len(order)
                 for column, values in zip(out, (s[order].view(np.int64), np.full(k, node), np.full(k, size, np.int32), np.arange(k, dtype=np.int32), often[order] > many)):
                     column.append(values)
@@ -139,11 +156,12 @@ def postings(docs: DataFrame, text: str, counts: np.ndarray, n: int = SHINGLE) -
 
     rows = docs.select(F.col(text).alias("t")).mapInArrow(prefixes, "token long, node long, n int, pos int, often boolean")
     # A token that may be frequent is split, so that no task sorts all of its rows.
-    rows = rows.withColumn("part", F.when(F.col("often"), F.pmod("node", F.lit(64)).cast("int")).otherwise(0))
+    rows = rows.withColumn("part", F.when(F.col("often"), F.pmod("node", F.lit(PARTS)).cast("int")).otherwise(0))
     here = Window.partitionBy("token", "part").orderBy("node")
-    all_ = here.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = rows.withColumn("before", F.lag("node").over(here)).withColumn("low", F.min("node").over(all_)).withColumn("high", F.max("node").over(all_))
-    return rows.where("(low < high or often) and (before is null or before != node)").select("token", "node", "n", "pos")
+    before = F.lag("node").over(here)
+    rows = rows.withColumn("fresh", (before.isNull() | (before != F.col("node"))).cast("int"))
+    rows = rows.withColumn("cnt", F.sum("fresh").over(here.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    return rows.where("fresh = 1 and (cnt > 1 or often)").select("token", "node", "n", "pos", "often", "cnt")
 
 
 def node_sets(docs: DataFrame, key: str, text: str, keys: DataFrame, n: int = SHINGLE) -> DataFrame:
@@ -215,9 +233,11 @@ def _pairs(lists: DataFrame, sets: DataFrame | None = None) -> DataFrame:
     return a.join(b, "lid").where(close).select("a", "b", F.lit(LINK).alias("percent"))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
-    """``a, b, na, nb, common`` of all pairs that the suffix filter leaves, each verified once."""
+def _verify(pairs: DataFrame, sets: DataFrame, label: str, done: DataFrame | None = None) -> DataFrame:
+    """``a, b, na, nb, common`` of all pairs that the suffix filter leaves; those in ``done`` are not verified again."""
     pairs = pairs.groupBy("a", "b").agg(F.min("percent").alias("percent"))
+    if done is not None:
+        pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
     small = sets.select("node", "n", "ranges")
     a = small.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("ranges").alias("ra"))
     b = small.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("ranges").alias("rb"))
@@ -241,8 +261,8 @@ def _by_length(lists: DataFrame) -> DataFrame:
     split = split.where(F.col("pos") <= F.col("n") - _fits(F.col("n"), least, LINK))
     split = split.withColumns({"g0": F.least("grade", "other"), "g1": F.greatest("grade", "other")})
     both = split.groupBy("token", "g0", "g1").agg(F.min("grade").alias("m0"), F.max("grade").alias("m1"), F.count(F.lit(1)).alias("size"))
-    both = both.where("m0 = g0 and m1 = g1 and size > 1")  # a pair of classes needs members of both
-    return split.join(both, ["token", "g0", "g1"]).select(F.xxhash64("token", "g0", "g1").alias("lid"), "node", "n", "pos")
+    both = scratch.cut(both.where("m0 = g0 and m1 = g1 and size > 1").select("token", "g0", "g1"), "grades")  # a pair of classes needs members of both
+    return split.join(both, ["token", "g0", "g1"]).select(F.xxhash64("token", "g0", "g1").alias("lid"), "node", "n", "pos", F.array("token").alias("used"))
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE) -> DataFrame:
@@ -259,50 +279,56 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = S
 def _link(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     rows = scratch.cut(nodes(docs, key, text, n), "nodes")
     lists = scratch.cut(postings(docs, text, sketch(docs, text, n), n), "postings")
-    wanted = lists.select("node").distinct()
+    base = lists.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * LINK / 100))  # without the prefixes' last MORE_TOKENS
+    wanted = base.select("node").distinct()
     keys = rows.where("node is not null").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
     sets = node_sets(docs, key, text, keys, n)
 
-    sized = lists.join(lists.groupBy("token").agg(F.count(F.lit(1)).alias("cnt")), "token")
-    short = sized.where(F.col("cnt") <= SHORT_LIST).select(F.col("token").alias("lid"), "node", "n", "pos", F.col("node").alias("low"), F.lit(None).cast("double").alias("d"))
-    long_ = sized.where(F.col("cnt") > SHORT_LIST)
-    weight = long_.groupBy("node").agg(F.sum("cnt").alias("w"))  # of near copies, the one most like all others has most
-    open_ = _by_length(long_).join(weight, "node").withColumns({"first": F.lit(1), "d": F.lit(None).cast("double")})
+    brief_list = ~F.col("often") & (F.col("cnt") <= SHORT_LIST)
+    short = base.where(brief_list).select(F.col("token").alias("lid"), "node", "n", "pos", F.col("node").alias("low"), F.lit(None).cast("double").alias("d"))
+    long_ = base.where(~brief_list)
+    of_list = F.col("cnt") * F.when(F.col("often"), PARTS).otherwise(1)
+    weight = long_.groupBy("node").agg(F.sum(of_list).alias("w"))  # of near copies, the one most like all others has most
+    open_ = _by_length(long_).join(weight, "node").withColumns({"first": F.lit(1), "d": F.lit(None).cast("double"), "age": F.lit(0)})
     open_ = scratch.cut(open_, "lists")
-    reached = None  # (node, low) so far
+    reached = done = None  # (node, low) and verified pairs so far
     garbage = [lists, open_]
-    links, limit, round_no = None, SHORT_LIST, 0
-    pending = _pairs(short)
+    pending, limit, round_no = _pairs(short), SHORT_LIST, 0
     while True:
         if reached is not None:
             known = open_.join(reached, "node", "left").withColumn("low", F.coalesce("low", "node"))
         else:
             known = open_.withColumn("low", F.col("node"))
-        stats = known.groupBy("lid").agg(
-            F.count(F.lit(1)).alias("cnt"), F.min("low").alias("l0"), F.max("low").alias("l1"), F.max_by("node", F.struct("first", "w", "node")).alias("pivot")
-        )
-        known = known.join(stats.where("l0 != l1").select("lid", "cnt", "pivot"), "lid")
-        brief = known.where(F.col("cnt") <= limit)
-        wide = known.where(F.col("cnt") > limit).where("node != pivot")
-        wide = scratch.cut(wide.select("lid", "node", "n", "pos", "w", "pivot", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")), "wide")
-        candidates = pending.unionByName(_pairs(brief.select("lid", "node", "n", "pos", "low", "d"), sets)).unionByName(wide.select("a", "b", F.lit(FAR).alias("percent")))
-        found = _verify(candidates, sets, f"verified-{round_no}")
+        stats = known.groupBy("lid").agg(F.count(F.lit(1)).alias("cnt"), F.min("low").alias("l0"), F.max("low").alias("l1"), F.max_by("node", F.struct("first", "w", "node")).alias("pivot"))
+        stats = scratch.cut(stats.where("l0 != l1").select("lid", "cnt", "pivot"), "stats")  # read plainly, so that a long list's rows can be split
+        known = known.join(stats, "lid")
+        # a list that three shingles and pivots have not broken up is paired when twice as long for each further pivot
+        whole = (F.size("used") > MORE_TOKENS) & (F.col("age") >= PIVOTS)
+        brief = F.col("cnt") <= F.when(whole, limit * F.pow(F.lit(2), F.col("age") - PIVOTS + 1)).otherwise(limit)
+        stubborn = (F.col("age") >= PIVOTS) & ~whole
+        wide = scratch.cut(known.where(~brief & ~stubborn & (F.col("node") != F.col("pivot"))).select("lid", "node", "n", "pos", "w", "used", "age", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")), "wide")
+        sharing = known.where(~brief & stubborn).select("lid", "node", "n", "pos", "w", "used").join(lists.select("node", "token"), "node").where(~F.array_contains("used", F.col("token")))
+        sharing = sharing.select(F.xxhash64("lid", "token").alias("lid"), "node", "n", "pos", "w", F.array_append("used", F.col("token")).alias("used"), F.lit(1).alias("first"), F.lit(None).cast("double").alias("d"), F.lit(0).alias("age"))
+        sharing = scratch.cut(sharing, "sharing")
+        candidates = pending.unionByName(_pairs(known.where(brief).select("lid", "node", "n", "pos", "low", "d"), sets)).unionByName(wide.select("a", "b", F.lit(FAR).alias("percent")))
+        found = _verify(candidates, sets, f"verified-{round_no}", done)
         linked = found.where(_at_least(LINK)).select("a", "b")
         links = linked if reached is None else reached.select(F.col("node").alias("a"), F.col("low").alias("b")).unionByName(linked)
-        before, reached = reached, components(links)
-        if wide.isEmpty():
+        reached = components(links)
+        done = found if done is None else done.unionByName(found)
+        garbage += [wide, found, sharing, stats]
+        if wide.isEmpty() and sharing.isEmpty():
             break
         # the pivot leaves; near (class 0 and 1) and far (1 and 2) members go on apart
         side = F.when(_at_least(LINK), 0).when(_at_least(FAR), 1).otherwise(2)
         distance = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-        sides = wide.join(found, ["a", "b"], "left").select("lid", "node", "n", "pos", "w", distance.alias("d"), F.when(F.col("common").isNull(), 2).otherwise(side).alias("side"))
+        sides = wide.join(done, ["a", "b"], "left").select("lid", "node", "n", "pos", "w", "used", (F.col("age") + 1).alias("age"), distance.alias("d"), F.when(F.col("common").isNull(), 2).otherwise(side).alias("side"))
         mixed = sides.where("side = 1").select("lid").distinct()
-        near = sides.where("side < 2").join(mixed, "lid", "left_semi").select(F.xxhash64("lid", F.lit("near")).alias("lid"), "node", "n", "pos", "w", F.col("side").alias("first"), "d")
-        far = sides.where("side > 0").select(F.xxhash64("lid", F.lit("far")).alias("lid"), "node", "n", "pos", "w", F.lit(1).alias("first"), "d")
-        open_ = scratch.cut(near.unionByName(far), "lists")
-        garbage += [open_, wide, found]
-        pending = candidates.limit(0)
-        limit = max(KNOWN_LIST, 2 * limit)
+        near = sides.where("side < 2").join(mixed, "lid", "left_semi").select(F.xxhash64("lid", F.lit("near")).alias("lid"), "node", "n", "pos", "w", "used", F.col("side").alias("first"), "d", "age")
+        far = sides.where("side > 0").select(F.xxhash64("lid", F.lit("far")).alias("lid"), "node", "n", "pos", "w", "used", F.lit(1).alias("first"), "d", "age")
+        open_ = scratch.cut(near.unionByName(far).unionByName(sharing), "lists")
+        garbage.append(open_)
+        pending, limit = candidates.limit(0), KNOWN_LIST
         round_no += 1
     for table in [*garbage, sets]:
         scratch.drop(table)
