@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,18 +53,30 @@ def offsets(df: DataFrame, order: str, value: str, path: str) -> DataFrame:
 def budget_batches(df: DataFrame, group: Sequence[str], order: Column, size: Column, budget: int) -> DataFrame:
     """Greedy batches per group: a row that would pass the budget of a batch with rows opens the next.
 
-    ``(group..., ord, size, batch)``. The fold runs over one group's (order, size) pairs.
+    ``(group..., ord, size, batch)``. Rows stream through in order with the state of
+    one batch, so no group is gathered, however long it is.
     """
-    items = F.array_sort(F.collect_list(F.struct(order.alias("ord"), size.cast("long").alias("size"))))
-    start = F.struct(F.lit(0).alias("batch"), F.lit(0).cast("long").alias("used"), F.lit(0).alias("rows"), F.array().cast("array<struct<ord:bigint,size:bigint,batch:int>>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        opens = (s["rows"] > 0) & (s["used"] + x["size"] > budget)
-        batch = s["batch"] + F.when(opens, 1).otherwise(0)
-        placed = F.struct(x["ord"].cast("long").alias("ord"), x["size"].alias("size"), batch.alias("batch"))
-        return F.struct(batch.alias("batch"), (F.when(opens, F.lit(0)).otherwise(s["used"]) + x["size"]).alias("used"), F.when(opens, 1).otherwise(s["rows"] + 1).alias("rows"), F.concat(s["out"], F.array(placed)).alias("out"))
-
-    return df.groupBy(*group).agg(items.alias("items")).select(*group, F.inline(F.aggregate("items", start, step, lambda s: s["out"])))
+    kinds = {f.name: f.dataType.simpleString() for f in df.select(*group).schema}
+    rows = df.select(*group, order.cast("long").alias("ord"), size.cast("long").alias("size")).repartition(*group).sortWithinPartitions(*group, "ord", "size")
+    width = len(group)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, batch, used, held = None, 0, 0, False
+        for part in batches:
+            keys = list(zip(*[part.column(i).to_pylist() for i in range(width)]))
+            numbers = []
+            for k, n in zip(keys, part.column(width + 1).to_pylist()):
+                n = n or 0
+                if k != key:
+                    key, batch, used, held = k, 0, 0, False
+                elif held and used + n > budget:
+                    batch, used = batch + 1, 0
+                used, held = used + n, True
+                numbers.append(batch)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(numbers, pa.int32())], names=[*part.schema.names, "batch"])
+
+    schema = ", ".join([f"`{g}` {kinds[g]}" for g in group] + ["ord long", "size long", "batch int"])
+    return rows.mapInArrow(fold, schema)
 
 
 def renumber(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "number") -> DataFrame:
