@@ -50,6 +50,11 @@ def offsets(df: DataFrame, order: str, value: str, path: str) -> DataFrame:
     return dealt.withColumn("__within", within).join(F.broadcast(totals), "__p").select(order, value, (F.col("__start") + F.col("__within")).alias("before"))
 
 
+def snapped_batches(placed: DataFrame, size: int) -> DataFrame:
+    """``batch`` for whole parents of :func:`offsets`: all items of a parent are in the batch in which its first one falls."""
+    return placed.withColumn("batch", F.floor(F.col("before") / size).cast("long"))
+
+
 def budget_batches(df: DataFrame, group: Sequence[str], order: Column, size: Column, budget: int) -> DataFrame:
     """Greedy batches per group: a row that would pass the budget of a batch with rows opens the next.
 

@@ -193,6 +193,13 @@ def _(t):
     return counts.select("batch", "n", "faults", R.build_key(F.col("first.doc_id"), F.col("first.pos")).alias("first_key"), R.build_key(F.col("last.doc_id"), F.col("last.pos")).alias("last_key"))
 
 
+@query("win_snapped_batches", "SELECT batch, CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM (SELECT n, CAST((sum(n) OVER (ORDER BY doc_id) - n) // 100 AS BIGINT) AS batch FROM (SELECT doc_id, len(regexp_extract_all(text, '[^ \\n]+')) AS n FROM documents)) GROUP BY batch")
+def _(t):
+    counted = t.documents.select("doc_id", F.regexp_count("text", F.lit("[^ \n]+")).cast("long").alias("n"))
+    batched = sequence.snapped_batches(sequence.offsets(counted, "doc_id", "n", folder(t.spark, "offsets")), 100)
+    return batched.groupBy("batch").agg(_count().alias("docs"), F.sum("n").alias("words"))
+
+
 @query("win_budget_batches", """WITH RECURSIVE r AS (SELECT conv_id, turn, length(text) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
 f AS (SELECT conv_id, turn, size, k, 0 AS batch, size AS used FROM r WHERE k = 1
   UNION ALL SELECT r.conv_id, r.turn, r.size, r.k, f.batch + CASE WHEN f.used + r.size > 1000 THEN 1 ELSE 0 END, CASE WHEN f.used + r.size > 1000 THEN r.size ELSE f.used + r.size END FROM f JOIN r ON r.conv_id = f.conv_id AND r.k = f.k + 1)
