@@ -159,10 +159,10 @@ IGNORED_MARKS = "\u0E4C\u0E3A"
 BOX_KEY_PREFIX, BOX_CLASS = "quran-", "border-gold-400"
 KEY_CLASSES = ("tracking-tight", "font-extrabold")
 
-# Regular spacing around repetition marks and brackets, as (pattern, replacement), in this order.
-# {ws} is white space, {word} anything else, {thai} a letter, {gap} white space that is no letter.
+# Characters that become spaces, then regular spacing around repetition marks and brackets, as
+# (pattern, replacement), in this order. {ws} is white space, {word} anything else, {thai} a letter, {gap} white space that is no letter.
+NO_WIDTH = "\u00a0\u200b\u200c\u200d\ufeff"
 SPACING_RULES = (
-    ("[\u00a0\u200b\u200c\u200d\ufeff]", " "),
     ("({word}){ws}*ๆ{ws}*({thai})", "$1 ๆ $2"),
     ("({word}){ws}*ๆ(?={gap}|\\z)", "$1 ๆ"),
     ("({thai})\\(", "$1 ("),

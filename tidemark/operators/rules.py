@@ -51,7 +51,8 @@ def word_fault(
         F.length(text) <= 1,
         leaked,
     )
-    digits = source.rlike(f"^{T.WS}*{V.DIGITS_ONLY.strip('^$')}{T.WS}*\\z")
+    letters_first = (source >= ":") & (source < "\x80")  # most words: neither a digit nor white space begins them
+    digits = ~letters_first & source.rlike(f"^{T.WS}*{V.DIGITS_ONLY.strip('^$')}{T.WS}*\\z")
     return first_match([(digits, F.lit(None).cast("int")), *[(fault, F.lit(i)) for i, fault in enumerate(faults)]])
 
 

@@ -109,8 +109,8 @@ FAULT_SQL = """CASE WHEN regexp_matches(word, '^[0-9]+$') THEN NULL
 def exploded(docs, *carry):
     """The word table of documents (doc_id, text): their words with a part of speech by position."""
     part = F.element_at(F.array(*map(F.lit, ["Verb", "Noun", "Negative", "Verbal Noun", "Particle"])), (F.col("pos") % 5 + 1).cast("int"))
-    each = docs.select("doc_id", *carry, F.posexplode(F.filter(F.split("text", "[ \\n]+"), lambda x: x != "")).alias("pos", "word"))
-    return each.withColumn("pos", F.col("pos").cast("long")).withColumn("part", part)
+    each = docs.select("doc_id", *carry, F.posexplode(F.split(F.btrim("text", F.lit(" \n")), "[ \\n]+")).alias("pos", "word"))
+    return each.where("word != ''").withColumn("pos", F.col("pos").cast("long")).withColumn("part", part)
 
 
 def faults(words):
