@@ -21,7 +21,7 @@ import pyarrow as pa
 from tidemark.llm import kernels as K
 
 END_ID = 1
-CACHE_BYTES = 16 << 20
+CACHE_BYTES = 64 << 20
 ENTRY_BYTES = 160  # of a cache entry beside its characters and ids
 #: Words that need no more than lower case before the tokenizer's pattern.
 _PLAIN = re.compile("[!-;=-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")  # no '<', which may begin a special token
@@ -160,7 +160,7 @@ def release() -> None:
     K.trim()
 
 
-def encode_array(texts: pa.Array, file: str, end_id: int | None = END_ID, block: int = 2 << 20):
+def encode_array(texts: pa.Array, file: str, end_id: int | None = END_ID, block: int = 4 << 20):
     """Yield the ids of each text (null: empty), with ``end_id`` at the end; block by block."""
     enc = encoder(file)
     for i, j in K.blocks(texts, block):
