@@ -267,10 +267,9 @@ def test_join_of_copies_and_near_copies(spark, monkeypatch):
 
 
 def test_join_of_sets_that_share_frequent_shingles_only(spark, monkeypatch):
-    """Long lists that no pivot breaks up: split by further shingles, then paired."""
+    """Long lists that no pivot breaks up."""
     monkeypatch.setattr(ngram_join, "SHORT_LIST", 3)
     monkeypatch.setattr(ngram_join, "KNOWN_LIST", 4)
-    monkeypatch.setattr(ngram_join, "PIVOTS", 1)
     rng = random.Random(4)
     words = [f"w{i}" for i in range(400)]
     frame = [rng.choice(words) for _ in range(40)]
@@ -292,6 +291,8 @@ def test_representatives_of_shared_ids(spark):
     got = sorted(((r.doc_id, r.text) for r in ngram_join.representatives(df).collect()), key=str)
     want = [(5, base), (5, rows[2][1]), rows[4], rows[6], (9, ""), (9, None), (9, None)]
     assert got == sorted(want, key=str)
+    clashing = df.withColumns({"k": F.lit(1), "node": F.lit("n"), "own": F.lit(None).cast("string"), "class_id": F.lit(2)})
+    assert sorted(((r.doc_id, r.text) for r in ngram_join.representatives(clashing).collect()), key=str) == got
     assert ngram_join.representatives(df.where("doc_id = 3 or doc_id = 7")).count() == 2
     assert ngram_join.representatives(df.limit(0)).count() == 0
 
@@ -535,7 +536,14 @@ def test_url_rules_against_brute_force(spark):
     best = {}
     for verdict, host, path in rules:
         best[host, path] = max(verdict, best.get((host, path), ""))
-    for r in url_rules.judge(pages, url_rules.rule_table(spark, rules)).collect():
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    judged = url_rules.judge(pages, url_rules.rule_table(spark, rules)).collect()
+    for parts in ("1", "23"):  # a suffix in one range, and over many
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        assert sorted(map(str, url_rules.judge(pages, url_rules.rule_table(spark, rules)).collect())) == sorted(map(str, judged))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert all(r.rule is None and r.verdict == "block" for r in url_rules.judge(pages, url_rules.rule_table(spark, []), default="block").collect())
+    for r in judged:
         url = urls[r.page_id] or ""
         rest = url.split("://", 1)[1] if "://" in url else ""
         host = re.match(r"[^/?#]*", rest)[0]
@@ -609,6 +617,9 @@ def test_licence_base_and_labels(spark, docs, nasty, empty):
     found = {r.doc_id: r.labels for r in license_scan.scan(extra).collect()}
     assert found[2] == "mit,mit-notice" and found[4] == "gpl,gpl-3.0" and found[3] == ""
     assert license_scan.scan(empty).count() == 0
+    bare = license_scan.scan(extra, templates=(), base=()).collect()
+    assert all((r.n_base, r.first_word, r.labels, r.score) == (0, None, "", 0.0) for r in bare)
+    assert {r.doc_id: r.labels for r in license_scan.scan(extra, templates=()).collect()}[2] == "mit"
 
 
 def test_notices_of_a_hot_source_keep_their_labels(spark):

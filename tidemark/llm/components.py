@@ -35,5 +35,7 @@ def components(edges: DataFrame, label: str = "stars") -> DataFrame:
         scratch.drop(kept)
         stars = kept = cut
         if mark == before:
-            return cut.select(F.col("a").alias("node"), F.col("b").alias("low"))
+            out = cut.select(F.col("a").alias("node"), F.col("b").alias("low"))
+            out.tidemark_path = cut.tidemark_path  # for scratch.drop()
+            return out
         before = mark

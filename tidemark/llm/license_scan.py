@@ -149,10 +149,10 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tu
     rows = rows.select("k", "w", n_words.alias("n_words"), lead.alias("lead"), F.array_intersect("w", _literals(index)).alias("held"))
 
     def holds(looked_up: list[str]) -> Column:
-        return reduce(lambda a, b: a & b, [F.array_contains("held", w) for w in looked_up])
+        return reduce(lambda a, b: a & b, [F.array_contains("held", w) for w in looked_up], F.lit(True))
 
-    in_question = F.array_compact(F.array(*[F.when(holds(ws), F.lit(i)) for i, ws in enumerate(asked)])).cast("array<int>")
-    base_asked = reduce(lambda a, b: a | b, [holds(ws) for ws in asked_base])
+    in_question = F.array_compact(F.array(*[F.when(holds(ws), F.lit(i)) for i, ws in enumerate(asked)]).cast("array<int>"))
+    base_asked = reduce(lambda a, b: a | b, [holds(ws) for ws in asked_base], F.lit(False))
     some = F.size("held") > 0
     rows = rows.select("k", "w", "n_words", "lead", F.when(some, in_question).alias("asked"), F.when(some, base_asked).alias("asked_base"))
     needed = F.coalesce(F.col("asked_base") | (F.size("asked") > 0), F.lit(False))
@@ -196,15 +196,16 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tu
     own = F.when(F.size("places") > 0, F.array_distinct(F.transform("places", lambda x: F.get(names, x["t"])))).otherwise(F.array().cast("array<string>"))
 
     hit = [F.col(f"b{i}") for i in range(len(base))]
-    labels = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(b.isNotNull(), F.lit(label)) for b, (_, label) in zip(hit, base)]))))
-    n_base = reduce(lambda a, b: a + b, [F.coalesce(b["n"], F.lit(0)) for b in hit]).cast("long")
-    firsts, lasts = [b["first"] for b in hit], [b["last"] for b in hit]
+    labels = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(b.isNotNull(), F.lit(label)) for b, (_, label) in zip(hit, base)]).cast("array<string>"))))
+    n_base = reduce(lambda a, b: a + b, [F.coalesce(b["n"], F.lit(0)) for b in hit], F.lit(0)).cast("long")
+    none_yet = [F.lit(None).cast("long")] * 2  # least and greatest need two columns
+    firsts, lasts = [b["first"] for b in hit] + none_yet, [b["last"] for b in hit] + none_yet
     return rows.select(
         "k",
         "n_words",
         n_base.alias("n_base"),
-        (F.least(*firsts) if len(hit) > 1 else firsts[0]).alias("first_word"),
-        (F.greatest(*lasts) if len(hit) > 1 else lasts[0]).alias("last_word"),
+        F.least(*firsts).alias("first_word"),
+        F.greatest(*lasts).alias("last_word"),
         labels.alias("base"),
         own.alias("own"),
         best.alias("best"),

@@ -154,6 +154,7 @@ def mix(docs: DataFrame, members: Column, key: str = "doc_id", text: str = "text
     until = F.sum("in_bin").over(Window.partitionBy("p").orderBy("bin"))
     ends = bins.withColumn("until", until).join(plan, "p").where("until > rest").groupBy("p").agg(F.min("bin").alias("edge"), F.min_by(F.col("until") - F.col("in_bin"), "bin").alias("before"))
     plan = scratch.cut(plan.join(ends, "p", "left").select("p", "whole", "rest", "source_size", "target", F.coalesce("edge", F.lit("~")).alias("edge"), "before"), "plan")
+    scratch.drop(bins)
     placed = rows.join(plan, "p")
     seeded = Window.partitionBy("p", "bin").orderBy("at", "k", "size").rowsBetween(Window.unboundedPreceding, 0)
     columns = ["k", "size", "m", "source_size", "target", "whole", *(f"c{i}" for i in range(len(kept)))]
