@@ -1,9 +1,10 @@
 """Token ids in Arrow files of equal-length sequences.
 
 Documents are ordered by key and cut into ranges; each range becomes one Arrow
-file (the random-access IPC format) whose record batches hold two fixed-size-list
-columns: ``ids`` (``length`` unsigned integers) and ``mask`` (bytes, 1 for tokens and
-0 for padding). The ids of a range run on from sequence to sequence and only the last
+file (the random-access IPC format) whose record batches hold a fixed-size-list
+column ``ids`` (``length`` unsigned integers) and, as only a sequence's end can be
+padding, ``valid``, how many of its ids are tokens; a mask is a view of one constant
+run of ones and zeros. The ids of a range run on from sequence to sequence and only the last
 sequence is padded. A second Arrow file beside it holds each document's key,
 start and length. Both are uncompressed, so a reader maps them and takes slices
 without copying.
@@ -56,7 +57,7 @@ class _Sequences:
     def __init__(self, uri: str, length: int, rows: int, dtype: np.dtype):
         self.length, self.rows, self.dtype = length, rows, dtype
         kind = pa.from_numpy_dtype(dtype)
-        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("valid", pa.int32())])
         self.sink = _open_output(uri)
         self.writer = pa.ipc.new_file(self.sink, self.schema)
         self.pending: list[np.ndarray] = []
@@ -75,8 +76,8 @@ class _Sequences:
             self.held = len(self.pending[0])
 
     def _write(self, ids: np.ndarray, known: int) -> None:
-        mask = (np.arange(len(ids)) < known).astype(np.uint8)
-        self.writer.write_batch(pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)], schema=self.schema))
+        valid = np.clip(known - np.arange(0, len(ids), self.length), 0, self.length).astype(np.int32)
+        self.writer.write_batch(pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(ids), self.length), pa.array(valid)], schema=self.schema))
 
     def close(self) -> None:
         if self.held:
@@ -94,6 +95,7 @@ class SequenceFile:
         self.length = self.reader.schema.field("ids").type.list_size
         self.rows = self.reader.get_batch(0).num_rows if self.reader.num_record_batches else 1
         self._at, self._ids = -1, np.zeros(0)
+        self._masks = np.repeat(np.array([1, 0], dtype=np.uint8), self.length)
 
     def batch(self, i: int) -> np.ndarray:
         if i != self._at:
@@ -101,10 +103,11 @@ class SequenceFile:
         return self._ids
 
     def sequence(self, row: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of a sequence, as views of the file."""
+        """Ids of a sequence and its mask, both without a copy."""
         batch = self.reader.get_batch(row // self.rows)
         k = row % self.rows
-        return batch.column(0)[k].values.to_numpy(), batch.column(1)[k].values.to_numpy()
+        valid = batch.column(1)[k].as_py()
+        return batch.column(0)[k].values.to_numpy(), self._masks[self.length - valid : 2 * self.length - valid]
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from position ``start``; a view, if they lie in one batch."""
