@@ -20,9 +20,8 @@ verified against all its members, and as Jaccard distance is a metric, members
 within 0.2 of the pivot have no link to those beyond 0.4; the list falls apart
 into the near and the far side, and pairs already in one class need no check. So
 a group of near copies costs about one verification per member, and still no
-link between classes is lost. A list that pivots do not break up holds sets that
-share one frequent shingle and little else: it is split by a second one, and then a
-third, as linked sets share as many in prefixes that are longer by as many.
+link between classes is lost. What is left of a list is paired through the filters
+once it has at most ``KNOWN_LIST`` members, or twice as many with each further pivot.
 
 Nulls and edge cases: a text with fewer than n words is one shingle; null and
 empty texts have none and are linked with nothing. Rows with equal keys are
@@ -51,7 +50,6 @@ SKETCH_BITS = (20, 23)  # least and most
 RANGES = 256
 SHORT_LIST = 16
 KNOWN_LIST = 512  # once most classes are known, few pairs of a list are open
-PIVOTS, MORE_TOKENS = 3, 2  # pivots that a list gets before it is split by a further shingle, and how often it is
 PARTS = 64  # of a frequent shingle's postings
 _CHUNK = 4096
 
@@ -92,15 +90,16 @@ def nodes(docs: DataFrame, key: str, text: str, n: int = SHINGLE) -> DataFrame:
     return docs.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(described, f"key {kind}, node long, n long")
 
 
-def sketch_bits(spark) -> int:
-    """One slot for every 16 bytes of a partition."""
-    partition = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return min(max(int(partition // 16).bit_length() - 1, SKETCH_BITS[0]), SKETCH_BITS[1])
+def sketch_bits(docs: DataFrame) -> int:
+    """One slot for every 16 bytes of a partition, or of the table if that is smaller."""
+    partition = docs.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    table = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(max((min(partition, table) // 16).bit_length() - 1, SKETCH_BITS[0]), SKETCH_BITS[1])
 
 
 def sketch(docs: DataFrame, text: str, n: int = SHINGLE, bits: int | None = None) -> np.ndarray:
     """Counts of all documents' shingles in ``1 << bits`` slots; this bounded size is all that reaches the driver."""
-    bits = sketch_bits(docs.sparkSession) if bits is None else bits
+    bits = sketch_bits(docs) if bits is None else bits
 
     def count(batches):
         slots = np.zeros(1 << bits, dtype=np.int64)
@@ -130,7 +129,7 @@ def sketch(docs: DataFrame, text: str, n: int = SHINGLE, bits: int | None = None
 def postings(docs: DataFrame, text: str, counts: np.ndarray, n: int = SHINGLE) -> DataFrame:
     """``token, node, n, pos, often, cnt``: prefix shingles that at least two nodes share, or that may be frequent.
 
-    Prefixes are longer by ``MORE_TOKENS``; ``cnt`` is the number of nodes, for one that may be frequent that of a part of them.
+    ``cnt`` is the number of nodes, for one that may be frequent that of a part of them.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(counts)
@@ -147,7 +146,7 @@ def postings(docs: DataFrame, text: str, counts: np.ndarray, n: int = SHINGLE) -
                     continue
                 seen.add(node)
                 often = rare[(s >> shift).astype(np.int64)]
-                order = np.argsort(often, kind="stable")[: size - (4 * size + 4) // 5 + 1 + MORE_TOKENS]
+                order = np.argsort(often, kind="stable")[: size - (4 * size + 4) // 5 + 1]
                 k = len(order)
                 for column, values in zip(out, (s[order].view(np.int64), np.full(k, node), np.full(k, size, np.int32), np.arange(k, dtype=np.int32), often[order] > many)):
                     column.append(values)
@@ -252,8 +251,8 @@ def _at_least(percent: int):
     return (100 + percent) * F.col("common") >= percent * (F.col("na") + F.col("nb"))
 
 
-def _by_length(lists: DataFrame) -> DataFrame:
-    """Split long lists by pairs of length classes; a member stays only where its position is in the prefix for such partners."""
+def _by_length(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split long lists by pairs of length classes (and the table of classes that it reads); a member stays only where its position is in the prefix for such partners."""
     grade = F.floor(F.log("n") / F.lit(float(np.log(1.05)))).cast("int")
     other = F.explode(F.sequence(F.col("grade") - 5, F.col("grade") + 5))
     least = F.greatest(F.floor(F.pow(F.lit(1.05), F.col("other"))) - 1, F.lit(1), F.ceil(F.col("n") * LINK / 100))
@@ -262,7 +261,7 @@ def _by_length(lists: DataFrame) -> DataFrame:
     split = split.withColumns({"g0": F.least("grade", "other"), "g1": F.greatest("grade", "other")})
     both = split.groupBy("token", "g0", "g1").agg(F.min("grade").alias("m0"), F.max("grade").alias("m1"), F.count(F.lit(1)).alias("size"))
     both = scratch.cut(both.where("m0 = g0 and m1 = g1 and size > 1").select("token", "g0", "g1"), "grades")  # a pair of classes needs members of both
-    return split.join(both, ["token", "g0", "g1"]).select(F.xxhash64("token", "g0", "g1").alias("lid"), "node", "n", "pos", F.array("token").alias("used"))
+    return split.join(both, ["token", "g0", "g1"]).select(F.xxhash64("token", "g0", "g1").alias("lid"), "node", "n", "pos"), both
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE) -> DataFrame:
@@ -279,20 +278,22 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = S
 def _link(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     rows = scratch.cut(nodes(docs, key, text, n), "nodes")
     lists = scratch.cut(postings(docs, text, sketch(docs, text, n), n), "postings")
-    base = lists.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * LINK / 100))  # without the prefixes' last MORE_TOKENS
-    wanted = base.select("node").distinct()
+    wanted = lists.select("node").distinct()
     keys = rows.where("node is not null").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
     sets = node_sets(docs, key, text, keys, n)
 
-    brief_list = ~F.col("often") & (F.col("cnt") <= SHORT_LIST)
-    short = base.where(brief_list).select(F.col("token").alias("lid"), "node", "n", "pos", F.col("node").alias("low"), F.lit(None).cast("double").alias("d"))
-    long_ = base.where(~brief_list)
-    of_list = F.col("cnt") * F.when(F.col("often"), PARTS).otherwise(1)
-    weight = long_.groupBy("node").agg(F.sum(of_list).alias("w"))  # of near copies, the one most like all others has most
-    open_ = _by_length(long_).join(weight, "node").withColumns({"first": F.lit(1), "d": F.lit(None).cast("double"), "age": F.lit(0)})
-    open_ = scratch.cut(open_, "lists")
+    # a frequent token's parts are added up; the counts are read plainly, so that its rows can be split
+    often = scratch.cut(lists.where("often").groupBy("token").agg(F.count(F.lit(1)).alias("cnt")), "often")
+    columns = ["token", "node", "n", "pos", "cnt"]
+    sized = lists.where("not often").select(*columns).unionByName(lists.where("often").drop("cnt").join(often, "token").select(*columns))
+    short = sized.where(F.col("cnt") <= SHORT_LIST).select(F.col("token").alias("lid"), "node", "n", "pos", F.col("node").alias("low"), F.lit(None).cast("double").alias("d"))
+    long_ = sized.where(F.col("cnt") > SHORT_LIST)
+    weight = long_.groupBy("node").agg(F.sum("cnt").alias("w"))  # of near copies, the one most like all others has most
+    graded, grades = _by_length(long_)
+    open_ = scratch.cut(graded.join(weight, "node").withColumns({"first": F.lit(1), "d": F.lit(None).cast("double")}), "lists")
+    scratch.drop(grades)
     reached = done = None  # (node, low) and verified pairs so far
-    garbage = [lists, open_]
+    garbage = [lists, often, open_]
     pending, limit, round_no = _pairs(short), SHORT_LIST, 0
     while True:
         if reached is not None:
@@ -302,33 +303,31 @@ def _link(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
         stats = known.groupBy("lid").agg(F.count(F.lit(1)).alias("cnt"), F.min("low").alias("l0"), F.max("low").alias("l1"), F.max_by("node", F.struct("first", "w", "node")).alias("pivot"))
         stats = scratch.cut(stats.where("l0 != l1").select("lid", "cnt", "pivot"), "stats")  # read plainly, so that a long list's rows can be split
         known = known.join(stats, "lid")
-        # a list that three shingles and pivots have not broken up is paired when twice as long for each further pivot
-        whole = (F.size("used") > MORE_TOKENS) & (F.col("age") >= PIVOTS)
-        brief = F.col("cnt") <= F.when(whole, limit * F.pow(F.lit(2), F.col("age") - PIVOTS + 1)).otherwise(limit)
-        stubborn = (F.col("age") >= PIVOTS) & ~whole
-        wide = scratch.cut(known.where(~brief & ~stubborn & (F.col("node") != F.col("pivot"))).select("lid", "node", "n", "pos", "w", "used", "age", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")), "wide")
-        sharing = known.where(~brief & stubborn).select("lid", "node", "n", "pos", "w", "used").join(lists.select("node", "token"), "node").where(~F.array_contains("used", F.col("token")))
-        sharing = sharing.select(F.xxhash64("lid", "token").alias("lid"), "node", "n", "pos", "w", F.array_append("used", F.col("token")).alias("used"), F.lit(1).alias("first"), F.lit(None).cast("double").alias("d"), F.lit(0).alias("age"))
-        sharing = scratch.cut(sharing, "sharing")
-        candidates = pending.unionByName(_pairs(known.where(brief).select("lid", "node", "n", "pos", "low", "d"), sets)).unionByName(wide.select("a", "b", F.lit(FAR).alias("percent")))
+        brief = known.where(F.col("cnt") <= limit)
+        wide = known.where(F.col("cnt") > limit).where("node != pivot")
+        wide = scratch.cut(wide.select("lid", "node", "n", "pos", "w", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")), "wide")
+        candidates = pending.unionByName(_pairs(brief.select("lid", "node", "n", "pos", "low", "d"), sets)).unionByName(wide.select("a", "b", F.lit(FAR).alias("percent")))
         found = _verify(candidates, sets, f"verified-{round_no}", done)
         linked = found.where(_at_least(LINK)).select("a", "b")
-        links = linked if reached is None else reached.select(F.col("node").alias("a"), F.col("low").alias("b")).unionByName(linked)
-        reached = components(links)
+        if reached is None:
+            reached = components(linked)
+        elif not linked.isEmpty():
+            garbage.append(reached)
+            reached = components(reached.select(F.col("node").alias("a"), F.col("low").alias("b")).unionByName(linked))
         done = found if done is None else done.unionByName(found)
-        garbage += [wide, found, sharing, stats]
-        if wide.isEmpty() and sharing.isEmpty():
+        garbage += [wide, found, stats]
+        if wide.isEmpty():
             break
         # the pivot leaves; near (class 0 and 1) and far (1 and 2) members go on apart
         side = F.when(_at_least(LINK), 0).when(_at_least(FAR), 1).otherwise(2)
         distance = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-        sides = wide.join(done, ["a", "b"], "left").select("lid", "node", "n", "pos", "w", "used", (F.col("age") + 1).alias("age"), distance.alias("d"), F.when(F.col("common").isNull(), 2).otherwise(side).alias("side"))
+        sides = wide.join(done, ["a", "b"], "left").select("lid", "node", "n", "pos", "w", distance.alias("d"), F.when(F.col("common").isNull(), 2).otherwise(side).alias("side"))
         mixed = sides.where("side = 1").select("lid").distinct()
-        near = sides.where("side < 2").join(mixed, "lid", "left_semi").select(F.xxhash64("lid", F.lit("near")).alias("lid"), "node", "n", "pos", "w", "used", F.col("side").alias("first"), "d", "age")
-        far = sides.where("side > 0").select(F.xxhash64("lid", F.lit("far")).alias("lid"), "node", "n", "pos", "w", "used", F.lit(1).alias("first"), "d", "age")
-        open_ = scratch.cut(near.unionByName(far).unionByName(sharing), "lists")
+        near = sides.where("side < 2").join(mixed, "lid", "left_semi").select(F.xxhash64("lid", F.lit("near")).alias("lid"), "node", "n", "pos", "w", F.col("side").alias("first"), "d")
+        far = sides.where("side > 0").select(F.xxhash64("lid", F.lit("far")).alias("lid"), "node", "n", "pos", "w", F.lit(1).alias("first"), "d")
+        open_ = scratch.cut(near.unionByName(far), "lists")
         garbage.append(open_)
-        pending, limit = candidates.limit(0), KNOWN_LIST
+        pending, limit = candidates.limit(0), max(KNOWN_LIST, 2 * limit)
         round_no += 1
     for table in [*garbage, sets]:
         scratch.drop(table)
@@ -360,15 +359,17 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     classes that share a key are different documents and all stay.
     """
     found = scratch.cut(classes(docs, key, text, n), "links")
-    stays = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("k"), F.col("node").alias("__node"), "class_id")
-    # a key is plain if all of its rows are one document that stays
-    plain = F.col("k").isNotNull() & (F.col("rows") == 1)
-    counts = scratch.cut(found.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("rows")).join(stays.select("k").distinct(), "k", "left_semi").unionByName(found.where(F.col(key).isNull()).groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("rows"))), "keys")
-    alone = docs.join(counts.where(plain).select("k"), F.col(key) == F.col("k"), "left_semi")
+    stays = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__key"), F.col("node").alias("__node"), F.col("class_id").alias("__class"))
+    rows = found.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("rows"))
+    some = stays.select("__key").distinct().withColumnRenamed("__key", "kept")
+    counts = scratch.cut(rows.join(some, F.col("__key").eqNullSafe(F.col("kept")), "left_semi"), "keys")
+    plain = F.col("__key").isNotNull() & (F.col("rows") == 1)  # all rows of this key are one document that stays
+    alone = docs.join(counts.where(plain).select("__key"), F.col(f"`{key}`") == F.col("__key"), "left_semi")
     if counts.where(~plain).isEmpty():
         return alone
     names = [F.col(f"`{c}`") for c in docs.columns]
-    shared = docs.join(counts.where(~plain).select("k"), F.col(key).eqNullSafe(F.col("k")), "left_semi").select(F.struct(*names).alias("row"), F.col(key).alias("k"), node_of(F.col(text), n).alias("node"))
-    shared = shared.join(stays.distinct(), shared["k"].eqNullSafe(stays["k"]) & shared["node"].eqNullSafe(stays["__node"]), "inner").select("row", "node", "class_id")
-    firsts = shared.where("class_id is not null").groupBy("class_id").agg(F.min("row").alias("row")).select("row.*")
-    return alone.unionByName(firsts).unionByName(shared.where("class_id is null").select("row.*"))
+    shared = docs.select(F.struct(*names).alias("row"), F.col(f"`{key}`").alias("own"), F.col(f"`{text}`").alias("t"))
+    shared = shared.join(counts.where(~plain).select("__key"), F.col("own").eqNullSafe(F.col("__key")), "left_semi").select("row", "own", node_of(F.col("t"), n).alias("node"))
+    shared = shared.join(stays.distinct(), F.col("own").eqNullSafe(F.col("__key")) & F.col("node").eqNullSafe(F.col("__node"))).select("row", "__class")
+    firsts = shared.where("__class is not null").groupBy("__class").agg(F.min("row").alias("row")).select("row.*")
+    return alone.unionByName(firsts).unionByName(shared.where("__class is null").select("row.*"))
