@@ -75,13 +75,13 @@ def lengths(column: pa.Array) -> pa.Array:
     return pa.array(np.diff(string_buffers(column)[1]), pa.int64())
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each text the index of its first word (with an end mark)."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and for each text the index of its first word (with an end mark); ``between`` tells the bytes of no word."""
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    solid = ~IS_SPACE[data]
+    solid = ~between[data]
     cut = np.zeros(n + 1, dtype=bool)
     cut[offsets] = True
     before = np.empty(n, dtype=bool)

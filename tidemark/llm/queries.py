@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_extract, license_scan, media, mixing, ngram_join, packing, quality_model, repetition, token_files, tokens, url_rules
+from tidemark.llm import html_extract, interval_join, lexical_search, license_scan, media, mixing, ngram_join, packing, quality_model, repetition, simhash_trees, token_files, tokens, url_rules
 
 URL_RULES = [
     ("allow", "org", "/"),
@@ -73,6 +73,30 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 50)
+
+
+def op12_point_in_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "lang")
+    digits = F.sha2(F.col("doc_id").cast("string"), 256)
+    a, b, c, d = (F.conv(F.substring(digits, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(4))
+    event = a % 200_000
+    versions = docs.select("source", event.alias("event"), (event - 60 + b % 1200).alias("arrival"), (event + c % 900).alias("expiry"), F.col("doc_id").alias("version_id"), "n_chars", "lang")
+    versions = versions.withColumn("start", F.greatest("event", "arrival")).where("version_id is not null")
+    owners = docs.groupBy("doc_id").agg(F.min("source").alias("source"))  # of a repeated id, the least source
+    asked = _table(spark, sf_dir, "labels").select("doc_id", (d % 200_000).alias("t")).join(owners, "doc_id", "left")
+    found = interval_join.latest_valid(asked, versions, "source", "t", "start", "expiry", ["event", "arrival", "version_id"], ["n_chars", "lang"])
+    age = F.col("t") - F.col("winner.event")
+    status = F.when(age.isNull(), "none").when(age > 20, "stale").otherwise("fresh")
+    fresh = status == "fresh"
+    return found.select("doc_id", "t", F.col("winner.version_id").alias("version_id"), age.alias("age"), status.alias("status"), F.when(fresh, F.col("winner.n_chars")).alias("n_chars"), F.when(fresh, F.col("winner.lang")).alias("lang"))
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_trees.link(_table(spark, sf_dir, "documents"))
+
+
 OP7_SQL = """
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
@@ -222,6 +246,50 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
 FROM d LEFT JOIN bs USING (rid) LEFT JOIN ts USING (rid)
 """
 
+OP11_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), s AS (
+  SELECT count(*) AS nd, CAST(sum(len(w)) AS BIGINT) AS nt FROM d WHERE len(w) > 0
+), q AS (
+  SELECT row_number() OVER () AS qid, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS terms FROM benchmark
+), qt AS (
+  SELECT qid, item_id, unnest(terms) AS term FROM q
+), tf AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY rid, term
+), wt AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(nd) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, s WHERE term IN (SELECT term FROM qt) GROUP BY term
+), m AS (
+  SELECT rid, doc_id, 100 - 50 + (50 * len(w) * nd) // nt AS m FROM d, s WHERE len(w) > 0
+), sc AS (
+  SELECT qid, item_id, m.rid, m.doc_id, CAST(sum(wt.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * m.m))) AS BIGINT) AS score
+  FROM qt JOIN tf USING (term) JOIN wt USING (term) JOIN m USING (rid) GROUP BY ALL
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM sc WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+OP12_SQL = """
+WITH h AS (
+  SELECT doc_id, source, n_chars, lang, sha256(CAST(doc_id AS VARCHAR)) AS x FROM documents WHERE doc_id IS NOT NULL
+), g AS (
+  SELECT *, CAST('0x' || x[1:8] AS BIGINT) % 200000 AS event, CAST('0x' || x[9:16] AS BIGINT) AS b, CAST('0x' || x[17:24] AS BIGINT) AS c FROM h
+), v AS (
+  SELECT doc_id AS version_id, source, n_chars, lang, event, event - 60 + b % 1200 AS arrival, event + c % 900 AS expiry FROM g
+), q AS (
+  SELECT row_number() OVER () AS qid, l.doc_id, CAST('0x' || sha256(CAST(l.doc_id AS VARCHAR))[25:32] AS BIGINT) % 200000 AS t, o.source
+  FROM labels l LEFT JOIN (SELECT doc_id, min(source) AS source FROM documents GROUP BY doc_id) o USING (doc_id)
+), j AS (
+  SELECT q.qid, q.doc_id, q.t, v.version_id, q.t - v.event AS age, v.n_chars, v.lang,
+         row_number() OVER (PARTITION BY q.qid ORDER BY v.event DESC NULLS LAST, v.arrival DESC, v.version_id DESC, v.n_chars DESC NULLS LAST, v.lang DESC NULLS LAST) AS k
+  FROM q LEFT JOIN v ON v.source = q.source AND v.event <= q.t AND v.arrival <= q.t AND q.t < v.expiry
+)
+SELECT doc_id, t, version_id, age, CASE WHEN version_id IS NULL THEN 'none' WHEN age > 20 THEN 'stale' ELSE 'fresh' END AS status,
+       CASE WHEN age <= 20 THEN n_chars END AS n_chars, CASE WHEN age <= 20 THEN lang END AS lang
+FROM j WHERE k = 1
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media_columns": op1_media_columns,
     "op2_html_extraction": op2_html_extraction,
@@ -233,6 +301,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_point_in_time_join": op12_point_in_time_join,
+    "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -241,4 +312,6 @@ ORACLES: dict[str, str] = {
     "op7_source_mixing": OP7_SQL,
     "op8_url_filters": OP8_SQL,
     "op10_license_scan": OP10_SQL,
+    "op11_lexical_search": OP11_SQL,
+    "op12_point_in_time_join": OP12_SQL,
 }
