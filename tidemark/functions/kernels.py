@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
-from difflib import SequenceMatcher
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -13,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed_values as V
+from tidemark.functions.matching import sequence_ratio
 
 
 def nfc(text: Column) -> Column:
@@ -43,36 +42,6 @@ def same_letters(original: Column, *others: Column) -> Column:
     return compared(original, *others)
 
 
-def _tail_matches_first(a: str, b: str, autojunk: bool) -> bool:
-    """Whether difflib's first match is the whole of the text that ends the other one.
-
-    The match grows from the first of the longest runs of characters that are not
-    too frequent in ``b``, at its first place in ``b``.
-    """
-    often = len(b) // 100 + 1 if autojunk and len(b) >= 200 else len(b)
-    rare = [c for c, n in Counter(b).items() if n <= often]
-    if not rare:
-        return False
-    runs = re.compile(f"[{''.join(map(re.escape, rare))}]+")
-    size = max(map(len, runs.findall(min(a, b, key=len))), default=0)
-    if not size:
-        return False
-    for m in runs.finditer(a):
-        for i in range(m.start(), m.end() - size + 1):
-            if (j := b.find(a[i : i + size])) >= 0:
-                return j - i == len(b) - len(a)
-    return False
-
-
-def sequence_ratio(a: str, b: str, autojunk: bool = True) -> float:
-    """``SequenceMatcher(None, a, b, autojunk).ratio()``, in linear time if one text begins the other, and mostly if it ends it."""
-    if a == b:
-        return 1.0
-    if a.startswith(b) or b.startswith(a) or ((a.endswith(b) or b.endswith(a)) and _tail_matches_first(a, b, autojunk)):
-        return 2.0 * min(len(a), len(b)) / (len(a) + len(b))
-    return SequenceMatcher(None, a, b, autojunk).ratio()
-
-
 def similarity(a: Column, b: Column, autojunk: bool = True) -> Column:
     """Ratcliff-Obershelp ratio; null if either side is. ``autojunk`` ignores very frequent characters of long texts."""
 

@@ -249,6 +249,14 @@ def _(t):
     return t.documents.select("doc_id", kernels.similarity(F.col("text"), F.substring("text", 11, REST)).alias("ratio"))
 
 
+@query("fn_similarity_edited", "SELECT doc_id, CAST(length(text) AS DOUBLE) / (length(text) + 1) AS ratio FROM documents")
+def _(t):
+    half = F.ceil(F.length("text") / 2).cast("int")
+    quarter = F.ceil((F.length("text") - half) / 2).cast("int")
+    edited = F.concat(F.left("text", half), F.lit("\u2603"), F.substr(F.col("text"), half + 1, quarter), F.lit("\u2603"), F.substr(F.col("text"), half + quarter + 1))
+    return t.documents.select("doc_id", kernels.similarity(F.col("text"), edited, autojunk=False).alias("ratio"))
+
+
 @query("fn_html_verses", f"""SELECT page_id AS "group", i AS item, page_id || ':' || i AS key, {_trim("regexp_replace(x || ' (1)', '[ \\t]+', ' ', 'g')")} AS text, ['(1) note ' || i] AS notes
 FROM (SELECT CAST(page_id AS INTEGER) AS page_id, unnest(string_split(url, '/')) AS x, CAST(unnest(range(len(string_split(url, '/')))) AS INTEGER) AS i FROM pages)""")
 def _(t):
