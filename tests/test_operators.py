@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import alignment, kernels
 from tidemark.functions import fixed_values as V
 from tidemark.functions import text as T
-from tidemark.operators import audits, edits, notes, relational, rules, sequence
+from tidemark.operators import audits, budgets, edits, notes, relational, rules, sequence
 from tidemark.plans import QUERIES
-from tidemark.plans.scratch import folder
+from tidemark.scratch import folder
 from tidemark.sources import landing, readers, writers
 from tidemark.streaming import resume
 
@@ -206,7 +206,7 @@ def test_spacing_fallback_takes_the_first_valid(spark):
 
 def test_budget_batches_open_only_with_rows(spark):
     df = spark.createDataFrame([("a", i, s) for i, s in enumerate([0, 12, 3, 4, 4, 0])], "g string, o int, s int")
-    out = sequence.budget_batches(df, ["g"], F.col("o"), F.col("s"), 10)
+    out = budgets.budget_batches(df, ["g"], F.col("o"), F.col("s"), 10)
     assert [r.batch for r in out.orderBy("ord").collect()] == [0, 1, 2, 2, 3, 3]
 
 

@@ -5,49 +5,68 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark import scratch
 
-def fixed_batches(df: DataFrame, order: Sequence[str], size: int, group: Sequence[str] = ()) -> DataFrame:
-    """``batch`` numbers for every ``size`` rows in order, within ``group``.
 
-    Without a group the position is global; it is found from the counts of ranges
-    of the first order column, which is numeric, so no task sorts the whole table.
+#: Bits of a row's number that count within its partition; those above number the partition.
+_WITHIN = 33
+
+
+def _before(parts: DataFrame, value: str) -> DataFrame:
+    """``part`` and ``start``, the total of ``value`` over the partitions before it; a row per partition."""
+    over = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select("part", F.coalesce(F.sum(value).over(over), F.lit(0)).cast("long").alias("start"))
+
+
+def placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``place``: the position of each row in the order of the whole table, from 0.
+
+    The rows are dealt by ranges, sorted within these and written once; the ranges' counts
+    (a row per range) then say where each begins, so no task sees more than its range.
     """
+    spark, path = df.sparkSession, scratch.folder(df.sparkSession, "placed")
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.withColumn("__id", F.monotonically_increasing_id()).write.parquet(path)
+    dealt = spark.read.parquet(path).withColumn("part", F.shiftright("__id", _WITHIN))
+    starts = _before(dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n")), "n")
+    place = F.col("start") + F.col("__id").bitwiseAND((1 << _WITHIN) - 1)
+    return dealt.join(F.broadcast(starts), "part").withColumn("place", place).select(*[F.col(f"`{c}`") for c in df.columns], "place")
+
+
+def fixed_batches(df: DataFrame, order: Sequence[str], size: int, group: Sequence[str] = ()) -> DataFrame:
+    """``batch`` numbers for every ``size`` rows in order, within ``group`` or, without one, over the whole table (see :func:`placed`)."""
     if group:
         at = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1
         return df.withColumn("batch", F.floor(at / size).cast("long"))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = df.approxQuantile(order[0], [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
-    part = F.size(F.filter(F.array(*map(F.lit, sorted(set(bounds)))), lambda b: b < F.col(order[0]))) if bounds else F.lit(0)
-    dealt = df.withColumn("__p", part)
-    counts = dealt.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = counts.select("__p", before.alias("__before"))  # a row per range
-    at = F.col("__before") + F.row_number().over(Window.partitionBy("__p").orderBy(*order)) - 1
-    return dealt.join(F.broadcast(counts), "__p").withColumn("batch", F.floor(at / size).cast("long")).drop("__p", "__before")
+    return placed(df, order).withColumn("batch", F.floor(F.col("place") / size).cast("long")).drop("place")
 
 
 def offsets(df: DataFrame, order: str, value: str, path: str) -> DataFrame:
     """``order``, ``value`` and ``before``, the total of ``value`` over all rows that come earlier, without a global sort.
 
-    The rows (unique numbers in ``order``) are written to ``path`` once; totals of
-    ranges of ``order`` then give each range its start, and a window within a range the rest.
+    The rows (unique numbers in ``order``) are dealt by ranges and written to ``path`` once,
+    in order and with their running total; the totals of the ranges (a row each) say where each begins.
     """
-    spark = df.sparkSession
-    df.select(order, value).write.parquet(path)
-    rows = spark.read.parquet(path)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    low, high = rows.agg(F.min(order), F.max(order)).first()
-    bounds = rows.approxQuantile(order, [i / n for i in range(1, n)], 0.25 / n) if n > 1 and low is not None and low != high else []
-    part = F.size(F.filter(F.array(*map(F.lit, sorted(set(bounds)))), lambda b: b < F.col(order))) if bounds else F.lit(0)
-    dealt = rows.withColumn("__p", part)
-    totals = dealt.groupBy("__p").agg(F.sum(value).alias("__n"))
-    start = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    totals = totals.select("__p", start.alias("__start"))  # a row per range
-    within = F.coalesce(F.sum(value).over(Window.partitionBy("__p").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return dealt.withColumn("__within", within).join(F.broadcast(totals), "__p").select(order, value, (F.col("__start") + F.col("__within")).alias("before"))
+    rows = df.select(order, value).repartitionByRange(order).sortWithinPartitions(order)
+
+    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            values = pc.fill_null(batch.column(1), 0).to_numpy(zero_copy_only=False).astype("int64")
+            ends = values.cumsum() + total
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - values), pa.array([part] * len(ends), pa.int64())], names=[order, value, "within", "part"])
+            total = int(ends[-1]) if len(ends) else total
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    rows.mapInArrow(running, f"`{order}` {kinds[order]}, `{value}` {kinds[value]}, within long, part long").write.parquet(path)
+    dealt = df.sparkSession.read.parquet(path)
+    starts = _before(dealt.groupBy("part").agg(F.sum(value).alias("n")), "n")
+    return dealt.join(F.broadcast(starts), "part").select(order, value, (F.col("start") + F.col("within")).alias("before"))
 
 
 def snapped_batches(placed: DataFrame, size: int) -> DataFrame:
@@ -55,35 +74,6 @@ def snapped_batches(placed: DataFrame, size: int) -> DataFrame:
     return placed.withColumn("batch", F.floor(F.col("before") / size).cast("long"))
 
 
-def budget_batches(df: DataFrame, group: Sequence[str], order: Column, size: Column, budget: int) -> DataFrame:
-    """Greedy batches per group: a row that would pass the budget of a batch with rows opens the next.
-
-    ``(group..., ord, size, batch)``. Rows stream through in order with the state of
-    one batch, so no group is gathered, however long it is.
-    """
-    kinds = {f.name: f.dataType.simpleString() for f in df.select(*group).schema}
-    rows = df.select(*group, order.cast("long").alias("ord"), size.cast("long").alias("size")).repartition(*group).sortWithinPartitions(*group, "ord", "size")
-    width = len(group)
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, batch, used, held = None, 0, 0, False
-        for part in batches:
-            keys = list(zip(*[part.column(i).to_pylist() for i in range(width)]))
-            numbers = []
-            for k, n in zip(keys, part.column(width + 1).to_pylist()):
-                n = n or 0
-                if k != key:
-                    key, batch, used, held = k, 0, 0, False
-                elif held and used + n > budget:
-                    batch, used = batch + 1, 0
-                used, held = used + n, True
-                numbers.append(batch)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(numbers, pa.int32())], names=[*part.schema.names, "batch"])
-
-    schema = ", ".join([f"`{g}` {kinds[g]}" for g in group] + ["ord long", "size long", "batch int"])
-    return rows.mapInArrow(fold, schema)
-
-
 def renumber(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "number") -> DataFrame:
     """1..n within each group, by order."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long"))

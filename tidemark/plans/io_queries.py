@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as T
 from tidemark.operators import relational as R
 from tidemark.plans.registry import query
-from tidemark.plans.scratch import folder, put
+from tidemark.scratch import folder, put
 from tidemark.sources import landing, readers, writers
 from tidemark.streaming import resume
 

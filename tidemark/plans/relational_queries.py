@@ -10,11 +10,11 @@ from tidemark.functions import alignment
 from tidemark.functions import fixed_values as V
 from tidemark.functions import kernels
 from tidemark.functions import text as T
-from tidemark.operators import audits, edits, notes, rules, sequence
+from tidemark.operators import audits, budgets, edits, notes, rules, sequence
 from tidemark.operators import relational as R
 from tidemark.plans import scalar_queries as S
 from tidemark.plans.registry import query
-from tidemark.plans.scratch import folder
+from tidemark.scratch import folder
 
 
 def _count():
@@ -185,7 +185,7 @@ SELECT CAST(batch AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n, CAST(count
 def _(t):
     counted = t.documents.select("doc_id", F.regexp_count("text", F.lit("[^ \n]+")).cast("long").alias("n"))
     offsets = sequence.offsets(counted, "doc_id", "n", folder(t.spark, "offsets"))
-    placed = t.documents.select("doc_id", "text").join(offsets.select("doc_id", "before"), "doc_id")  # documents are joined, not words
+    placed = t.documents.select("doc_id", "text").join(offsets.select("doc_id", "before").hint("shuffle_hash"), "doc_id")  # documents are joined, not words, and not sorted
     faults = S.faults(S.exploded(placed, "before"))
     batch = F.floor((F.col("before") + F.col("pos")) / 100).cast("long")
     at = F.struct("doc_id", "pos")
@@ -205,7 +205,7 @@ f AS (SELECT conv_id, turn, size, k, 0 AS batch, size AS used FROM r WHERE k = 1
   UNION ALL SELECT r.conv_id, r.turn, r.size, r.k, f.batch + CASE WHEN f.used + r.size > 1000 THEN 1 ELSE 0 END, CASE WHEN f.used + r.size > 1000 THEN r.size ELSE f.used + r.size END FROM f JOIN r ON r.conv_id = f.conv_id AND r.k = f.k + 1)
 SELECT conv_id, turn AS ord, CAST(size AS BIGINT) AS size, batch FROM f""")
 def _(t):
-    return sequence.budget_batches(t.conversations, ["conv_id"], F.col("turn"), F.length("text"), 1000)
+    return budgets.budget_batches(t.conversations, ["conv_id"], F.col("turn"), F.length("text"), 1000)
 
 
 @query("win_singleton_batches", "SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS batch FROM conversations")
