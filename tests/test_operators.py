@@ -8,7 +8,7 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions import alignment, kernels
+from tidemark.functions import alignment, kernels, keyed_pages
 from tidemark.functions import fixed_values as V
 from tidemark.functions import text as T
 from tidemark.operators import audits, budgets, edits, notes, relational, rules, sequence
@@ -289,11 +289,11 @@ def test_notes(spark):
 def test_keyed_pages():
     box = '<div wire:key="PREFIX{i}"><p class="x tracking-tight font-extrabold">2:{i}</p><p><span>Translation</span>: text {i} (1)</p><p><span> Comment </span>: (1) note</p></div>'
     box = box.replace("PREFIX", V.BOX_KEY_PREFIX)
-    got = kernels.keyed_items("".join(box.format(i=i) for i in (3, 1)), 2)
+    got = keyed_pages.keyed_items("".join(box.format(i=i) for i in (3, 1)), 2)
     assert [(r["key"], r["text"], r["notes"]) for r in got] == [("2:1", "text 1 (1)", ["(1) note"]), ("2:3", "text 3 (1)", ["(1) note"])]
     spare = '<div class="a border-gold-400">see 5:7 <p>Translation : plain</p></div><div class="border-gold-400">none</div>'
-    assert [(r["key"], r["text"], r["notes"]) for r in kernels.keyed_items(spare, 5)] == [("5:7", "plain", [])]
-    assert kernels.keyed_items(None, 1) == []
+    assert [(r["key"], r["text"], r["notes"]) for r in keyed_pages.keyed_items(spare, 5)] == [("5:7", "plain", [])]
+    assert keyed_pages.keyed_items(None, 1) == []
 
 
 # ------------------------------------------------------------------ sources, streams

@@ -158,6 +158,8 @@ IGNORED_MARKS = "\u0E4C\u0E3A"
 # What marks the containers of keyed pages, and the fallback.
 BOX_KEY_PREFIX, BOX_CLASS = "quran-", "border-gold-400"
 KEY_CLASSES = ("tracking-tight", "font-extrabold")
+#: Fixed: the labels before an item's text and its notes.
+TEXT_LABEL, NOTE_LABEL = "Translation", "Comment"
 
 # Characters that become spaces, then regular spacing around repetition marks and brackets, as
 # (pattern, replacement), in this order. {ws} is white space, {word} anything else, {thai} a letter, {gap} white space that is no letter.

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import alignment
 from tidemark.functions import fixed_values as V
-from tidemark.functions import kernels
+from tidemark.functions import kernels, keyed_pages
 from tidemark.functions import text as T
 from tidemark.operators import edits, notes, rules, sequence
 from tidemark.operators import relational as R
@@ -262,7 +262,22 @@ FROM (SELECT CAST(page_id AS INTEGER) AS page_id, unnest(string_split(url, '/'))
 def _(t):
     pieces = F.transform(F.split(F.col("url"), "/"), lambda x, i: F.concat(F.lit(f'<div wire:key="{V.BOX_KEY_PREFIX}1"><p class="font-extrabold tracking-tight">'), F.col("page_id").cast("string"), F.lit(":"), i.cast("string"), F.lit('</p><p><span class="x">Translation</span>: '), x, F.lit(" (1)</p><p><span>Comment</span>: (1) note "), i.cast("string"), F.lit("</p></div>")))
     made = t.pages.select("page_id", F.concat(F.lit("<html><body>"), F.array_join(pieces, ""), F.lit("</body></html>")).alias("html"))
-    return kernels.parse_keyed_pages(made, "page_id", "html")
+    return keyed_pages.parse_keyed_pages(made, "page_id", "html")
+
+
+def _cleaned(sql: str) -> str:
+    return _trim(f"regexp_replace(regexp_replace({sql}, '[ \\t\\r\\f\\v]+', ' ', 'g'), '\\n{WS}*\\n', chr(10), 'g')")
+
+
+@query("fn_html_pages", f"""SELECT CAST(page_id AS INTEGER) AS "group", 1 AS item, page_id || ':1' AS key, md5({_cleaned("'a ' || html")}) AS text, CAST([] AS VARCHAR[]) AS notes FROM pages
+UNION ALL SELECT CAST(page_id AS INTEGER), 2, page_id || ':2', md5({_cleaned("url")}), ['(1) ' || {_cleaned("html || 'z'")}] FROM pages""")
+def _(t):
+    escaped = F.replace(F.replace(F.replace("html", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&#62;"))
+    head = F.lit(f'<div wire:key="{V.BOX_KEY_PREFIX}x"><p class="font-extrabold tracking-tight">')
+    first = F.concat(head, "page_id", F.lit(":2</p><p><span>Translation</span>: "), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</p><p><span> comment </span> : (1) "), escaped, F.lit("z</p></div>"))
+    second = F.concat(head, F.lit("<b>"), "page_id", F.lit(" </b>:<i> 1</i></p><p><span>Translation</span>: a "), escaped, F.lit("</p><p><span>Comment</span>: </p></div>"))
+    made = t.pages.select("page_id", F.concat("html", first, second, "html").alias("html"))  # after and before a whole page, with its unclosed tags
+    return keyed_pages.parse_keyed_pages(made, "page_id", "html").withColumn("text", F.md5("text"))
 
 
 @query("win_marker_rewrite", "SELECT conv_id, turn, 'x[1]y[2]z[3]' || text AS out FROM conversations")
