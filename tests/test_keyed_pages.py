@@ -24,7 +24,7 @@ def short(html, group=2):
         (HEAD + "2:31</div>4", [("2:31", "", [])]),  # what follows the box is not part of its key
         ("1" + HEAD + "2:3</div>", [("2:3", "", [])]),
         (HEAD + "no number</div>", []),
-        (HEAD + KEY.format("2:1") + "<p>x Translation : y Translation : z</p></div>", [("2:1", " y Translation : z", [])]),
+        (HEAD + KEY.format("2:1") + "<p>x Translation : y Translation : z</p></div>", [("2:1", "y Translation : z", [])]),
         (HEAD + KEY.format("2:1") + "<p><span>Comment</span>: a</p><p>Comment</p><p><span>\ncomment</span>: b<script>var x;</script></p></div>", [("2:1", "", ["a", "b"])]),
         (HEAD + KEY.format("2:2") + "<p><span>Translation</span>: outer " + HEAD + KEY.format("2:1") + "<p><span>Translation</span>: inner</p></div></p></div>", [("2:1", "inner", []), ("2:2", "outer 2:1Translation: inner", [])]),
         (f'<div class="x {V.BOX_CLASS} y">{KEY.format("2:4")}</div></p></div></section>', [("2:4", "", [])]),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions import text as T
 from tidemark.functions.matching import sequence_ratio
 
 
@@ -49,6 +52,54 @@ def similarity(a: Column, b: Column, autojunk: bool = True) -> Column:
     return ratio(a, b)
 
 
+_WS_CODES = np.array(sorted(map(ord, T.WS_CHARS)), np.uint32)
+
+
+def _letters(text: str, marker: re.Pattern | None = None) -> np.ndarray:
+    """Letters before each place of a text, its end included: what is neither white space nor within a marker."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = ~np.isin(codes, _WS_CODES)
+    for m in marker.finditer(text) if marker else ():
+        letter[m.start() : m.end()] = False
+    return np.concatenate([[0], np.cumsum(letter)])
+
+
+def letter_maps(text: Column) -> Column:
+    """Struct of two arrays: ``letters`` before each character and the end (letters are characters other than white
+    space), and the first ``place`` that has 0, 1, ... letters before it; of all letters, the end. Null for a null."""
+    kind = pa.struct([("letters", pa.list_(pa.int32())), ("places", pa.list_(pa.int32()))])
+
+    @F.arrow_udf("struct<letters:array<int>,places:array<int>>")
+    def mapped(texts: pa.Array) -> pa.Array:
+        rows = []
+        for x in texts:
+            if (t := x.as_py()) is None:
+                rows.append(None)
+                continue
+            before = _letters(t)
+            places = np.searchsorted(before, np.arange(before[-1] + 1))
+            places[-1] = len(t)
+            rows.append({"letters": before, "places": places})
+        return pa.array(rows, kind)
+
+    return mapped(text)
+
+
+def letters_before(text: Column, places: Column, marker: str) -> Column:
+    """For an array of 1-based places of a text, the letters before each, markers not counted; 0 for a place of 0."""
+    pattern = re.compile(marker.replace("(?U)", ""))
+
+    @F.arrow_udf("array<long>")
+    def counted(texts: pa.Array, asked: pa.Array) -> pa.Array:
+        rows = []
+        for x, at in zip(texts.to_pylist(), asked.to_pylist()):
+            before = _letters(x, pattern) if x is not None and at else None
+            rows.append(None if at is None else [None if before is None else int(before[max(i - 1, 0)]) for i in at])
+        return pa.array(rows, pa.list_(pa.int64()))
+
+    return counted(text, places)
+
+
 def cursor_find(text: Column, needles: Column) -> Column:
     """1-based places of an array of needles, each sought after the one before, else anywhere; 0 if absent."""
 

@@ -138,7 +138,7 @@ def keyed_items(html: str | None, group: int) -> list[dict]:
         if (i := labels[V.TEXT_LABEL].first(*inside)) is not None:
             text = held(V.TEXT_LABEL, i)
         elif (i := told.first(*inside)) is not None:
-            text = page.of(i).split(plain, 1)[1]
+            text = page.of(i).split(plain, 1)[1].strip()
         else:
             text = ""
         notes = [held(V.NOTE_LABEL, i) for i in labels[V.NOTE_LABEL].within(*inside)]

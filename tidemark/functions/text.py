@@ -6,7 +6,8 @@ engines disagree on ``\\s``. Null texts stay null unless a function says otherwi
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -68,10 +69,39 @@ def typography(text: Column) -> Column:
     return collapse_blanks(F.regexp_replace(bare, r"[.,?!:;\"\-_/\\#@$%^&*]", ""))
 
 
+def any_of(words: Iterable[str]) -> str:
+    """A pattern for texts that hold any of these words: a tree by common beginnings, behind a class of first characters."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for c in word:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def branch(node: dict) -> str:
+        if "" in node:  # a shorter word is enough
+            return ""
+        parts = [re.escape(c) + branch(below) for c, below in node.items()]
+        return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+    firsts = "".join(re.escape(c) for c in tree)
+    return f"(?=[{firsts}]){branch(tree)}" if tree and "" not in tree else ""
+
+
 def canonicalize(text: Column, pairs: Iterable[tuple[str, str]] = V.SPELLING_PAIRS, endings: Iterable[tuple[str, str]] = V.SPELLING_ENDINGS, keep_null: bool = False) -> Column:
-    """Ordered literal replacements; null becomes '' unless ``keep_null``."""
+    """Ordered literal replacements; null becomes '' unless ``keep_null``.
+
+    Where no pair fires, none can by what another one made: one look for any of the
+    words tells the texts that stay as they are from those that go through the pairs.
+    """
     start = text if keep_null else F.coalesce(text, F.lit(""))
-    return reduce(lambda x, p: replace_all(x, *p), [*pairs, *endings], start)
+    return in_order(start, [*pairs, *endings])
+
+
+def in_order(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Literal replacements one after another, in texts that hold any of the words."""
+    replaced = reduce(lambda x, p: replace_all(x, *p), pairs, text)
+    return F.when(text.rlike(any_of(old for old, _ in pairs)), replaced).otherwise(text) if len(pairs) > 3 else replaced
 
 
 def replace_first(text: Column, target: Column, replacement: Column) -> Column:
@@ -139,6 +169,30 @@ def json_items(text: Column) -> Column:
     return F.coalesce(*parts, F.when(value.isNotNull(), F.array(value)))
 
 
+def percent(value: Column, digits: int = 1) -> Column:
+    """A double as a percentage with ``digits`` (1 to 3) decimals, rounded by its exact binary value, ties to even; null for a null.
+
+    The product with the power of ten and its rounding error are kept apart, so nothing
+    is rounded twice. From 2^52 on, divided by that power, digits are those of Spark's cast to decimal.
+    """
+    ten = float(10**digits)
+    x = F.abs(value)
+    p = x * ten
+    big = x * 134217729.0  # 2^27 + 1: a part of 26 bits, whose product with the power is exact, and the rest
+    high = big - (big - x)
+    error = (high * ten - p) + (x - high) * ten
+    whole = F.floor(p).cast("double")
+    over = (p - whole) - 0.5
+    up = (over > 0) | ((over == 0) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
+    n = whole.cast("long") + up.cast("long")
+    body = F.lpad(n.cast("string"), F.greatest(F.length(n.cast("string")), F.lit(digits + 1)), "0")
+    body = F.concat(F.left(body, F.length(body) - digits), F.lit("."), F.right(body, F.lit(digits)))
+    body = F.when(p < float(1 << 52), body).otherwise(F.concat(x.cast("decimal(38,0)").cast("string"), F.lit("." + "0" * digits)))
+    sign = F.when(value.cast("string").startswith("-"), "-").otherwise("")
+    finite = F.concat(sign, body, F.lit("%"))
+    return F.when(F.isnan(value), "nan%").when(x == float("inf"), F.concat(sign, F.lit("inf%"))).otherwise(finite)
+
+
 def count_char(text: Column, char: str) -> Column:
     return (F.length(text) - F.length(replace_all(text, char, ""))).cast("long")
 

@@ -111,7 +111,8 @@ def census(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
 
 def replace_everywhere(df: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame:
     """Ordered literal replacement in every text column."""
-    return df.withColumns({f.name: reduce(lambda x, p: T.replace_all(x, *p), pairs, F.col(f"`{f.name}`")) for f in df.schema if f.dataType.simpleString() == "string"})
+    pairs = list(pairs)
+    return df.withColumns({f.name: T.in_order(F.col(f"`{f.name}`"), pairs) for f in df.schema if f.dataType.simpleString() == "string"})
 
 
 def standardize(df: DataFrame, columns: Sequence[str], keep_null: bool = False, **tables) -> DataFrame:

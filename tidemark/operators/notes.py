@@ -39,10 +39,12 @@ def placement_audit(df: DataFrame, keys: list[str], source: str, annotated: str,
     found = df.select(*keys, F.col(source).alias("__source"), F.col(annotated).alias("__annotated"), whole, base_all, F.col(note_ids).alias("__ids"))
     found = found.withColumn("__s", kernels.cursor_find(src, F.transform("__ids", lambda n: F.concat(F.lit("("), n, F.lit(")")))))
     found = found.withColumn("__a", kernels.cursor_find(ann, F.transform("__ids", lambda n: F.concat(F.lit("["), n, F.lit("]")))))
-    each = found.select(*keys, "__source", "__annotated", "__whole", "__all", F.inline(F.arrays_zip(F.col("__ids").alias("note_id"), F.col("__s").alias("__at"), F.col("__a").alias("__to"))))
+    # letters are counted once per text, for all of its notes
+    counted = found.withColumns({"__ns": kernels.letters_before(src, F.col("__s"), T.MARKER), "__na": kernels.letters_before(ann, F.col("__a"), T.BRACKET_MARKER)})
+    zipped = F.arrays_zip(*[F.col(c).alias(n) for c, n in (("__ids", "note_id"), ("__s", "__at"), ("__a", "__to"), ("__ns", "__n_src"), ("__na", "__n_ann"))])
+    each = counted.select(*keys, "__source", "__annotated", "__whole", "__all", F.inline(zipped))
     each = each.where("__at > 0 and __to > 0")
-    n_src = T.letter_count(F.substring(src, F.lit(1), F.col("__at") - 1))
-    n_ann = T.letter_count(F.substring(ann, F.lit(1), F.col("__to") - 1), T.BRACKET_MARKER)
+    n_src, n_ann = F.col("__n_src"), F.col("__n_ann")
     size = F.length("note_id") + 2
     context = {
         "left_source": F.regexp_replace(T.context(src, F.col("__at"), width), T.MARKER, ""),

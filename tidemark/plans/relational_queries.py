@@ -237,6 +237,17 @@ def _(t):
     return t.documents.select("doc_id", placed["placements"].alias("p")).select("doc_id", (F.col("p")[0]["position"] <= F.col("p")[1]["position"]).alias("in_order"))
 
 
+@query("win_monotone_anywhere", "SELECT doc_id, true AS in_order, md5(translate(text, '([', '')) AS bare, CAST(2 AS INTEGER) AS n FROM documents WHERE length(text) > 60")
+def _(t):
+    docs = t.documents.where(F.length("text") > 60).select("doc_id", F.translate("text", "([", "").alias("text"))  # no markers but these
+    a, b = (F.length("text") / 3).cast("int"), (F.length("text") * 2 / 3).cast("int")  # wherever that is
+    marked = F.concat(F.left("text", a), F.lit("(1)"), F.substr(F.col("text"), a + 1, b - a), F.lit("(2)"), F.substr(F.col("text"), b + 1))
+    placed = docs.select("doc_id", alignment.align_markers(marked, F.col("text")).alias("r")).select("doc_id", "r.annotated", F.col("r.placements").alias("p"))
+    bare = F.replace(F.replace("annotated", F.lit("[1]"), F.lit("")), F.lit("[2]"), F.lit(""))
+    ordered = (F.col("p")[0]["position"] <= F.col("p")[1]["position"]) & (F.instr("annotated", "[1]") < F.instr("annotated", "[2]"))
+    return placed.select("doc_id", ordered.alias("in_order"), F.md5(bare).alias("bare"), F.size("p").alias("n"))
+
+
 # ------------------------------------------------------------------ sorts and limits
 
 
@@ -387,6 +398,22 @@ def _(t):
     return edits.spacing_fallback(texts, candidates, ["doc_id"]).select("doc_id", "status")
 
 
+def _same(sql: str) -> str:
+    return f"regexp_replace(nfc_normalize({sql}), '{S.WS}+', '', 'g') = regexp_replace(nfc_normalize(text), '{S.WS}+', '', 'g')"
+
+
+@query("tiered_fallback_texts", f"""WITH c AS (SELECT doc_id, text, unnest([1, 2]) AS tier, unnest([replace(text, 'the', 'teh'), CASE doc_id % 4 WHEN 0 THEN text || '!' WHEN 1 THEN replace(text, ',', ' ,') ELSE text END]) AS spaced FROM documents),
+m AS (SELECT *, {S.mech_sql('spaced')} AS final FROM c),
+k AS (SELECT doc_id, tier, final, final <> text AS changed FROM m WHERE {_same('spaced')} AND {_same('final')} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY tier) = 1)
+SELECT d.doc_id, md5(coalesce(k.final, d.text)) AS text, CASE WHEN k.tier IS NULL THEN 'REJECTED_CHARACTER_MISMATCH' WHEN changed THEN 'SPACING_OPTIMIZED' ELSE 'CLEAN' END AS status FROM documents d LEFT JOIN k USING (doc_id)""")
+def _(t):
+    texts = t.documents.select("doc_id", "text")
+    k = F.col("doc_id") % 4
+    second = F.when(k == 0, F.concat("text", F.lit("!"))).when(k == 1, F.replace("text", F.lit(","), F.lit(" ,"))).otherwise(F.col("text"))
+    tries = F.array(*[F.struct(F.lit(tier).alias("tier"), F.lit(0).alias("ord"), c.alias("spaced")) for tier, c in ((1, F.replace("text", F.lit("the"), F.lit("teh"))), (2, second))])
+    return edits.spacing_fallback(texts, texts.select("doc_id", F.inline(tries)), ["doc_id"]).select("doc_id", F.md5("text").alias("text"), "status")
+
+
 REVIEWS_SQL = f"""c AS (SELECT doc_id, text AS old, CASE WHEN toxic = 1 THEN 'a new, better text' WHEN quality = 1 THEN text END AS wanted FROM documents JOIN labels USING (doc_id)),
 d AS (SELECT doc_id, old, {S._trim("regexp_replace(regexp_replace(wanted, '[.,?!:;“”‘’\"—\\-_/\\\\#@$%^&*]', '', 'g'), '[ \\t]+', ' ', 'g')")} AS new FROM c WHERE coalesce({S._trim("coalesce(wanted, '')")}, '') <> '')"""
 

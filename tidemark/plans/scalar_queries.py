@@ -196,6 +196,8 @@ scalar("fn_letter_count", f"CAST(length(regexp_replace(regexp_replace(text, '\\(
 scalar("fn_len_delta", "CAST(length(replace(text, 'the', '')) - length(text) AS BIGINT)", lambda x: (F.length(T.replace_all(x, "the", "")) - F.length(x)).cast("long"))
 scalar("fn_lower_upper", "md5(lower(text) || upper(lang))", lambda x: F.md5(F.concat(F.lower(x), F.upper("lang"))))
 scalar("fn_pct_fmt", "round(100.0::DOUBLE * (length(text) - length(replace(text, 'e', ''))) / length(text), 6)", lambda x: F.round(100.0 * T.count_char(x, "e") / F.length(x), 6))
+scalar("fn_pct_text", "format('{:.1f}%', 100.0::DOUBLE * (length(text) - length(replace(text, 'e', ''))) / length(text))", lambda x: T.percent(100.0 * T.count_char(x, "e") / F.length(x)))
+scalar("fn_context_both", f"{_trim("substr(text, greatest(1, instr(text, 'the') - 25), instr(text, 'the') - greatest(1, instr(text, 'the') - 25))")} || '|' || {_trim("substr(text, instr(text, 'the') + 3, 25)")}", lambda x: F.concat(T.context(x, F.instr(x, "the")), F.lit("|"), T.context_after(x, F.instr(x, "the"), 3)))
 scalar("agg_occurrences", "CAST((length(text) - length(replace(text, 'tion', ''))) // 4 AS BIGINT)", lambda x: T.occurrences(x, "tion"))
 
 
@@ -234,6 +236,13 @@ def _(t):
     return t.events.select("event_id", F.inline(T.sup_parse(html)))
 
 
+@query("fn_find_all", """WITH p AS (SELECT doc_id, string_split(text, 'tion') AS parts FROM documents WHERE contains(text, 'tion')),
+e AS (SELECT doc_id, unnest(parts) AS part, unnest(range(len(parts))) AS k FROM p)
+SELECT doc_id, CAST(1 + sum(length(part)) OVER (PARTITION BY doc_id ORDER BY k) + 4 * k AS INTEGER) AS position, 'tion' AS match FROM e QUALIFY k < max(k) OVER (PARTITION BY doc_id)""")
+def _(t):
+    return t.documents.select("doc_id", F.inline(T.find_all(F.col("text"), "tion")))
+
+
 @query("fn_json_shape", """SELECT event_id, i, CAST(json_extract(props, '$.k') AS BIGINT) + i AS k FROM events, (VALUES (0), (1)) v(i) WHERE event_id % 4 <> 3 AND (i = 0 OR event_id % 4 <> 2)""")
 def _(t):
     k = F.get_json_object("props", "$.k")
@@ -286,9 +295,17 @@ def _(t):
     return t.conversations.select("conv_id", "turn", T.rewrite_markers(marked).alias("out"))
 
 
-@query("fn_letter_maps", f"SELECT doc_id, CAST(length(regexp_replace(text, '{WS}+', '', 'g')) AS BIGINT) AS letters FROM documents")
+@query("fn_letter_maps", f"""WITH c AS (SELECT doc_id, length(text) AS n, unnest(range(length(text))) AS i, unnest(string_split(text, '')) AS ch FROM documents WHERE text <> ''),
+l AS (SELECT *, CAST(NOT regexp_matches(ch, '{WS}') AS INTEGER) AS letter, sum(CAST(NOT regexp_matches(ch, '{WS}') AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) - CAST(NOT regexp_matches(ch, '{WS}') AS INTEGER) AS before FROM c),
+t AS (SELECT doc_id, any_value(n) AS n, sum(letter) AS letters, sum(before) AS before FROM l GROUP BY doc_id),
+p AS (SELECT doc_id, before, min(i) AS place FROM l GROUP BY doc_id, before),
+q AS (SELECT p.doc_id, sum(place) AS places FROM p JOIN t ON p.doc_id = t.doc_id AND p.before < t.letters GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(coalesce(letters, 0) AS BIGINT) AS letters, CAST(coalesce(before + letters, 0) AS BIGINT) AS letter_sum, CAST(coalesce(q.places, 0) + coalesce(n, 0) AS BIGINT) AS place_sum
+FROM documents d LEFT JOIN t USING (doc_id) LEFT JOIN q USING (doc_id)""")
 def _(t):
-    return t.documents.select("doc_id", F.length(T.strip_ws(F.col("text"))).cast("long").alias("letters"))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda s, x: s + x)
+    maps = t.documents.select("doc_id", kernels.letter_maps(F.col("text")).alias("m"))
+    return maps.select("doc_id", F.element_at("m.letters", -1).cast("long").alias("letters"), total(F.col("m.letters")).alias("letter_sum"), total(F.col("m.places")).alias("place_sum"))
 
 
 @query("fn_post_process_pos")

@@ -50,6 +50,14 @@ def csv_positional(spark: SparkSession, path: str, names: dict[int, str]) -> Dat
     return rows.select(*[F.col(f"_c{i}").alias(n) for i, n in names.items()])
 
 
+def csv_bodies(df: DataFrame, body: str, keys: Sequence[str], names: dict[int, str]) -> DataFrame:
+    """Rows of CSV texts in a column, such as exported sheets, addressed by position; each text's header line is skipped, and cells hold no newlines."""
+    rows = df.select(*keys, F.posexplode(F.split(F.regexp_replace(F.col(body), "\\A\ufeff", ""), "\r?\n")).alias("__i", "__line")).where("__i > 0 and __line != ''")
+    schema = ", ".join(f"_c{i} string" for i in range(max(names) + 1))
+    parsed = rows.withColumn("__row", F.from_csv("__line", schema, {"escape": '"', "mode": "PERMISSIVE"}))
+    return parsed.select(*keys, *[F.col(f"__row._c{i}").alias(n) for i, n in names.items()])
+
+
 def lines(spark: SparkSession, path: str, comment: str = "#") -> DataFrame:
     """Text lines, without blank ones and comments."""
     return spark.read.text(path).where((F.trim("value") != "") & ~F.col("value").startswith(comment))
