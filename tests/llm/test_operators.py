@@ -635,28 +635,51 @@ def test_all_notices_of_a_file_are_found(spark):
     stray = "redistribute obtaining charge lgpl merchantability unencumbered published binary forms granted hereby mozilla"
     texts = [four, f"{stray} {four} {stray}", mpl, f"{stray} {mpl}", "the mozilla public license 2 0", "in the of and", *(f"{stray} of the page {i}" for i in range(10)), *(f"plain {i}" for i in range(30))]
     made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for options in ({}, {"rare": 2}, {"rare": 9}):
-        found = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(made, **options).collect()}
-        assert found[0] == found[1] == ("apache,apache-2.0,cc-by,cc-by-nc-4.0,gpl,gpl-3.0,mit,mit-notice", 1.0)
-        assert found[2] == found[3] == ("mpl-2.0", 1.0) and found[4] == ("mpl-2.0", 4 / 17)
-        assert all(found[i] == ("", 0.0) for i in range(5, len(texts)))
+    found = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(made).collect()}
+    assert found[0] == found[1] == ("apache,apache-2.0,cc-by,cc-by-nc-4.0,gpl,gpl-3.0,mit,mit-notice", 1.0)
+    assert found[2] == found[3] == ("mpl-2.0", 1.0)
+    assert all(found[i] == ("", 0.0) for i in range(4, len(texts)))
+
+
+def test_key_phrases_alone_give_no_label(spark):
+    """Phrases spread over a file, or in another body, are no licence; half of a body without its phrases is none either."""
+    nonsense = "It was released under a full moon, and if you read the MIT license. unencumbered software? keep it out of the public domain! version 3 of my essay on the GNU General Public License"
+    isc = next(t for t in license_scan.TEMPLATES if t.label == "isc")
+    body = isc.words.split()
+    other = " ".join([*isc.keys[0].split(), *(f"other{i}" for i in range(20)), *isc.keys[1].split()])
+    lost = isc.words.replace("for any purpose with or without fee is hereby granted", "for any purpose with or without fee is hereby refused")
+    zlib_ = next(t for t in license_scan.TEMPLATES if t.label == "zlib")
+    apart = f"{' '.join(zlib_.words.split()[:15])} {'x ' * 60} {zlib_.keys[1]}"  # half of the body, and a phrase far from it
+    longer = " ".join([*body[:5], "quickly", *body[5:]])  # a word more: over half is still in place, the phrase within the span
+    texts = [nonsense, "unencumbered software kept out of the public domain", other, lost, apart, isc.words, longer, "mit license"]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(made).collect()}
+    assert [found[i] for i in range(5)] == [("gpl,mit", license_scan.NAMED), ("", 0.0), ("", 0.0), ("", 0.0), ("", 0.0)]
+    assert found[5] == ("isc", 1.0) and found[6][0] == "isc" and 0.5 < found[6][1] < 1 and found[7] == ("mit", license_scan.NAMED)
+
 
+def test_postings_decide_which_templates_are_seen(spark, monkeypatch):
+    texts = [t.words for t in license_scan.TEMPLATES]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before = {r.doc_id: r.labels for r in license_scan.scan(made).collect()}
+    assert all(t.label in before[i].split(",") for i, t in enumerate(license_scan.TEMPLATES))
+    monkeypatch.setattr(license_scan, "_rarest", lambda places, df, n: sorted(places, key=lambda x: x[1])[:1])  # a position each: no two hits agree
+    assert {r.labels for r in license_scan.scan(made).collect()} <= {"", "gpl", "mit", "apache", "cc-by"}
 
-def brute_templates(text, agree=2):
-    """Labels of templates and the best share, by trying every place."""
+
+def brute_templates(text):
+    """Labels of templates and the best share, by comparing every template at every place."""
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    stands = lambda p: any(words[i : i + len(p)] == p for i in range(len(words)))
     labels, best = set(), 0.0
     for t in license_scan.TEMPLATES:
-        own, keys = t.words.split(), [k.split() for k in t.keys]
-        if not all(map(stands, keys)):
-            continue
-        marked = {i + j for k in keys for i in range(len(own)) if own[i : i + len(k)] == k for j in range(len(k))}
+        own = t.words.split()
+        around = max(2, len(own) // 4)
         for off in range(-len(own), len(words)):
-            same = {i for i, w in enumerate(own) if 0 <= off + i < len(words) and words[off + i] == w}
-            if len(same & marked) >= agree:
+            same = sum(1 for i, w in enumerate(own) if 0 <= off + i < len(words) and words[off + i] == w)
+            span = words[max(off - around, 0) : max(off + len(own) + around, 0)]
+            if 2 * same >= len(own) and all(any(span[i : i + len(p)] == p for i in range(len(span))) for p in (k.split() for k in t.keys)):
                 labels.add(t.label)
-                best = max(best, len(same) / len(own))
+                best = max(best, same / len(own))
     return labels, best
 
 
@@ -667,6 +690,7 @@ def test_templates_against_brute_force(spark, docs):
         own = t.words.split()
         texts += [t.words.upper(), f"...{t.words.replace(' ', ' -- ')}?!", " ".join(own[2:]), " ".join(own[:-3]) + " end", " ".join(["x\u0130", *own[: len(own) // 2], "new words here", *own[len(own) // 2 :]])]
         texts.append(" ".join(w for w in own if rng.random() < 0.9) + " " + " ".join(t.keys))
+        texts += [" ".join(w if rng.random() < keep else "z" for w in own) for keep in (0.95, 0.8, 0.6)]
         texts.append(" and ".join(reversed(t.keys)) + " mit license")
     texts += ["li\u212aense mit licen\u017fe", " ".join(t.words for t in license_scan.TEMPLATES), None, "", " . "]
     for made in (texts, [license_scan.TEMPLATES[15].words], texts[-6:]):  # whole corpora and small ones give a file the same labels
@@ -674,7 +698,7 @@ def test_templates_against_brute_force(spark, docs):
         for r in license_scan.scan(df).collect():
             labels, best = brute_templates(made[r.doc_id])
             assert set(r.labels.split(",")) - {""} == labels | set(r.base_labels.split(",")) - {""}, made[r.doc_id]
-            assert r.score == (1.0 if r.n_base else best)
+            assert r.score == max(best, license_scan.NAMED if r.n_base else 0.0)
 
 
 def test_scratch_is_shared_folder(spark):

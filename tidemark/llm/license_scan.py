@@ -1,28 +1,31 @@
 """Licence scan by a positional rare-token index (native DataFrame functions only).
 
-Texts become words (A-Z lower-cased; runs of letters a-z, digits and non-ASCII
-characters). Base labels come from fixed phrases whose words stand consecutively.
-Further labels come from paragraphs of licence texts ("templates"), each with
-mandatory key phrases:
-
-1. Rare words. Inverse document frequencies of all phrase words are counted over
-   the whole corpus. Of each phrase the ``rare`` words with the highest are looked up
-   in every file; a template is in question if the file holds those of all its phrases.
-2. Positions. The postings of the phrases' words (template, place) give for each hit
-   the place where the template would begin; only places that ``agree`` or more hits
-   share stay.
-3. Phrases. Templates with such a place are accepted if all their key phrases stand
-   in the file consecutively. A place's share is that of all the template's words that
-   stand in the file at their relative positions.
-
-The frequencies order the words and so decide the cost, never the result: a file's
-labels and score depend on its own words alone. Only the phrases' vocabulary, which
-the templates bound, reaches the driver.
+Words are runs of letters a-z (A-Z lower-cased), digits and non-ASCII characters. Base
+labels come from fixed phrases whose words stand consecutively. Further labels come from
+"templates", which are notices and paragraphs of licence texts with mandatory key
+phrases. A template stands at a place of a file if, from that place on, at least half of
+its words stand in the file at their own relative positions, and all of its key phrases
+stand consecutively within its span, stretched by a quarter of its length on both sides.
+Key phrases alone, or spread over a file, give no label. Such places are found by
+
+1. Rare words. Inverse document frequencies of all template words are counted over the
+   whole corpus. Of each template the positions of the words with the highest are
+   indexed: half of them and two more, so that at least two of these are among any half
+   that is in place. Of a file those of its licence words are looked up that have postings.
+2. Relative positions. Each hit of a word's postings (template, position) gives the place
+   where the template would begin; only places that two hits share stay.
+3. Verification. All words of the template are compared in place, and the key phrases
+   are sought in the span.
+
+The frequencies decide which positions are indexed and so the cost, never the result: a
+file's labels and score depend on its own words alone. Only the templates' vocabulary
+reaches the driver.
 
 Nulls and edge cases: a null or empty text has no words, no labels and score 0.
 Repeated rows are scanned one by one; extra columns are dropped. ``first_word`` and
 ``last_word`` are null without a base phrase; occurrences that overlap all count.
-The score is 1 with a base phrase, else the best accepted template's share.
+The score is the best template's share of words in place, and 0.5 at least where a base
+phrase stands, which only names a licence.
 """
 
 from __future__ import annotations
@@ -36,6 +39,9 @@ from pyspark.sql import functions as F
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+AGREE = 2  # indexed words in place that make a place worth a look
+NAMED = 0.5  # the score of a base phrase alone
+
 BASE = (
     ("gnu general public license", "gpl"),
     ("apache license", "apache"),
@@ -46,7 +52,7 @@ BASE = (
 
 @dataclass(frozen=True)
 class Template:
-    """A paragraph's words, and the phrases of it (of two words or more) that a file must hold."""
+    """The words of a notice or paragraph (three or more), and phrases of it that must stand within its span."""
 
     label: str
     words: str
@@ -65,6 +71,7 @@ TEMPLATES = (
     Template("gpl-notice", "you should have received a copy of the gnu general public license along with this program if not see https www gnu org licenses", ("you should have received a copy", "gnu general public license along with this program")),
     Template("lgpl", f"this library {_FREE} gnu lesser general public license {_LATER} version 2 1 {_OPTION}", ("gnu lesser general public license",)),
     Template("agpl-3.0", f"this program {_FREE} gnu affero general public license {_LATER} version 3 {_OPTION}", ("gnu affero general public license",)),
+    Template("apache-2.0", "licensed under the apache license version 2 0", ("apache license", "version 2 0")),
     Template("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0", ("apache license", "version 2 0")),
     Template("apache-terms", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license", ("required by applicable law or agreed to in writing", "specific language governing permissions and limitations")),
     Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("cc by nc", "4 0")),
@@ -99,8 +106,21 @@ def _spaces(text: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))).cast("long")
 
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _literals(values: Iterable[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    return F.expr(f"cast(array({', '.join(map(_quoted, values))}) as array<string>)")
+
+
+def _nested(rows: list[Iterable[str]]) -> Column:
+    inner = ", ".join(f"array({', '.join(map(_quoted, r))})" for r in rows)
+    return F.expr(f"cast(array({inner}) as array<array<string>>)")
+
+
+def _numbers(values: list[int]) -> Column:
+    return F.expr(f"cast(array({', '.join(map(str, values))}) as array<int>)")
 
 
 def _occurrences(padded: Column, n_words: Column, phrase: str) -> Column:
@@ -120,80 +140,75 @@ def frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> dict[str,
     return {r["w"]: r["count"] for r in held.groupBy("w").count().collect()}  # a row per vocabulary word
 
 
-def _looked_up(phrases: Iterable[str], df: dict[str, int], rare: int) -> list[str]:
-    """Of each phrase the words with the highest inverse document frequency."""
-    return sorted({w for p in phrases for w in sorted(set(p.split()), key=lambda w: (df.get(w, 0), w))[:rare]})
+def _rarest(places: list[tuple[str, int]], df: dict[str, int], n: int) -> list[tuple[str, int]]:
+    """The ``n`` (word, position) whose words have the highest inverse document frequencies."""
+    return sorted(places, key=lambda x: (df.get(x[0], 0), x[1]))[:n]
+
+
+def least_in_place(n: int) -> int:
+    """How many of a template's ``n`` words must be in place."""
+    return (n + 1) // 2
 
 
-def phrase_places(t: Template) -> list[int]:
-    """Places of a template's words that belong to its key phrases."""
-    ws = t.words.split()
-    out = set()
-    for key in t.keys:
-        ks = key.split()
-        out |= {i + j for i in range(len(ws)) if ws[i : i + len(ks)] == ks for j in range(len(ks))}
-    return sorted(out)
+def stretch(n: int) -> int:
+    """By how many words a template's span is stretched on either side for its key phrases."""
+    return max(2, n // 4)
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tuple[Template, ...] = TEMPLATES, base: tuple[tuple[str, str], ...] = BASE, rare: int = 1, agree: int = 2) -> DataFrame:
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tuple[Template, ...] = TEMPLATES, base: tuple[tuple[str, str], ...] = BASE) -> DataFrame:
     """``key, n_words, n_base, first_word, last_word, base_labels, labels, score`` for every document."""
-    vocabulary = sorted({w for p in [*(p for p, _ in base), *(k for t in templates for k in t.keys)] for w in p.split()})
-    df = frequencies(docs, text, vocabulary)
-    asked = [_looked_up(t.keys, df, rare) for t in templates]
-    asked_base = [_looked_up([p], df, rare) for p, _ in base]
-    index = sorted({w for ws in [*asked, *asked_base] for w in ws})
+    spelled = [t.words.split() for t in templates]
+    if any(len(ws) < 3 for ws in spelled):
+        raise ValueError("a template needs three words or more")
+    df = frequencies(docs, text, sorted({w for ws in [*spelled, *(p.split() for p, _ in base)] for w in ws}))
+    postings: dict[str, list[tuple[int, int]]] = {}
+    for i, ws in enumerate(spelled):
+        n = len(ws)
+        for w, place in _rarest([(w, p) for p, w in enumerate(ws)], df, n - least_in_place(n) + AGREE):
+            postings.setdefault(w, []).append((i, place))
+    asked_base = [_rarest([(w, i) for i, w in enumerate(p.split())], df, 1)[0][0] for p, _ in base]
 
     rows = docs.select(F.col(key).alias("k"), words(F.col(text)).alias("w"))
     lead, trail = (F.get("w", F.lit(0)) == "").cast("int"), (F.element_at("w", -1) == "").cast("int")
     n_words = F.greatest(F.size("w") - lead - trail, F.lit(0)).cast("long")
-    rows = rows.select("k", "w", n_words.alias("n_words"), lead.alias("lead"), F.array_intersect("w", _literals(index)).alias("held"))
-
-    def holds(looked_up: list[str]) -> Column:
-        return reduce(lambda a, b: a & b, [F.array_contains("held", w) for w in looked_up], F.lit(True))
-
-    in_question = F.array_compact(F.array(*[F.when(holds(ws), F.lit(i)) for i, ws in enumerate(asked)]).cast("array<int>"))
-    base_asked = reduce(lambda a, b: a | b, [holds(ws) for ws in asked_base], F.lit(False))
-    some = F.size("held") > 0
-    rows = rows.select("k", "w", "n_words", "lead", F.when(some, in_question).alias("asked"), F.when(some, base_asked).alias("asked_base"))
-    needed = F.coalesce(F.col("asked_base") | (F.size("asked") > 0), F.lit(False))
-    padded = F.when(needed, F.concat(F.lit("| "), F.trim(F.array_join("w", " ")), F.lit(" ")))
-    rows = rows.select("k", "w", "n_words", "lead", "asked", padded.alias("padded"))
-    found = [_occurrences(F.col("padded"), F.col("n_words"), phrase).alias(f"b{i}") for i, (phrase, _) in enumerate(base)]
+    rows = rows.select("k", "w", n_words.alias("n_words"), lead.alias("lead"), F.array_intersect("w", _literals(sorted({*postings, *asked_base}))).alias("held"))
 
-    # words of the phrases with their places in the file, and for each the templates' places for it
-    spelled = [t.words.split() for t in templates]
-    postings: dict[str, list[tuple[int, int]]] = {}
-    for i, t in enumerate(templates):
-        for place in phrase_places(t):
-            postings.setdefault(spelled[i][place], []).append((i, place))
+    # licence words of the file with their places, and for each the templates' places for it
     none = F.array().cast("array<struct<t:int,off:int>>")
+    starts = none
     if postings:
-        posted = F.create_map(*[x for w, at in sorted(postings.items()) for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in at]))])
+        entries = (f"{_quoted(w)}, array({', '.join(f"struct({t} as t, {p} as p)" for t, p in at)})" for w, at in sorted(postings.items()))
+        posted = F.expr(f"map({', '.join(entries)})")
         hits = F.filter(F.transform("w", lambda w, i: F.struct(w.alias("w"), (i - F.col("lead")).alias("i"))), lambda x: x["w"].isin(sorted(postings)))
-        starts = F.flatten(
-            F.transform(hits, lambda x: F.transform(F.filter(F.element_at(posted, x["w"]), lambda p: F.array_contains("asked", p["t"])), lambda p: F.struct(p["t"].alias("t"), (x["i"] - p["p"]).alias("off"))))
-        )
-        starts = F.when(F.size("asked") > 0, F.array_sort(starts)).otherwise(none)
-    else:
-        starts = none
-    rows = rows.select("k", "w", "n_words", "lead", "padded", *found, starts.alias("starts"))
-    # sorted, a place shared by ``agree`` hits stands that often in a row
-    agreed = F.filter(F.transform("starts", lambda x, i: F.when(F.get("starts", i + agree - 1) == x, x)), lambda x: x.isNotNull())
-    rows = rows.withColumn("places", F.when(F.size("starts") >= agree, F.array_distinct(agreed)).otherwise(none))
-
-    keys = F.array(*[_literals(f" {k} " for k in t.keys) for t in templates]) if templates else F.array().cast("array<array<string>>")
-    texts = F.array(*[_literals(ws) for ws in spelled]) if templates else F.array().cast("array<array<string>>")
+        places = F.flatten(F.transform(hits, lambda x: F.transform(F.element_at(posted, x["w"]), lambda p: F.struct(p["t"].alias("t"), (x["i"] - p["p"]).alias("off")))))
+        starts = F.when(F.arrays_overlap("held", _literals(sorted(postings))), F.array_sort(places)).otherwise(none)
+    base_asked = F.arrays_overlap("held", _literals(sorted(set(asked_base)))) if base else F.lit(False)
+    padded = F.when(base_asked, F.concat(F.lit("| "), F.trim(F.array_join("w", " ")), F.lit(" ")))
+    rows = rows.select("k", "w", "n_words", "lead", padded.alias("padded"), starts.alias("starts"))
+    found = [_occurrences(F.col("padded"), F.col("n_words"), phrase).alias(f"b{i}") for i, (phrase, _) in enumerate(base)]
+    # sorted, a place shared by so many hits stands that often in a row
+    agreed = F.filter(F.transform("starts", lambda x, i: F.when(F.get("starts", i + AGREE - 1) == x, x)), lambda x: x.isNotNull())
+    rows = rows.select("k", "w", "n_words", "lead", *found, F.when(F.size("starts") >= AGREE, F.array_distinct(agreed)).otherwise(none).alias("places"))
+
+    keys, texts = _nested([[f" {k} " for k in t.keys] for t in templates]), _nested(spelled)
+    least, more = _numbers([least_in_place(len(ws)) for ws in spelled]), _numbers([stretch(len(ws)) for ws in spelled])
     names = _literals(t.label for t in templates)
-    verified = F.filter("places", lambda x: F.forall(F.get(keys, x["t"]), lambda k: F.contains("padded", k)))
-    rows = rows.withColumn("places", F.when(F.size("places") > 0, verified).otherwise(none))
 
-    def share(x: Column) -> Column:
-        own = F.get(texts, x["t"])
-        in_place = F.filter(F.transform(own, lambda v, i: F.when(x["off"] + i >= 0, F.get("w", x["off"] + F.col("lead") + i) == v)), lambda same: same)
-        return F.size(in_place) / F.size(own)
+    def in_place(x: Column) -> Column:
+        same = F.transform(F.get(texts, x["t"]), lambda v, i: (x["off"] + i >= 0) & F.coalesce(F.get("w", x["off"] + F.col("lead") + i) == v, F.lit(False)))
+        return F.size(F.filter(same, lambda y: y))
+
+    def span(x: Column) -> Column:
+        first = F.greatest(x["off"] - F.get(more, x["t"]), F.lit(0))
+        end = x["off"] + F.size(F.get(texts, x["t"])) + F.get(more, x["t"])
+        return F.concat(F.lit(" "), F.array_join(F.slice("w", first + F.col("lead") + 1, F.greatest(end - first, F.lit(0))), " "), F.lit(" "))
 
-    best = F.when(F.size("places") > 0, F.array_max(F.transform("places", share))).otherwise(0.0)
-    own = F.when(F.size("places") > 0, F.array_distinct(F.transform("places", lambda x: F.get(names, x["t"])))).otherwise(F.array().cast("array<string>"))
+    counted = F.transform("places", lambda x: F.struct(x["t"].alias("t"), x["off"].alias("off"), in_place(x).alias("n")))
+    rows = rows.withColumn("places", F.filter(counted, lambda x: x["n"] >= F.get(least, x["t"])))
+    spans = F.transform("places", lambda x: F.struct(x["t"].alias("t"), (x["n"] / F.size(F.get(texts, x["t"]))).alias("share"), span(x).alias("span")))
+    rows = rows.withColumn("places", F.filter(spans, lambda x: F.forall(F.get(keys, x["t"]), lambda k: F.contains(x["span"], k))))
+    best = F.coalesce(F.array_max(F.transform("places", lambda x: x["share"])), F.lit(0.0))
+    own = F.array_distinct(F.transform("places", lambda x: F.get(names, x["t"])))
 
     hit = [F.col(f"b{i}") for i in range(len(base))]
     labels = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(b.isNotNull(), F.lit(label)) for b, (_, label) in zip(hit, base)]).cast("array<string>"))))
@@ -217,5 +232,5 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tu
         "last_word",
         F.array_join("base", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base", "own")), ",").alias("labels"),
-        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.col("best")).alias("score"),
+        F.greatest("best", F.when(F.col("n_base") > 0, NAMED).otherwise(0.0)).alias("score"),
     )

@@ -214,35 +214,33 @@ SELECT * EXCLUDE (rid), NOT (base_failed OR dup_line_share > {_LIMITS.dup_lines}
 FROM y
 """
 
-_TEMPLATES = ",\n    ".join("({}, '{}', '{}', [{}], [{}])".format(i, t.label, t.words, ", ".join(f"'{k}'" for k in t.keys), ", ".join(map(str, license_scan.phrase_places(t)))) for i, t in enumerate(license_scan.TEMPLATES))
+_TEMPLATES = ",\n    ".join("({}, '{}', {}, {}, '{}', [{}])".format(i, t.label, (n := len(t.words.split())), license_scan.stretch(n), t.words, ", ".join(f"'{k}'" for k in t.keys)) for i, t in enumerate(license_scan.TEMPLATES))
 OP10_SQL = f"""
 WITH base(phrase, label) AS (
   VALUES {", ".join(f"('{p}', '{label}')" for p, label in license_scan.BASE)}
-), templates(t, label, words, keys, marked) AS (
+), templates(t, label, n, more, words, keys) AS (
   VALUES {_TEMPLATES}
 ), d AS (
   SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
-), z AS (
-  SELECT rid, ' ' || array_to_string(w, ' ') || ' ' AS padded FROM d
 ), tokens AS (
   SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS i FROM d
 ), b AS (
   SELECT k.rid, k.i, base.label FROM tokens k JOIN d USING (rid) JOIN base ON k.word = string_split(base.phrase, ' ')[1] AND d.w[k.i + 1:k.i + len(string_split(base.phrase, ' '))] = string_split(base.phrase, ' ')
 ), bs AS (
   SELECT rid, CAST(count(*) AS BIGINT) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list(DISTINCT label)) AS labels FROM b GROUP BY rid
-), asked AS (
-  SELECT rid, t, label, words, marked FROM z, templates WHERE len(list_filter(keys, lambda k: NOT contains(padded, ' ' || k || ' '))) = 0
 ), own AS (
-  SELECT rid, t, label, len(string_split(words, ' ')) AS n, unnest(string_split(words, ' ')) AS word, unnest(range(len(string_split(words, ' ')))) AS p, marked FROM asked
+  SELECT t, unnest(string_split(words, ' ')) AS word, unnest(range(n)) AS p FROM templates
 ), places AS (
-  SELECT own.rid, own.t, own.label, k.i - own.p AS off, count(*) / any_value(CAST(n AS DOUBLE)) AS share FROM own JOIN tokens k ON k.rid = own.rid AND k.word = own.word
-  GROUP BY own.rid, own.t, own.label, off HAVING count(CASE WHEN list_contains(marked, p) THEN 1 END) >= 2
+  SELECT k.rid, own.t, k.i - own.p AS off, count(*) AS same FROM own JOIN tokens k USING (word) GROUP BY k.rid, own.t, off
+), spans AS (
+  SELECT p.rid, t.label, t.keys, CAST(same AS DOUBLE) / n AS share, ' ' || array_to_string(d.w[greatest(off - more, 0) + 1:off + n + more], ' ') || ' ' AS span
+  FROM places p JOIN templates t USING (t) JOIN d USING (rid) WHERE 2 * same >= n
 ), ts AS (
-  SELECT rid, list(DISTINCT label) AS labels, max(share) AS best FROM places GROUP BY rid
+  SELECT rid, list(DISTINCT label) AS labels, max(share) AS best FROM spans WHERE len(list_filter(keys, lambda k: NOT contains(span, ' ' || k || ' '))) = 0 GROUP BY rid
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(bs.labels, ','), '') AS base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(bs.labels, []), coalesce(ts.labels, [])))), ','), '') AS labels,
-       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+       greatest(coalesce(best, 0.0::DOUBLE), CASE WHEN n_base > 0 THEN {license_scan.NAMED}::DOUBLE ELSE 0.0::DOUBLE END) AS score
 FROM d LEFT JOIN bs USING (rid) LEFT JOIN ts USING (rid)
 """
 
