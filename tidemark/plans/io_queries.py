@@ -13,7 +13,7 @@ from tidemark.functions import text as T
 from tidemark.operators import relational as R
 from tidemark.plans.registry import query
 from tidemark.scratch import folder, put
-from tidemark.sources import landing, readers, writers
+from tidemark.sources import landing, readers, snapshots, writers
 from tidemark.streaming import resume
 
 TURNS = "SELECT conv_id, turn, role, text FROM conversations"
@@ -205,6 +205,16 @@ def _(t):
     return writers.update_by_key(t.documents.select("doc_id", "lang"), updates, ["doc_id"], "lang")
 
 
+@query("sink_update_parts", "SELECT doc_id, CASE WHEN quality = 0 THEN 'low' ELSE lang END AS lang FROM documents LEFT JOIN labels USING (doc_id)")
+def _(t):
+    path = folder(t.spark, "snapshot")
+    snapshots.write(t.documents.select("doc_id", "lang"), path, ["doc_id"], 16)
+    updates = t.labels.where("quality = 0").select("doc_id", F.lit("low").alias("lang"))
+    for _ in range(2):  # the second finds nothing to change
+        snapshots.update(t.spark, path, updates, ["doc_id"], "lang", 16)
+    return snapshots.read(t.spark, path)
+
+
 @query("sink_update_like", "SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if(contains(text, 'the ')) AS BIGINT) AS changed, CAST(sum(length(replace(text, 'the ', 'DER '))) AS BIGINT) AS chars FROM documents")
 def _(t):
     updated, hit = writers.update_like(t.documents, "text", "the ", "DER ")
