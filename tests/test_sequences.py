@@ -96,3 +96,35 @@ def test_one_group_runs_over_all_partitions(spark, many_partitions):
     assert len(tasks) > 6 and max(r["count"] for r in tasks) < 8000
     want = greedy([i % 7 for i in range(20_000)], 50)[0]
     assert [r.batch for r in out.orderBy("ord").collect()] == want
+
+
+def test_objects_of_any_size_are_streamed(spark, many_partitions, tmp_path):
+    import glob
+    import json
+
+    from tidemark.sources import readers, writers
+
+    rng = random.Random(9)
+    odd = ['say "x"', "a\nb", "{}", ",", "", None, "ก\u2028\\", "}"]
+    rows = [(0 if i % 3 else i % 17, i, rng.choice(odd) if i % 5 == 0 else f"t{i}") for i in range(3000)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, o int, text string")
+    key = F.concat_ws(":", "g", "o")
+    writers.json_flat_stream(df, f"file://{tmp_path}/flat", "g", ["o"], key, "text")
+    want = {f"{g}:{o}": t for g, o, t in rows}
+    assert {r.key: r.text for r in readers.json_flat_stream(spark, f"file://{tmp_path}/flat").collect()} == want
+    files, found, spread = sorted(glob.glob(f"{tmp_path}/flat/part-*")), [], set()
+    for name in files:
+        text, at, groups = open(name).read(), 0, []
+        while text[at:].strip():
+            value, end = json.JSONDecoder().raw_decode(text, at + (len(text[at:]) - len(text[at:].lstrip())))
+            at = end
+            assert len({k.split(":")[0] for k in value}) == 1  # an object holds one group
+            groups.append(next(iter(value)).split(":")[0])
+            found += value.items()
+        assert len(groups) == len(set(groups))  # and a group is one object in a file
+        spread |= {name} if "0" in groups else set()
+    assert dict(found) == want and len(found) == len(rows) and len(spread) > 3
+    empty = df.where("false")
+    writers.json_flat_stream(empty, f"file://{tmp_path}/none", "g", ["o"], key, "text")
+    assert readers.json_flat_stream(spark, f"file://{tmp_path}/none").count() == 0

@@ -47,6 +47,12 @@ def _(t):
 query("sink_json_flatmap", KEYED)(_)
 
 
+@query("sink_json_flat_stream", KEYED)
+def _(t):
+    writers.json_flat_stream(t.conversations, path := folder(t.spark, "flat-stream"), "conv_id", ["turn"], R.build_key(F.col("conv_id"), F.col("turn")), "text")
+    return readers.json_flat_stream(t.spark, path)
+
+
 @query("scan_json_nestedmap", "SELECT CAST(conv_id AS VARCHAR) AS \"outer\", CAST(turn AS VARCHAR) AS item, text FROM conversations")
 def _(t):
     writers.json_nested_maps(t.conversations, path := folder(t.spark, "nested-map"), "conv_id", "turn", "text")
@@ -233,6 +239,21 @@ def _(t):
 query("inc_flush", "SELECT doc_id, quality = 1 AS is_processed FROM labels")(_)
 
 
+KEYED_STATUS = "CASE WHEN toxic = 1 THEN 'REJECTED_CHARACTER_MISMATCH' WHEN quality = 1 THEN 'SPACING_OPTIMIZED' ELSE 'CLEAN' END"
+
+
+@query("inc_resume_state", f"""WITH s AS (SELECT doc_id, {KEYED_STATUS} AS status FROM labels)
+SELECT doc_id, status, 'v1' AS version FROM s UNION ALL SELECT doc_id, status, 'v2' FROM s WHERE contains(status, 'REJECTED') OR status = 'SPACING_OPTIMIZED'""")
+def _(t):
+    source, target, done = folder(t.spark, "asked"), folder(t.spark, "kept"), folder(t.spark, "state")
+    status = lambda df: df.withColumn("status", F.expr(KEYED_STATUS))
+    asked = t.labels.select("doc_id", "quality", "toxic")
+    for version, mode, rows in (("v1", "", asked.where("quality = 1")), ("v1", "", asked), ("v2", "both", asked), ("v2", "all", asked)):  # new ones, the rest, re-work by version, nothing left
+        rows.write.mode("append").parquet(source)
+        resume.run_keyed(t.spark, source, "doc_id long, quality int, toxic int", ["doc_id"], status, done, target, version, mode)
+    return t.spark.read.parquet(target)
+
+
 @query("sink_version_bump", "SELECT CAST(max(turn) AS BIGINT) + 1 AS version, 'userVersion = ' || (max(turn) + 1) || ';' AS line FROM conversations")
 def _(t):
     root = folder(t.spark, "versions")

@@ -25,6 +25,12 @@ def json_flat_maps(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "text"))
 
 
+def json_flat_stream(spark: SparkSession, path: str) -> DataFrame:
+    """(key, text) of the entries of ``writers.json_flat_stream``, a line each."""
+    lines = spark.read.text(path).where("value != '}'")
+    return lines.select(F.explode(F.from_json(F.concat(F.lit("{"), F.substring("value", 2, 2**31 - 1), F.lit("}")), "map<string,string>")).alias("key", "text"))
+
+
 def json_nested_maps(spark: SparkSession, path: str, inner: str = "verses") -> DataFrame:
     """Lines that are objects {"a": {inner: {"b": text}}}: (outer, item, text)."""
     lines = spark.read.text(path).select(F.explode(F.from_json("value", f"map<string,struct<`{inner}`:map<string,string>>>")).alias("outer", "v"))

@@ -35,6 +35,33 @@ def json_flat_maps(df: DataFrame, path: str, group: str, key: Column, text: str)
     df.groupBy(group).agg(F.to_json(entries).alias("value")).select("value").write.text(path)
 
 
+def json_flat_stream(df: DataFrame, path: str, group: str, order: Sequence[str], key: Column, text: str) -> None:
+    """Objects {"a:b": text, ...}, an entry per line, for groups of any size: no group is held in a row or a task.
+
+    Rows are dealt by ranges of (group, order) and each task writes as it reads. A file is
+    a sequence of JSON objects; a group that goes on in the next file goes on there as
+    another object. ``readers.json_flat_stream`` reads line by line, so files split.
+    """
+    entry = F.to_json(F.create_map(key, F.col(f"`{text}`")), {"ignoreNullFields": "false"})
+    by = [F.col(f"`{c}`") for c in (group, *order)]
+    rows = df.repartitionByRange(*by).sortWithinPartitions(*by).select(F.col(f"`{group}`").cast("string").alias("g"), F.substring(entry, 2, F.length(entry) - 2).alias("e"))
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, begun = None, False
+        for batch in batches:
+            out = []
+            for g, e in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if begun and g == last:
+                    out.append("," + e)
+                else:
+                    out += ["}"] * begun + ["{" + e]
+                last, begun = g, True
+            yield pa.record_batch([pa.array(out, pa.string())], names=["value"])
+        yield pa.record_batch([pa.array(["}"] * begun, pa.string())], names=["value"])
+
+    rows.mapInArrow(lines, "value string").write.text(path)
+
+
 def json_nested_maps(df: DataFrame, path: str, group: str, item: str, text: str, inner: str = "verses") -> None:
     """A line {"a": {inner: {"b": text, ...}}} per group."""
     entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(item).cast("string").alias("k"), F.col(text).alias("v")))))
