@@ -726,3 +726,20 @@ def test_templates_against_brute_force(spark, docs):
 
 def test_scratch_is_shared_folder(spark):
     assert scratch.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_many_rules_under_a_hot_suffix(spark):
+    """A hundred thousand rules of one suffix: parts look their first keys' prefixes up, and no rule meets every part."""
+    rules = spark.range(100_000).select(F.when(F.col("id") % 2 == 0, "allow").otherwise("block").alias("verdict"), F.lit("com").alias("host"), F.concat(F.lit("/p"), F.col("id").cast("string"), F.lit("/")).alias("path"))
+    rules = rules.unionByName(spark.createDataFrame([("block", "com", "/p7/deep/"), ("allow", "com", "/")], "verdict string, host string, path string"))
+    pages = spark.range(5000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://a.com/p"), (F.col("id") * 21 % 100_007).cast("string"), F.lit("/deep/x")).alias("url"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        judged = url_rules.judge(pages, rules)
+        for r in judged.collect():
+            n = r.page_id * 21 % 100_007
+            want = ("com/p7/deep/", "block") if n == 7 else (f"com/p{n}/", "allow" if n % 2 == 0 else "block") if n < 100_000 else ("com/", "allow")
+            assert (r.rule, r.verdict) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

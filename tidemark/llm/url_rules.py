@@ -12,7 +12,8 @@ The sorted sequence of all events is dealt by ranges of (suffix, key, host), so
 hot suffix, and even a hot key, spreads over as many parts as its share asks for,
 and no rule is repeated per part. A part begins with the rules that are still open
 where it starts: those of its first suffix whose keys are prefixes of its first
-key. These are found by one lookup per part, and their number is the nesting depth.
+key. These are found by joining its prefixes, no longer than the longest rule, with the
+rules' keys, and their number is the nesting depth.
 
 Nulls and edge cases: a null URL or one without ``://`` has host and path ``''``.
 Repeated rows stay. Of rules with equal host and path, ``block`` wins. With no
@@ -94,7 +95,10 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
     starts = events.groupBy("part").agg(F.min(F.struct("suffix", "pos", "kind")).alias("at"))  # a row per part
     starts = starts.select("part", F.col("at.suffix").alias("suffix"), F.col("at.pos").alias("first"), F.col("at.kind").alias("first_kind"))
     begun = (F.col("pos") < F.col("first")) | ((F.col("pos") == F.col("first")) & (F.col("first_kind") > OPEN))
-    still = kept.join(F.broadcast(starts), "suffix").where(F.col("first").startswith(F.col("pos")) & begun)  # at most ``parts`` rows are broadcast
+    longest = kept.agg(F.coalesce(F.max(F.length("pos")), F.lit(0)).alias("longest"))  # one row
+    lengths = F.sequence(F.lit(0), F.least(F.length("first"), "longest"))
+    prefixes = starts.crossJoin(F.broadcast(longest)).withColumn("n", F.explode(lengths)).select("part", "suffix", "first", "first_kind", F.expr("left(first, n)").alias("pos"))
+    still = kept.join(prefixes, ["suffix", "pos"]).where(begun)  # a part's first key has as many prefixes as characters, not as rules
     still = still.select("suffix", "pos", F.lit(OPEN).alias("kind"), F.lit("").alias("host"), none.alias("path"), F.concat("suffix", "rule_path").alias("rule"), "verdict", "part")
 
     step = F.when(F.col("kind") == OPEN, 1).when(F.col("kind") == CLOSE, -1).otherwise(0)
