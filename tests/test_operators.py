@@ -439,6 +439,8 @@ def test_sqlite_without_rowids_and_with_gaps(spark, tmp_path):
     assert sorted(r.k for r in read("a").collect()) == sorted(f"k{i}" for i in range(11))
     assert sorted(r.id for r in read("b").collect()) == [i**5 for i in range(11)] and read("none").count() == 0
     assert sqlite.read(spark, f"file://{tmp_path}/x.db", "a").count() == 11
+    with pytest.raises(ValueError, match="not sent to every executor"):
+        sqlite.read(spark, f"file://{tmp_path}/x.db", "a", most_bytes=100)
 
 
 def test_offsets(spark):

@@ -72,10 +72,15 @@ class SqliteSource(DataSource):
         return _Reader(dict(self.options), [n for n, *_ in columns], [n for n, _, k in sorted(columns, key=lambda c: c[2]) if k])
 
 
-def read(spark, path: str, table: str, partitions: int = 4):
+def read(spark, path: str, table: str, partitions: int = 4, most_bytes: int = 1 << 30):
+    """A table of a SQLite file. A path with a scheme goes to every executor, so such a file may have ``most_bytes`` at most."""
     spark.dataSource.register(SqliteSource)
     options = {"path": path, "table": table, "partitions": partitions}
     if "://" in path or path.startswith("file:"):
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        size = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).getLen()
+        if size > most_bytes:
+            raise ValueError(f"{path} has {size} bytes; more than {most_bytes} are not sent to every executor: put it where all can open it and give a plain path")
         spark.sparkContext.addFile(path)
         options["file"] = os.path.basename(path)
     return spark.read.format("sqlite_file").options(**options).load()
