@@ -125,6 +125,34 @@ def test_damaged_media_are_refused():
         media.decode(blob[:-3])
 
 
+def test_headers_that_lie_are_refused():
+    import struct
+
+    def chunk(kind, body):
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    def png(*parts):
+        return b"\x89PNG\r\n\x1a\n" + b"".join(chunk(k, b) for k, b in parts)
+
+    def header(width, height):
+        return b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)
+
+    data, end = zlib.compress(b"\0abc\0def"), (b"IEND", b"")
+    whole = png(header(3, 2), (b"IDAT", data[:4]), (b"IDAT", data[4:]), end)
+    assert media.decode(whole).tolist() == [[97, 98, 99], [100, 101, 102]]
+    bad = [
+        png((b"IHDR", b"abc"), (b"IDAT", data), end),
+        png(header(3, 0), (b"IDAT", zlib.compress(b"")), end),
+        png(header(0, 2), (b"IDAT", zlib.compress(b"\0\0")), end),
+        png(header(3, 2), (b"IDAT", data[:4]), (b"tEXt", b"between"), (b"IDAT", data[4:]), end),
+        png(header(3, 2), end),
+        png(header(3, 3), (b"IDAT", data), end),
+    ]
+    for blob in bad:
+        with pytest.raises(media.MediaError):
+            media.decode(blob)
+
+
 def test_hash_follows_the_picture():
     x = np.kron(np.random.default_rng(0).integers(0, 256, (8, 8), dtype=np.uint8), np.ones((8, 8), np.uint8))
     near = np.clip(x.astype(int) + np.random.default_rng(1).integers(-2, 3, x.shape), 0, 255).astype(np.uint8)

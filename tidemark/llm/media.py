@@ -180,9 +180,16 @@ def _unfilter_up(rows: np.ndarray, kinds: np.ndarray, at: int, stop: int) -> Non
 def decode(media: bytes) -> np.ndarray:
     """The samples of an 8-bit greyscale PNG as a two-dimensional array."""
     parts = chunks(media)
+    if len(parts[0][1]) != 13:
+        raise MediaError("a header of the wrong length")
+    data = [i for i, (kind, _) in enumerate(parts) if kind == b"IDAT"]
+    if data and data[-1] - data[0] >= len(data):
+        raise MediaError("data chunks that do not follow one another")
     width, height, depth, colour, method, filtering, interlace = struct.unpack(">IIBBBBB", parts[0][1])
     if (depth, colour, method, filtering, interlace) != (8, 0, 0, 0, 0):
         raise MediaError("not plain 8-bit greyscale")
+    if not width or not height:
+        raise MediaError("an image without samples")
     whole, inflate = height * (width + 1), zlib.decompressobj()
     try:
         stream = inflate.decompress(b"".join(body for kind, body in parts if kind == b"IDAT"), whole + 1)

@@ -50,13 +50,19 @@ def _sweep(spark: SparkSession) -> None:
             return
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: its lineage ends here."""
-    spark = df.sparkSession
+def lasting(spark: SparkSession, label: str) -> str:
+    """A new path whose content goes when the driver ends."""
     path = new_path(spark, label)
     if not _left:
         atexit.register(_sweep, spark)
     _left.add(path)
+    return path
+
+
+def cut(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: its lineage ends here."""
+    spark = df.sparkSession
+    path = lasting(spark, label)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.tidemark_path = path  # for drop()

@@ -181,4 +181,5 @@ def documents(files: DataFrame, key: str = "doc_id", key_type: str = "long") ->
 
 
 def new_folder(spark: SparkSession) -> str:
-    return scratch.new_path(spark, "sequences")
+    """A new shared folder for files that go when the driver ends."""
+    return scratch.lasting(spark, "sequences")
