@@ -507,6 +507,53 @@ def test_best_fit_and_bounds():
     assert packing.lower_bound(np.full(9, 51), 100) == 9
 
 
+def test_packers_come_near_the_bound():
+    rng = np.random.default_rng(5)
+    cases = [(rng.integers(1200, 1500, 6000), 1.002), (rng.integers(900, 1100, 6000), 1.002), (rng.integers(700, 2300, 6000), 1.015), (rng.integers(1, 4097, 6000), 1.01), (np.full(100, 4096), 1), (np.array([4096, 1, 1]), 1), (rng.integers(1, 30, 500), 1)]
+    for sizes, most in cases:
+        bound = packing.lower_bound(sizes, 4096)
+        for bins, offsets, count in (packing.best_company(sizes, 4096), packing.best_packing(sizes, 4096, 1, bound)):
+            by = np.lexsort((offsets, bins))
+            b, o, n = bins[by], offsets[by], sizes[by]
+            first = np.concatenate([[True], b[1:] != b[:-1]])
+            assert (o[first] == 0).all() and (o[1:][~first[1:]] == (o + n)[:-1][~first[1:]]).all() and (o + n).max() <= 4096 and len(np.unique(b)) == count
+        assert bound <= count <= most * bound  # best fit decreasing alone has 1.08 x the bound on the first
+
+
+def best_of_all(sizes, capacity):
+    """The fewest bins, by trying every way."""
+    best = [len(sizes)]
+
+    def place(i, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(sizes):
+            best[0] = len(rooms)
+            return
+        for r in sorted(set(rooms)):
+            if r >= sizes[i]:
+                again = list(rooms)
+                again.remove(r)
+                place(i + 1, [*again, r - sizes[i]])
+        place(i + 1, [*rooms, capacity - sizes[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_packers_against_the_optimum():
+    rng = np.random.default_rng(6)
+    gaps = 0
+    for _ in range(60):
+        sizes = rng.integers(8, 50, 9)
+        optimum = best_of_all(sorted(sizes.tolist(), reverse=True), 100)
+        bound = packing.lower_bound(sizes, 100)
+        count = packing.best_packing(sizes, 100, 0, bound)[2]
+        assert bound <= optimum <= count <= optimum + 1
+        gaps += count - optimum
+    assert gaps <= 3
+
+
 def check_packing(df, rows, capacity=4096):
     enc = tokens.encoder(tokens.default_file()).tokenizer
     out = df.toPandas()

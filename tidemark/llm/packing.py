@@ -5,6 +5,11 @@ parts of bounded size and each part packs its own by best fit decreasing. A lowe
 bound from dual feasible functions certifies each part: a part with as many bins as
 its bound cannot do better. The histogram of all lengths gives the table's bound.
 
+Where best fit decreasing leaves a gap, a part is also packed from the largest piece
+down with those one or two pieces that leave the least room beside it, and by best fit
+decreasing on lengths with a seeded disturbance that is new in each round; the packing
+with the fewest bins stays.
+
 Parts with a gap exchange documents and run again. While the table has more bins
 than its bound, whole bins are pooled and dealt anew over parts of ``pool_rows``
 pieces: those of parts with a gap that are not full, and of all other parts the
@@ -69,7 +74,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, key: str = "doc_id",
 
 def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
     """Bin and offset of each piece, and the number of bins. Of equally full bins, the latest opened takes the piece."""
-    order = np.argsort(-sizes, kind="stable")
+    return _best_fit(sizes, np.argsort(-sizes, kind="stable"), capacity)
+
+
+def _best_fit(sizes: np.ndarray, order: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Each piece, in this order, into the fullest bin that has room for it."""
     bins, offsets = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     open_bins: dict[int, list[int]] = {}
     free = 0  # bit r: an open bin has room for exactly r more
@@ -93,6 +102,65 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, offsets, count
 
 
+def best_company(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """As :func:`best_fit_decreasing`; a bin opens with the largest piece left and takes, again and again, the piece or pair that leaves it the least room."""
+    order = np.argsort(-sizes, kind="stable")
+    left: dict[int, list[int]] = {}
+    present = 0  # bit s: a piece of size s is left
+    for i, size in zip(order[::-1].tolist(), sizes[order[::-1]].tolist()):
+        left.setdefault(size, []).append(i)
+        present |= 1 << size
+    bins, offsets = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    count = 0
+
+    def take(size: int) -> int:
+        nonlocal present
+        stack = left[size]
+        i = stack.pop()
+        if not stack:
+            present ^= 1 << size
+        return i
+
+    def largest(most: int) -> int:
+        return (present & ((1 << (most + 1)) - 1)).bit_length() - 1
+
+    while present:
+        size, at = present.bit_length() - 1, 0
+        while size > 0:
+            i = take(size)
+            bins[i], offsets[i] = count, at
+            at += size
+            room = capacity - at
+            size = one = largest(room) if room else -1
+            if one > 0 and one < room:  # a pair may leave less
+                best, first = room - one, one
+                while first > 0 and best:
+                    again = len(left[first]) == 1
+                    if again:
+                        present ^= 1 << first
+                    second = largest(min(first, room - first)) if room > first else -1
+                    if again:
+                        present |= 1 << first
+                    if second > 0 and room - first - second < best:
+                        best, size = room - first - second, first
+                    first = largest(first - 1) if 2 * (first - 1) >= room - best else -1  # smaller firsts leave more
+        count += 1
+    return bins, offsets, count
+
+
+def best_packing(sizes: np.ndarray, capacity: int, seed: int, bound: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The packing with the fewest bins of several; the first that reaches the bound."""
+    best = best_fit_decreasing(sizes, capacity)
+    if best[2] > bound:
+        best = min(best, best_company(sizes, capacity), key=lambda p: p[2])
+    if best[2] > bound:
+        noise = np.random.default_rng(seed).uniform(0.9, 1.1, len(sizes))
+        order = np.argsort(-sizes * noise, kind="stable")
+        bins, offsets, count = _best_fit(sizes, order, capacity)
+        best = min(best, (bins, offsets, count), key=lambda p: p[2])
+    return best
+
+
 def lower_bound(values: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
     """The best of two families of dual feasible functions: no packing has fewer bins."""
     if not len(values):
@@ -125,8 +193,9 @@ def _pack_parts(rows: DataFrame, capacity: int, round_no: int, key_type: str) ->
     def pack(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("uid", "ascending")])
         sizes = table["length"].to_numpy()
-        bins, offsets, count = best_fit_decreasing(sizes, capacity)
+        bound = lower_bound(sizes, capacity)
         part = table["part"][0].as_py()
+        bins, offsets, count = best_packing(sizes, capacity, (round_no << 32) + part, bound)
         ids = bins + ((round_no << 56) + (part << 32))
         if placed:
             before, old = np.unique(table["sequence_id"].to_numpy(), return_inverse=True)
@@ -137,7 +206,7 @@ def _pack_parts(rows: DataFrame, capacity: int, round_no: int, key_type: str) ->
         n = table.num_rows
         columns = {c: table[c] for c in _KEPT}
         columns |= {"sequence_id": ids, "offset": offsets, "part": np.full(n, (round_no << 32) + part), "bin_fill": fill[bins]}
-        columns |= {"part_bins": np.full(n, count), "part_bound": np.full(n, lower_bound(sizes, capacity))}
+        columns |= {"part_bins": np.full(n, count), "part_bound": np.full(n, bound)}
         return pa.table(columns)
 
     return rows.groupBy("part").applyInArrow(pack, PACKED.format(key=key_type))
@@ -176,8 +245,8 @@ def _bins(packed: DataFrame) -> int:
     return packed.where("offset = 0").count()  # one piece of each bin
 
 
-def pack_parts(docs: DataFrame, tokenizer: str, capacity: int = 4096, key: str = "doc_id", text: str = "text", part_rows: int = 25_000, pool_rows: int = 25_000, levels: tuple[float, ...] = (0.98, 0.995, 1.0, 2.0), least_gain: float = 0.05) -> tuple[DataFrame, Certificate]:
-    """(pieces with place, part and the part's bins and bound when it was packed; the table's certificate)."""
+def _pack(docs: DataFrame, tokenizer: str, capacity: int, key: str, text: str, part_rows: int, pool_rows: int, levels: tuple[float, ...], least_gain: float) -> tuple[DataFrame, Certificate, list[DataFrame]]:
+    """The packed pieces, the table's certificate, and the tables that hold the pieces: each round writes only the bins that it opens."""
     key_type = docs.schema[key].dataType.simpleString()
     cut = scratch.cut(pieces(docs, tokenizer, capacity, key, text), "pieces")
     parts = max(1, -(-cut.count() // part_rows))
@@ -185,6 +254,7 @@ def pack_parts(docs: DataFrame, tokenizer: str, capacity: int = 4096, key: str =
     dealt = cut.withColumn("part", F.pmod(F.xxhash64(F.lit(0), "uid"), F.lit(parts)).cast("int"))
     packed = scratch.cut(_pack_parts(dealt, capacity, 0, key_type), "packed")
     scratch.drop(cut)
+    tables = [packed]
     bins, round_no, level = _bins(packed), 0, 0
     while bins > bound and level < len(levels):
         round_no += 1
@@ -192,20 +262,36 @@ def pack_parts(docs: DataFrame, tokenizer: str, capacity: int = 4096, key: str =
         n = packed.where(open_).count()
         pools = max(1, -(-n // pool_rows))
         whole_bins = F.pmod(F.xxhash64(F.lit(round_no), "sequence_id"), F.lit(pools)).cast("int")
-        again = _pack_parts(packed.where(open_).select(*_KEPT, "sequence_id", "offset", whole_bins.alias("part")), capacity, round_no, key_type)
-        better = scratch.cut(packed.where(~open_).unionByName(again), f"packed-{round_no}")
-        scratch.drop(packed)
-        packed, before = better, bins
+        opened = packed.where(open_).select(*_KEPT, "sequence_id", "offset", whole_bins.alias("part"))
+        again = scratch.cut(_pack_parts(opened, capacity, round_no, key_type), f"packed-{round_no}")
+        tables.append(again)
+        packed, before = packed.where(~open_).unionByName(again), bins
         bins = _bins(packed)
         if before - bins < least_gain * (before - bound) or pools == 1:  # one pool has nothing to deal again
             level += 1
-    return packed, Certificate(bins, bound)
+    return packed, Certificate(bins, bound), tables
+
+
+def pack_parts(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = 4096,
+    key: str = "doc_id",
+    text: str = "text",
+    part_rows: int = 25_000,
+    pool_rows: int = 25_000,
+    levels: tuple[float, ...] = (0.98, 0.995, 1.0, 2.0),
+    least_gain: float = 0.05,
+) -> tuple[DataFrame, Certificate]:
+    """(pieces with place, part and the part's bins and bound when it was packed; the table's certificate)."""
+    return _pack(docs, tokenizer, capacity, key, text, part_rows, pool_rows, levels, least_gain)[:2]
 
 
-def certificate(docs: DataFrame, tokenizer: str, capacity: int = 4096, **options) -> Certificate:
+def certificate(docs: DataFrame, tokenizer: str, capacity: int = 4096, key: str = "doc_id", text: str = "text", part_rows: int = 25_000, pool_rows: int = 25_000, levels: tuple[float, ...] = (0.98, 0.995, 1.0, 2.0), least_gain: float = 0.05) -> Certificate:
     """Only the certificate of :func:`pack`."""
-    packed, found = pack_parts(docs, tokenizer, capacity, **options)
-    scratch.drop(packed)
+    _, found, tables = _pack(docs, tokenizer, capacity, key, text, part_rows, pool_rows, levels, least_gain)
+    for table in tables:
+        scratch.drop(table)
     return found
 
 
