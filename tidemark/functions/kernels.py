@@ -52,13 +52,14 @@ def similarity(a: Column, b: Column, autojunk: bool = True) -> Column:
     return ratio(a, b)
 
 
-_WS_CODES = np.array(sorted(map(ord, T.WS_CHARS)), np.uint32)
+_IS_WS = np.zeros(max(map(ord, T.WS_CHARS)) + 2, dtype=bool)  # by code point; all beyond are none
+_IS_WS[[ord(c) for c in T.WS_CHARS]] = True
 
 
 def _letters(text: str, marker: re.Pattern | None = None) -> np.ndarray:
     """Letters before each place of a text, its end included: what is neither white space nor within a marker."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = ~np.isin(codes, _WS_CODES)
+    letter = ~_IS_WS[np.minimum(codes, len(_IS_WS) - 1)]
     for m in marker.finditer(text) if marker else ():
         letter[m.start() : m.end()] = False
     return np.concatenate([[0], np.cumsum(letter)])
