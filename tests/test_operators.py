@@ -330,6 +330,11 @@ def test_snapping_and_inserting(spark):
     assert one(spark, T.insert_markers(F.col("x"), places), x="abc") == "[y]a[x][z]bc[w]"
 
 
+def test_markers_beyond_a_short_text_stand_at_its_end(spark, tmp_path):
+    sf = document_rows(spark, tmp_path, ["A.", "", "abcd", "abcdefghij"])
+    assert [r.out for r in QUERIES["fn_insert_markers"](spark, sf).orderBy("doc_id").collect()] == ["A.[a][b][c]", "[a][b][c]", "abc[a][b]d[c]", "abc[a][b]defgh[c]ij"]
+
+
 def test_census_counts_matches_that_do_not_overlap(spark, tmp_path):
     sf = document_rows(spark, tmp_path, ["thethex", "thethethe the", "then the.", ""])
     assert QUERIES["agg_regex_census"](spark, sf).first().asDict() == {"the": 8, "the_last": 5}

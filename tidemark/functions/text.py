@@ -234,11 +234,12 @@ def rewrite_markers(text: Column, pattern: str = BRACKET_MARKER) -> Column:
 
 
 def insert_markers(text: Column, places: Column) -> Column:
-    """[id] inserted at the character offsets of an array of (position, note_id); equal offsets keep their order."""
+    """[id] inserted at the character offsets of an array of (position, note_id); equal offsets keep their order, those beyond the text stand at its end."""
     ordered = F.reverse(F.array_sort(F.transform(places, lambda p, i: F.struct(p["position"].alias("at"), i.alias("i"), p["note_id"].cast("string").alias("id")))))
 
     def put(done: Column, p: Column) -> Column:
-        return F.concat(F.substring(done, F.lit(1), p["at"]), F.lit("["), p["id"], F.lit("]"), F.substring(done, p["at"] + 1, F.length(done)))
+        at = F.least(p["at"], F.length(text))  # what is put after the text is none of it
+        return F.concat(F.substring(done, F.lit(1), at), F.lit("["), p["id"], F.lit("]"), F.substring(done, at + 1, F.length(done)))
 
     return F.aggregate(ordered, text, put)
 
