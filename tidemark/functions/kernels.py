@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
 from tidemark.functions.matching import sequence_ratio
+from tidemark.functions.slices import sliced, slices
 
 
 def nfc(text: Column) -> Column:
@@ -19,7 +20,7 @@ def nfc(text: Column) -> Column:
 
     @F.arrow_udf("string")
     def normalized(texts: pa.Array) -> pa.Array:
-        return pa.array([None if x is None else unicodedata.normalize("NFC", x) for x in texts.to_pylist()], pa.string())
+        return pa.concat_arrays([pa.array([None if x is None else unicodedata.normalize("NFC", x) for x in part.to_pylist()], pa.string()) for part, in slices([texts])])
 
     # ASCII is in form C; only other texts go to Python
     return F.coalesce(normalized(F.when(F.octet_length(text) != F.char_length(text), text)), text)
@@ -34,7 +35,7 @@ def same_letters(original: Column, *others: Column) -> Column:
     @F.arrow_udf("array<boolean>")
     def compared(first: pa.Array, *rest: pa.Array) -> pa.Array:
         rows = []
-        for a, *bs in zip(first.to_pylist(), *[x.to_pylist() for x in rest]):
+        for a, *bs in (map(pa.Scalar.as_py, row) for row in zip(first, *rest)):
             k = None if a is None else key(a)
             rows.append([None if k is None or b is None else a == b or key(b) == k for b in bs])
         return pa.array(rows, pa.list_(pa.bool_()))
@@ -47,7 +48,8 @@ def similarity(a: Column, b: Column, autojunk: bool = True) -> Column:
 
     @F.arrow_udf("double")
     def ratio(x: pa.Array, y: pa.Array) -> pa.Array:
-        return pa.array([None if p is None or q is None else sequence_ratio(p, q, autojunk) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.float64())
+        both = ((p.as_py(), q.as_py()) for p, q in zip(x, y))  # one pair of texts at a time
+        return pa.array([None if p is None or q is None else sequence_ratio(p, q, autojunk) for p, q in both], pa.float64())
 
     return ratio(a, b)
 
@@ -65,25 +67,27 @@ def _letters(text: str, marker: re.Pattern | None = None) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(letter)])
 
 
-def letter_maps(text: Column) -> Column:
-    """Struct of two arrays: ``letters`` before each character and the end (letters are characters other than white
-    space), and the first ``place`` that has 0, 1, ... letters before it; of all letters, the end. Null for a null."""
-    kind = pa.struct([("letters", pa.list_(pa.int32())), ("places", pa.list_(pa.int32()))])
-
-    @F.arrow_udf("struct<letters:array<int>,places:array<int>>")
-    def mapped(texts: pa.Array) -> pa.Array:
-        rows = []
-        for x in texts:
-            if (t := x.as_py()) is None:
-                rows.append(None)
-                continue
+def _maps(texts: pa.Array) -> pa.Array:
+    """Kernel of :func:`letter_maps`: both arrays of all texts end to end, and where each begins."""
+    ends = ([0], [0])
+    made = ([np.empty(0, np.int32)], [np.empty(0, np.int32)])
+    for x in texts:
+        if (t := x.as_py()) is not None:
             before = _letters(t)
-            places = np.searchsorted(before, np.arange(before[-1] + 1))
+            places = np.concatenate([[0], np.flatnonzero(np.diff(before)) + 1])
             places[-1] = len(t)
-            rows.append({"letters": before, "places": places})
-        return pa.array(rows, kind)
+            for parts, values in zip(made, (before, places)):
+                parts.append(values.astype(np.int32))
+        for at, parts in zip(ends, made):
+            at.append(at[-1] + (len(parts[-1]) if t is not None else 0))
+    lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(parts))) for at, parts in zip(ends, made)]
+    return pa.StructArray.from_arrays(lists, ["letters", "places"], mask=texts.is_null())
 
-    return mapped(text)
+
+def letter_maps(text: Column) -> Column:
+    """Struct of two arrays: ``letters`` before each character and the end (letters are characters other than white
+    space), and the first ``place`` that has 0, 1, ... letters before it; of all letters, the end. Null for a null."""
+    return sliced(_maps, "struct<letters:array<int>,places:array<int>>")(text)
 
 
 def letters_before(text: Column, places: Column, marker: str) -> Column:
@@ -93,7 +97,7 @@ def letters_before(text: Column, places: Column, marker: str) -> Column:
     @F.arrow_udf("array<long>")
     def counted(texts: pa.Array, asked: pa.Array) -> pa.Array:
         rows = []
-        for x, at in zip(texts.to_pylist(), asked.to_pylist()):
+        for x, at in ((t.as_py(), p.as_py()) for t, p in zip(texts, asked)):
             before = _letters(x, pattern) if x is not None and at else None
             rows.append(None if at is None else [None if before is None else int(before[max(i - 1, 0)]) for i in at])
         return pa.array(rows, pa.list_(pa.int64()))
