@@ -62,3 +62,11 @@ def test_letter_maps_leave_in_slices(kernel):
         first = {n: at for at, n in reversed(list(enumerate(before)))}
         first[before[-1]] = len(text)
         assert row == {"letters": before, "places": [first[n] for n in range(before[-1] + 1)]}
+
+
+def test_aligned_markers_leave_in_slices(kernel):
+    base = ["word " * 60000 + str(i) for i in range(7)] + [None, "", "one two"]
+    marked = [f"{b[:40]}(1){b[40:]}" if b else b for b in base]
+    run = kernel(lambda: alignment.align_markers(F.col("x"), F.col("y")))
+    rows = parts_of(run, pa.array(marked), pa.array(base), pa.nulls(len(base), pa.map_(pa.string(), pa.string())))
+    assert [(r["annotated"], [tuple(p.values()) for p in r["placements"]]) for r in rows] == [(t, [(at, n, d) for at, n, d in p]) for t, p in (alignment.carry(m or "", b or "") for m, b in zip(marked, base))]
