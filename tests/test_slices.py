@@ -70,3 +70,11 @@ def test_aligned_markers_leave_in_slices(kernel):
     run = kernel(lambda: alignment.align_markers(F.col("x"), F.col("y")))
     rows = parts_of(run, pa.array(marked), pa.array(base), pa.nulls(len(base), pa.map_(pa.string(), pa.string())))
     assert [(r["annotated"], [tuple(p.values()) for p in r["placements"]]) for r in rows] == [(t, [(at, n, d) for at, n, d in p]) for t, p in (alignment.carry(m or "", b or "") for m, b in zip(marked, base))]
+
+
+def test_keyed_pages_leave_in_slices(kernel, spark):
+    box = f'<div wire:key="{V.BOX_KEY_PREFIX}x"><p class="font-extrabold tracking-tight">%d:1</p><p><span>Translation</span>: %s</p></div>'
+    pages = [box % (i, "word " * 60000) for i in range(7)] + [None, "", box % (9, "short")]
+    frame = spark.createDataFrame([], "page_id long, html string")
+    rows = parts_of(kernel(lambda: keyed_pages.parse_keyed_pages(frame, "page_id", "html")), pa.array(range(10), pa.int32()), pa.array(pages))
+    assert rows == [keyed_pages.keyed_items(p, i) for i, p in enumerate(pages)] and [len(r) for r in rows] == [1] * 7 + [0, 0, 1]
