@@ -35,7 +35,7 @@ def same_letters(original: Column, *others: Column) -> Column:
     @F.arrow_udf("array<boolean>")
     def compared(first: pa.Array, *rest: pa.Array) -> pa.Array:
         rows = []
-        for a, *bs in (map(pa.Scalar.as_py, row) for row in zip(first, *rest)):
+        for a, *bs in ([x.as_py() for x in row] for row in zip(first, *rest)):
             k = None if a is None else key(a)
             rows.append([None if k is None or b is None else a == b or key(b) == k for b in bs])
         return pa.array(rows, pa.list_(pa.bool_()))
