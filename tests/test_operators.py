@@ -340,6 +340,12 @@ def test_census_counts_matches_that_do_not_overlap(spark, tmp_path):
     assert QUERIES["agg_regex_census"](spark, sf).first().asDict() == {"the": 8, "the_last": 5}
 
 
+def test_share_of_a_text_without_characters_is_nan(spark, tmp_path):
+    sf = document_rows(spark, tmp_path, ["", "eab", None, "x", "", "eé"])
+    rows = QUERIES["fn_pct_fmt"](spark, sf).orderBy("doc_id").select(F.col("out").cast("string")).collect()
+    assert [r.out for r in rows] == ["NaN", "33.333333", None, "0.0", "NaN", "50.0"]
+
+
 def test_alignment_falls_back_by_distance():
     base = "abcdef " + "x" * 8 + " abcdef tail of it"
     assert aligned("abcdef(1) xx", base)[1] == [(6, "1", 0)]  # of two equal pieces the nearer

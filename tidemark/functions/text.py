@@ -197,6 +197,11 @@ def count_char(text: Column, char: str) -> Column:
     return (F.length(text) - F.length(replace_all(text, char, ""))).cast("long")
 
 
+def char_share(text: Column, char: str) -> Column:
+    """How much of a text is one character, in percent; NaN for a text without characters, null for a null."""
+    return F.when(F.length(text) == 0, float("nan")).otherwise(100.0 * count_char(text, char) / F.length(text))
+
+
 def context(text: Column, position: Column, width: int = 25) -> Column:
     """Up to ``width`` characters before a 1-based position, trimmed."""
     start = F.greatest(F.lit(1), position - width)
