@@ -5,6 +5,7 @@ import random
 import unicodedata
 from difflib import SequenceMatcher
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from tidemark.functions import alignment, kernels, keyed_pages
 from tidemark.functions import fixed_values as V
 from tidemark.functions import text as T
 from tidemark.operators import audits, budgets, edits, notes, relational, rules, sequence
-from tidemark.plans import QUERIES
+from tidemark.plans import ORACLES, QUERIES
 from tidemark.scratch import folder
 from tidemark.sources import landing, readers, writers
 from tidemark.streaming import resume
@@ -346,6 +347,15 @@ def test_share_of_a_text_without_characters_is_nan(spark, tmp_path):
     assert [r.out for r in rows] == ["NaN", "33.333333", None, "0.0", "NaN", "50.0"]
 
 
+def test_percentage_of_a_text_without_characters_is_that_of_its_sql(spark, tmp_path):
+    sf = document_rows(spark, tmp_path, ["", "eab", None, "x", "", "eé"])
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet/*.parquet'")
+    got = [tuple(r) for r in QUERIES["fn_pct_text"](spark, sf).orderBy("doc_id").collect()]
+    assert got == sorted(db.sql(ORACLES["fn_pct_text"]).fetchall())
+    assert [out for _, out in got] == ["-nan%", "33.3%", None, "0.0%", "-nan%", "50.0%"]
+
+
 def test_alignment_falls_back_by_distance():
     base = "abcdef " + "x" * 8 + " abcdef tail of it"
     assert aligned("abcdef(1) xx", base)[1] == [(6, "1", 0)]  # of two equal pieces the nearer

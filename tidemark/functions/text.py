@@ -198,8 +198,12 @@ def count_char(text: Column, char: str) -> Column:
 
 
 def char_share(text: Column, char: str) -> Column:
-    """How much of a text is one character, in percent; NaN for a text without characters, null for a null."""
-    return F.when(F.length(text) == 0, float("nan")).otherwise(100.0 * count_char(text, char) / F.length(text))
+    """How much of a text is one character, in percent; NaN for a text without characters, null for a null.
+
+    The count is in no branch: Spark moves what is computed from a ``when`` with a literal into its
+    branches, and would count anew wherever that names the share.
+    """
+    return F.coalesce(F.try_divide(100.0 * count_char(text, char), F.length(text)), F.when(F.length(text) == 0, float("nan")))
 
 
 def context(text: Column, position: Column, width: int = 25) -> Column:
